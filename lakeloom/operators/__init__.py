@@ -1,0 +1 @@
+"""Set-based operators of the loader."""
