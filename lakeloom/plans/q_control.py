@@ -1,3 +1,180 @@
-"""Queries."""
+"""Queries of the due-run selection."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import fixtures as fx
+from ..operators import control as ctl
+from ..operators.checks import duplicate_keys
+from ..sources.tables import Tables
+from .registry import register
+
+_RUN_SELECT = """
+SELECT h.sourceid, d.sourcename, d.sourcetype, d.sourceobject, d.loadtype, d.sourceschema,
+       d.loadfrequency, h.objecttype, d.etllastrundate, d.targetobject, h.sourcecallingseq,
+       d.dataflowflag, d.latestbatchid, d.targetschemaname, d.targetprocedurename
+FROM control_header h JOIN control_detail d ON h.sourceid = d.sourceid
+WHERE d.dataflowflag = '{flow}' AND d.isreadyforexecution = 1 AND d.isapplicable = 1"""
+_FIX = ["control_header", "control_detail"]
+_FIXG = ["control_header", "control_detail", "source_groups"]
+
+
+def _runs(spark, sf_dir, with_null=False, **kw):
+    t = Tables(spark, sf_dir)
+    f = ctl.RunFilter(**kw)
+    return ctl.due_runs(fx.control_header(t), fx.control_detail(t),
+                        fx.source_groups(t, with_null=with_null), f)
+
+
+@register("due_runs", _RUN_SELECT.format(flow="BRNtoSLV"), fixtures=_FIX)
+def due_runs(spark, sf_dir):
+    """All due BRNtoSLV runs, ordered by header id."""
+    return _runs(spark, sf_dir)
+
+
+@register("due_by_freq", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'",
+          fixtures=_FIX)
+def due_by_freq(spark, sf_dir):
+    """Load-frequency filter (P4, second branch)."""
+    return _runs(spark, sf_dir, load_frequency="Daily")
+
+
+@register("due_failed", _RUN_SELECT.format(flow="BRNtoSLV")
+          + " AND d.loadfrequency = 'Daily' AND d.flowstatus = 'Failed'", fixtures=_FIX)
+def due_failed(spark, sf_dir):
+    """Failed-only re-run filter."""
+    return _runs(spark, sf_dir, load_frequency="Daily", failed_only=True)
+
+
+@register("due_by_source", _RUN_SELECT.format(flow="BRNtoSLV")
+          + " AND d.sourceid IN (SELECT 'S' || CAST(c_custkey AS VARCHAR) FROM customer"
+            " WHERE c_mktsegment = 'AUTOMOBILE')", fixtures=_FIX)
+def due_by_source(spark, sf_dir):
+    """Source-list filter (P4): the list overrides the frequency filter; here the
+    list is data (the sources of one market segment), so it is a semi join."""
+    t = Tables(spark, sf_dir)
+    srcs = t.customer.where(F.col("c_mktsegment") == "AUTOMOBILE").select(
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")))
+    return _runs(spark, sf_dir, sources=srcs, load_frequency="Daily")
+
+
+@register("due_excl_source", _RUN_SELECT.format(flow="SRCtoBRN")
+          + " AND d.loadfrequency = 'Daily' AND d.sourceid NOT IN (SELECT 'S' || CAST(c_custkey AS VARCHAR)"
+            " FROM customer WHERE c_mktsegment = 'MACHINERY')", fixtures=_FIX)
+def due_excl_source(spark, sf_dir):
+    """Exclude-source filter (P5) on the SRCtoBRN flow."""
+    t = Tables(spark, sf_dir)
+    srcs = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")))
+    return _runs(spark, sf_dir, dataflowflag="SRCtoBRN", load_frequency="Daily", exclude_sources=srcs)
+
+
+@register("due_by_type", _RUN_SELECT.format(flow="BRNtoSLV") + " AND h.objecttype IN ('Fact')",
+          fixtures=_FIX)
+def due_by_type(spark, sf_dir):
+    """Object-type filter."""
+    return _runs(spark, sf_dir, object_type=["Fact"])
+
+
+@register("due_by_seq", _RUN_SELECT.format(flow="BRNtoSLV") + " AND h.sourcecallingseq IN (1, 3)",
+          fixtures=_FIX)
+def due_by_seq(spark, sf_dir):
+    """Calling-sequence filter; the CLI gives text, the column is an integer."""
+    return _runs(spark, sf_dir, calling_sequence=ctl.split_list("1|3", "|"))
+
+
+_IN_GROUP = ("SELECT DISTINCT sourceid FROM source_groups WHERE schemaname = 'dwh'"
+             " AND sourcegroup IN ({groups})")
+
+
+@register("due_by_group", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+          " AND h.sourceid IN (" + _IN_GROUP.format(groups="'BUILDING'") + ")", fixtures=_FIXG)
+def due_by_group(spark, sf_dir):
+    """Source-group filter: IN-subquery as a semi join."""
+    return _runs(spark, sf_dir, load_frequency="Daily", groups=["BUILDING"])
+
+
+@register("due_by_groups_src", _RUN_SELECT.format(flow="SRCtoBRN") + " AND d.loadfrequency = 'Daily'"
+          " AND h.sourceid IN (" + _IN_GROUP.format(groups="'BUILDING', 'HOUSEHOLD'") + ")", fixtures=_FIXG)
+def due_by_groups_src(spark, sf_dir):
+    """Group filter with a delimited CLI list on the SRCtoBRN flow."""
+    return _runs(spark, sf_dir, dataflowflag="SRCtoBRN", load_frequency="Daily",
+                 groups=ctl.split_list("BUILDING,HOUSEHOLD"))
+
+
+@register("due_excl_group", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+          " AND h.sourceid NOT IN (" + _IN_GROUP.format(groups="'BUILDING'") + ")", fixtures=_FIXG)
+def due_excl_group(spark, sf_dir):
+    """Exclude-group filter: NOT IN subquery with SQL NULL semantics."""
+    return _runs(spark, sf_dir, load_frequency="Daily", exclude_groups=["BUILDING"])
+
+
+@register("due_excl_group_null", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+          " AND h.sourceid NOT IN (SELECT DISTINCT sourceid FROM (SELECT * FROM source_groups UNION ALL"
+          " SELECT NULL, 'dwh', 'BUILDING', 1, 'Completed', NULL, NULL, NULL) g"
+          " WHERE schemaname = 'dwh' AND sourcegroup IN ('BUILDING'))", fixtures=_FIXG)
+def due_excl_group_null(spark, sf_dir):
+    """NOT IN over a group list that holds a NULL id: no run qualifies."""
+    return _runs(spark, sf_dir, with_null=True, load_frequency="Daily", exclude_groups=["BUILDING"])
+
+
+@register("due_count", "SELECT CAST(count(*) AS BIGINT) AS n_runs FROM ("
+          + _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily') x", fixtures=_FIX)
+def due_count(spark, sf_dir):
+    """Number of due runs."""
+    return _runs(spark, sf_dir, load_frequency="Daily").agg(F.count(F.lit(1)).alias("n_runs"))
+
+
+@register("list_sources", "SELECT dataflowflag || ' => ' || sourceid AS line FROM ("
+          + _RUN_SELECT.format(flow="BRNtoSLV") + ") x", fixtures=_FIX)
+def list_sources(spark, sf_dir):
+    """``flow => source`` listing of the due runs."""
+    return ctl.list_sources(_runs(spark, sf_dir))
+
+
+@register("run_waves", "SELECT sourcecallingseq, CAST(count(*) AS BIGINT) AS n_runs FROM ("
+          + _RUN_SELECT.format(flow="BRNtoSLV") + ") x WHERE sourcecallingseq IS NOT NULL"
+          " GROUP BY sourcecallingseq", fixtures=_FIX)
+def run_waves(spark, sf_dir):
+    """Waves: sorted distinct calling sequences with their runs."""
+    return ctl.run_waves(_runs(spark, sf_dir))
+
+
+@register("run_metadata", """
+SELECT x.*, m.jobname, m.envsourcecode, m.datasourcecode, m.latestbatchid AS p_batchid,
+       m.targetprocedurename AS p_taskname, m.rawstorageflag
+FROM (""" + _RUN_SELECT.format(flow="BRNtoSLV") + """) x
+LEFT JOIN (SELECT d.*, h.envsourcecode, h.datasourcecode, h.rawstorageflag
+           FROM control_detail d JOIN control_header h ON d.sourceid = h.sourceid) m
+  ON x.sourceid = m.sourceid AND x.dataflowflag = m.dataflowflag AND x.targetobject = m.targetobject""",
+          fixtures=_FIX)
+def run_metadata(spark, sf_dir):
+    """Run metadata of every due run: detail JOIN header, 3-key match."""
+    t = Tables(spark, sf_dir)
+    return ctl.run_metadata(_runs(spark, sf_dir), fx.control_header(t), fx.control_detail(t))
+
+
+@register("left_join_star", "SELECT * FROM nation LEFT JOIN supplier ON nation.n_nationkey = supplier.s_nationkey")
+def left_join_star(spark, sf_dir):
+    """``SELECT * FROM tab LEFT JOIN tab2 ON tab.id = tab2.tab_id``."""
+    t = Tables(spark, sf_dir)
+    return t.nation.join(t.supplier, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+
+
+@register("dq_control_keys", """
+SELECT 'controlheader' AS table_name, sourceid || '|' || sourcename AS key_value, CAST(count(*) AS BIGINT) AS n
+FROM control_header GROUP BY sourceid, sourcename HAVING count(*) > 1
+UNION ALL
+SELECT 'controldetail', sourceid || '|' || dataflowflag, CAST(count(*) AS BIGINT)
+FROM control_detail GROUP BY sourceid, dataflowflag HAVING count(*) > 1""", fixtures=_FIX)
+def dq_control_keys(spark, sf_dir):
+    """Unique keys of the control tables: (sourceid, sourcename), (sourceid, dataflowflag) (Q4)."""
+    t = Tables(spark, sf_dir)
+    a = duplicate_keys(fx.control_header(t), ["sourceid", "sourcename"]).select(
+        F.lit("controlheader").alias("table_name"),
+        F.concat_ws("|", "sourceid", "sourcename").alias("key_value"), "n")
+    b = duplicate_keys(fx.control_detail(t), ["sourceid", "dataflowflag"]).select(
+        F.lit("controldetail").alias("table_name"),
+        F.concat_ws("|", "sourceid", "dataflowflag").alias("key_value"), "n")
+    return a.unionByName(b)
