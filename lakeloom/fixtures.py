@@ -246,3 +246,22 @@ def document_input(t: Tables) -> DataFrame:
         F.col("p_type").alias("datatype"),
         F.when(k % 2 == 1, F.lit(None)).otherwise(F.concat(F.lit("size "), F.col("p_size").cast("string"))).alias("description"),
     )
+
+
+def run_requests(t: Tables) -> DataFrame:
+    """One run request per order, for the source's flow (order key parity) and
+    the target of that flow's control-detail row; finished counts attached."""
+    o = t.orders.select(
+        _sid("o_custkey").alias("sourceid"),
+        F.when(F.col("o_orderkey") % 2 == 0, "SRCtoBRN").otherwise("BRNtoSLV").alias("dataflowflag"),
+        F.col("o_orderdate").alias("loadstarttime"),
+        F.col("o_orderkey").alias("runid"),
+        F.floor(F.col("o_totalprice")).cast("long").alias("srccnt"),
+        F.concat(F.lit("B"), F.col("o_orderkey").cast("string")).alias("etlbatchid"),
+    )
+    o = o.withColumn("inscnt", F.floor(F.col("srccnt") / 2).cast("long")).withColumn(
+        "updcnt", F.col("srccnt") - F.floor(F.col("srccnt") / 2).cast("long"))
+    d = control_detail(t).select(F.col("sourceid").alias("_d_s"), F.col("dataflowflag").alias("_d_f"),
+                                 "targetobject")
+    return o.join(d, (F.col("sourceid") == F.col("_d_s")) & (F.col("dataflowflag") == F.col("_d_f")),
+                  "inner").drop("_d_s", "_d_f")

@@ -122,8 +122,21 @@ SELECT p_partkey, p_brand AS source_tablename, p_name AS source_columnname, p_ty
 FROM part""",
 }
 
+FIXTURE_SQL["run_requests"] = """
+SELECT r.*, d.targetobject
+FROM (SELECT 'S' || CAST(o_custkey AS VARCHAR) AS sourceid,
+             CASE WHEN o_orderkey % 2 = 0 THEN 'SRCtoBRN' ELSE 'BRNtoSLV' END AS dataflowflag,
+             o_orderdate AS loadstarttime, o_orderkey AS runid,
+             CAST(floor(o_totalprice) AS BIGINT) AS srccnt,
+             'B' || CAST(o_orderkey AS VARCHAR) AS etlbatchid,
+             CAST(floor(CAST(floor(o_totalprice) AS BIGINT) / 2) AS BIGINT) AS inscnt,
+             CAST(floor(o_totalprice) AS BIGINT)
+               - CAST(floor(CAST(floor(o_totalprice) AS BIGINT) / 2) AS BIGINT) AS updcnt
+      FROM orders) r
+JOIN control_detail d ON r.sourceid = d.sourceid AND r.dataflowflag = d.dataflowflag"""
+
 # which fixtures another fixture reads
-_DEPENDS = {"constraint_usage": ["column_catalog"]}
+_DEPENDS = {"constraint_usage": ["column_catalog"], "run_requests": ["control_detail"]}
 
 
 def with_fixtures(names: list[str], body: str) -> str:
