@@ -202,19 +202,30 @@ def column_catalog(t: Tables) -> DataFrame:
 
 
 def constraint_usage(t: Tables) -> DataFrame:
-    """Declared key constraints of the catalog tables (S5): every table's first
-    column is its primary key; every 5th column is UNIQUE and every 6th a
-    FOREIGN KEY (which must not become a business key)."""
+    """Declared key constraints of the catalog tables (S5), one row per
+    (column, constraint): the first column is the primary key, every 5th column
+    is UNIQUE and every 3rd has a FOREIGN KEY (never a business key); column 15
+    holds two constraints."""
     cat = column_catalog(t)
     k = F.col("ordinal_position")
-    kind = (F.when(k == 1, "PRIMARY KEY").when(k % 5 == 0, "UNIQUE").when(k % 6 == 0, "FOREIGN KEY"))
-    out = cat.select("table_schema", "table_name", "column_name", kind.alias("constraint_type"))
-    out = out.where(F.col("constraint_type").isNotNull())
+    kinds = F.filter(F.array(F.when(k == 1, "PRIMARY KEY"), F.when(k % 5 == 0, "UNIQUE"),
+                             F.when(k % 3 == 0, "FOREIGN KEY")), lambda x: x.isNotNull())
+    out = cat.select("table_schema", "table_name", "column_name", F.explode(kinds).alias("constraint_type"))
     return out.select("table_schema", "table_name", "column_name", "constraint_type",
                       F.concat(F.col("table_name"), F.lit("_"), F.lower(F.regexp_replace("constraint_type", " ", "")),
                                F.lit("_"), F.col("column_name")).alias("constraint_name"))
 
 
+def table_constraints(t: Tables) -> DataFrame:
+    """information_schema.table_constraints of the catalog tables."""
+    return constraint_usage(t).select("constraint_name", "table_schema", "table_name", "constraint_type")
+
+
+def key_column_usage(t: Tables) -> DataFrame:
+    """information_schema.key_column_usage of the catalog tables."""
+    return constraint_usage(t).select("constraint_name", "table_schema", "table_name", "column_name")
+
+
 def vector_collection(t: Tables) -> DataFrame:
     """Search collection: id, table (label), column, document, vector."""
     e = t.embeddings
@@ -265,3 +276,44 @@ def run_requests(t: Tables) -> DataFrame:
                                  "targetobject")
     return o.join(d, (F.col("sourceid") == F.col("_d_s")) & (F.col("dataflowflag") == F.col("_d_f")),
                   "inner").drop("_d_s", "_d_f")
+
+
+def main_lookup_before(t: Tables) -> DataFrame:
+    """Lookup rows already captured: the numeric columns of every catalog table,
+    with stale type information."""
+    c = column_catalog(t).where(F.col("data_type").isin("integer", "bigint", "numeric"))
+    return c.select(
+        F.lit("stg").alias("sourcename"), F.col("table_name").alias("sourceid"),
+        F.col("table_name").alias("source_tablename"),
+        F.concat(F.lit("stg_"), F.col("table_name")).alias("bronzedwh_tablename"),
+        F.concat(F.lit("d_"), F.col("table_name")).alias("silverdwh_tablename"),
+        F.col("ordinal_position").alias("column_id"), F.col("column_name").alias("source_columnname"),
+        F.col("column_name").alias("silverdwh_columnname"), F.lit("text").alias("datatype"),
+        F.lit(None).cast("int").alias("length"), F.lit(None).cast("int").alias("precisions"),
+        F.lit(None).cast("int").alias("scale"), F.lit(None).cast("boolean").alias("nullable"),
+        F.lit(None).cast("string").alias("keyconstraint"),
+        F.lit(None).cast("string").alias("silver_default_value"),
+        F.lit(OLD_TS).cast("timestamp_ntz").alias("createdatetime"),
+        F.lit(None).cast("string").alias("document"))
+
+
+def catalog_tables(t: Tables) -> DataFrame:
+    """information_schema.tables of the catalog."""
+    return column_catalog(t).select("table_schema", "table_name").distinct()
+
+
+# Parameter of the gold-schema test: source type -> column-store type.
+GOLD_TYPE_MAP = [("integer", "Int32"), ("bigint", "Int64"), ("character varying", "String"),
+                 ("text", "String"), ("numeric", "Decimal(18, 2)"),
+                 ("timestamp without time zone", "DateTime"), ("boolean", "Bool")]
+
+
+def gold_type_map(spark) -> DataFrame:
+    return spark.createDataFrame(GOLD_TYPE_MAP, "sourcedatatypes string, targetdatatypes string")
+
+
+def existing_tables(t: Tables) -> DataFrame:
+    """Silver tables that already exist: those of customers with a positive balance."""
+    return t.customer.where(F.col("c_acctbal") > 0).select(
+        F.lit("dwh").alias("table_schema"),
+        F.concat(F.lit("d_"), F.lower("c_mktsegment"), F.lit("_"), F.col("c_custkey").cast("string")).alias("table_name"))

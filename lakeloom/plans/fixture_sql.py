@@ -99,12 +99,17 @@ FROM part""",
     "constraint_usage": """
 SELECT table_schema, table_name, column_name, constraint_type,
        table_name || '_' || lower(replace(constraint_type, ' ', '')) || '_' || column_name AS constraint_name
-FROM (SELECT table_schema, table_name, column_name,
-             CASE WHEN ordinal_position = 1 THEN 'PRIMARY KEY'
-                  WHEN ordinal_position % 5 = 0 THEN 'UNIQUE'
-                  WHEN ordinal_position % 6 = 0 THEN 'FOREIGN KEY' END AS constraint_type
-      FROM column_catalog) x
-WHERE constraint_type IS NOT NULL""",
+FROM (SELECT table_schema, table_name, column_name, 'PRIMARY KEY' AS constraint_type
+      FROM column_catalog WHERE ordinal_position = 1
+      UNION ALL
+      SELECT table_schema, table_name, column_name, 'UNIQUE' FROM column_catalog WHERE ordinal_position % 5 = 0
+      UNION ALL
+      SELECT table_schema, table_name, column_name, 'FOREIGN KEY' FROM column_catalog
+      WHERE ordinal_position % 3 = 0) x""",
+    "table_constraints": """
+SELECT constraint_name, table_schema, table_name, constraint_type FROM constraint_usage""",
+    "key_column_usage": """
+SELECT constraint_name, table_schema, table_name, column_name FROM constraint_usage""",
     "vector_collection": """
 SELECT 'row_' || CAST(vec_id AS VARCHAR) AS id, vec_id,
        'table_' || CAST(label AS VARCHAR) AS source_tablename,
@@ -135,8 +140,25 @@ FROM (SELECT 'S' || CAST(o_custkey AS VARCHAR) AS sourceid,
       FROM orders) r
 JOIN control_detail d ON r.sourceid = d.sourceid AND r.dataflowflag = d.dataflowflag"""
 
+FIXTURE_SQL["main_lookup_before"] = f"""
+SELECT 'stg' AS sourcename, table_name AS sourceid, table_name AS source_tablename,
+       'stg_' || table_name AS bronzedwh_tablename, 'd_' || table_name AS silverdwh_tablename,
+       ordinal_position AS column_id, column_name AS source_columnname, column_name AS silverdwh_columnname,
+       'text' AS datatype, CAST(NULL AS INTEGER) AS length, CAST(NULL AS INTEGER) AS precisions,
+       CAST(NULL AS INTEGER) AS scale, CAST(NULL AS BOOLEAN) AS nullable, CAST(NULL AS VARCHAR) AS keyconstraint,
+       CAST(NULL AS VARCHAR) AS silver_default_value, {OLD_SQL} AS createdatetime, CAST(NULL AS VARCHAR) AS document
+FROM column_catalog WHERE data_type IN ('integer', 'bigint', 'numeric')"""
+
+FIXTURE_SQL["catalog_tables"] = "SELECT DISTINCT table_schema, table_name FROM column_catalog"
+
+FIXTURE_SQL["existing_tables"] = """
+SELECT 'dwh' AS table_schema, 'd_' || lower(c_mktsegment) || '_' || CAST(c_custkey AS VARCHAR) AS table_name
+FROM customer WHERE c_acctbal > 0"""
+
 # which fixtures another fixture reads
-_DEPENDS = {"constraint_usage": ["column_catalog"], "run_requests": ["control_detail"]}
+_DEPENDS = {"constraint_usage": ["column_catalog"], "run_requests": ["control_detail"],
+            "table_constraints": ["constraint_usage"], "key_column_usage": ["constraint_usage"],
+            "main_lookup_before": ["column_catalog"], "catalog_tables": ["column_catalog"]}
 
 
 def with_fixtures(names: list[str], body: str) -> str:
