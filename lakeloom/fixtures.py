@@ -317,3 +317,16 @@ def existing_tables(t: Tables) -> DataFrame:
     return t.customer.where(F.col("c_acctbal") > 0).select(
         F.lit("dwh").alias("table_schema"),
         F.concat(F.lit("d_"), F.lower("c_mktsegment"), F.lit("_"), F.col("c_custkey").cast("string")).alias("table_name"))
+
+
+def fuzzy_targets(t: Tables) -> DataFrame:
+    """Target-side column names of the fuzzy match: each catalog table's columns
+    under 'd_<table>', renamed by a rule on the position (kept, underscores
+    dropped, last two characters dropped, or prefixed)."""
+    c = column_catalog(t)
+    n = F.col("column_name")
+    k = F.col("ordinal_position") % 4
+    name = (F.when(k == 0, n).when(k == 1, F.regexp_replace(n, "_", ""))
+            .when(k == 2, F.expr("substring(column_name, 1, length(column_name) - 2)"))
+            .otherwise(F.concat(F.lit("x"), n)))
+    return c.select(F.concat(F.lit("d_"), F.col("table_name")).alias("table_name"), name.alias("column_name"))

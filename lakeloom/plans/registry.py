@@ -29,5 +29,5 @@ def register(name: str, oracle: str | None = None, fixtures: list[str] | None =
 
 
 def load_all() -> None:
-    from . import (q_catalog, q_checks, q_control, q_rows, q_search,  # noqa: F401
-                   q_transitions, q_upsert)
+    from . import (q_catalog, q_checks, q_control, q_match, q_rows,  # noqa: F401
+                   q_search, q_transitions, q_upsert)
