@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import document_text
+from ..session import ensure_parallelism
 from .rowindex import with_row_index
 
 
@@ -54,6 +55,7 @@ def embed_documents(docs: DataFrame, text: str = "text", dim: int = 64) -> DataF
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
     ])
+    docs = ensure_parallelism(docs)
     model = pipe.fit(docs)
     out = model.transform(docs)
     return out.withColumn("embedding", vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")

@@ -22,16 +22,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import parallelism
+
 MAX_COLUMNS_PER_TABLE = 1600  # PostgreSQL's hard limit on columns per table
 
 
-@F.pandas_udf("double")
-def name_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
-    """SequenceMatcher(None, candidate, word).ratio() per row (Arrow batches)."""
-    out = []
-    for a, b in zip(candidate, word):
-        out.append(None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio())
-    return pd.Series(out, dtype="float64")
+def _ratio_at_least(a: str, b: str, cutoff: float) -> float:
+    """SequenceMatcher(None, a, b).ratio() when it can reach ``cutoff``, else 0.0;
+    the two cheap upper bounds are tried first, as get_close_matches does."""
+    sm = difflib.SequenceMatcher(None, a, b)
+    if sm.real_quick_ratio() < cutoff or sm.quick_ratio() < cutoff:
+        return 0.0
+    return sm.ratio()
+
+
+def name_ratio(cutoff: float = 0.0):
+    """Arrow-batched pandas UDF: the name ratio of (candidate, word), 0.0 below ``cutoff``."""
+    @F.pandas_udf("double")
+    def _udf(candidate: pd.Series, word: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or b is None else _ratio_at_least(a, b, cutoff)
+                          for a, b in zip(candidate, word)], dtype="float64")
+    return _udf
 
 
 def fuzzy_column_match(source: DataFrame, target: DataFrame, pairs: DataFrame,
@@ -54,12 +65,18 @@ def fuzzy_column_match(source: DataFrame, target: DataFrame, pairs: DataFrame,
     cand = rest.join(t, "target_table")
     la, lb = F.length("source_column"), F.length("target_column")
     cand = cand.where(F.col("_guard").isNull() & (2.0 * F.least(la, lb) / (la + lb) >= cutoff))
-    scored = cand.withColumn("ratio", name_ratio(F.col("target_column"), F.col("source_column")))
-    scored = scored.where(F.col("ratio") >= cutoff)
+    # the Python scoring is the costly step: an explicit round-robin repartition
+    # keeps it on every core (adaptive execution would merge small hash
+    # partitions into one task; a repartition by number is left as asked)
+    cand = cand.repartition(parallelism(cand.sparkSession))
+    scored = cand.withColumn("ratio", name_ratio(cutoff)(F.col("target_column"), F.col("source_column")))
+    # best first, cut-off after: the UDF result is consumed once (a filter on it
+    # before the aggregate would make Spark evaluate the UDF twice)
     best = scored.groupBy("source_table", "target_table", "source_column").agg(
         F.max(F.struct("ratio", "target_column")).alias("_b"))
-    fuzzy = best.select("source_table", "target_table", "source_column",
-                        F.col("_b.target_column").alias("target_column"), F.col("_b.ratio").alias("ratio"))
+    fuzzy = best.where(F.col("_b.ratio") >= cutoff).select(
+        "source_table", "target_table", "source_column",
+        F.col("_b.target_column").alias("target_column"), F.col("_b.ratio").alias("ratio"))
     return exact.unionByName(fuzzy)
 
 

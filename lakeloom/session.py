@@ -85,3 +85,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Target task count of a stage: the shuffle-partition setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a CPU-heavy stage over at least ``min_partitions`` tasks.
+
+    An input of few large row groups scans as few partitions, and narrow
+    expansions (broadcast joins, explodes) keep that count; a round-robin
+    repartition is added only when the plan has fewer partitions than wanted."""
+    want = min_partitions or parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
