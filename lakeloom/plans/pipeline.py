@@ -1,0 +1,208 @@
+"""End-to-end loads (C5 one load, C6 waves, C7 bootstrap) over a snapshot store.
+
+Store layout under ``root`` (all versioned snapshots, see ``sinks.snapshot``):
+  controlheader, controldetail, sourcegroupingdtl, audit, error, datatype_mapping,
+  bronze/<schema>.<object>, silver/<schema>.<table>
+
+A wave is the set of due runs with one calling sequence.  Its transitions are
+set-based (one pre-process job and one post-process job for all its runs); the
+loads themselves are independent Spark jobs submitted concurrently from the
+driver.  A failed load never stops its wave or the next waves; it leaves an
+error row and takes the failed path of the post-process.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import traceback
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.exprs import surrogate_key_name
+from ..functions.typemap import type_map
+from ..operators import control as ctl
+from ..operators import transitions as tr
+from ..operators.upsert import upsert
+from ..sinks import snapshot as snap
+
+CONTROL_TABLES = ("controlheader", "controldetail", "sourcegroupingdtl")
+
+AUDIT_SCHEMA = T.StructType([
+    T.StructField("sourcename", T.StringType()), T.StructField("sourcetype", T.StringType()),
+    T.StructField("sourcedescription", T.StringType()), T.StructField("sourceobject", T.StringType()),
+    T.StructField("sourceid", T.StringType()), T.StructField("dataflowflag", T.StringType()),
+    T.StructField("srcrwcnt", T.LongType()), T.StructField("srcdelcnt", T.LongType()),
+    T.StructField("tgtinscnt", T.LongType()), T.StructField("tgtdelcnt", T.LongType()),
+    T.StructField("tgtupdcnt", T.LongType()), T.StructField("flowstatus", T.StringType()),
+    T.StructField("targetname", T.StringType()), T.StructField("targetschemaname", T.StringType()),
+    T.StructField("targetobject", T.StringType()), T.StructField("targetprocedurename", T.StringType()),
+    T.StructField("createddate", T.TimestampNTZType()), T.StructField("updateddate", T.TimestampNTZType()),
+    T.StructField("loadstarttime", T.TimestampNTZType()), T.StructField("loadendtime", T.TimestampNTZType()),
+    T.StructField("latestbatchid", T.LongType()), T.StructField("loadtype", T.StringType()),
+    T.StructField("etlbatchid", T.StringType()), T.StructField("useragent", T.StringType()),
+    T.StructField("sourcegroupflag", T.IntegerType()),
+])
+ERROR_SCHEMA = T.StructType([
+    T.StructField(c, T.StringType()) for c in
+    ("sourcename", "sourcetype", "sourcedescription", "sourceid", "sourceobject", "dataflowflag",
+     "targetname", "targetschemaname", "targetobject", "targetprocedurename", "taskname",
+     "packagename", "jobname")] + [
+    T.StructField("errorid", T.IntegerType()), T.StructField("errordesc", T.StringType()),
+    T.StructField("errorline", T.IntegerType()), T.StructField("errordate", T.TimestampNTZType()),
+    T.StructField("latestbatchid", T.LongType())])
+
+
+def bronze_name(schema: str, obj: str) -> str:
+    return f"bronze/{schema}.{obj}"
+
+
+def silver_name(schema: str, table: str) -> str:
+    return f"silver/{schema}.{table}"
+
+
+def init_store(spark: SparkSession, root: str, header: DataFrame, detail: DataFrame,
+               groups: DataFrame, as_of=None) -> None:
+    """Bootstrap (C7): control tables, empty audit and error logs, and the
+    68-row type map (inserted once)."""
+    for name, df in (("controlheader", header), ("controldetail", detail), ("sourcegroupingdtl", groups)):
+        snap.publish(df, root, name)
+    snap.create_empty(spark, root, "audit", AUDIT_SCHEMA)
+    snap.create_empty(spark, root, "error", ERROR_SCHEMA)
+    if not snap.table_exists(spark, root, "datatype_mapping"):
+        snap.publish(type_map(spark, as_of), root, "datatype_mapping")
+
+
+def silver_schema_of(bronze: DataFrame, target: str) -> T.StructType:
+    """Silver schema from the bronze schema: surrogate key, source columns, audit."""
+    fields = [T.StructField(surrogate_key_name(target), T.LongType(), False)]
+    fields += [T.StructField(f.name, f.dataType, True) for f in bronze.schema.fields]
+    fields += [T.StructField("etlactiveind", T.IntegerType()), T.StructField("etljobname", T.StringType()),
+               T.StructField("envsourcecd", T.StringType()), T.StructField("datasourcecd", T.StringType()),
+               T.StructField("etlcreateddatetime", T.TimestampNTZType()),
+               T.StructField("etlupdateddatetime", T.TimestampNTZType())]
+    return T.StructType(fields)
+
+
+def read_silver(spark: SparkSession, root: str, schema: str, table: str) -> DataFrame:
+    df = snap.read_table(spark, root, silver_name(schema, table))
+    return df.drop("_action") if "_action" in df.columns else df
+
+
+@dataclass
+class LoadResult:
+    sourceid: str
+    dataflowflag: str
+    targetobject: str
+    srccnt: int | None = None
+    inscnt: int | None = None
+    updcnt: int | None = None
+    error: str | None = None
+
+
+def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of) -> LoadResult:
+    """One BRNtoSLV load (C5 body): create the silver table when missing (K7),
+    upsert the bronze object into it (U1), publish the new version and return
+    (srccnt, inscnt, updcnt) counted from the written version."""
+    res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
+    try:
+        bronze = snap.read_table(spark, root, bronze_name(run["sourceschema"], run["sourceobject"]))
+        sname = silver_name(run["targetschemaname"], run["targetobject"])
+        sk = surrogate_key_name(run["targetobject"])
+        snap.create_empty(spark, root, sname, silver_schema_of(bronze, run["targetobject"]))
+        silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
+        r = upsert(silver, bronze, keys, surrogate=sk, meta=meta, as_of=as_of)
+        v = snap.publish(r.rows, root, sname)
+        written = snap.read_table(spark, root, sname, v)
+        c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
+                        F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
+        res.srccnt, res.inscnt, res.updcnt = bronze.count(), int(c["i"]), int(c["u"])
+    except Exception as e:  # the run fails, its wave goes on (F22)
+        res.error = f"{type(e).__name__}: {e.args[0] if e.args else ''}"[:2000]
+        res.srccnt, res.inscnt, res.updcnt = None, 0, 0
+        traceback.print_exc()
+    return res
+
+
+def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=None,
+             parallel: int = 4) -> list[LoadResult]:
+    """Pre-process all runs of a wave, load them concurrently, then the error and
+    post-process transitions - each transition one set-based job."""
+    as_of = as_of or dt.datetime.now().replace(microsecond=0)
+    header = snap.read_table(spark, root, "controlheader")
+    detail = snap.read_table(spark, root, "controldetail")
+    groups = snap.read_table(spark, root, "sourcegroupingdtl")
+    audit = snap.read_table(spark, root, "audit")
+    req = runs.select(*tr.RUN_KEY, F.lit(as_of).cast("timestamp_ntz").alias("loadstarttime"),
+                      F.monotonically_increasing_id().alias("runid"))
+    pre = tr.pre_process(req, detail, header, groups, as_of=as_of)
+    batches = pre.runs.select(*tr.RUN_KEY, "batchid").cache()
+    # the run records of a wave are control rows: bounded by the number of objects
+    plan = runs.join(batches, tr.RUN_KEY).collect()
+    meta_rows = {(m["sourceid"], m["dataflowflag"], m["targetobject"]): m for m in
+                 ctl.run_metadata(runs, header, detail).collect()}
+    snap.publish(pre.detail, root, "controldetail")
+    snap.publish(pre.header, root, "controlheader")
+    snap.publish(pre.groups, root, "sourcegroupingdtl")
+    snap.publish(audit.unionByName(pre.audit_rows), root, "audit")
+
+    def work(row) -> LoadResult:
+        r = row.asDict()
+        m = meta_rows.get((r["sourceid"], r["dataflowflag"], r["targetobject"]), {})
+        meta = {"etljobname": m["jobname"] if m else None,
+                "envsourcecd": m["envsourcecode"] if m else None,
+                "datasourcecd": m["datasourcecode"] if m else None}
+        return load_one(spark, root, r, keys_of(r), meta, as_of)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
+        results = list(ex.map(work, plan))
+    by_key = {(p["sourceid"], p["dataflowflag"], p["targetobject"]): p["batchid"] for p in plan}
+    out_schema = ("sourceid string, dataflowflag string, targetobject string, batchid long, srccnt long, "
+                  "inscnt long, updcnt long, errordesc string")
+    rows = [(x.sourceid, x.dataflowflag, x.targetobject, by_key[(x.sourceid, x.dataflowflag, x.targetobject)],
+             x.srccnt, x.inscnt, x.updcnt, x.error) for x in results]
+    outcomes = spark.createDataFrame(rows, out_schema).withColumn(
+        "loadstarttime", F.lit(as_of).cast("timestamp_ntz")).withColumn("runid", F.lit(0).cast("long"))
+    events = outcomes.where(F.col("errordesc").isNotNull()).select(
+        *tr.RUN_KEY, "batchid", F.lit(-1).alias("errorid"), "errordesc")
+    detail1 = snap.read_table(spark, root, "controldetail")
+    header1 = snap.read_table(spark, root, "controlheader")
+    groups1 = snap.read_table(spark, root, "sourcegroupingdtl")
+    audit1 = snap.read_table(spark, root, "audit")
+    errors = snap.read_table(spark, root, "error")
+    new_errors = tr.error_rows(events, detail1, as_of=as_of)
+    all_errors = errors.unionByName(new_errors.select(*errors.columns))
+    post = tr.post_process(outcomes.drop("errordesc"), all_errors, detail1, header1, groups1, audit1,
+                           as_of=as_of)
+    snap.publish(all_errors, root, "error")
+    snap.publish(post.detail, root, "controldetail")
+    snap.publish(post.header, root, "controlheader")
+    snap.publish(post.groups, root, "sourcegroupingdtl")
+    snap.publish(post.audit, root, "audit")
+    batches.unpersist()
+    return results
+
+
+def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=None,
+              parallel: int = 4) -> list[LoadResult]:
+    """All due runs, wave by wave in ascending calling sequence.
+
+    Only the list of distinct sequences reaches the driver (a handful of
+    numbers); every wave is re-selected from the control tables as they stand
+    after the previous wave."""
+    header = snap.read_table(spark, root, "controlheader")
+    detail = snap.read_table(spark, root, "controldetail")
+    groups = snap.read_table(spark, root, "sourcegroupingdtl")
+    runs = ctl.due_runs(header, detail, groups, f, order=False)
+    seqs = [r["sourcecallingseq"] for r in ctl.run_waves(runs).collect()]
+    results: list[LoadResult] = []
+    for s in seqs:
+        header = snap.read_table(spark, root, "controlheader")
+        detail = snap.read_table(spark, root, "controldetail")
+        groups = snap.read_table(spark, root, "sourcegroupingdtl")
+        wave = ctl.due_runs(header, detail, groups, f, order=False).where(F.col("sourcecallingseq") == s)
+        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel)
+    return results

@@ -1,0 +1,44 @@
+"""End-to-end waves: inserts, then updates, a failing run, state transitions."""
+
+import datetime as dt
+import tempfile
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators.control import RunFilter
+from lakeloom.plans import pipeline as pl
+from lakeloom.plans.q_pipeline import _control
+from lakeloom.sinks import snapshot as snap
+
+T = dt.datetime(2024, 6, 1)
+
+
+def test_waves_load_fail_and_transition(spark, tables):
+    root = tempfile.mkdtemp(prefix="lakeloom-e2e-")
+    h, d, g = _control(spark)
+    # a third source whose bronze object does not exist: its load fails
+    h = h.unionByName(h.where("sourceid = 'S2'").withColumn("sourceid", F.lit("S3")).withColumn("id", F.lit(3)))
+    d = d.unionByName(d.where("sourceid = 'S2'").withColumn("sourceid", F.lit("S3"))
+                      .withColumn("sourceobject", F.lit("missing")).withColumn("targetobject", F.lit("d_x_y")))
+    pl.init_store(spark, root, h, d, g, as_of=T)
+    snap.overwrite(tables.orders, root, pl.bronze_name("stg", "orders"))
+    res = pl.run_waves(spark, root, RunFilter(), keys_of=lambda r: ["o_orderkey"], as_of=T, parallel=2)
+    n = tables.orders.count()
+    by = {r.sourceid: r for r in res}
+    assert (by["S1"].inscnt, by["S1"].updcnt) == (n, 0)
+    assert (by["S2"].inscnt, by["S2"].updcnt) == (0, n)
+    assert "FileNotFoundError" in by["S3"].error
+    silver = pl.read_silver(spark, root, "dwh", "d_orders_silver")
+    assert silver.count() == n and silver.select("orderskey").distinct().count() == n
+    audit = {r.sourceid: r for r in snap.read_table(spark, root, "audit").collect()}
+    assert audit["S1"].flowstatus == "Completed" and audit["S3"].flowstatus == "Failed"
+    errs = snap.read_table(spark, root, "error").collect()
+    assert [e.sourceid for e in errs] == ["S3"]
+    det = {r.sourceid: r for r in snap.read_table(spark, root, "controldetail").collect()}
+    assert det["S1"].isreadyforexecution == 0 and det["S1"].flowstatus == "Completed"
+    assert det["S3"].flowstatus == "Failed" and det["S3"].isreadyforexecution == 1
+    hdr = {r.sourceid: r.status for r in snap.read_table(spark, root, "controlheader").collect()}
+    assert hdr == {"S1": "Completed", "S2": "Completed", "S3": "Failed"}
+    # a failed run stays ready: only it is due again (and the failed-only filter finds it)
+    again = pl.run_waves(spark, root, RunFilter(failed_only=True), keys_of=lambda r: ["o_orderkey"], as_of=T)
+    assert [r.sourceid for r in again] == ["S3"]
