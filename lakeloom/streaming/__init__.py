@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The loader is batch only - every entry point runs its waves and exits, and
+nothing in it keeps state across events, uses watermarks or windows over time.
+So there is no Structured Streaming operator here.  (A caller who wants the
+upsert on a stream can run ``operators.upsert.upsert`` inside ``foreachBatch``;
+that is not a capability of the loader and is not built.)
+"""
