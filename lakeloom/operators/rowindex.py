@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+# offset rows (partition, group) that may be broadcast: ~40 bytes each
+MAX_BROADCAST_OFFSETS = 2_000_000
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -59,6 +62,11 @@ def with_row_index(df: DataFrame, order_by: list, name: str = "rn",
     if not group_by or bounded_groups:
         # rows <= partitions (+ groups when they are bounded): safe to broadcast
         stats = F.broadcast(stats)
+    elif checkpoint:
+        # many groups: measure the offset table (a small job on the checkpoint);
+        # broadcast it under the bound, else keep the shuffle join
+        if stats.count() <= MAX_BROADCAST_OFFSETS:
+            stats = F.broadcast(stats)
     cond = [F.col("_pid") == F.col("_spid")]
     cond += [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group_by]
     out = s.join(stats, reduce(lambda a, b: a & b, cond), "inner")

@@ -176,67 +176,80 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
                  sourcegroupflag: int = 1) -> PostResult:
     """Post-process transition (C3) for finished runs ``outcomes``
     (sourceid, dataflowflag, targetobject, batchid, loadstarttime, runid,
-    srccnt, inscnt, updcnt); a run with an error row of its batch takes the
-    failed path."""
+    srccnt, inscnt, updcnt[, raised]); a run with an error row of its batch
+    takes the failed path.
+
+    The result equals running pre-process, load, (error) and post-process run
+    after run in (loadstarttime, batchid, runid) order:
+      * header (applicable): status of the source's last run - a completed
+        SRCtoBRN run leaves 'Started', a completed BRNtoSLV run 'Completed', a
+        failed run 'Failed'; a header that is not applicable only becomes
+        'Failed' when one of its runs raised (the error transition has no
+        applicability test);
+      * detail (applicable): ready flags from the source's last completed run;
+        flow status of the row's last run; etllastrundate when any run of the
+        row completed;
+      * groups (flag set): status of the source's last run, same mapping;
+        lastrundatetime when a BRNtoSLV run completed, loadenddatetime when a
+        BRNtoSLV run completed or any run failed;
+      * audit: each run's own row gets its counts, status and end time.
+    """
     now = _ts(as_of)
     oc = batch_errors(outcomes, errors).withColumn("failed", F.col("n_errors") > 0)
-    ok_src = (~F.col("failed")) & (F.col("dataflowflag") == "SRCtoBRN")
-    ok_brn = (~F.col("failed")) & (F.col("dataflowflag") == "BRNtoSLV")
-    # per source: last completed run (ready flags), last run (header), last group-touching run
-    status_of = (F.when(F.col("failed"), "Failed").when(F.col("dataflowflag") == "SRCtoBRN", "Started")
-                 .when(F.col("dataflowflag") == "BRNtoSLV", "Completed"))
-    per = oc.select("sourceid", *ORDER, "failed", "dataflowflag",
-                    status_of.alias("hstatus"),
-                    F.when(ok_src | ok_brn, F.struct(*[F.col(c) for c in ORDER],
-                                                     F.col("dataflowflag").alias("flow"))).alias("_okrun"),
-                    F.when(F.col("failed") | ok_brn, F.struct(
-                        *[F.col(c) for c in ORDER],
-                        F.when(F.col("failed"), "Failed").otherwise("Completed").alias("gstatus"))).alias("_grun"),
-                    ok_brn.alias("_okbrn"))
-    src = per.groupBy("sourceid").agg(
-        F.max(F.struct(*[F.col(c) for c in ORDER], F.col("hstatus"))).alias("_h"),
-        F.max("_okrun").alias("_ok"), F.max("_grun").alias("_g"),
-        F.max(F.col("_okbrn").cast("int")).alias("_anybrn"))
-    src = src.select(F.col("sourceid").alias("_p_sourceid"), F.col("_h.hstatus").alias("_hstatus"),
-                     F.col("_ok.flow").alias("_lastok"), F.col("_g.gstatus").alias("_gstatus"),
-                     F.col("_anybrn"), F.col("_g").isNotNull().alias("_gtouch"))
+    # ``raised``: the load threw (its error transition ran); without the column,
+    # a run raised exactly when it failed
+    raised = F.col("raised") if "raised" in outcomes.columns else F.col("failed")
+    ok = ~F.col("failed")
+    is_src = F.col("dataflowflag") == "SRCtoBRN"
+    is_brn = F.col("dataflowflag") == "BRNtoSLV"
+    status_of = (F.when(F.col("failed"), "Failed").when(is_src, "Started").when(is_brn, "Completed"))
+    order = [F.col(c) for c in ORDER]
+    # one partial aggregation per source and one per run key (max of structs)
+    src = oc.groupBy(F.col("sourceid").alias("_p_sourceid")).agg(
+        F.max(F.struct(*order, status_of.alias("st"))).alias("_last"),
+        F.max(F.when(ok & (is_src | is_brn), F.struct(*order, F.col("dataflowflag").alias("flow")))).alias("_ok"),
+        F.max(raised.cast("int")).alias("_anyfail"),
+        F.max((ok & is_brn).cast("int")).alias("_anybrn"),
+        F.max((F.col("failed") | (ok & is_brn)).cast("int")).alias("_anyend"),
+    ).select("_p_sourceid", F.col("_last.st").alias("_status"), F.col("_ok.flow").alias("_lastok"),
+             "_anyfail", "_anybrn", "_anyend")
+    key = oc.where(F.col("batchid").isNotNull()).groupBy(*[F.col(k).alias(f"_o_{k}") for k in RUN_KEY]).agg(
+        F.max(F.struct(*order, F.col("failed").alias("f"))).alias("_lk"),
+        F.max(ok.cast("int")).alias("_anyok"))
     # header
     hj = header.join(src, F.col("sourceid") == F.col("_p_sourceid"), "left")
-    hhit = F.col("_p_sourceid").isNotNull() & (F.col("isapplicable") == 1)
+    app = F.col("isapplicable") == 1
+    has = F.col("_p_sourceid").isNotNull()
     new_header = hj.select(*[
-        (F.when(hhit, F.col("_hstatus")).otherwise(F.col(c)) if c == "status" else
-         F.when(hhit, now).otherwise(F.col(c)) if c == "lastupdateddate" else F.col(c)).alias(c)
+        (F.when(has & app, F.col("_status")).when(has & (F.col("_anyfail") == 1), F.lit("Failed"))
+         .otherwise(F.col(c)) if c == "status" else
+         F.when(has & app, now).otherwise(F.col(c)) if c == "lastupdateddate" else F.col(c)).alias(c)
         for c in header.columns])
-    # detail: ready flags from the last completed run of the source; flow status
-    # of the run whose batch is the row's latest batch
-    runs_b = oc.select(*[F.col(k).alias(f"_o_{k}") for k in RUN_KEY], F.col("batchid").alias("_o_b"),
-                       F.col("failed").alias("_o_failed"))
+    # detail
     dj = detail.join(src.select("_p_sourceid", "_lastok"), F.col("sourceid") == F.col("_p_sourceid"), "left")
-    dj = dj.join(runs_b, [F.col(k) == F.col(f"_o_{k}") for k in RUN_KEY]
-                 + [F.col("latestbatchid") == F.col("_o_b")], "left")
-    app = F.col("isapplicable") == 1
-    ready = (F.when(app & (F.col("_lastok") == "SRCtoBRN") & (F.col("dataflowflag") == "SRCtoBRN"), 0)
-             .when(app & (F.col("_lastok") == "SRCtoBRN") & (F.col("dataflowflag") == "BRNtoSLV"), 1)
-             .when(app & (F.col("_lastok") == "BRNtoSLV") & (F.col("dataflowflag") == "BRNtoSLV"), 0)
-             .when(app & (F.col("_lastok") == "BRNtoSLV") & (F.col("dataflowflag") == "SRCtoBRN"), 1)
+    dj = dj.join(key, [F.col(k) == F.col(f"_o_{k}") for k in RUN_KEY], "left")
+    ready = (F.when(app & (F.col("_lastok") == "SRCtoBRN") & is_src, 0)
+             .when(app & (F.col("_lastok") == "SRCtoBRN") & is_brn, 1)
+             .when(app & (F.col("_lastok") == "BRNtoSLV") & is_brn, 0)
+             .when(app & (F.col("_lastok") == "BRNtoSLV") & is_src, 1)
              .otherwise(F.col("isreadyforexecution")))
-    fhit = app & F.col("_o_b").isNotNull()
+    khit = app & F.col("_lk").isNotNull()
     new_detail = dj.select(*[
         (ready.cast(t) if c == "isreadyforexecution" else
-         F.when(fhit, F.when(F.col("_o_failed"), "Failed").otherwise("Completed")).otherwise(F.col(c))
+         F.when(khit, F.when(F.col("_lk.f"), "Failed").otherwise("Completed")).otherwise(F.col(c))
          if c == "flowstatus" else
-         F.when(fhit & ~F.col("_o_failed"), now).otherwise(F.col(c)) if c == "etllastrundate" else
+         F.when(khit & (F.col("_anyok") == 1), now).otherwise(F.col(c)) if c == "etllastrundate" else
          F.col(c)).alias(c) for c, t in detail.dtypes])
     # groups
     if sourcegroupflag == 1:
-        gj = groups.join(src.select("_p_sourceid", "_gstatus", "_anybrn", "_gtouch"),
+        gj = groups.join(src.select("_p_sourceid", "_status", "_anybrn", "_anyend"),
                          F.col("sourceid") == F.col("_p_sourceid"), "left")
-        ghit = (F.coalesce(F.col("_gtouch"), F.lit(False)) & (F.col("schemaname") == "dwh")
-                & (F.col("isapplicable") == 1))
+        ghit = F.col("_p_sourceid").isNotNull() & (F.col("schemaname") == "dwh") & app
         new_groups = gj.select(*[
-            (F.when(ghit, F.col("_gstatus")).otherwise(F.col(c)) if c == "status" else
+            (F.when(ghit, F.col("_status")).otherwise(F.col(c)) if c == "status" else
              F.when(ghit & (F.col("_anybrn") == 1), now).otherwise(F.col(c)) if c == "lastrundatetime" else
-             F.when(ghit, now).otherwise(F.col(c)) if c == "loadenddatetime" else F.col(c)).alias(c)
+             F.when(ghit & (F.col("_anyend") == 1), now).otherwise(F.col(c)) if c == "loadenddatetime" else
+             F.col(c)).alias(c)
             for c in groups.columns])
     else:
         new_groups = groups

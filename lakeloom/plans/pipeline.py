@@ -164,8 +164,10 @@ def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=Non
                   "inscnt long, updcnt long, errordesc string")
     rows = [(x.sourceid, x.dataflowflag, x.targetobject, by_key[(x.sourceid, x.dataflowflag, x.targetobject)],
              x.srccnt, x.inscnt, x.updcnt, x.error) for x in results]
-    outcomes = spark.createDataFrame(rows, out_schema).withColumn(
-        "loadstarttime", F.lit(as_of).cast("timestamp_ntz")).withColumn("runid", F.lit(0).cast("long"))
+    outcomes = (spark.createDataFrame(rows, out_schema)
+                .withColumn("loadstarttime", F.lit(as_of).cast("timestamp_ntz"))
+                .withColumn("runid", F.lit(0).cast("long"))
+                .withColumn("raised", F.col("errordesc").isNotNull()))
     events = outcomes.where(F.col("errordesc").isNotNull()).select(
         *tr.RUN_KEY, "batchid", F.lit(-1).alias("errorid"), "errordesc")
     detail1 = snap.read_table(spark, root, "controldetail")

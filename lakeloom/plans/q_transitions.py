@@ -92,18 +92,26 @@ lastok AS (
     SELECT *, row_number() OVER (PARTITION BY sourceid
                                  ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) AS rn
     FROM ranked WHERE NOT failed) x WHERE rn = 1),
-lastg AS (
-  SELECT sourceid, CASE WHEN failed THEN 'Failed' ELSE 'Completed' END AS gstatus FROM (
-    SELECT *, row_number() OVER (PARTITION BY sourceid
+srcflags AS (
+  SELECT sourceid, max(CASE WHEN sourceid IN (SELECT sourceid FROM events) THEN 1 ELSE 0 END) AS anyfail,
+         max(CASE WHEN NOT failed AND dataflowflag = 'BRNtoSLV' THEN 1 ELSE 0 END) AS anybrn,
+         max(CASE WHEN failed OR dataflowflag = 'BRNtoSLV' THEN 1 ELSE 0 END) AS anyend
+  FROM oc GROUP BY sourceid),
+lastkey AS (
+  SELECT sourceid, dataflowflag, targetobject, failed AS lastfailed FROM (
+    SELECT *, row_number() OVER (PARTITION BY sourceid, dataflowflag, targetobject
                                  ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) AS rn
-    FROM ranked WHERE failed OR dataflowflag = 'BRNtoSLV') x WHERE rn = 1),
-anybrn AS (SELECT DISTINCT sourceid FROM ranked WHERE NOT failed AND dataflowflag = 'BRNtoSLV'),
+    FROM oc WHERE batchid IS NOT NULL) x WHERE rn = 1),
+anyok AS (
+  SELECT sourceid, dataflowflag, targetobject, max(CASE WHEN NOT failed THEN 1 ELSE 0 END) AS anyok
+  FROM oc WHERE batchid IS NOT NULL GROUP BY sourceid, dataflowflag, targetobject),
 header2 AS (
   SELECT h.* REPLACE (
-    CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN l.hstatus ELSE h.status END AS status,
+    CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN l.hstatus
+         WHEN l.sourceid IS NOT NULL AND f.anyfail = 1 THEN 'Failed' ELSE h.status END AS status,
     CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN {AS_OF_SQL} ELSE h.lastupdateddate END
       AS lastupdateddate)
-  FROM header1 h LEFT JOIN lastrun l ON h.sourceid = l.sourceid),
+  FROM header1 h LEFT JOIN lastrun l ON h.sourceid = l.sourceid LEFT JOIN srcflags f ON h.sourceid = f.sourceid),
 detail2 AS (
   SELECT d.* REPLACE (
     CASE WHEN d.isapplicable = 1 AND k.lastflow = 'SRCtoBRN' AND d.dataflowflag = 'SRCtoBRN' THEN 0
@@ -111,21 +119,22 @@ detail2 AS (
          WHEN d.isapplicable = 1 AND k.lastflow = 'BRNtoSLV' AND d.dataflowflag = 'BRNtoSLV' THEN 0
          WHEN d.isapplicable = 1 AND k.lastflow = 'BRNtoSLV' AND d.dataflowflag = 'SRCtoBRN' THEN 1
          ELSE d.isreadyforexecution END AS isreadyforexecution,
-    CASE WHEN d.isapplicable = 1 AND o.batchid IS NOT NULL
-         THEN CASE WHEN o.failed THEN 'Failed' ELSE 'Completed' END ELSE d.flowstatus END AS flowstatus,
-    CASE WHEN d.isapplicable = 1 AND o.batchid IS NOT NULL AND NOT o.failed THEN {AS_OF_SQL}
+    CASE WHEN d.isapplicable = 1 AND z.sourceid IS NOT NULL
+         THEN CASE WHEN z.lastfailed THEN 'Failed' ELSE 'Completed' END ELSE d.flowstatus END AS flowstatus,
+    CASE WHEN d.isapplicable = 1 AND z.sourceid IS NOT NULL AND a.anyok = 1 THEN {AS_OF_SQL}
          ELSE d.etllastrundate END AS etllastrundate)
   FROM detail1 d LEFT JOIN lastok k ON d.sourceid = k.sourceid
-  LEFT JOIN oc o ON {_j('d', 'o')} AND d.latestbatchid = o.batchid),
+  LEFT JOIN lastkey z ON {_j('d', 'z')}
+  LEFT JOIN anyok a ON {_j('d', 'a')}),
 groups2 AS (
   SELECT g.* REPLACE (
-    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN l.gstatus
+    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN l.hstatus
          ELSE g.status END AS status,
     CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
-              AND b.sourceid IS NOT NULL THEN {AS_OF_SQL} ELSE g.lastrundatetime END AS lastrundatetime,
-    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN {AS_OF_SQL}
-         ELSE g.loadenddatetime END AS loadenddatetime)
-  FROM groups1 g LEFT JOIN lastg l ON g.sourceid = l.sourceid LEFT JOIN anybrn b ON g.sourceid = b.sourceid),
+              AND f.anybrn = 1 THEN {AS_OF_SQL} ELSE g.lastrundatetime END AS lastrundatetime,
+    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
+              AND f.anyend = 1 THEN {AS_OF_SQL} ELSE g.loadenddatetime END AS loadenddatetime)
+  FROM groups1 g LEFT JOIN lastrun l ON g.sourceid = l.sourceid LEFT JOIN srcflags f ON g.sourceid = f.sourceid),
 audit2 AS (
   SELECT a.* REPLACE (
     CASE WHEN o.batchid IS NOT NULL THEN o.srccnt ELSE a.srcrwcnt END AS srcrwcnt,
@@ -168,7 +177,11 @@ class _Chain:
 
     def post(self):
         p = self.pre
-        return tr.post_process(p.runs, self.errors(), p.detail, p.header, p.groups, p.audit_rows,
+        raised = self.t.orders.where(F.col("o_orderstatus") == "F").select(
+            F.col("o_orderkey").alias("_rk"), F.lit(True).alias("_raised"))
+        outcomes = p.runs.join(raised, F.col("runid") == F.col("_rk"), "left").select(
+            *p.runs.columns, F.coalesce(F.col("_raised"), F.lit(False)).alias("raised"))
+        return tr.post_process(outcomes, self.errors(), p.detail, p.header, p.groups, p.audit_rows,
                                as_of=fx.AS_OF)
 
 
