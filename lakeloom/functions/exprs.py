@@ -71,9 +71,9 @@ def document_text(table, column, dtype, description=None) -> Column:
     return F.concat_ws(" | ", *parts)
 
 
-def elapsed_seconds(start, end) -> Column:
-    """Run duration in seconds from audit start/end times."""
-    return (F.unix_micros(F.to_timestamp(c(end))) - F.unix_micros(F.to_timestamp(c(start)))) / F.lit(1e6)
+def elapsed_micros(start, end) -> Column:
+    """Run duration in microseconds from audit start/end times."""
+    return (F.unix_micros(c(end).cast("timestamp")) - F.unix_micros(c(start).cast("timestamp"))).cast("long")
 
 
 def batch_token() -> Column:

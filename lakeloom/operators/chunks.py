@@ -18,7 +18,7 @@ def chunk_rows(df: DataFrame, row_order: list, sort_by: list, chunk_size: int) -
     idx = with_row_index(df, row_order, name="_row", start=0)
     c = idx.withColumn("chunk_start", (F.floor(F.col("_row") / chunk_size) * chunk_size).cast("long"))
     w = Window.partitionBy("chunk_start").orderBy(*[F.col(s) if isinstance(s, str) else s for s in sort_by])
-    return c.withColumn("chunk_pos", F.row_number().over(w)).drop("_row")
+    return c.withColumn("chunk_pos", F.row_number().over(w).cast("long")).drop("_row")
 
 
 def write_chunks(chunked: DataFrame, path: str, mode: str = "errorifexists") -> None:

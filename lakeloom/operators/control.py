@@ -49,12 +49,6 @@ class RunFilter:
     extra: dict = field(default_factory=dict)
 
 
-def _values_df(values, name: str, like: DataFrame) -> DataFrame:
-    if isinstance(values, DataFrame):
-        return values.select(F.col(values.columns[0]).alias(name))
-    return like.sparkSession.createDataFrame([(v,) for v in values], f"{name} string")
-
-
 def is_in(df: DataFrame, col: str, values) -> DataFrame:
     """``col IN (values)`` — literal list or a DataFrame (semi join, J9)."""
     if isinstance(values, DataFrame):

@@ -57,7 +57,7 @@ def rank_matches(scored: DataFrame, order_id: str, top_k: int | None = None, qid
         return with_row_index(scored, ["distance", order_id], name="rank", group_by=[qid],
                               bounded_groups=n_queries_bounded)
     w = Window.partitionBy(qid).orderBy(F.col("distance"), F.col(order_id))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
+    return scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top_k)
 
 
 def gap_split(ranked: DataFrame, qid: str = "query_id") -> DataFrame:

@@ -19,24 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import flow_module
+from ..functions.exprs import batch_token, elapsed_micros, flow_module
 from .rowindex import with_row_index
 
 RUN_KEY = ["sourceid", "dataflowflag", "targetobject"]
 ORDER = ["loadstarttime", "batchid", "runid"]
 
-AUDIT_COLUMNS = ["sourcename", "sourcetype", "sourcedescription", "sourceobject", "sourceid",
-                 "dataflowflag", "srcrwcnt", "srcdelcnt", "tgtinscnt", "tgtdelcnt", "tgtupdcnt",
-                 "flowstatus", "targetname", "targetschemaname", "targetobject",
-                 "targetprocedurename", "createddate", "updateddate", "loadstarttime",
-                 "loadendtime", "latestbatchid", "loadtype", "etlbatchid", "useragent",
-                 "sourcegroupflag"]
-
-ERROR_COLUMNS = ["sourcename", "sourcetype", "sourcedescription", "sourceid", "sourceobject",
-                 "dataflowflag", "targetname", "targetschemaname", "targetobject",
-                 "targetprocedurename", "taskname", "packagename", "jobname", "errorid",
-                 "errordesc", "errorline", "errordate", "latestbatchid"]
-
 
 def _ts(v) -> Column:
     if isinstance(v, Column):
@@ -44,11 +32,6 @@ def _ts(v) -> Column:
     return F.current_timestamp().cast("timestamp_ntz") if v is None else F.lit(v).cast("timestamp_ntz")
 
 
-def _last(order: list[str], payload: list[str], name: str) -> Column:
-    """Greatest struct(order..., payload...) = payload of the last run."""
-    return F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])).alias(name)
-
-
 # --------------------------------------------------------------------- pre
 
 def assign_batches(requests: DataFrame, detail: DataFrame) -> DataFrame:
@@ -130,8 +113,7 @@ def pre_process(requests: DataFrame, detail: DataFrame, header: DataFrame, group
         (F.col("loadstarttime").cast("timestamp_ntz") if "loadstarttime" in has else now).alias("loadstarttime"),
         F.lit(None).cast("timestamp_ntz").alias("loadendtime"),
         F.col("batchid").alias("latestbatchid"), F.col("_d_loadtype").alias("loadtype"),
-        (F.col("etlbatchid") if "etlbatchid" in has else
-         F.substring(F.regexp_replace(F.expr("uuid()"), "-", ""), 1, 11)).alias("etlbatchid"),
+        (F.col("etlbatchid") if "etlbatchid" in has else batch_token()).alias("etlbatchid"),
         F.lit(useragent).alias("useragent"), F.lit(sourcegroupflag).alias("sourcegroupflag"))
     return PreResult(runs, new_detail, new_header, new_groups, audit_rows)
 
@@ -337,8 +319,7 @@ def latest_audit(audit: DataFrame) -> DataFrame:
 
 
 def run_durations(audit: DataFrame) -> DataFrame:
-    """Seconds from load start to load end of every finished run."""
+    """Microseconds from load start to load end of every finished run."""
     return audit.where(F.col("loadendtime").isNotNull()).select(
         *RUN_KEY, "latestbatchid", "flowstatus",
-        (F.unix_micros(F.col("loadendtime").cast("timestamp"))
-         - F.unix_micros(F.col("loadstarttime").cast("timestamp"))).cast("long").alias("elapsed_us"))
+        elapsed_micros("loadstarttime", "loadendtime").alias("elapsed_us"))

@@ -29,8 +29,6 @@ from ..operators import transitions as tr
 from ..operators.upsert import upsert
 from ..sinks import snapshot as snap
 
-CONTROL_TABLES = ("controlheader", "controldetail", "sourcegroupingdtl")
-
 AUDIT_SCHEMA = T.StructType([
     T.StructField("sourcename", T.StringType()), T.StructField("sourcetype", T.StringType()),
     T.StructField("sourcedescription", T.StringType()), T.StructField("sourceobject", T.StringType()),
