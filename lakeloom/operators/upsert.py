@@ -24,6 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import AUDIT_NAMES
 from .rowindex import with_row_index
@@ -113,10 +114,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
     # -- 'U' / 'K': silver left join source ---------------------------------
     s_key_ok = _all([F.col(s).isNotNull() for s, _ in pairs])
     t_key_ok = _all([F.col(t).isNotNull() for _, t in pairs])
-    s_pref = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns],
-                           F.lit(True).alias("_hit"))
     if pairs:
-        s_side = s_pref.where(_all([F.col(f"_s_{s}").isNotNull() for s, _ in pairs]))
+        # UPDATE ... FROM writes a silver row once even when several source rows
+        # match it: reduce the update side to one row per key first.  A partial
+        # aggregation, so a hot duplicated key is combined map-side and the join
+        # below sees unique keys on the source side.
+        one = one_per_key(source.where(s_key_ok), [s for s, _ in pairs])
+        s_side = one.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_hit"))
         t_nn = target.where(t_key_ok)
         cond = _all([F.col(t) == F.col(f"_s_{s}") for s, t in pairs])
         j = t_nn.join(s_side, cond, "left")
@@ -183,6 +187,28 @@ def source_duplicates(source: DataFrame, keys: list[str]) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType) or isinstance(dt, T.VariantType):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
+def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the greatest row by its other columns (deterministic),
+    or any one when a column cannot be ordered (the original picks any)."""
+    rest = [f for f in source.schema.fields if f.name not in keys]
+    if not rest:
+        return source.dropDuplicates(keys)
+    packed = F.struct(*[F.col(f.name) for f in rest])
+    agg = F.max(packed) if all(_orderable(f.dataType) for f in rest) else F.first(packed)
+    g = source.groupBy(*keys).agg(agg.alias("_one"))
+    return g.select(*keys, *[F.col(f"_one.{f.name}").alias(f.name) for f in rest]).select(*source.columns)
+
+
 def dedupe_source(source: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     """Keep one row per business key: the greatest by ``order_by`` (Q5 option).
 

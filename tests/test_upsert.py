@@ -74,3 +74,15 @@ def test_source_duplicates_and_dedupe(spark):
     assert [(r.k, r.n) for r in source_duplicates(src, ["k"]).collect()] == [(1, 2)]
     d = {r.k: r.v for r in dedupe_source(src, ["k"], ["ver"]).collect()}
     assert d[1] == "y" and d[2] == "z"
+
+
+def test_duplicate_source_keys_update_once_insert_all(spark):
+    src = spark.createDataFrame([(10, "x", 1.0), (10, "y", 2.0), (40, "p", 1.0), (40, "q", 2.0)],
+                                "k long, name string, bal double")
+    r = upsert(_target(spark), src, ["k"], surrogate="customerkey", meta=META, as_of=T1)
+    rows = r.table.collect()
+    assert len([x for x in rows if x.k == 10]) == 1          # updated once, from one source row
+    assert {x.name for x in rows if x.k == 10} == {"y"}       # the greatest row wins
+    assert len([x for x in rows if x.k == 40]) == 2          # both unmatched rows inserted
+    c = r.counts().collect()[0]
+    assert (c.srccnt, c.inscnt, c.updcnt) == (4, 2, 1)
