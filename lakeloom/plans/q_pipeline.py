@@ -58,3 +58,30 @@ def pipeline_e2e(spark, sf_dir):
     seq = h.select(F.col("sourceid").alias("_s"), "sourcecallingseq")
     return a.join(seq, F.col("sourceid") == F.col("_s")).select(
         "sourceid", "sourcecallingseq", "srcrwcnt", "tgtinscnt", "tgtupdcnt", "flowstatus", "latestbatchid")
+
+
+def _scratch(spark, name: str) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/lakeloom-{name}-{uuid.uuid4().hex}"
+
+
+@register("scan_flat", "SELECT * FROM orders")
+def scan_flat(spark, sf_dir):
+    """Flat-file source (S3): the whole orders table written as a headered CSV
+    into the shared checkpoint folder, read back with an explicit schema and
+    every column name taken as text."""
+    from ..sources.tables import scan_flat as _scan_flat
+    orders = Tables(spark, sf_dir).orders
+    path = _scratch(spark, "flat")
+    orders.write.option("header", True).csv(path)
+    return _scan_flat(spark, path, schema=orders.schema)
+
+
+@register("bronze_reload", "SELECT * FROM orders")
+def bronze_reload(spark, sf_dir):
+    """Truncate-and-load of a bronze table (K2): two loads of orders, the
+    current version holds one copy (the second load replaces the first)."""
+    root = _scratch(spark, "bronze")
+    orders = Tables(spark, sf_dir).orders
+    snap.overwrite(orders, root, pl.bronze_name("stg", "orders"))
+    snap.overwrite(orders, root, pl.bronze_name("stg", "orders"))
+    return snap.read_table(spark, root, pl.bronze_name("stg", "orders"))
