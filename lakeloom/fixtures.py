@@ -2,7 +2,7 @@
 
 The loader's own tables (control header/detail, groups, runs, errors, silver
 target, column catalog, vector collection) are derived here from the TPC-H-ish
-tables, so every job that reads them grows with the data.  ``plans/oracles.py``
+tables, so every job that reads them grows with the data.  ``plans/fixture_sql.py``
 holds the same derivations as SQL text for the DuckDB check.
 """
 

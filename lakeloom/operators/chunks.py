@@ -41,13 +41,11 @@ def document_collection(rows: DataFrame, order_by: list, table: str, column: str
                       F.col(dtype).alias("datatype"))
 
 
-def embed_documents(docs: DataFrame, text: str = "text", dim: int = 64) -> DataFrame:
-    """Offline document embedding (V2): tokens -> hashed term counts -> IDF ->
-    L2-normalised vector, as a Spark ML pipeline over whole texts.  A model
-    embedding can replace it (any column of ``ARRAY<FLOAT>``)."""
+def fit_text_embedding(docs: DataFrame, text: str = "text", dim: int = 64):
+    """Fit the offline embedding (tokens -> hashed counts -> IDF -> L2 norm) on
+    ``docs``; the returned model embeds documents and query texts alike."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
 
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern="\\W+", toLowercase=True),
@@ -55,7 +53,30 @@ def embed_documents(docs: DataFrame, text: str = "text", dim: int = 64) -> DataF
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
     ])
+    return pipe.fit(ensure_parallelism(docs))
+
+
+def apply_text_embedding(model, df: DataFrame, out: str = "embedding") -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    return model.transform(df).withColumn(out, vector_to_array("_vec", "float32")).drop(
+        "_tok", "_tf", "_idf", "_vec")
+
+
+def embedding_udf(model_fn, dim: int):
+    """Plug a model in (V2): ``model_fn(list[str]) -> array-like (n, dim)`` runs
+    on Arrow batches inside the tasks (load the model once per worker inside
+    ``model_fn``); the result is an ``ARRAY<FLOAT>`` column."""
+    import numpy as np
+    import pandas as pd
+
+    @F.pandas_udf("array<float>")
+    def _embed(texts: pd.Series) -> pd.Series:
+        vecs = np.asarray(model_fn(texts.fillna("").tolist()), dtype=np.float32).reshape(len(texts), dim)
+        return pd.Series(list(vecs))
+    return _embed
+
+
+def embed_documents(docs: DataFrame, text: str = "text", dim: int = 64) -> DataFrame:
+    """Offline document embedding (V2) over whole texts: fit, then embed."""
     docs = ensure_parallelism(docs)
-    model = pipe.fit(docs)
-    out = model.transform(docs)
-    return out.withColumn("embedding", vector_to_array("_vec", "float32")).drop("_tok", "_tf", "_idf", "_vec")
+    return apply_text_embedding(fit_text_embedding(docs, text, dim), docs)

@@ -113,3 +113,40 @@ def matched_tables(spark, sf_dir):
     tabs = se.rank_tables(se.gap_cut(_ranked(spark, sf_dir)))
     rows = se.matched_rows(fx.vector_collection(t), tabs)
     return rows.select("query_id", "id", "vec_id", "source_tablename", "source_columnname")
+
+
+MAX_TEXT_QUERIES = 1_000
+
+
+def text_search_inputs(spark, sf_dir):
+    """(collection with embeddings, embedded text queries, query count) of the
+    text metadata search: the part catalog as documents, one query per type."""
+    from ..operators import chunks as ch
+    t = Tables(spark, sf_dir)
+    docs = ch.document_collection(fx.document_input(t), ["p_partkey"], "source_tablename",
+                                  "source_columnname", "datatype", "description")
+    model = ch.fit_text_embedding(docs, "document", dim=256)
+    coll = ch.apply_text_embedding(model, docs).withColumn(
+        "doc_no", F.expr("cast(substring(id, 5) as bigint)"))
+    qtext = t.part.select(F.col("p_type").alias("document")).distinct()
+    n = qtext.count()
+    if n > MAX_TEXT_QUERIES:
+        raise ValueError(f"{n} text queries: more than {MAX_TEXT_QUERIES}")
+    queries = ch.apply_text_embedding(model, qtext).select(
+        F.col("document").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return coll, queries, n
+
+
+@register("metadata_search")
+def metadata_search(spark, sf_dir):
+    """The notebook flow end to end on the part catalog: documents (V1) ->
+    embeddings (V2) -> one text query per part type, embedded by the same
+    fitted model -> nearest documents, all ranks (V3) -> largest-gap cut (V4)
+    -> tables ranked by best distance (V5).  No SQL form (the embedding);
+    tests check the search against a plain re-computation on the same vectors."""
+    coll, queries, n = text_search_inputs(spark, sf_dir)
+    scored = se.knn_distances(coll, queries, n_queries=n)
+    kept = se.gap_cut(se.rank_matches(scored, "doc_no"))
+    tabs = se.rank_tables(kept)
+    return tabs.select(F.col("query_id").alias("query_text"), "table_rank", "source_tablename",
+                       F.col("best_distance").cast("float").alias("best_distance"), "n_matches")
