@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,9 +68,6 @@ def embedding_udf(model_fn, dim: int):
     """Plug a model in (V2): ``model_fn(list[str]) -> array-like (n, dim)`` runs
     on Arrow batches inside the tasks (load the model once per worker inside
     ``model_fn``); the result is an ``ARRAY<FLOAT>`` column."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def _embed(texts: pd.Series) -> pd.Series:
         vecs = np.asarray(model_fn(texts.fillna("").tolist()), dtype=np.float32).reshape(len(texts), dim)

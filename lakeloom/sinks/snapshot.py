@@ -74,3 +74,13 @@ def create_empty(spark: SparkSession, root: str, table: str, schema: StructType)
 def overwrite(df: DataFrame, root: str, table: str) -> int:
     """Truncate-and-load of a bronze table (K2): simply the next full version."""
     return publish(df, root, table)
+
+
+def write_sorted(df: DataFrame, path: str, key: list[str], num_partitions: int | None = None,
+                 mode: str = "errorifexists") -> None:
+    """Gold-style clustered write (D3 ``ORDER BY tuple(pk)``): range-partition
+    on the sort key and sort inside each file, so each file covers one key
+    range and row-group min/max statistics prune key lookups."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *key).sortWithinPartitions(*key)
+     .write.mode(mode).parquet(path))

@@ -49,3 +49,33 @@ def test_spark_types():
     s = silver_schema("d_orders_x", [{"column_id": 1, "silverdwh_columnname": "a", "datatype": "integer",
                                       "precisions": None, "scale": None, "nullable": False}])
     assert s.names[0] == "orderskey" and s["a"].nullable is False and len(s) == 8
+
+
+def test_pluggable_embedding_udf(spark, tables):
+    import numpy as np
+
+    def model(texts):  # a stand-in model: character-count vectors, L2-normalised
+        out = np.zeros((len(texts), 8))
+        for i, t in enumerate(texts):
+            for ch_ in t:
+                out[i, ord(ch_) % 8] += 1
+            n = np.linalg.norm(out[i])
+            out[i] = out[i] / n if n else out[i]
+        return out
+
+    e = tables.documents.select("doc_id", ch.embedding_udf(model, 8)("text").alias("v")).collect()
+    assert len(e) == tables.documents.count() and all(len(r.v) == 8 for r in e)
+
+
+def test_write_sorted_ranges(spark, tables):
+    from lakeloom.sinks.snapshot import write_sorted
+    d = tempfile.mkdtemp(prefix="lakeloom-test-") + "/gold"
+    write_sorted(tables.orders, d, ["o_orderkey"], num_partitions=4)
+    files = sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+    ranges = []
+    for f in files:
+        k = pq.read_table(os.path.join(d, f), columns=["o_orderkey"]).column(0).to_pylist()
+        assert k == sorted(k)
+        ranges.append((k[0], k[-1]))
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
