@@ -101,7 +101,8 @@ class LoadResult:
     error: str | None = None
 
 
-def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of) -> LoadResult:
+def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of,
+             buckets: int | None = None) -> LoadResult:
     """One BRNtoSLV load (C5 body): create the silver table when missing (K7),
     upsert the bronze object into it (U1), publish the new version and return
     (srccnt, inscnt, updcnt) counted from the written version."""
@@ -113,8 +114,12 @@ def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict,
         snap.create_empty(spark, root, sname, silver_schema_of(bronze, run["targetobject"]))
         silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
         r = upsert(silver, bronze, keys, surrogate=sk, meta=meta, as_of=as_of)
-        # sorted by business key inside each file: row-group statistics prune key lookups
-        v = snap.publish(r.rows, root, sname, sort_by=[k if isinstance(k, str) else k[1] for k in keys])
+        tkeys = [k if isinstance(k, str) else k[1] for k in keys]
+        # sorted by business key inside each file (row-group statistics prune key
+        # lookups); with ``buckets`` also bucketed by it, so the next upsert does
+        # not shuffle the silver table
+        v = snap.publish(r.rows, root, sname, sort_by=tkeys,
+                         bucket=(buckets, tkeys) if buckets and tkeys else None)
         written = snap.read_table(spark, root, sname, v)
         c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
                         F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
@@ -127,7 +132,7 @@ def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict,
 
 
 def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=None,
-             parallel: int = 4) -> list[LoadResult]:
+             parallel: int = 4, buckets: int | None = None) -> list[LoadResult]:
     """Pre-process all runs of a wave, load them concurrently, then the error and
     post-process transitions - each transition one set-based job."""
     as_of = as_of or dt.datetime.now().replace(microsecond=0)
@@ -154,7 +159,7 @@ def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=Non
         meta = {"etljobname": m["jobname"] if m else None,
                 "envsourcecd": m["envsourcecode"] if m else None,
                 "datasourcecd": m["datasourcecode"] if m else None}
-        return load_one(spark, root, r, keys_of(r), meta, as_of)
+        return load_one(spark, root, r, keys_of(r), meta, as_of, buckets)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
         results = list(ex.map(work, plan))
@@ -188,7 +193,7 @@ def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=Non
 
 
 def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=None,
-              parallel: int = 4) -> list[LoadResult]:
+              parallel: int = 4, buckets: int | None = None) -> list[LoadResult]:
     """All due runs, wave by wave in ascending calling sequence.
 
     Only the list of distinct sequences reaches the driver (a handful of
@@ -205,5 +210,5 @@ def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=N
         detail = snap.read_table(spark, root, "controldetail")
         groups = snap.read_table(spark, root, "sourcegroupingdtl")
         wave = ctl.due_runs(header, detail, groups, f, order=False).where(F.col("sourcecallingseq") == s)
-        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel)
+        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel, buckets=buckets)
     return results

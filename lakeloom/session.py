@@ -34,6 +34,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
     conf["spark.driver.memory"] = driver_memory
+    if (master or "local").startswith("local"):
+        # local sessions only: the catalog of bucketed versions lives in a scratch folder
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="lakeloom-wh-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

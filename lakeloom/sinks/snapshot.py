@@ -11,6 +11,8 @@ the Hadoop file system of the session (a metadata call, no Spark job).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -42,21 +44,42 @@ def table_exists(spark: SparkSession, root: str, table: str) -> bool:
     return current_version(spark, root, table) is not None
 
 
+def catalog_name(root: str, table: str, version: int) -> str:
+    """Catalog name of a bucketed version (one table per version, never overwritten)."""
+    import hashlib
+    tag = hashlib.sha1(root.rstrip("/").encode()).hexdigest()[:10]
+    return "lakeloom_" + re.sub(r"[^0-9A-Za-z_]", "_", f"{tag}_{table}_v{version}").lower()
+
+
 def read_table(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     v = version if version is not None else current_version(spark, root, table)
     if v is None:
         raise FileNotFoundError(f"table {table} has no published version under {root}")
+    name = catalog_name(root, table, v)
+    if spark.catalog.tableExists(name):
+        # a bucketed version: read through the catalog so the bucketing is known
+        return spark.table(name)
     return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}")
 
 
 def publish(df: DataFrame, root: str, table: str, version: int | None = None,
-            sort_by: list[str] | None = None) -> int:
-    """Write ``df`` as the next version of ``table``, then publish its marker."""
+            sort_by: list[str] | None = None, bucket: tuple[int, list[str]] | None = None) -> int:
+    """Write ``df`` as the next version of ``table``, then publish its marker.
+
+    ``bucket=(n, keys)`` writes the version as an external catalog table
+    bucketed and sorted by ``keys``: a later join on those keys (the next
+    upsert) reads it already hash-partitioned, so only the other side moves."""
     spark = df.sparkSession
     cur = current_version(spark, root, table)
     v = version if version is not None else (0 if cur is None else cur) + 1
-    w = df.sortWithinPartitions(*sort_by) if sort_by else df
-    w.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{table}/v={v}")
+    path = f"{root.rstrip('/')}/{table}/v={v}"
+    if bucket:
+        n, keys = bucket
+        (df.write.mode("errorifexists").format("parquet").option("path", path)
+         .bucketBy(n, *keys).sortBy(*keys).saveAsTable(catalog_name(root, table, v)))
+    else:
+        w = df.sortWithinPartitions(*sort_by) if sort_by else df
+        w.write.mode("errorifexists").parquet(path)
     fs, p = _fs(spark, f"{_vdir(root, table)}/{v}")
     if not fs.createNewFile(p):
         raise RuntimeError(f"version {v} of {table} was published concurrently")

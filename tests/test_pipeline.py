@@ -42,3 +42,25 @@ def test_waves_load_fail_and_transition(spark, tables):
     # a failed run stays ready: only it is due again (and the failed-only filter finds it)
     again = pl.run_waves(spark, root, RunFilter(failed_only=True), keys_of=lambda r: ["o_orderkey"], as_of=T)
     assert [r.sourceid for r in again] == ["S3"]
+
+
+def test_bucketed_silver_is_not_shuffled_again(spark, tables):
+    from lakeloom.operators.upsert import upsert
+    root = tempfile.mkdtemp(prefix="lakeloom-bkt-")
+    h, d, g = _control(spark)
+    pl.init_store(spark, root, h, d, g, as_of=T)
+    snap.overwrite(tables.orders, root, pl.bronze_name("stg", "orders"))
+    res = pl.run_waves(spark, root, RunFilter(), keys_of=lambda r: ["o_orderkey"], as_of=T, buckets=8)
+    n = tables.orders.count()
+    assert [(r.inscnt, r.updcnt) for r in res] == [(n, 0), (0, n)]
+    silver = pl.read_silver(spark, root, "dwh", "d_orders_silver")
+    assert silver.count() == n
+    # the next upsert reads silver bucketed: its scan carries the bucket spec and
+    # the silver side of the join has no exchange of its own
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = upsert(silver, tables.orders, ["o_orderkey"], surrogate="orderskey", as_of=T, checkpoint=False)
+        plan = r.rows.where("_action != 'I'")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SelectedBucketsCount" in plan
