@@ -58,9 +58,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     try:
@@ -69,9 +76,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set one only for local sessions."""
-    sc = spark.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the shared checkpoint folder; set one only for local sessions.
+
+    A remote session checkpoints on the server side: its configured folder is
+    returned as is."""
+    sc = _context(spark)
+    if sc is None:
+        return checkpoint_dir(spark)
     d = sc.getCheckpointDir()
     if d:
         return d
