@@ -11,7 +11,7 @@ from ..operators.control import RunFilter
 from ..session import ensure_checkpoint_dir
 from ..sinks import snapshot as snap
 from ..sources.tables import Tables
-from . import pipeline as pl
+from . import loads as pl
 from .registry import register
 
 
@@ -38,12 +38,12 @@ def _control(spark):
     return h, d, g
 
 
-@register("pipeline_e2e", """
+@register("waves_e2e", """
 SELECT 'S1' AS sourceid, 1 AS sourcecallingseq, n AS srcrwcnt, n AS tgtinscnt, CAST(0 AS BIGINT) AS tgtupdcnt,
        'Completed' AS flowstatus, CAST(1 AS BIGINT) AS latestbatchid FROM (SELECT count(*) AS n FROM orders)
 UNION ALL
 SELECT 'S2', 2, n, CAST(0 AS BIGINT), n, 'Completed', CAST(1 AS BIGINT) FROM (SELECT count(*) AS n FROM orders)""")
-def pipeline_e2e(spark, sf_dir):
+def waves_e2e(spark, sf_dir):
     """Bronze load of orders, then two waves into one silver table: the first
     inserts every order, the second updates every order; the audit log is the
     result.  The control rows are the two runs (parameters), the data is the

@@ -29,5 +29,5 @@ def register(name: str, oracle: str | None = None, fixtures: list[str] | None =
 
 
 def load_all() -> None:
-    from . import (q_catalog, q_checks, q_control, q_match, q_pipeline,  # noqa: F401
+    from . import (q_catalog, q_checks, q_control, q_loads, q_match,  # noqa: F401
                    q_rows, q_search, q_transitions, q_upsert)

@@ -6,8 +6,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from lakeloom.operators.control import RunFilter
-from lakeloom.plans import pipeline as pl
-from lakeloom.plans.q_pipeline import _control
+from lakeloom.plans import loads as pl
+from lakeloom.plans.q_loads import _control
 from lakeloom.sinks import snapshot as snap
 
 T = dt.datetime(2024, 6, 1)
