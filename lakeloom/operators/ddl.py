@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from ..functions.exprs import AUDIT_COLUMNS, legacy_key_name_col, surrogate_key_name_col
 from ..functions.typemap import LEGACY_TYPE_MAP
 
-# The identity clause of a generated surrogate key.
+# The identity clause of a generated surrogate key, the legacy
+# identity clause per dialect, the legacy audit columns, and the audit part of
+# the generated UPDATE SET list.
 IDENTITY_PG = ("BIGINT GENERATED ALWAYS AS IDENTITY (INCREMENT BY 1 MINVALUE 1 "
                "MAXVALUE 9223372036854775807 START 1 CACHE 1 NO CYCLE) NOT NULL")
 IDENTITY_LEGACY = {"mysql": "AUTO_INCREMENT NOT NULL", "postgresql": IDENTITY_PG.replace("BIGINT ", ""),
@@ -24,6 +26,8 @@ IDENTITY_LEGACY = {"mysql": "AUTO_INCREMENT NOT NULL", "postgresql": IDENTITY_PG
 LEGACY_AUDIT = [("etlactiveind", "INT"), ("etljobname", "VARCHAR(200)"), ("envsourcecd", "VARCHAR(50)"),
                 ("datasourcecd", "VARCHAR(50)"), ("etlcreateddatetime", "TIMESTAMP"),
                 ("etlupdateddatetime", "TIMESTAMP")]
+UPDATE_AUDIT_SET = (", etlactiveind = 1, etljobname = p_etljobname, envsourcecd = p_envsourcecd, "
+                    "datasourcecd = p_datasourcecd, etlupdateddatetime = NOW()")
 
 
 def _joined(pos: Column, text: Column, sep: str) -> Column:
@@ -138,13 +142,11 @@ def merge_clauses(columns: DataFrame, business_keys: DataFrame) -> DataFrame:
         _joined(pos, q("s."), ", ").alias("insert_values"),
         _joined(pos, F.concat(q(""), F.lit(" = "), q("s.")), ", ").alias("_set"),
         F.max(key.cast("int")).alias("_nkeys"))
-    tail = (", etlactiveind = 1, etljobname = p_etljobname, envsourcecd = p_envsourcecd, "
-            "datasourcecd = p_datasourcecd, etlupdateddatetime = NOW()")
     return g.select("table_schema", "table_name",
                     F.when(F.col("_nkeys") == 1, F.col("_match")).otherwise(F.lit("1=1")).alias("match_condition"),
                     F.when(F.col("_nkeys") == 1, F.col("_ins_where")).otherwise(F.lit("1=1")).alias("insert_where"),
                     "insert_columns", "insert_values",
-                    F.concat(F.col("_set"), F.lit(tail)).alias("update_set"))
+                    F.concat(F.col("_set"), F.lit(UPDATE_AUDIT_SET)).alias("update_set"))
 
 
 def silver_catalog(lookup: DataFrame) -> DataFrame:

@@ -23,6 +23,13 @@ from ..functions.exprs import batch_token, elapsed_micros, flow_module
 from .rowindex import with_row_index
 
 RUN_KEY = ["sourceid", "dataflowflag", "targetobject"]
+
+# Task name of a failed load, and the second error row the
+# gold flow always adds (source name, source type/description, target names).
+TASK_NAME = "stg_to_dwh"
+GOLD_FLOW = "SLVtoGLD"
+GOLD_ERROR_SOURCE = ("onesource", "PostgreSQL", "PostgreSQL")
+GOLD_ERROR_TARGET = ("click", "click")
 ORDER = ["loadstarttime", "batchid", "runid"]
 
 
@@ -254,7 +261,7 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
 
 # ------------------------------------------------------------------- error (C4)
 
-def error_rows(events: DataFrame, detail: DataFrame, as_of=None, taskname: str = "stg_to_dwh",
+def error_rows(events: DataFrame, detail: DataFrame, as_of=None, taskname: str = TASK_NAME,
                module: str = "operation") -> DataFrame:
     """Error rows appended for failed runs (C4, K4): copied from the run's
     control-detail row when it exists; flow SLVtoGLD adds a fixed second row.
@@ -272,10 +279,11 @@ def error_rows(events: DataFrame, detail: DataFrame, as_of=None, taskname: str =
                       "jobname", F.col("_e_id").cast("int").alias("errorid"), F.col("_e_desc").alias("errordesc"),
                       F.col("_e_line").alias("errorline"), now.alias("errordate"),
                       F.coalesce(F.col("_e_b"), F.col("latestbatchid")).cast("long").alias("latestbatchid"))
-    gold = events.where(F.col("dataflowflag") == "SLVtoGLD").select(
-        F.lit("onesource").alias("sourcename"), F.lit("PostgreSQL").alias("sourcetype"),
-        F.lit("PostgreSQL").alias("sourcedescription"), "sourceid", F.col("sourceid").alias("sourceobject"),
-        "dataflowflag", F.lit("click").alias("targetname"), F.lit("click").alias("targetschemaname"),
+    gold = events.where(F.col("dataflowflag") == GOLD_FLOW).select(
+        F.lit(GOLD_ERROR_SOURCE[0]).alias("sourcename"), F.lit(GOLD_ERROR_SOURCE[1]).alias("sourcetype"),
+        F.lit(GOLD_ERROR_SOURCE[2]).alias("sourcedescription"), "sourceid", F.col("sourceid").alias("sourceobject"),
+        "dataflowflag", F.lit(GOLD_ERROR_TARGET[0]).alias("targetname"),
+        F.lit(GOLD_ERROR_TARGET[1]).alias("targetschemaname"),
         "targetobject", F.lit(None).cast("string").alias("targetprocedurename"),
         F.lit(taskname).alias("taskname"),
         F.concat(flow_module(F.col("dataflowflag")), F.lit("."), F.lit(module)).alias("packagename"),
