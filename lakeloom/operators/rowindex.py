@@ -8,14 +8,15 @@ partitions), sorted inside each partition, and numbered locally with
 ``monotonically_increasing_id``; a small table of per-(partition, group) counts
 gives each slice its offset.  Its size is bounded by partitions + groups.
 
-The numbered data is checkpointed into the shared checkpoint folder before the
+The numbered data is written once into the shared checkpoint folder before the
 counts are taken, so the partition ids the offsets refer to cannot change
 between the two reads, and the lineage is cut (a lost executor re-reads the
-checkpoint instead of re-running the shuffle).
+written rows instead of re-running the shuffle).
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,8 +52,15 @@ def with_row_index(df: DataFrame, order_by: list, name: str = "rn",
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id()))
     if checkpoint:
-        ensure_checkpoint_dir(spark)
-        s = s.checkpoint(eager=True)
+        # cut the lineage with a table written once into the shared checkpoint
+        # folder (one job; DataFrame.checkpoint would count, then write again)
+        root = ensure_checkpoint_dir(spark)
+        if root:
+            path = f"{root.rstrip('/')}/lakeloom-rowindex-{uuid.uuid4().hex}"
+            s.write.parquet(path)
+            s = spark.read.parquet(path)
+        else:
+            s = s.checkpoint(eager=True)
     stats = s.groupBy("_pid", *group_by).agg(F.min("_pos").alias("_p0"),
                                              F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(
