@@ -2,8 +2,9 @@
 
 Exact nearest-neighbour search: every collection row is scored against every
 query.  The query set is small by nature (user questions); its size is checked
-and the queries travel to the executors as one scalar-subquery array (no
-join), in blocks of ``block`` queries when there are more.  The collection is
+and the queries travel to the executors as one scalar-subquery array per
+block (no join at all); a block holds at most 1,024 queries and 512 KB of
+vectors, so what each task carries stays small however wide the embedding.  The collection is
 scanned in place, partition by partition, with the distance computed by
 native higher-order functions.
 
@@ -25,15 +26,23 @@ from ..functions.vectors import squared_l2
 from .rowindex import with_row_index
 
 MAX_QUERIES_PER_BLOCK = 1024
+BLOCK_BYTES = 512 * 1024  # query vectors carried by one task
 
 
 def knn_distances(collection: DataFrame, queries: DataFrame, vec: str = "embedding",
                   qid: str = "query_id", qvec: str = "query_vec", block: int = MAX_QUERIES_PER_BLOCK,
                   n_queries: int | None = None) -> DataFrame:
-    """(query, collection row, distance) for every pair of a bounded query set."""
-    n = n_queries if n_queries is not None else queries.count()
+    """(query, collection row, distance) for every pair of a bounded query set.
+
+    Each block of queries is one scalar-subquery array: evaluated once, then
+    carried by every task as a plan literal - no join.  Blocks are sized so a
+    task carries at most ``BLOCK_BYTES`` of query vectors."""
+    facts = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("dim")).first()
+    n = n_queries if n_queries is not None else facts["n"]
     if n == 0:
         return collection.select(F.lit(None).alias(qid), "*", F.lit(None).cast("double").alias("distance")).limit(0)
+    dim = max(1, int(facts["dim"] or 1))
+    block = max(1, min(block, BLOCK_BYTES // (8 * dim)))
     parts = []
     blocks = (n + block - 1) // block
     q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qvec"))
@@ -42,7 +51,6 @@ def knn_distances(collection: DataFrame, queries: DataFrame, vec: str = "embeddi
     for b in range(blocks):
         qb = q if blocks == 1 else q.where(((F.col("_qrn") - 1) / block).cast("long") == b)
         arr = qb.agg(F.collect_list(F.struct("_qid", "_qvec"))).scalar()
-        # the query array is a scalar subquery: evaluated once, shipped to every task
         scored = collection.withColumn("_qs", arr).select(*collection.columns, F.inline(F.transform(
             "_qs", lambda s: F.struct(s["_qid"].alias(qid), squared_l2(vec, s["_qvec"]).alias("distance")))))
         parts.append(scored)
