@@ -13,7 +13,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators.rowindex import with_row_index
 from .sources.tables import Tables
 
 # fixed test clock (``as_of``): no now() in compared columns
@@ -100,37 +99,6 @@ def source_groups(t: Tables, with_null: bool = False) -> DataFrame:
     return g
 
 
-def run_outcomes(t: Tables) -> DataFrame:
-    """One finished run per order, batches numbered per (source, flow) by date.
-
-    Numbering uses the distributed row index, so a source owning a large share
-    of the orders is still spread over many tasks.
-    """
-    o = t.orders
-    runs = o.select(
-        _sid("o_custkey").alias("sourceid"),
-        F.when(F.col("o_orderkey") % 2 == 0, "SRCtoBRN").otherwise("BRNtoSLV").alias("dataflowflag"),
-        F.col("o_orderdate").alias("loadstarttime"),
-        F.col("o_orderkey").alias("runid"),
-        F.floor(F.col("o_totalprice")).cast("long").alias("srccnt"),
-    )
-    runs = with_row_index(runs, ["loadstarttime", "runid"], name="batchid",
-                          group_by=["sourceid", "dataflowflag"])
-    return runs.select("sourceid", "dataflowflag", "batchid", "loadstarttime", "runid",
-                       "srccnt", F.floor(F.col("srccnt") / 2).cast("long").alias("inscnt"),
-                       (F.col("srccnt") - F.floor(F.col("srccnt") / 2).cast("long")).alias("updcnt"))
-
-
-def error_events(t: Tables) -> DataFrame:
-    return t.orders.where(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("runid"),
-        _sid("o_custkey").alias("sourceid"),
-        F.lit(-1).alias("errorid"),
-        F.concat(F.lit("RuntimeError: "), F.col("o_orderpriority")).alias("errordesc"),
-    )
-
-
-SILVER_ORDERS = "d_orders_silver"
 ORDERS_KEYS = ["o_orderkey"]
 ORDERS_META = {"etljobname": "job_orders", "envsourcecd": "ENV1", "datasourcecd": "BUILDING"}
 

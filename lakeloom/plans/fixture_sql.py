@@ -43,19 +43,6 @@ SELECT 'S' || CAST(c_custkey AS VARCHAR) AS sourceid,
        CAST(NULL AS TIMESTAMP) AS lastrundatetime, CAST(NULL AS TIMESTAMP) AS loadstartdatetime,
        CAST(NULL AS TIMESTAMP) AS loadenddatetime
 FROM customer""",
-    "run_outcomes": """
-SELECT 'S' || CAST(o_custkey AS VARCHAR) AS sourceid,
-       CASE WHEN o_orderkey % 2 = 0 THEN 'SRCtoBRN' ELSE 'BRNtoSLV' END AS dataflowflag,
-       row_number() OVER (PARTITION BY o_custkey, o_orderkey % 2 ORDER BY o_orderdate, o_orderkey) AS batchid,
-       o_orderdate AS loadstarttime, o_orderkey AS runid,
-       CAST(floor(o_totalprice) AS BIGINT) AS srccnt,
-       CAST(floor(CAST(floor(o_totalprice) AS BIGINT) / 2) AS BIGINT) AS inscnt,
-       CAST(floor(o_totalprice) AS BIGINT) - CAST(floor(CAST(floor(o_totalprice) AS BIGINT) / 2) AS BIGINT) AS updcnt
-FROM orders""",
-    "error_events": """
-SELECT o_orderkey AS runid, 'S' || CAST(o_custkey AS VARCHAR) AS sourceid, -1 AS errorid,
-       'RuntimeError: ' || o_orderpriority AS errordesc
-FROM orders WHERE o_orderstatus = 'F'""",
     "silver_before": f"""
 SELECT o_orderkey AS orderskey, o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice,
        o_orderdate, o_orderpriority, 1 AS etlactiveind, 'old' AS etljobname, 'E0' AS envsourcecd,

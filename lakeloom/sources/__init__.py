@@ -1 +1 @@
-"""Scans and catalogs: parquet/flat/JDBC sources, schema catalog."""
+"""Scans: parquet tables, flat files, storage listings, JDBC options."""
