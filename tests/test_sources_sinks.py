@@ -79,3 +79,14 @@ def test_write_sorted_ranges(spark, tables):
         ranges.append((k[0], k[-1]))
     ranges.sort()
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_schema_catalog_from_dataframes(spark, tables):
+    from lakeloom.operators.catalog import schema_catalog
+    cat = schema_catalog(spark, {"orders": tables.orders, "part": tables.part})
+    rows = {(r.table_name, r.column_name): r for r in cat.collect()}
+    assert len(rows) == len(tables.orders.columns) + len(tables.part.columns)
+    assert rows[("orders", "o_orderkey")].data_type == "bigint"
+    assert rows[("orders", "o_orderkey")].ordinal_position == 1
+    assert rows[("orders", "o_totalprice")].data_type == "double precision"
+    assert rows[("part", "p_name")].data_type == "text"
