@@ -109,6 +109,8 @@ def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict,
     res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
     try:
         bronze = snap.read_table(spark, root, bronze_name(run["sourceschema"], run["sourceobject"]))
+        # counted first, as the original does: a later failure keeps it (quirk 24)
+        res.srccnt = bronze.count()
         sname = silver_name(run["targetschemaname"], run["targetobject"])
         sk = surrogate_key_name(run["targetobject"])
         snap.create_empty(spark, root, sname, silver_schema_of(bronze, run["targetobject"]))
@@ -123,10 +125,10 @@ def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict,
         written = snap.read_table(spark, root, sname, v)
         c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
                         F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
-        res.srccnt, res.inscnt, res.updcnt = bronze.count(), int(c["i"]), int(c["u"])
+        res.inscnt, res.updcnt = int(c["i"]), int(c["u"])
     except Exception as e:  # the run fails, its wave goes on (F22)
         res.error = f"{type(e).__name__}: {e.args[0] if e.args else ''}"[:2000]
-        res.srccnt, res.inscnt, res.updcnt = None, 0, 0
+        res.inscnt, res.updcnt = 0, 0
         traceback.print_exc()
     return res
 
