@@ -7,6 +7,7 @@ or a DataFrame of values (semi/anti join, for lists that grow with the data).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,14 @@ def split_list(value: str | None, delimiter: str = ",") -> list[str] | None:
     return [v for v in value.split(delimiter)]
 
 
+def split_list_column(df: DataFrame, column: str, delimiter: str, keep: list[str]) -> DataFrame:
+    """A delimited list that arrives as data (P10): one row per item with its
+    1-based position, split and exploded by native functions."""
+    parts = F.split(F.col(column), re.escape(delimiter), -1)
+    return df.select(*keep, F.posexplode(parts).alias("pos", "item")).select(
+        *keep, (F.col("pos") + 1).cast("long").alias("pos"), "item")
+
+
 @dataclass
 class RunFilter:
     """The optional filters of the due-run selection."""

@@ -178,3 +178,13 @@ def dq_control_keys(spark, sf_dir):
         F.lit("controldetail").alias("table_name"),
         F.concat_ws("|", "sourceid", "dataflowflag").alias("key_value"), "n")
     return a.unionByName(b)
+
+
+@register("split_list", """
+SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) AS BIGINT) AS pos,
+       unnest(string_split(p_name, ' ')) AS item
+FROM part""")
+def split_list(spark, sf_dir):
+    """Delimited list values arriving as data, split and exploded (P10)."""
+    return ctl.split_list_column(Tables(spark, sf_dir).part, "p_name", " ", ["p_partkey"])
+
