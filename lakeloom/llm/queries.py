@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,28 @@ FROM placed""")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, predict
+    docs = table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    net = fit(docs.where(~held).select("doc_id", "text", "lang"))
+    return predict(docs.withColumn("held_out", held), net, columns=["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query()
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    model = fit(docs.where(~held).select("doc_id", "text"), labels.where(~held).select("doc_id", "toxic"))
+    return score(docs.withColumn("held_out", held), model, columns=("doc_id", "held_out"))
