@@ -115,7 +115,8 @@ class HashIndex:
 
 
 def directory_for(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Directory:
-    """The directory whose buckets hold about ``bucket_bytes``, from the bytes of all entries by key prefix."""
+    """The directory whose buckets hold ``bucket_bytes`` at most (less if that keeps the cluster busy), from the
+    bytes of all entries by key prefix."""
     few, many = COUNT_BITS
     load = F.sum(F.col("norm_bytes") + 64)
 
@@ -123,6 +124,8 @@ def directory_for(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Direc
         return {r[0]: r[1] for r in df.groupBy(F.shiftrightunsigned("key", 64 - bits).alias("p")).agg(load).collect()}
 
     loads = counts(entries, few)
+    partitions = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket_bytes = min(bucket_bytes, max(1, sum(loads.values()) // (2 * partitions)))
     over = [p for p, n in loads.items() if n > 4 * bucket_bytes]
     if not over:
         return build_directory(loads, few, bucket_bytes)
