@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: md5 starts with two hex digits of range and one more: 4096 ranges of each source.
 RANGE_DIGITS = 3
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -43,9 +45,7 @@ SCHEDULES = ((1.5, 1.0, 0.5), (0.5, 1.0, 1.5), (0.6, 1.4, 0.6))
 
 def words_in(text: Column) -> Column:
     """Number of words of a text (runs of anything but ASCII white space); 0 for null."""
-    squeezed = F.trim(F.regexp_replace(F.translate(text, "\t\n\x0b\x0c\r", "     "), " +", " "))
-    return F.coalesce(F.when(squeezed == "", 0).otherwise(
-        F.length(squeezed) - F.length(F.translate(squeezed, " ", "")) + 1), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -71,14 +71,15 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, most: int = MOST, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, source, size, source_size, place, target, before, delivered, times, taken, *keep), one row per document.
+        weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """(id, source, size, source_size, place, target, before, times, taken), one row per document.
 
-    ``before``: words of the source ahead of the document in its order; ``times``: how often it is taken."""
+    ``before``: words of the source ahead of the document in its order; ``times``: how often it is taken.
+    Texts are read once, for their sizes, which are kept as a table of their own."""
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       words_in(F.col(text_col)).alias("size"), order.alias("order"),
-                       F.substring(order, 1, RANGE_DIGITS).alias("range"), F.struct(*keep).alias("kept") if keep else F.lit(None).alias("kept"))
+    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                              words_in(F.col(text_col)).alias("size"), order.alias("order"),
+                              F.substring(order, 1, RANGE_DIGITS).alias("range")), "mixing-sizes")
     by_range = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     sized = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     ranges = Window.partitionBy("source").orderBy("range")
@@ -96,7 +97,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .withColumn("times", F.when(F.col("size") == 0, 0).otherwise(
                 F.col("whole") + F.when(F.col("before") + F.col("size") / F.lit(2.0) <= rest, 1).otherwise(0)).cast("long"))
             .select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "place", "target", "before",
-                    "times", (F.col("size") * F.col("times")).alias("taken"), *([F.col("kept")] if keep else [])))
+                    "times", (F.col("size") * F.col("times")).alias("taken")))
 
 
 def position(delivered: Column, total: Column, place: Column, knots=KNOTS, schedules=SCHEDULES) -> Column:
