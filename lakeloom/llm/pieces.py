@@ -9,7 +9,6 @@ batch of texts is cut by a few array operations on its bytes.
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
 
 import numpy as np
 
@@ -21,18 +20,24 @@ _BLANK, _QUOTE = 32, 39
 _SHORT, _LONG = b"stmd", (b"re", b"ve", b"ll")
 
 
-@cache
+def _runs() -> tuple[np.ndarray, np.ndarray]:
+    """(class, length) of the runs of code points of one class, in order; these few travel with a task."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    out = np.array([kinds.get(unicodedata.category(chr(cp))[0], OTHER) for cp in range(0x110000)], np.uint8)
+    out[list(WHITE_SPACE)] = WHITE
+    at = np.concatenate([[0], np.flatnonzero(np.diff(out)) + 1])
+    return out[at], np.diff(np.append(at, len(out)))
+
+
+_RUNS = _runs()
+_table: dict[str, np.ndarray] = {}
+
+
 def classes() -> np.ndarray:
     """The class of every code point."""
-    out = np.full(0x110000, OTHER, np.uint8)
-    for cp in range(0x110000):
-        first = unicodedata.category(chr(cp))[0]
-        if first == "L":
-            out[cp] = LETTER
-        elif first == "N":
-            out[cp] = NUMBER
-    out[list(WHITE_SPACE)] = WHITE
-    return out
+    if not _table:
+        _table["of"] = np.repeat(*_RUNS)
+    return _table["of"]
 
 
 def byte_classes(buf: np.ndarray) -> np.ndarray:

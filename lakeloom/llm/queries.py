@@ -122,3 +122,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = crc_mod(F.col("doc_id"), 4) == 2
     model = fit(docs.where(~held).select("doc_id", "text"), labels.where(~held).select("doc_id", "toxic"))
     return score(docs.withColumn("held_out", held), model, columns=("doc_id", "held_out"))
+
+
+def _ranks() -> dict[bytes, int]:
+    import public_tokenizers
+
+    from .bpe import load_ranks
+    return load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query()
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import decode, encode
+    ranks = _ranks()
+    return decode(encode(table(spark, sf_dir, "documents"), ranks), ranks).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
