@@ -175,12 +175,11 @@ def _byte_lists(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), values)
 
 
-def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> list[tuple[bytes, list[int]]]:
-    """Pieces with their ids: the most frequent of a bounded, hashed sample of texts that are no tokens."""
+def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[bytes]) -> DataFrame:
+    """(word, bytes, n): the CACHE_WORDS most frequent pieces, but ``tokens``, of about CACHE_DOCS texts picked by a hash."""
     share = CACHE_DOCS / max(docs.count(), 1)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
-    tokens = frozenset(ranks)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,8 +188,13 @@ def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[byt
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), _byte_lists(words), pa.array([found[w] for w in words], pa.int64())],
                                              ["word", "bytes", "n"])
 
-    top = picked.select("text").mapInArrow(count, "word binary, bytes array<smallint>, n long").groupBy("word", "bytes").agg(
+    return picked.select("text").mapInArrow(count, "word binary, bytes array<smallint>, n long").groupBy("word", "bytes").agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS)
+
+
+def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> list[tuple[bytes, list[int]]]:
+    """The top pieces that are no tokens, with their ids."""
+    top = top_pieces(docs, id_col, text_col, frozenset(ranks))
     # the literals are bound once a row, so the words are folded in blocks
     blocks = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(CACHE_WORDS // 2000)).alias("block")).agg(
         F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))

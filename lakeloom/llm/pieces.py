@@ -11,10 +11,18 @@ from __future__ import annotations
 import unicodedata
 
 import numpy as np
+import regex
 
 LETTER, NUMBER, OTHER, WHITE = 0, 1, 2, 3
 #: The characters with the White_Space property.
 WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+#: The letters and numbers of Unicode 16, the version of both tokenizer libraries, that the interpreter's
+#: tables (15.1) don't have yet.
+NEWER = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+         (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+         (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0),
+         (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C),
+         (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA))
 _BLANK, _QUOTE = 32, 39
 #: What may follow the apostrophe of a contraction.
 _SHORT, _LONG = b"stmd", (b"re", b"ve", b"ll")
@@ -24,6 +32,9 @@ def _runs() -> tuple[np.ndarray, np.ndarray]:
     """(class, length) of the runs of code points of one class, in order; these few travel with a task."""
     kinds = {"L": LETTER, "N": NUMBER}
     out = np.array([kinds.get(unicodedata.category(chr(cp))[0], OTHER) for cp in range(0x110000)], np.uint8)
+    for low, high in NEWER:
+        for cp in range(low, high + 1):
+            out[cp] = LETTER if regex.match(r"\p{L}", chr(cp)) else NUMBER
     out[list(WHITE_SPACE)] = WHITE
     at = np.concatenate([[0], np.flatnonzero(np.diff(out)) + 1])
     return out[at], np.diff(np.append(at, len(out)))

@@ -138,3 +138,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(table(spark, sf_dir, "documents"), ranks), ranks).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_output import token_output
+    return token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
