@@ -146,3 +146,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .token_output import token_output
     return token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_lm import fit, score
+    docs = table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 10) == 0
+    model = fit(docs.where(~held))
+    return score(docs.withColumn("held_out", held), model, columns=("doc_id", "held_out"))
