@@ -149,16 +149,17 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cps = pc.fill_null(pc.utf8_length(b.column("text")), 0).to_pylist()
         found: dict[bytes, list] = {}
-        for doc_id, n, text in zip(b.column("doc_id").to_pylist(), cps, text_list(b.column("text")), strict=True):
-            found.setdefault(text.translate(None, _SPACE_BYTES), []).append((-n, doc_id is None, doc_id))
-        best = [min(range(len(m)), key=m.__getitem__) if len(m) > 1 else 0 for m in found.values()]
+        rows = zip(b.column("doc_id").to_pylist(), cps, text_list(b.column("text")), b.column("member").to_pylist(), strict=True)
+        for doc_id, n, text, member in rows:
+            found.setdefault(text.translate(None, _SPACE_BYTES), []).append((-n, doc_id is None, doc_id, member))
+        best = [min(range(len(m)), key=lambda i, m=m: m[i][:3]) if len(m) > 1 else 0 for m in found.values()]
         won = [m[i] for m, i in zip(found.values(), best, strict=True)]
         yield pa.RecordBatch.from_arrays([
             pa.array(np.arange(serial, serial + len(found))),
             pa.array([_signed(xxhash.xxh64_intdigest(t, seed=42)) for t in found], pa.int64()),
             pa.array(list(found), pa.binary()), pa.array([len(t) for t in found], pa.int64()),
             pa.array([-w[0] for w in won], pa.int64()), pa.array([w[2] for w in won], pa.int64()),
-            pa.array(best, pa.int32()), pa.array([[m[2] for m in v] for v in found.values()], pa.list_(pa.int64())),
+            pa.array(best, pa.int32()), pa.array([[m[3] for m in v] for v in found.values()], pa.list_(pa.int64())),
         ], [f.split()[0] for f in ENTRY.split(", ")])
         serial += len(found)
 
@@ -193,12 +194,14 @@ def _index_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       [f.split()[0] for f in INDEX.split(", ")])
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(entries, index), both stored.  ``chain`` numbers the different texts of one key."""
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
+                member_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(entries, index), both stored.  ``chain`` numbers the different texts of one key; ``member_col`` (default: the id)
+    is what entries list."""
     spark = docs.sparkSession
     arrow_limits(spark)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.col(member_col or id_col).cast("long").alias("member"))
     entries = stored(slim.mapInArrow(_entries, ENTRY), "dedup-entries")
     directory = directory_for(entries, bucket_bytes)
     slots, shift = np.array(directory.slots, np.int32), np.uint64(64 - directory.depth)
@@ -214,10 +217,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return entries, stored(sent.repartition(owners, "bucket").mapInArrow(_own, INDEX), "dedup-index")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256), one row per document."""
-    entries, index = build_index(docs, id_col, text_col, bucket_bytes)
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
+                 member_col: str | None = None) -> DataFrame:
+    """(id, keep_id, group_size, kept, text_sha256), one row per document; with ``member_col`` it stands in the id's place."""
+    entries, index = build_index(docs, id_col, text_col, bucket_bytes, member_col)
     members = entries.select("entry", "best_at", "members").join(index, "entry").select("*", F.posexplode("members").alias("at", "member"))
-    return members.select(F.col("member").alias(id_col), "keep_id", "group_size",
+    return members.select(F.col("member").alias(member_col or id_col), "keep_id", "group_size",
                           (F.col("keep_here") & (F.col("at") == F.col("best_at"))).alias("kept"), "text_sha256")

@@ -71,13 +71,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """(id, source, size, source_size, place, target, before, times, taken), one row per document.
+        weights=WEIGHTS, share: float = SHARE, most: int = MOST, row_col: str | None = None) -> DataFrame:
+    """(id, row, source, size, source_size, place, target, before, times, taken), one row per document.
 
     ``before``: words of the source ahead of the document in its order; ``times``: how often it is taken.
-    Texts are read once, for their sizes, which are kept as a table of their own."""
+    Texts are read once, for their sizes, which are kept as a table of their own.  row: ``row_col``, else null."""
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    rows = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+    row = (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row")
+    rows = stored(docs.select(F.col(id_col).alias("doc_id"), row, F.col(source_col).alias("source"),
                               words_in(F.col(text_col)).alias("size"), order.alias("order"),
                               F.substring(order, 1, RANGE_DIGITS).alias("range")), "mixing-sizes")
     by_range = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
@@ -87,7 +88,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                .withColumnRenamed("source", "o_source").withColumnRenamed("range", "o_range").drop("range_size"))
     sized = sized.withColumnRenamed("source", "s_source")
     offsets = offsets.join(sized, F.col("o_source").eqNullSafe(F.col("s_source"))).drop("s_source")
-    within = Window.partitionBy("source", "range").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", "range").orderBy("order", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     placed = (rows.withColumn("upto", F.sum("size").over(within))
               .join(offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("range") == F.col("o_range")))
               .withColumn("before", F.col("range_before") + F.col("upto") - F.col("size")))
@@ -96,7 +97,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return (placed.withColumn("whole", whole.cast("long"))
             .withColumn("times", F.when(F.col("size") == 0, 0).otherwise(
                 F.col("whole") + F.when(F.col("before") + F.col("size") / F.lit(2.0) <= rest, 1).otherwise(0)).cast("long"))
-            .select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "place", "target", "before",
+            .select(F.col("doc_id").alias(id_col), "row", "source", "size", "source_size", "place", "target", "before",
                     "times", (F.col("size") * F.col("times")).alias("taken")))
 
 
@@ -122,11 +123,15 @@ def position(delivered: Column, total: Column, place: Column, knots=KNOTS, sched
     return out
 
 
-def training_order(mixed: DataFrame, knots=KNOTS, schedules=SCHEDULES) -> DataFrame:
-    """One row per taken copy of a document with ``position``, range-sorted by it.
+def taken_copies(mixed: DataFrame, knots=KNOTS, schedules=SCHEDULES) -> DataFrame:
+    """One row per taken copy of a document, with ``copy`` and ``position``.
 
     The passes of a source follow one another: copy c starts ``c`` source sizes later."""
     copies = mixed.where(F.col("times") > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("times") - 1).cast("int"))))
     delivered = F.col("before") + F.col("copy") * F.col("source_size")
-    return (copies.withColumn("position", position(delivered.cast("double"), F.col("target"), F.col("place"), knots, schedules))
-            .orderBy("position", "place", "before", "copy"))
+    return copies.withColumn("position", position(delivered.cast("double"), F.col("target"), F.col("place"), knots, schedules))
+
+
+def training_order(mixed: DataFrame, knots=KNOTS, schedules=SCHEDULES) -> DataFrame:
+    """``taken_copies``, range-sorted by position."""
+    return taken_copies(mixed, knots, schedules).orderBy("position", "place", "before", "copy")

@@ -124,7 +124,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.withColumn("held_out", held), model, columns=("doc_id", "held_out"))
 
 
-def _ranks() -> dict[bytes, int]:
+def bpe_ranks() -> dict[bytes, int]:
     import public_tokenizers
 
     from .bpe import load_ranks
@@ -134,7 +134,7 @@ def _ranks() -> dict[bytes, int]:
 @query()
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import decode, encode
-    ranks = _ranks()
+    ranks = bpe_ranks()
     return decode(encode(table(spark, sf_dir, "documents"), ranks), ranks).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -64,17 +64,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 row_col: str | None = None) -> DataFrame:
+    """(doc_id, row, fp): fp is the fingerprint as a signed long; row is ``row_col``, null if there is none."""
     arrow_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in text_list(b.column("text"))), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(fps.view(np.int64))], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    row = (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row, F.col(text_col).alias("text")).mapInArrow(
+        run, "doc_id long, row long, fp long")
 
 
 def _bits_of(values: np.ndarray) -> np.ndarray:
@@ -208,14 +210,29 @@ def components(pairs: DataFrame) -> DataFrame:
         edges.select("b", "b")).groupBy("node").agg(F.min("root").alias("root"))
 
 
+def rooted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+           max_bits: int = MAX_BITS, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, fp) of every document, and (fp, root, least_id) of every different fingerprint."""
+    marked = stored(fingerprints(docs, id_col, text_col, shingle, row_col), "fingerprints")
+    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
+    roots = components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    return marked, distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fingerprint, component_id), one row per document."""
-    marked = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
-    roots = components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
+    marked, by_fp = rooted(docs, id_col, text_col, shingle, max_bits)
+    named = by_fp.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    by_fp = by_fp.join(named, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(F.col("doc_id").alias(id_col),
                                            F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """(row): ``row_col`` of one document of each component, the one of the smallest id (null last), then row."""
+    marked, by_fp = rooted(docs, id_col, text_col, shingle, max_bits, row_col)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row"))
+    per_fp = marked.groupBy("fp").agg(first.alias("first"))  # copies are reduced before any join
+    return per_fp.join(by_fp, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row_col))
