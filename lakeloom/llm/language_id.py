@@ -32,7 +32,7 @@ WINDOW = 256
 WIDTHS, FILTERS, EMBEDDING = (2, 3, 4), 10, 8
 PER_LANGUAGE = 1500
 #: At least EPOCHS passes over the sample, and at least STEPS steps if it is small.
-EPOCHS, STEPS, BATCH, RATE = 6, 800, 64, 4e-3
+EPOCHS, STEPS, BATCH, RATE = 6, 500, 64, 4e-3
 UND = "und"
 PAD = 256
 _SPAN = max(WIDTHS)
