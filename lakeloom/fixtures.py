@@ -46,17 +46,17 @@ def control_header(t: Tables) -> DataFrame:
     )
 
 
-FLOWS = (("SRCtoBRN", 0), ("BRNtoSLV", 1))
+FLOWS = (("raw_to_bronze", 0), ("bronze_to_silver", 1), ("silver_to_gold", 2))
 
 
 def control_detail(t: Tables) -> DataFrame:
-    """Two flows per source: an explode of a two-element array, not a cross join."""
+    """Three flows per source: an explode of a three-element array, not a cross join."""
     c = F.col("c_custkey")
     flows = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f).alias("flow")) for f, k in FLOWS])
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment", F.inline(flows))
     target = F.concat(F.lit("d_"), F.lower("c_mktsegment"), F.lit("_"), c.cast("string"))
     return base.select(
-        (c * 2 + F.col("k")).alias("id"),
+        (c * 3 + F.col("k")).alias("id"),
         _sid("c_custkey").alias("sourceid"),
         F.col("c_name").alias("sourcename"),
         F.lit("PostgreSQL").alias("sourcetype"),
@@ -232,7 +232,8 @@ def run_requests(t: Tables) -> DataFrame:
     the target of that flow's control-detail row; finished counts attached."""
     o = t.orders.select(
         _sid("o_custkey").alias("sourceid"),
-        F.when(F.col("o_orderkey") % 2 == 0, "SRCtoBRN").otherwise("BRNtoSLV").alias("dataflowflag"),
+        F.when(F.col("o_orderkey") % 7 == 0, "silver_to_gold").when(F.col("o_orderkey") % 2 == 0, "raw_to_bronze")
+        .otherwise("bronze_to_silver").alias("dataflowflag"),
         F.col("o_orderdate").alias("loadstarttime"),
         F.col("o_orderkey").alias("runid"),
         F.floor(F.col("o_totalprice")).cast("long").alias("srccnt"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,18 @@ AUDIT_COLUMNS = [
 AUDIT_NAMES = [n for n, _ in AUDIT_COLUMNS]
 
 # Flow-name prefix -> load module; anything else goes to the gold load.
-FLOW_MODULES = {"src": "SRCtoBRN", "brn": "BRNtoSLV"}
+
+
+@dataclass(frozen=True)
+class Flows:
+    """The caller's flow codes, by the layer a flow loads."""
+    bronze: str = "raw_to_bronze"
+    silver: str = "bronze_to_silver"
+    gold: str = "silver_to_gold"
+
+
+FLOWS = Flows()
+FLOW_MODULES = {"raw": "raw_to_bronze", "bro": "bronze_to_silver"}
 DEFAULT_MODULE = "dwhtoclick"
 
 
@@ -77,5 +90,5 @@ def elapsed_micros(start, end) -> Column:
 
 
 def batch_token() -> Column:
-    """Random 11-character run token (F18); not deterministic, never hashed."""
-    return F.substring(F.regexp_replace(F.expr("uuid()"), "-", ""), 1, 11)
+    """Random 11-character run token of letters and digits (F18); not deterministic, never hashed."""
+    return F.expr("randstr(11)")

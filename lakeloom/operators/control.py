@@ -45,7 +45,7 @@ def split_list_column(df: DataFrame, column: str, delimiter: str, keep: list[str
 @dataclass
 class RunFilter:
     """The optional filters of the due-run selection."""
-    dataflowflag: str = "BRNtoSLV"
+    dataflowflag: str = "bronze_to_silver"
     sources: list | DataFrame | None = None
     groups: list | None = None
     exclude_sources: list | DataFrame | None = None

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import batch_token, elapsed_micros, flow_module
+from ..functions.exprs import FLOWS, Flows, batch_token, elapsed_micros, flow_module
 from .rowindex import with_row_index
 
 RUN_KEY = ["sourceid", "dataflowflag", "targetobject"]
@@ -27,7 +27,6 @@ RUN_KEY = ["sourceid", "dataflowflag", "targetobject"]
 # Task name of a failed load, and the second error row the
 # gold flow always adds (source name, source type/description, target names).
 TASK_NAME = "stg_to_dwh"
-GOLD_FLOW = "SLVtoGLD"
 GOLD_ERROR_SOURCE = ("onesource", "PostgreSQL", "PostgreSQL")
 GOLD_ERROR_TARGET = ("click", "click")
 ORDER = ["loadstarttime", "batchid", "runid"]
@@ -67,7 +66,7 @@ class PreResult:
 
 
 def pre_process(requests: DataFrame, detail: DataFrame, header: DataFrame, groups: DataFrame,
-                as_of=None, useragent: str = "Python", sourcegroupflag: int = 1) -> PreResult:
+                as_of=None, useragent: str = "Python", sourcegroupflag: int = 1, flows: Flows = FLOWS) -> PreResult:
     """Pre-process transition (C2) for every request in ``requests``
     (sourceid, dataflowflag, targetobject, loadstarttime, runid[, srccnt, etlbatchid])."""
     now = _ts(as_of)
@@ -85,9 +84,9 @@ def pre_process(requests: DataFrame, detail: DataFrame, header: DataFrame, group
     # header: 'Started' for every source with a run
     srcs = requests.select(F.col("sourceid").alias("_r_sourceid")).distinct()
     new_header = _touch_header(header, srcs, F.lit("Started"), now)
-    # groups: 'Started' for SRCtoBRN runs when the group flag is set
+    # groups: 'Started' for raw_to_bronze runs when the group flag is set
     if sourcegroupflag == 1:
-        gs = requests.where(F.col("dataflowflag") == "SRCtoBRN").select(
+        gs = requests.where(F.col("dataflowflag") == flows.bronze).select(
             F.col("sourceid").alias("_r_sourceid")).distinct()
         gj = groups.join(gs, F.col("sourceid") == F.col("_r_sourceid"), "left")
         ghit = (F.col("_r_sourceid").isNotNull() & (F.col("schemaname") == "dwh")
@@ -162,7 +161,7 @@ class PostResult:
 
 def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, header: DataFrame,
                  groups: DataFrame, audit: DataFrame, as_of=None,
-                 sourcegroupflag: int = 1) -> PostResult:
+                 sourcegroupflag: int = 1, flows: Flows = FLOWS) -> PostResult:
     """Post-process transition (C3) for finished runs ``outcomes``
     (sourceid, dataflowflag, targetobject, batchid, loadstarttime, runid,
     srccnt, inscnt, updcnt[, raised]); a run with an error row of its batch
@@ -170,8 +169,9 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
 
     The result equals running pre-process, load, (error) and post-process run
     after run in (loadstarttime, batchid, runid) order:
-      * header (applicable): status of the source's last run - a completed
-        SRCtoBRN run leaves 'Started', a completed BRNtoSLV run 'Completed', a
+      * header (applicable): status of the source's last run that sets one (a
+        completed run of another flow than the two sets none) - a completed
+        raw_to_bronze run leaves 'Started', a completed bronze_to_silver run 'Completed', a
         failed run 'Failed'; a header that is not applicable only becomes
         'Failed' when one of its runs raised (the error transition has no
         applicability test);
@@ -179,8 +179,8 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
         flow status of the row's last run; etllastrundate when any run of the
         row completed;
       * groups (flag set): status of the source's last run, same mapping;
-        lastrundatetime when a BRNtoSLV run completed, loadenddatetime when a
-        BRNtoSLV run completed or any run failed;
+        lastrundatetime when a bronze_to_silver run completed, loadenddatetime when a
+        bronze_to_silver run completed or any run failed;
       * audit: each run's own row gets its counts, status and end time.
     """
     now = _ts(as_of)
@@ -189,18 +189,21 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
     # a run raised exactly when it failed
     raised = F.col("raised") if "raised" in outcomes.columns else F.col("failed")
     ok = ~F.col("failed")
-    is_src = F.col("dataflowflag") == "SRCtoBRN"
-    is_brn = F.col("dataflowflag") == "BRNtoSLV"
+    is_src = F.col("dataflowflag") == flows.bronze
+    is_brn = F.col("dataflowflag") == flows.silver
+    # a completed run of another flow changes neither header nor groups
     status_of = (F.when(F.col("failed"), "Failed").when(is_src, "Started").when(is_brn, "Completed"))
+    header_of = status_of.when(raised, "Failed")
     order = [F.col(c) for c in ORDER]
     # one partial aggregation per source and one per run key (max of structs)
     src = oc.groupBy(F.col("sourceid").alias("_p_sourceid")).agg(
-        F.max(F.struct(*order, status_of.alias("st"))).alias("_last"),
+        F.max(F.when(status_of.isNotNull(), F.struct(*order, status_of.alias("st")))).alias("_last"),
+        F.max(F.when(header_of.isNotNull(), F.struct(*order, header_of.alias("st")))).alias("_hlast"),
         F.max(F.when(ok & (is_src | is_brn), F.struct(*order, F.col("dataflowflag").alias("flow")))).alias("_ok"),
         F.max(raised.cast("int")).alias("_anyfail"),
         F.max((ok & is_brn).cast("int")).alias("_anybrn"),
         F.max((F.col("failed") | (ok & is_brn)).cast("int")).alias("_anyend"),
-    ).select("_p_sourceid", F.col("_last.st").alias("_status"), F.col("_ok.flow").alias("_lastok"),
+    ).select("_p_sourceid", F.col("_last.st").alias("_status"), F.col("_hlast.st").alias("_hstatus"), F.col("_ok.flow").alias("_lastok"),
              "_anyfail", "_anybrn", "_anyend")
     key = oc.where(F.col("batchid").isNotNull()).groupBy(*[F.col(k).alias(f"_o_{k}") for k in RUN_KEY]).agg(
         F.max(F.struct(*order, F.col("failed").alias("f"))).alias("_lk"),
@@ -210,17 +213,18 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
     app = F.col("isapplicable") == 1
     has = F.col("_p_sourceid").isNotNull()
     new_header = hj.select(*[
-        (F.when(has & app, F.col("_status")).when(has & (F.col("_anyfail") == 1), F.lit("Failed"))
+        (F.when(has & app, F.coalesce(F.col("_hstatus"), F.col(c))).when(has & (F.col("_anyfail") == 1), F.lit("Failed"))
          .otherwise(F.col(c)) if c == "status" else
-         F.when(has & app, now).otherwise(F.col(c)) if c == "lastupdateddate" else F.col(c)).alias(c)
+         F.when(has & app & F.col("_status").isNotNull(), now).otherwise(F.col(c)) if c == "lastupdateddate"
+         else F.col(c)).alias(c)
         for c in header.columns])
     # detail
     dj = detail.join(src.select("_p_sourceid", "_lastok"), F.col("sourceid") == F.col("_p_sourceid"), "left")
     dj = dj.join(key, [F.col(k) == F.col(f"_o_{k}") for k in RUN_KEY], "left")
-    ready = (F.when(app & (F.col("_lastok") == "SRCtoBRN") & is_src, 0)
-             .when(app & (F.col("_lastok") == "SRCtoBRN") & is_brn, 1)
-             .when(app & (F.col("_lastok") == "BRNtoSLV") & is_brn, 0)
-             .when(app & (F.col("_lastok") == "BRNtoSLV") & is_src, 1)
+    ready = (F.when(app & (F.col("_lastok") == flows.bronze) & is_src, 0)
+             .when(app & (F.col("_lastok") == flows.bronze) & is_brn, 1)
+             .when(app & (F.col("_lastok") == flows.silver) & is_brn, 0)
+             .when(app & (F.col("_lastok") == flows.silver) & is_src, 1)
              .otherwise(F.col("isreadyforexecution")))
     khit = app & F.col("_lk").isNotNull()
     new_detail = dj.select(*[
@@ -235,7 +239,7 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
                          F.col("sourceid") == F.col("_p_sourceid"), "left")
         ghit = F.col("_p_sourceid").isNotNull() & (F.col("schemaname") == "dwh") & app
         new_groups = gj.select(*[
-            (F.when(ghit, F.col("_status")).otherwise(F.col(c)) if c == "status" else
+            (F.when(ghit, F.coalesce(F.col("_status"), F.col(c))).otherwise(F.col(c)) if c == "status" else
              F.when(ghit & (F.col("_anybrn") == 1), now).otherwise(F.col(c)) if c == "lastrundatetime" else
              F.when(ghit & (F.col("_anyend") == 1), now).otherwise(F.col(c)) if c == "loadenddatetime" else
              F.col(c)).alias(c)
@@ -262,9 +266,9 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
 # ------------------------------------------------------------------- error (C4)
 
 def error_rows(events: DataFrame, detail: DataFrame, as_of=None, taskname: str = TASK_NAME,
-               module: str = "operation") -> DataFrame:
+               module: str = "operation", flows: Flows = FLOWS) -> DataFrame:
     """Error rows appended for failed runs (C4, K4): copied from the run's
-    control-detail row when it exists; flow SLVtoGLD adds a fixed second row.
+    control-detail row when it exists; flow silver_to_gold adds a fixed second row.
     ``events``: sourceid, dataflowflag, targetobject, batchid, errorid, errordesc[, errorline]."""
     now = _ts(as_of)
     ev = events.select(*[F.col(k).alias(f"_e_{k}") for k in RUN_KEY], F.col("batchid").alias("_e_b"),
@@ -279,7 +283,7 @@ def error_rows(events: DataFrame, detail: DataFrame, as_of=None, taskname: str =
                       "jobname", F.col("_e_id").cast("int").alias("errorid"), F.col("_e_desc").alias("errordesc"),
                       F.col("_e_line").alias("errorline"), now.alias("errordate"),
                       F.coalesce(F.col("_e_b"), F.col("latestbatchid")).cast("long").alias("latestbatchid"))
-    gold = events.where(F.col("dataflowflag") == GOLD_FLOW).select(
+    gold = events.where(F.col("dataflowflag") == flows.gold).select(
         F.lit(GOLD_ERROR_SOURCE[0]).alias("sourcename"), F.lit(GOLD_ERROR_SOURCE[1]).alias("sourcetype"),
         F.lit(GOLD_ERROR_SOURCE[2]).alias("sourcedescription"), "sourceid", F.col("sourceid").alias("sourceobject"),
         "dataflowflag", F.lit(GOLD_ERROR_TARGET[0]).alias("targetname"),

@@ -22,7 +22,7 @@ SELECT c_custkey AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid, c_name AS
        {OLD_SQL} AS lastupdateddate
 FROM customer""",
     "control_detail": """
-SELECT c_custkey * 2 + f.k AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid, c_name AS sourcename,
+SELECT c_custkey * 3 + f.k AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid, c_name AS sourcename,
        'PostgreSQL' AS sourcetype, c_mktsegment AS sourcedescription, f.flow AS dataflowflag,
        'stg' AS sourceschema, 'stg_' || c_mktsegment AS sourceobject, 'dwh' AS targetname,
        'dwh' AS targetschemaname,
@@ -35,7 +35,8 @@ SELECT c_custkey * 2 + f.k AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid,
        CASE WHEN c_custkey % 7 = 0 THEN 'Failed' ELSE 'Completed' END AS flowstatus,
        CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey % 17 END AS latestbatchid,
        CAST(NULL AS TIMESTAMP) AS etllastrundate
-FROM customer CROSS JOIN (VALUES (0, 'SRCtoBRN'), (1, 'BRNtoSLV')) AS f(k, flow)""",
+FROM customer CROSS JOIN (VALUES (0, 'raw_to_bronze'), (1, 'bronze_to_silver'),
+                            (2, 'silver_to_gold')) AS f(k, flow)""",
     "source_groups": """
 SELECT 'S' || CAST(c_custkey AS VARCHAR) AS sourceid,
        CASE WHEN c_custkey % 3 = 0 THEN 'stg' ELSE 'dwh' END AS schemaname,
@@ -117,7 +118,8 @@ FROM part""",
 FIXTURE_SQL["run_requests"] = """
 SELECT r.*, d.targetobject
 FROM (SELECT 'S' || CAST(o_custkey AS VARCHAR) AS sourceid,
-             CASE WHEN o_orderkey % 2 = 0 THEN 'SRCtoBRN' ELSE 'BRNtoSLV' END AS dataflowflag,
+             CASE WHEN o_orderkey % 7 = 0 THEN 'silver_to_gold' WHEN o_orderkey % 2 = 0 THEN 'raw_to_bronze'
+                  ELSE 'bronze_to_silver' END AS dataflowflag,
              o_orderdate AS loadstarttime, o_orderkey AS runid,
              CAST(floor(o_totalprice) AS BIGINT) AS srccnt,
              'B' || CAST(o_orderkey AS VARCHAR) AS etlbatchid,

@@ -103,7 +103,7 @@ class LoadResult:
 
 def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of,
              buckets: int | None = None) -> LoadResult:
-    """One BRNtoSLV load (C5 body): create the silver table when missing (K7),
+    """One bronze_to_silver load (C5 body): create the silver table when missing (K7),
     upsert the bronze object into it (U1), publish the new version and return
     (srccnt, inscnt, updcnt) counted from the written version."""
     res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])

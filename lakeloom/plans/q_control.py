@@ -27,27 +27,27 @@ def _runs(spark, sf_dir, with_null=False, **kw):
                         fx.source_groups(t, with_null=with_null), f)
 
 
-@register("due_runs", _RUN_SELECT.format(flow="BRNtoSLV"), fixtures=_FIX)
+@register("due_runs", _RUN_SELECT.format(flow="bronze_to_silver"), fixtures=_FIX)
 def due_runs(spark, sf_dir):
-    """All due BRNtoSLV runs, ordered by header id."""
+    """All due bronze_to_silver runs, ordered by header id."""
     return _runs(spark, sf_dir)
 
 
-@register("due_by_freq", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'",
+@register("due_by_freq", _RUN_SELECT.format(flow="bronze_to_silver") + " AND d.loadfrequency = 'Daily'",
           fixtures=_FIX)
 def due_by_freq(spark, sf_dir):
     """Load-frequency filter (P4, second branch)."""
     return _runs(spark, sf_dir, load_frequency="Daily")
 
 
-@register("due_failed", _RUN_SELECT.format(flow="BRNtoSLV")
+@register("due_failed", _RUN_SELECT.format(flow="bronze_to_silver")
           + " AND d.loadfrequency = 'Daily' AND d.flowstatus = 'Failed'", fixtures=_FIX)
 def due_failed(spark, sf_dir):
     """Failed-only re-run filter."""
     return _runs(spark, sf_dir, load_frequency="Daily", failed_only=True)
 
 
-@register("due_by_source", _RUN_SELECT.format(flow="BRNtoSLV")
+@register("due_by_source", _RUN_SELECT.format(flow="bronze_to_silver")
           + " AND d.sourceid IN (SELECT 'S' || CAST(c_custkey AS VARCHAR) FROM customer"
             " WHERE c_mktsegment = 'AUTOMOBILE')", fixtures=_FIX)
 def due_by_source(spark, sf_dir):
@@ -59,25 +59,25 @@ def due_by_source(spark, sf_dir):
     return _runs(spark, sf_dir, sources=srcs, load_frequency="Daily")
 
 
-@register("due_excl_source", _RUN_SELECT.format(flow="SRCtoBRN")
+@register("due_excl_source", _RUN_SELECT.format(flow="raw_to_bronze")
           + " AND d.loadfrequency = 'Daily' AND d.sourceid NOT IN (SELECT 'S' || CAST(c_custkey AS VARCHAR)"
             " FROM customer WHERE c_mktsegment = 'MACHINERY')", fixtures=_FIX)
 def due_excl_source(spark, sf_dir):
-    """Exclude-source filter (P5) on the SRCtoBRN flow."""
+    """Exclude-source filter (P5) on the raw_to_bronze flow."""
     t = Tables(spark, sf_dir)
     srcs = t.customer.where(F.col("c_mktsegment") == "MACHINERY").select(
         F.concat(F.lit("S"), F.col("c_custkey").cast("string")))
-    return _runs(spark, sf_dir, dataflowflag="SRCtoBRN", load_frequency="Daily", exclude_sources=srcs)
+    return _runs(spark, sf_dir, dataflowflag="raw_to_bronze", load_frequency="Daily", exclude_sources=srcs)
 
 
-@register("due_by_type", _RUN_SELECT.format(flow="BRNtoSLV") + " AND h.objecttype IN ('Fact')",
+@register("due_by_type", _RUN_SELECT.format(flow="bronze_to_silver") + " AND h.objecttype IN ('Fact')",
           fixtures=_FIX)
 def due_by_type(spark, sf_dir):
     """Object-type filter."""
     return _runs(spark, sf_dir, object_type=["Fact"])
 
 
-@register("due_by_seq", _RUN_SELECT.format(flow="BRNtoSLV") + " AND h.sourcecallingseq IN (1, 3)",
+@register("due_by_seq", _RUN_SELECT.format(flow="bronze_to_silver") + " AND h.sourcecallingseq IN (1, 3)",
           fixtures=_FIX)
 def due_by_seq(spark, sf_dir):
     """Calling-sequence filter; the CLI gives text, the column is an integer."""
@@ -88,29 +88,29 @@ _IN_GROUP = ("SELECT DISTINCT sourceid FROM source_groups WHERE schemaname = 'dw
              " AND sourcegroup IN ({groups})")
 
 
-@register("due_by_group", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+@register("due_by_group", _RUN_SELECT.format(flow="bronze_to_silver") + " AND d.loadfrequency = 'Daily'"
           " AND h.sourceid IN (" + _IN_GROUP.format(groups="'BUILDING'") + ")", fixtures=_FIXG)
 def due_by_group(spark, sf_dir):
     """Source-group filter: IN-subquery as a semi join."""
     return _runs(spark, sf_dir, load_frequency="Daily", groups=["BUILDING"])
 
 
-@register("due_by_groups_src", _RUN_SELECT.format(flow="SRCtoBRN") + " AND d.loadfrequency = 'Daily'"
+@register("due_by_groups_src", _RUN_SELECT.format(flow="raw_to_bronze") + " AND d.loadfrequency = 'Daily'"
           " AND h.sourceid IN (" + _IN_GROUP.format(groups="'BUILDING', 'HOUSEHOLD'") + ")", fixtures=_FIXG)
 def due_by_groups_src(spark, sf_dir):
-    """Group filter with a delimited CLI list on the SRCtoBRN flow."""
-    return _runs(spark, sf_dir, dataflowflag="SRCtoBRN", load_frequency="Daily",
+    """Group filter with a delimited CLI list on the raw_to_bronze flow."""
+    return _runs(spark, sf_dir, dataflowflag="raw_to_bronze", load_frequency="Daily",
                  groups=ctl.split_list("BUILDING,HOUSEHOLD"))
 
 
-@register("due_excl_group", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+@register("due_excl_group", _RUN_SELECT.format(flow="bronze_to_silver") + " AND d.loadfrequency = 'Daily'"
           " AND h.sourceid NOT IN (" + _IN_GROUP.format(groups="'BUILDING'") + ")", fixtures=_FIXG)
 def due_excl_group(spark, sf_dir):
     """Exclude-group filter: NOT IN subquery with SQL NULL semantics."""
     return _runs(spark, sf_dir, load_frequency="Daily", exclude_groups=["BUILDING"])
 
 
-@register("due_excl_group_null", _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily'"
+@register("due_excl_group_null", _RUN_SELECT.format(flow="bronze_to_silver") + " AND d.loadfrequency = 'Daily'"
           " AND h.sourceid NOT IN (SELECT DISTINCT sourceid FROM (SELECT * FROM source_groups UNION ALL"
           " SELECT NULL, 'dwh', 'BUILDING', 1, 'Completed', NULL, NULL, NULL) g"
           " WHERE schemaname = 'dwh' AND sourcegroup IN ('BUILDING'))", fixtures=_FIXG)
@@ -120,21 +120,21 @@ def due_excl_group_null(spark, sf_dir):
 
 
 @register("due_count", "SELECT CAST(count(*) AS BIGINT) AS n_runs FROM ("
-          + _RUN_SELECT.format(flow="BRNtoSLV") + " AND d.loadfrequency = 'Daily') x", fixtures=_FIX)
+          + _RUN_SELECT.format(flow="bronze_to_silver") + " AND d.loadfrequency = 'Daily') x", fixtures=_FIX)
 def due_count(spark, sf_dir):
     """Number of due runs."""
     return _runs(spark, sf_dir, load_frequency="Daily").agg(F.count(F.lit(1)).alias("n_runs"))
 
 
 @register("list_sources", "SELECT dataflowflag || ' => ' || sourceid AS line FROM ("
-          + _RUN_SELECT.format(flow="BRNtoSLV") + ") x", fixtures=_FIX)
+          + _RUN_SELECT.format(flow="bronze_to_silver") + ") x", fixtures=_FIX)
 def list_sources(spark, sf_dir):
     """``flow => source`` listing of the due runs."""
     return ctl.list_sources(_runs(spark, sf_dir))
 
 
 @register("run_waves", "SELECT sourcecallingseq, CAST(count(*) AS BIGINT) AS n_runs FROM ("
-          + _RUN_SELECT.format(flow="BRNtoSLV") + ") x WHERE sourcecallingseq IS NOT NULL"
+          + _RUN_SELECT.format(flow="bronze_to_silver") + ") x WHERE sourcecallingseq IS NOT NULL"
           " GROUP BY sourcecallingseq", fixtures=_FIX)
 def run_waves(spark, sf_dir):
     """Waves: sorted distinct calling sequences with their runs."""
@@ -144,7 +144,7 @@ def run_waves(spark, sf_dir):
 @register("run_metadata", """
 SELECT x.*, m.jobname, m.envsourcecode, m.datasourcecode, m.latestbatchid AS p_batchid,
        m.targetprocedurename AS p_taskname, m.rawstorageflag
-FROM (""" + _RUN_SELECT.format(flow="BRNtoSLV") + """) x
+FROM (""" + _RUN_SELECT.format(flow="bronze_to_silver") + """) x
 LEFT JOIN (SELECT d.*, h.envsourcecode, h.datasourcecode, h.rawstorageflag
            FROM control_detail d JOIN control_header h ON d.sourceid = h.sourceid) m
   ON x.sourceid = m.sourceid AND x.dataflowflag = m.dataflowflag AND x.targetobject = m.targetobject""",

@@ -23,9 +23,9 @@ def _control(spark):
         "sourcecallingseq int, isapplicable int, envsourcecode string, datasourcecode string, "
         "rawstorageflag int, status string, lastupdateddate timestamp_ntz")
     d = spark.createDataFrame(
-        [(2, "S1", "orders", "PostgreSQL", "orders", "BRNtoSLV", "stg", "orders", "dwh", "dwh",
+        [(2, "S1", "orders", "PostgreSQL", "orders", "bronze_to_silver", "stg", "orders", "dwh", "dwh",
           "d_orders_silver", "usp_d_orders_silver", "job_s1", "Full", 1, 1, "Daily", "Completed", None, None),
-         (4, "S2", "orders", "PostgreSQL", "orders", "BRNtoSLV", "stg", "orders", "dwh", "dwh",
+         (4, "S2", "orders", "PostgreSQL", "orders", "bronze_to_silver", "stg", "orders", "dwh", "dwh",
           "d_orders_silver", "usp_d_orders_silver", "job_s2", "Full", 1, 1, "Daily", "Completed", None, None)],
         "id long, sourceid string, sourcename string, sourcetype string, sourcedescription string, "
         "dataflowflag string, sourceschema string, sourceobject string, targetname string, "
@@ -52,7 +52,7 @@ def waves_e2e(spark, sf_dir):
     h, d, g = _control(spark)
     pl.init_store(spark, root, h, d, g, as_of=AS_OF)
     snap.overwrite(Tables(spark, sf_dir).orders, root, pl.bronze_name("stg", "orders"))
-    pl.run_waves(spark, root, RunFilter(dataflowflag="BRNtoSLV"), keys_of=lambda r: ["o_orderkey"],
+    pl.run_waves(spark, root, RunFilter(dataflowflag="bronze_to_silver"), keys_of=lambda r: ["o_orderkey"],
                  as_of=AS_OF, parallel=2)
     a = snap.read_table(spark, root, "audit")
     seq = h.select(F.col("sourceid").alias("_s"), "sourcecallingseq")

@@ -48,7 +48,7 @@ groups1 AS (
     CASE WHEN r.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN {AS_OF_SQL}
          ELSE g.loadstartdatetime END AS loadstartdatetime)
   FROM source_groups g
-  LEFT JOIN (SELECT DISTINCT sourceid FROM run_requests WHERE dataflowflag = 'SRCtoBRN') r
+  LEFT JOIN (SELECT DISTINCT sourceid FROM run_requests WHERE dataflowflag = 'raw_to_bronze') r
     ON g.sourceid = r.sourceid),
 audit1 AS (
   SELECT d.sourcename, d.sourcetype, d.sourcedescription, d.sourceobject, q.sourceid, q.dataflowflag,
@@ -67,11 +67,15 @@ errs AS (
   SELECT d.sourcename, d.sourcetype, d.sourcedescription, d.sourceid, d.sourceobject, d.dataflowflag,
          d.targetname, d.targetschemaname, d.targetobject, d.targetprocedurename,
          'stg_to_dwh' AS taskname,
-         CASE lower(substr(d.dataflowflag, 1, 3)) WHEN 'src' THEN 'SRCtoBRN' WHEN 'brn' THEN 'BRNtoSLV'
+         CASE lower(substr(d.dataflowflag, 1, 3)) WHEN 'raw' THEN 'raw_to_bronze' WHEN 'bro' THEN 'bronze_to_silver'
               ELSE 'dwhtoclick' END || '.operation' AS packagename,
          d.jobname, CAST(e.errorid AS INTEGER) AS errorid, e.errordesc, CAST(NULL AS INTEGER) AS errorline,
          {AS_OF_SQL} AS errordate, CAST(coalesce(e.batchid, d.latestbatchid) AS BIGINT) AS latestbatchid
-  FROM control_detail d JOIN events e ON {_j('d', 'e')}),
+  FROM control_detail d JOIN events e ON {_j('d', 'e')}
+  UNION ALL
+  SELECT 'onesource', 'PostgreSQL', 'PostgreSQL', sourceid, sourceid, dataflowflag, 'click', 'click', targetobject, NULL,
+         'stg_to_dwh', 'dwhtoclick.operation', NULL, CAST(errorid AS INTEGER), errordesc, NULL, {AS_OF_SQL}, batchid
+  FROM events WHERE dataflowflag = 'silver_to_gold'),
 oc AS (
   SELECT r.*, CAST(coalesce(e.n, 0) AS BIGINT) AS n_errors, coalesce(e.n, 0) > 0 AS failed
   FROM runs r LEFT JOIN (SELECT {_KEY}, latestbatchid, count(*) AS n FROM errs
@@ -79,23 +83,27 @@ oc AS (
     ON {_j('r', 'e')} AND r.batchid = e.latestbatchid),
 ranked AS (
   SELECT oc.*,
-         CASE WHEN failed THEN 'Failed' WHEN dataflowflag = 'SRCtoBRN' THEN 'Started' ELSE 'Completed' END
-           AS hstatus
+         CASE WHEN failed THEN 'Failed' WHEN dataflowflag = 'raw_to_bronze' THEN 'Started'
+              WHEN dataflowflag = 'bronze_to_silver' THEN 'Completed' END AS gstatus,
+         CASE WHEN failed THEN 'Failed' WHEN dataflowflag = 'raw_to_bronze' THEN 'Started'
+              WHEN dataflowflag = 'bronze_to_silver' THEN 'Completed'
+              WHEN runid IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN 'Failed' END AS hstatus
   FROM oc),
 lastrun AS (
-  SELECT sourceid, hstatus FROM (
-    SELECT *, row_number() OVER (PARTITION BY sourceid
-                                 ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) AS rn
-    FROM ranked) x WHERE rn = 1),
+  SELECT sourceid, hstatus FROM ranked WHERE hstatus IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY sourceid ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) = 1),
+lastgroup AS (
+  SELECT sourceid, gstatus FROM ranked WHERE gstatus IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY sourceid ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) = 1),
 lastok AS (
   SELECT sourceid, dataflowflag AS lastflow FROM (
     SELECT *, row_number() OVER (PARTITION BY sourceid
                                  ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) AS rn
-    FROM ranked WHERE NOT failed) x WHERE rn = 1),
+    FROM ranked WHERE NOT failed AND dataflowflag IN ('raw_to_bronze', 'bronze_to_silver')) x WHERE rn = 1),
 srcflags AS (
   SELECT sourceid, max(CASE WHEN sourceid IN (SELECT sourceid FROM events) THEN 1 ELSE 0 END) AS anyfail,
-         max(CASE WHEN NOT failed AND dataflowflag = 'BRNtoSLV' THEN 1 ELSE 0 END) AS anybrn,
-         max(CASE WHEN failed OR dataflowflag = 'BRNtoSLV' THEN 1 ELSE 0 END) AS anyend
+         max(CASE WHEN NOT failed AND dataflowflag = 'bronze_to_silver' THEN 1 ELSE 0 END) AS anybrn,
+         max(CASE WHEN failed OR dataflowflag = 'bronze_to_silver' THEN 1 ELSE 0 END) AS anyend
   FROM oc GROUP BY sourceid),
 lastkey AS (
   SELECT sourceid, dataflowflag, targetobject, failed AS lastfailed FROM (
@@ -108,16 +116,16 @@ anyok AS (
 header2 AS (
   SELECT h.* REPLACE (
     CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN l.hstatus
-         WHEN l.sourceid IS NOT NULL AND f.anyfail = 1 THEN 'Failed' ELSE h.status END AS status,
-    CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN {AS_OF_SQL} ELSE h.lastupdateddate END
-      AS lastupdateddate)
+         WHEN h.isapplicable <> 1 AND f.anyfail = 1 THEN 'Failed' ELSE h.status END AS status,
+    CASE WHEN h.sourceid IN (SELECT sourceid FROM lastgroup) AND h.isapplicable = 1 THEN {AS_OF_SQL}
+         ELSE h.lastupdateddate END AS lastupdateddate)
   FROM header1 h LEFT JOIN lastrun l ON h.sourceid = l.sourceid LEFT JOIN srcflags f ON h.sourceid = f.sourceid),
 detail2 AS (
   SELECT d.* REPLACE (
-    CASE WHEN d.isapplicable = 1 AND k.lastflow = 'SRCtoBRN' AND d.dataflowflag = 'SRCtoBRN' THEN 0
-         WHEN d.isapplicable = 1 AND k.lastflow = 'SRCtoBRN' AND d.dataflowflag = 'BRNtoSLV' THEN 1
-         WHEN d.isapplicable = 1 AND k.lastflow = 'BRNtoSLV' AND d.dataflowflag = 'BRNtoSLV' THEN 0
-         WHEN d.isapplicable = 1 AND k.lastflow = 'BRNtoSLV' AND d.dataflowflag = 'SRCtoBRN' THEN 1
+    CASE WHEN d.isapplicable = 1 AND k.lastflow = 'raw_to_bronze' AND d.dataflowflag = 'raw_to_bronze' THEN 0
+         WHEN d.isapplicable = 1 AND k.lastflow = 'raw_to_bronze' AND d.dataflowflag = 'bronze_to_silver' THEN 1
+         WHEN d.isapplicable = 1 AND k.lastflow = 'bronze_to_silver' AND d.dataflowflag = 'bronze_to_silver' THEN 0
+         WHEN d.isapplicable = 1 AND k.lastflow = 'bronze_to_silver' AND d.dataflowflag = 'raw_to_bronze' THEN 1
          ELSE d.isreadyforexecution END AS isreadyforexecution,
     CASE WHEN d.isapplicable = 1 AND z.sourceid IS NOT NULL
          THEN CASE WHEN z.lastfailed THEN 'Failed' ELSE 'Completed' END ELSE d.flowstatus END AS flowstatus,
@@ -128,13 +136,13 @@ detail2 AS (
   LEFT JOIN anyok a ON {_j('d', 'a')}),
 groups2 AS (
   SELECT g.* REPLACE (
-    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN l.hstatus
+    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1 THEN l.gstatus
          ELSE g.status END AS status,
-    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
+    CASE WHEN f.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
               AND f.anybrn = 1 THEN {AS_OF_SQL} ELSE g.lastrundatetime END AS lastrundatetime,
-    CASE WHEN l.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
+    CASE WHEN f.sourceid IS NOT NULL AND g.schemaname = 'dwh' AND g.isapplicable = 1
               AND f.anyend = 1 THEN {AS_OF_SQL} ELSE g.loadenddatetime END AS loadenddatetime)
-  FROM groups1 g LEFT JOIN lastrun l ON g.sourceid = l.sourceid LEFT JOIN srcflags f ON g.sourceid = f.sourceid),
+  FROM groups1 g LEFT JOIN lastgroup l ON g.sourceid = l.sourceid LEFT JOIN srcflags f ON g.sourceid = f.sourceid),
 audit2 AS (
   SELECT a.* REPLACE (
     CASE WHEN o.batchid IS NOT NULL THEN o.srccnt ELSE a.srcrwcnt END AS srcrwcnt,
@@ -209,7 +217,7 @@ def header_after_pre(spark, sf_dir):
 
 @_q("groups_after_pre", "SELECT * FROM groups1")
 def groups_after_pre(spark, sf_dir):
-    """Source groups after the pre-process: SRCtoBRN runs start their group."""
+    """Source groups after the pre-process: raw_to_bronze runs start their group."""
     return _Chain(spark, sf_dir).pre.groups
 
 
@@ -285,6 +293,17 @@ def detail_after_error(spark, sf_dir):
     return tr.error_transition(c.events(), c.pre.detail, c.header0, None, as_of=fx.AS_OF)[1]
 
 
+@_q("audit_after_error", """
+SELECT a.* REPLACE (CASE WHEN e.sourceid IS NOT NULL THEN 'Failed' ELSE a.flowstatus END AS flowstatus)
+FROM audit1 a LEFT JOIN (SELECT DISTINCT sourceid, dataflowflag, targetobject, batchid FROM events) e
+  ON a.sourceid = e.sourceid AND a.dataflowflag = e.dataflowflag AND a.targetobject = e.targetobject
+ AND a.latestbatchid = e.batchid""")
+def audit_after_error(spark, sf_dir):
+    """Audit after the error transition: the failed batch's row becomes 'Failed' (C4)."""
+    c = _Chain(spark, sf_dir)
+    return tr.error_transition(c.events(), c.pre.detail, c.header0, c.pre.audit_rows, as_of=fx.AS_OF)[3]
+
+
 @_q("latest_audit", """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sourceid, dataflowflag, targetobject
                                            ORDER BY latestbatchid DESC) AS rn FROM audit2) x

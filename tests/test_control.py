@@ -38,7 +38,7 @@ def test_not_in_list_semantics(spark):
 
 def test_source_list_overrides_frequency(tables):
     h, d = fx.control_header(tables), fx.control_detail(tables)
-    weekly = d.where((F.col("loadfrequency") == "Weekly") & (F.col("dataflowflag") == "BRNtoSLV")
+    weekly = d.where((F.col("loadfrequency") == "Weekly") & (F.col("dataflowflag") == "bronze_to_silver")
                      & (F.col("isreadyforexecution") == 1) & (F.col("isapplicable") == 1)).select("sourceid").limit(3)
     ids = [r.sourceid for r in weekly.collect()]
     got = ctl.due_runs(h, d, None, ctl.RunFilter(sources=ids, load_frequency="Daily"))

@@ -34,7 +34,7 @@ def _replay(tables, spark):
                           "loadendtime": None})
         if h["isapplicable"] == 1:
             h["status"], h["lastupdateddate"] = "Started", AS_OF
-        if f == "SRCtoBRN" and g["schemaname"] == "dwh" and g["isapplicable"] == 1:
+        if f == "raw_to_bronze" and g["schemaname"] == "dwh" and g["isapplicable"] == 1:
             g["status"], g["loadstartdatetime"] = "Started", AS_OF
         # error transition (the load failed)
         if q.runid in failed_orders:
@@ -49,16 +49,16 @@ def _replay(tables, spark):
         # post-process
         failed = batch is not None and (s, f, t, batch) in errors
         app = lambda x: x is not None and x["isapplicable"] == 1
-        src_d, brn_d = det.get((s, "SRCtoBRN")), det.get((s, "BRNtoSLV"))
+        src_d, brn_d = det.get((s, "raw_to_bronze")), det.get((s, "bronze_to_silver"))
         if not failed:
-            if f == "SRCtoBRN":
+            if f == "raw_to_bronze":
                 if app(src_d):
                     src_d["isreadyforexecution"] = 0
                 if h["isapplicable"] == 1:
                     h["status"], h["lastupdateddate"] = "Started", AS_OF
                 if app(brn_d):
                     brn_d["isreadyforexecution"] = 1
-            if f == "BRNtoSLV":
+            if f == "bronze_to_silver":
                 if h["isapplicable"] == 1:
                     h["status"], h["lastupdateddate"] = "Completed", AS_OF
                 if app(brn_d) and brn_d["targetobject"] == t:
