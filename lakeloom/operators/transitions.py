@@ -169,8 +169,8 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
 
     The result equals running pre-process, load, (error) and post-process run
     after run in (loadstarttime, batchid, runid) order:
-      * header (applicable): status of the source's last run that sets one (a
-        completed run of another flow than the two sets none) - a completed
+      * header (applicable): status of the source's last run (a completed run of
+        another flow than these two leaves what its pre-process set) - a completed
         raw_to_bronze run leaves 'Started', a completed bronze_to_silver run 'Completed', a
         failed run 'Failed'; a header that is not applicable only becomes
         'Failed' when one of its runs raised (the error transition has no
@@ -178,7 +178,8 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
       * detail (applicable): ready flags from the source's last completed run;
         flow status of the row's last run; etllastrundate when any run of the
         row completed;
-      * groups (flag set): status of the source's last run, same mapping;
+      * groups (flag set): status of the source's last run of these two flows or
+        last failed one, same mapping;
         lastrundatetime when a bronze_to_silver run completed, loadenddatetime when a
         bronze_to_silver run completed or any run failed;
       * audit: each run's own row gets its counts, status and end time.
@@ -198,7 +199,8 @@ def post_process(outcomes: DataFrame, errors: DataFrame, detail: DataFrame, head
     # one partial aggregation per source and one per run key (max of structs)
     src = oc.groupBy(F.col("sourceid").alias("_p_sourceid")).agg(
         F.max(F.when(status_of.isNotNull(), F.struct(*order, status_of.alias("st")))).alias("_last"),
-        F.max(F.when(header_of.isNotNull(), F.struct(*order, header_of.alias("st")))).alias("_hlast"),
+        # any run's pre-process touches the header, so its last run decides, be it to leave it as that did
+        F.max(F.struct(*order, header_of.alias("st"))).alias("_hlast"),
         F.max(F.when(ok & (is_src | is_brn), F.struct(*order, F.col("dataflowflag").alias("flow")))).alias("_ok"),
         F.max(raised.cast("int")).alias("_anyfail"),
         F.max((ok & is_brn).cast("int")).alias("_anybrn"),

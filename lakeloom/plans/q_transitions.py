@@ -90,7 +90,7 @@ ranked AS (
               WHEN runid IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN 'Failed' END AS hstatus
   FROM oc),
 lastrun AS (
-  SELECT sourceid, hstatus FROM ranked WHERE hstatus IS NOT NULL
+  SELECT sourceid, hstatus FROM ranked
   QUALIFY row_number() OVER (PARTITION BY sourceid ORDER BY loadstarttime DESC, batchid DESC NULLS LAST, runid DESC) = 1),
 lastgroup AS (
   SELECT sourceid, gstatus FROM ranked WHERE gstatus IS NOT NULL
@@ -115,7 +115,7 @@ anyok AS (
   FROM oc WHERE batchid IS NOT NULL GROUP BY sourceid, dataflowflag, targetobject),
 header2 AS (
   SELECT h.* REPLACE (
-    CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN l.hstatus
+    CASE WHEN l.sourceid IS NOT NULL AND h.isapplicable = 1 THEN coalesce(l.hstatus, h.status)
          WHEN h.isapplicable <> 1 AND f.anyfail = 1 THEN 'Failed' ELSE h.status END AS status,
     CASE WHEN h.sourceid IN (SELECT sourceid FROM lastgroup) AND h.isapplicable = 1 THEN {AS_OF_SQL}
          ELSE h.lastupdateddate END AS lastupdateddate)
