@@ -56,8 +56,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): ids as little-endian unsigned 32-bit integers."""
-    ranks = bpe_ranks()
-    return bpe.decode(bpe.encode(docs, ranks), ranks).select(
+    return bpe.encode(docs, bpe_ranks(), decoded=True).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, text_buffer
 from .pieces import cut
 
-CACHE_DOCS, CACHE_WORDS = 20_000, 400_000
+CACHE_DOCS, CACHE_WORDS = 20_000, 300_000
+#: A block of texts.
+BLOCK_ROWS, BLOCK_BYTES = 1000, "4m"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
 NO_MERGE = 1 << 17
 EMPTY = 1 << 61
@@ -97,8 +100,13 @@ def _literal(values, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
+def _let(value: Column, body, like: Column) -> Column:
+    """``body(value)`` with the value computed once; ``like`` is any value of the result's type."""
+    return F.aggregate(F.array(value), like, lambda _, x: body(x))
+
+
+def _joined(*arrays: Column) -> Column:
+    return F.flatten(F.array(*arrays))  # much cheaper than concat where expressions are interpreted
 
 
 def fold_merges(words: Column, ranks: dict[bytes, int]) -> Column:
@@ -107,37 +115,45 @@ def fold_merges(words: Column, ranks: dict[bytes, int]) -> Column:
     The literals are bound once around the fold, so the plan holds one copy of each."""
     moves, slots = displaced(pair_rows(ranks))
     byte_ids = [ranks[bytes([b])] for b in range(256)]
-    return _let(_literal(byte_ids, "bigint"), lambda ids: _let(_literal(moves.tolist(), "bigint"), lambda move: _let(
-        _literal(slots.tolist(), "bigint"), lambda slot: F.transform(
-            words, lambda w: _fold(w, ids, move, slot, len(moves), len(slots))))))
+    firsts = [ranks.get(bytes([a, b]), EMPTY) for a in range(256) for b in range(256)]
+    none = F.array().cast("array<array<bigint>>")
+    return _let(_literal(byte_ids, "bigint"), lambda ids: _let(_literal(firsts, "bigint"), lambda first: _let(
+        _literal(moves.tolist(), "bigint"), lambda move: _let(_literal(slots.tolist(), "bigint"), lambda slot: F.transform(
+            words, lambda w: _fold(w, ids, first, move, slot, len(moves), len(slots))), none), none), none), none)
 
 
-def _fold(word: Column, byte_ids: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
+def _fold(word: Column, byte_ids: Column, firsts: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
+    """firsts: ranks of the pairs of bytes, at ``256 * left + right``."""
     def rank(left: Column, right: Column) -> Column:
         pair = F.shiftleft(F.shiftleft(left, 17).bitwiseXOR(right), 17)
         return _let(F.xxhash64(left, right), lambda h: F.get(slots, F.shiftrightunsigned(h, 32).bitwiseXOR(
-            F.get(moves, h.bitwiseAND(F.lit(n_moves - 1)).cast("int"))).bitwiseAND(F.lit(n_slots - 1)).cast("int")).bitwiseXOR(pair))
+            F.get(moves, h.bitwiseAND(F.lit(n_moves - 1)).cast("int"))).bitwiseAND(F.lit(n_slots - 1)).cast("int")).bitwiseXOR(pair),
+            F.lit(0).cast("bigint"))
 
     n, none = F.size(word), F.array().cast("array<bigint>")
 
     def start(ids: Column) -> Column:
-        return F.struct(ids.alias("ids"), F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1), rank).alias("ranks"))
+        pairs = F.zip_with(F.slice(word, 1, n - 1), F.slice(word, 2, n - 1), lambda a, b: F.get(
+            firsts, F.shiftleft(a.cast("int"), 8).bitwiseOR(b.cast("int"))))
+        return F.struct(ids.alias("ids"), pairs.alias("ranks"))
 
-    def merged(acc: Column, best: Column, p: Column) -> Column:
+    def merged(acc: Column, p: Column) -> Column:
         ids, ranks, last = acc["ids"], acc["ranks"], F.size(acc["ids"])
+        best = F.get(ranks, p - 1)
         left = F.when(p > 1, F.array(rank(F.get(ids, p - 2), best))).otherwise(none)
         right = F.when(p + 1 < last, F.array(rank(best, F.get(ids, p + 1)))).otherwise(none)
-        return F.struct(
-            F.concat(F.slice(ids, 1, p - 1), F.array(best), F.slice(ids, p + 2, F.greatest(last - p - 1, F.lit(0)))).alias("ids"),
-            F.concat(F.slice(ranks, 1, F.greatest(p - 2, F.lit(0))), left, right,
-                     F.slice(ranks, p + 2, F.greatest(last - p - 2, F.lit(0)))).alias("ranks"))
+        both = F.struct(
+            _joined(F.slice(ids, 1, p - 1), F.array(best), F.slice(ids, p + 2, F.greatest(last - p - 1, F.lit(0)))).alias("ids"),
+            _joined(F.slice(ranks, 1, F.greatest(p - 2, F.lit(0))), left, right,
+                    F.slice(ranks, p + 2, F.greatest(last - p - 2, F.lit(0)))).alias("ranks"))
+        return F.when(best < NO_MERGE, both).otherwise(acc)
 
     def step(acc: Column, _: Column) -> Column:
-        return _let(F.array_min(acc["ranks"]), lambda best: F.when(best < NO_MERGE, _let(
-            F.array_position(acc["ranks"], best).cast("int"), lambda p: merged(acc, best, p))).otherwise(acc))
+        place = F.array_position(acc["ranks"], F.array_min(acc["ranks"])).cast("int")
+        return _let(place, lambda p: merged(acc, p), acc)
 
     return _let(F.transform(word, lambda b: F.get(byte_ids, b.cast("int"))), lambda ids: F.when(
-        n > 1, F.aggregate(F.sequence(F.lit(2), n), start(ids), step, lambda acc: acc["ids"])).otherwise(ids))
+        n > 1, F.aggregate(F.sequence(F.lit(2), n), start(ids), step, lambda acc: acc["ids"])).otherwise(ids), none)
 
 
 class Codes(dict):
@@ -192,32 +208,37 @@ def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[by
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS)
 
 
-def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> list[tuple[bytes, list[int]]]:
-    """The top pieces that are no tokens, with their ids."""
+def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The top pieces that are no tokens, all their ids one after another, and the number of ids of each."""
     top = top_pieces(docs, id_col, text_col, frozenset(ranks))
     # the literals are bound once a row, so the words are folded in blocks
-    blocks = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(CACHE_WORDS // 2000)).alias("block")).agg(
+    blocks = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(CACHE_WORDS // 1000)).alias("block")).agg(
         F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))
     rows = blocks.select("words", fold_merges(F.col("bytes"), ranks).cast("array<array<int>>").alias("ids")).toArrow()
-    return [pair for words, ids in zip(rows["words"].to_pylist(), rows["ids"].to_pylist(), strict=True)
-            for pair in zip(words, ids, strict=True)]
+    words, ids = (rows[c].combine_chunks() for c in ("words", "ids"))
+    sizes = pc.list_value_length(ids.flatten()).to_numpy().astype(np.int64)
+    return words.flatten().to_pylist(), ids.flatten().flatten().to_numpy().astype(np.uint32), sizes
+
 
+def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """(id, ids): ids as little-endian unsigned 32-bit integers in a binary.
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): ids as little-endian unsigned 32-bit integers in a binary."""
+    decoded: also the column ``decoded``, the ids decoded again as ``decode`` does, in the same task."""
     spark = docs.sparkSession
-    arrow_limits(spark)
-    cached = frequent_pieces(docs, id_col, text_col, ranks)
+    arrow_limits(spark, BLOCK_ROWS, BLOCK_BYTES)
+    concatenated = _concatenation(ranks) if decoded else None
+    words, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks)
     # codes: the ids of the vocabulary, then the cached pieces; both are of a bounded size
     n_ids = max(ranks.values(), default=-1) + 1
-    known = ranks | {w: n_ids + i for i, (w, _) in enumerate(cached)}
-    flat = np.concatenate([np.arange(n_ids, dtype=np.uint32), *(np.array(i, np.uint32) for _, i in cached)])
-    sizes = np.concatenate([np.ones(n_ids, np.int64), np.array([len(i) for _, i in cached], np.int64)])
-    sent: Broadcast = spark.sparkContext.broadcast((known, flat, sizes))
-    size = n_ids + len(cached)
+    size = n_ids + len(words)
+    known: Broadcast = spark.sparkContext.broadcast(ranks | dict(zip(words, range(n_ids, size), strict=True)))
+    folded_ids: Broadcast = spark.sparkContext.broadcast((
+        np.concatenate([np.arange(n_ids, dtype=np.uint32), flat]), np.concatenate([np.ones(n_ids, np.int64), sizes])))
+    del words, flat, sizes
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(sent.value[0], size)
+        codes = Codes(known.value, size)
         for b in batches:
             words, counts = cut_batch(b.column("text"))
             coded = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
@@ -228,7 +249,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
                 ["id", "counts", "codes", "words"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, known_ids, known_sizes = sent.value
+        known_ids, known_sizes = folded_ids.value
         for b in batches:
             for row in range(b.num_rows):
                 own = b.column("ids")[row].values  # the folded pieces of this block
@@ -244,28 +265,42 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
                 ends = np.concatenate([[0], upto])[np.cumsum(counts)] if len(counts) else counts
                 cuts = np.concatenate([[0], ends]).astype(np.int32) * 4
                 texts = pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
-                yield pa.RecordBatch.from_arrays([b.column("id")[row].values, texts], [id_col, "ids"])
+                more = []
+                if concatenated is not None:
+                    spans = zip((cuts[:-1] // 4).tolist(), (cuts[1:] // 4).tolist(), strict=True)
+                    more = [pa.array([concatenated(ids[a:z]) for a, z in spans], pa.binary())]
+                yield pa.RecordBatch.from_arrays([b.column("id")[row].values, texts, *more], [id_col, "ids", "decoded"][:2 + len(more)])
 
     kind = docs.select(id_col).dtypes[0][1]
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         blocks, f"id array<{kind}>, counts binary, codes binary, words array<array<smallint>>")
     folded = coded.select("id", "counts", "codes", fold_merges(F.col("words"), ranks).cast("array<array<int>>").alias("ids"))
-    return folded.mapInArrow(assemble, f"`{id_col}` {kind}, ids binary")
+    return folded.mapInArrow(assemble, f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded)
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded): the bytes of the ids; a null ``ids`` decodes to nothing."""
-    spark = encoded.sparkSession
+def _concatenation(ranks: dict[bytes, int]):
+    """A function from an array of ids to their bytes, one token's after another's."""
     tokens = [b""] * (max(ranks.values(), default=-1) + 1)
     for t, n in ranks.items():
         tokens[n] = t
-    sent = spark.sparkContext.broadcast(tokens)
-    kind = encoded.select(id_col).dtypes[0][1]
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    starts, every = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+    def concatenated(ids: np.ndarray) -> bytes:
+        n = sizes[ids]
+        upto = np.cumsum(n)
+        return every[np.arange(upto[-1] if len(n) else 0) + np.repeat(starts[ids] - upto + n, n)].tobytes()
+
+    return concatenated
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
+    """(id, ids, decoded): the bytes of the ids; a null ``ids`` decodes to nothing."""
+    concatenated, kind = _concatenation(ranks), encoded.select(id_col).dtypes[0][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.__getitem__
         for b in batches:
-            texts = [b"".join(map(token, np.frombuffer(i or b"", "<u4").tolist())) for i in b.column("ids").to_pylist()]
+            texts = [concatenated(np.frombuffer(i or b"", "<u4")) for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(id_col), b.column("ids"), pa.array(texts, pa.binary())], [id_col, "ids", "decoded"])
 
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded binary")

@@ -28,17 +28,17 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: The word contract of these operators: maximal runs of anything but ASCII white space.
 #: ``bytes.split()`` with no argument splits on exactly these six bytes.
 SPACE = " \t\n\x0b\x0c\r"
-ARROW_ROWS, ARROW_BYTES = 2000, "16m"
+ARROW_ROWS, ARROW_BYTES = 2000, "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_limits(spark: SparkSession) -> None:
+def arrow_limits(spark: SparkSession, rows: int = ARROW_ROWS, size: str = ARROW_BYTES) -> None:
     """Bound an Arrow batch by rows and bytes, so a worker never holds many long texts at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -133,9 +133,8 @@ def bpe_ranks() -> dict[bytes, int]:
 
 @query()
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import decode, encode
-    ranks = bpe_ranks()
-    return decode(encode(table(spark, sf_dir, "documents"), ranks), ranks).select(
+    from .bpe import encode
+    return encode(table(spark, sf_dir, "documents"), bpe_ranks(), decoded=True).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -60,6 +60,12 @@ def test_bpe_equals_tiktoken(spark, docs, tmp_path):
     assert Q.op2_byte_bpe(spark, write_tables(spark, tmp_path / "none", documents=no_docs(spark))).collect() == []
 
 
+def test_decode_alone(spark):
+    rows = [(1, np.array(TIKTOKEN.encode_ordinary("naïve it's"), "<u4").tobytes()), (2, b""), (3, None), (None, np.array([0], "<u4").tobytes())]
+    got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids binary"), RANKS).collect()
+    assert {(r["doc_id"], bytes(r["decoded"])) for r in got} == {(1, "naïve it's".encode()), (2, b""), (3, b""), (None, b"!")}
+
+
 def test_rank_map_finds_every_pair_and_no_other():
     rows = bpe.pair_rows(RANKS)
     moves, slots = bpe.displaced(rows)
