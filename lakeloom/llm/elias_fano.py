@@ -90,29 +90,25 @@ class EliasFano:
     def successor(self, value: np.ndarray) -> np.ndarray:
         """Position of the first element that is not less than each value; n if there is none."""
         value = np.asarray(value, np.int64)
-        high = value >> self.width
-        top = len(self.high) * 64 - self.n  # zeros in the vector
-        inside = high < top
+        high, low = value >> self.width, value & (1 << self.width) - 1
+        zeros = len(self.high) * 64 - self.n
         at = np.full(len(value), self.n, np.int64)
-        # elements with this high part follow the zero that ends the part before
-        start = np.where(high > 0, 0, 0)
-        some = np.flatnonzero(inside & (high > 0))
-        start[some] = self._select(high[some] - 1, 0) + 1
-        pos, go = start, np.flatnonzero(inside)
-        index = pos - high
-        at[go] = index[go]
-        low = value & (1 << self.width) - 1
-        # walk the ones of this high part while their low bits are smaller
+        go = np.flatnonzero(high < zeros)
+        # the elements with this high part stand between the zero that ends the part before and its own
+        h = high[go]
+        first = np.zeros(len(go), np.int64)
+        first[h > 0] = self._select(h[h > 0] - 1, 0) + 1 - h[h > 0]
+        end = self._select(h, 0) - h
+        at[go], last = first, np.zeros(len(value), np.int64)
+        last[go] = end
+        # among them, by halves on the low bits: a frequent context's successors crowd into few high parts
+        go = go[first < end]
         while len(go):
-            one = (self.high[pos[go] >> 6] >> (pos[go] & 63).astype(U) & U(1)).astype(bool)
-            go = go[one]
-            if not len(go):
-                break
-            less = self._low(index[go]) < low[go]
-            go = go[less]
-            index[go] += 1
-            pos[go] += 1
-            at[go] = index[go]
+            middle = (at[go] + last[go]) >> 1
+            less = self._low(middle) < low[go]
+            at[go] = np.where(less, middle + 1, at[go])
+            last[go] = np.where(less, last[go], middle)
+            go = go[at[go] < last[go]]
         return np.minimum(at, self.n)
 
 
