@@ -17,7 +17,7 @@ import numpy as np
 
 U = np.uint64
 MIX_BITS, ORDER0_BITS = 16, 18
-TABLE_BITS, LEVELS = 9, 8
+TABLE_BITS, LEVELS = 8, 8
 _WORD, _TOP, _BOTTOM = U(16), U(1 << 48), U(1 << 40)
 _ID_BITS = 24                      # of a table entry; the confidence stands above
 _ID_MASK = (1 << _ID_BITS) - 1     # also the entry "nothing yet"
@@ -46,7 +46,7 @@ class _Lanes:
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, 2 ** 64 - 1, U)
         self.base = np.arange(2 * lanes).reshape(2, lanes) << TABLE_BITS
         self.rate_base = np.arange(2 * lanes).reshape(2, lanes) * LEVELS
-        self.table = np.full(2 * lanes << TABLE_BITS, _ID_MASK, np.int64)
+        self.table = np.full(2 * lanes << TABLE_BITS, _ID_MASK, np.int32)
         self.rates = np.tile((np.linspace(0.15, 0.85, LEVELS) * _ONE).astype(np.int64), 2 * lanes)
         self.past = np.zeros((2, lanes), np.int64)  # the last id, and the one before
         self.keys = np.zeros((2, lanes), np.int64)
@@ -62,7 +62,7 @@ class _Lanes:
         np.multiply(self.past[1], 30011, out=self.keys[1])
         self.keys[1] += self.keys[0]
         self.slots = (self.keys >> 3 & (1 << TABLE_BITS) - 1) + self.base
-        self.entries = self.table.take(self.slots)
+        self.entries = self.table.take(self.slots).astype(np.int64)
         self.guess, self.level = self.entries & _ID_MASK, self.entries >> _ID_BITS
         self.rate_at = self.rate_base + self.level
         self.p = self.rates.take(self.rate_at)

@@ -38,7 +38,7 @@ from .bpe import Codes, cut_batch, top_pieces
 from .common import arrow_limits, stored
 from .context_coder import decode_blocks, encode_blocks, frequencies
 
-END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 1024, 1 << 21, 16 << 20
+END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
 MAGIC = b"CMRC0001"
 _HEAD, _ENTRY = "<8sIIII", "<III"
 
