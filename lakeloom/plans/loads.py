@@ -1,34 +1,49 @@
 """End-to-end loads (C5 one load, C6 waves, C7 bootstrap) over a snapshot store.
 
-Store layout under ``root`` (all versioned snapshots, see ``sinks.snapshot``):
-  controlheader, controldetail, sourcegroupingdtl, audit, error, datatype_mapping,
-  bronze/<schema>.<object>, silver/<schema>.<table>
+Store layout under ``root`` (versioned snapshots, see ``sinks.snapshot``, but for the logs):
+  controlheader, controldetail, sourcegroupingdtl, datatype_mapping, main_lookup, source_lookup,
+  bronze/<schema>.<object>, silver/<schema>.<table>; audit and error are append-only logs.
 
 A wave is the set of due runs with one calling sequence.  Its transitions are
 set-based (one pre-process job and one post-process job for all its runs); the
 loads themselves are independent Spark jobs submitted concurrently from the
-driver.  A failed load never stops its wave or the next waves; it leaves an
-error row and takes the failed path of the post-process.
+driver, but for runs of one target, which follow one another in run order.  A
+failed load never stops its wave or the next waves; it leaves an error row with
+its whole message and line and takes the failed path of the post-process.
+
+What a run does follows from its flow: a load into bronze empties its table in the
+pre-process and replaces it (the caller gives the source's rows); a load into
+silver makes the table if it is missing - lookup first, then its schema from the
+lookup - checks the source's keys and required columns, and upserts.  A flow
+without a load fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import traceback
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import surrogate_key_name
+from ..functions.exprs import FLOWS, Flows, surrogate_key_name
 from ..functions.typemap import type_map
+from ..operators import checks
 from ..operators import control as ctl
 from ..operators import transitions as tr
-from ..operators.upsert import upsert
+from ..operators.catalog import schema_catalog
+from ..operators.ddl import silver_schema
+from ..operators.lookup import lookup_rows, lookup_upsert
+from ..operators.upsert import dedupe_source, upsert
 from ..sinks import snapshot as snap
 
+_LOOKUP = threading.Lock()
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("sourcename", T.StringType()), T.StructField("sourcetype", T.StringType()),
     T.StructField("sourcedescription", T.StringType()), T.StructField("sourceobject", T.StringType()),
@@ -62,27 +77,57 @@ def silver_name(schema: str, table: str) -> str:
     return f"silver/{schema}.{table}"
 
 
+LOOKUP_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
+    "sourcename", "sourceid", "source_tablename", "bronzedwh_tablename", "silverdwh_tablename")] + [
+    T.StructField("column_id", T.IntegerType())] + [T.StructField(c, T.StringType()) for c in (
+        "source_columnname", "bronzedwh_columnname", "silverdwh_columnname", "datatype", "lh_datatype")] + [
+    T.StructField(c, T.IntegerType()) for c in ("length", "precisions", "scale")] + [
+    T.StructField("keyconstraint", T.StringType()), T.StructField("nullable", T.BooleanType()),
+    T.StructField("silver_default_value", T.StringType()), T.StructField("createdatetime", T.TimestampNTZType()),
+    T.StructField("document", T.StringType())])
+SOURCE_LOOKUP_SCHEMA = T.StructType([T.StructField("source_id", T.IntegerType())] + [
+    T.StructField(c, T.StringType()) for c in ("source_type", "source_schema", "source_table")] + [
+    T.StructField("column_id", T.IntegerType())] + [
+    T.StructField(c, T.StringType()) for c in ("column_name", "source_data_type")] + [
+    T.StructField(c, T.IntegerType()) for c in ("length", "precisions", "scale")] + [
+    T.StructField("nullable", T.BooleanType()), T.StructField("key_constraint", T.StringType()),
+    T.StructField("target_table", T.StringType()), T.StructField("extraction_timestamp", T.TimestampNTZType())])
+
+
 def init_store(spark: SparkSession, root: str, header: DataFrame, detail: DataFrame,
                groups: DataFrame, as_of=None) -> None:
-    """Bootstrap (C7): control tables, empty audit and error logs, and the
-    68-row type map (inserted once)."""
+    """Bootstrap (C7): control tables, empty logs and lookups, and the 68-row type map (inserted once)."""
     for name, df in (("controlheader", header), ("controldetail", detail), ("sourcegroupingdtl", groups)):
         snap.publish(df, root, name)
-    snap.create_empty(spark, root, "audit", AUDIT_SCHEMA)
-    snap.create_empty(spark, root, "error", ERROR_SCHEMA)
+    snap.create_log(spark, root, "audit", AUDIT_SCHEMA)
+    snap.create_log(spark, root, "error", ERROR_SCHEMA)
+    snap.create_empty(spark, root, "main_lookup", LOOKUP_SCHEMA)
+    snap.create_empty(spark, root, "source_lookup", SOURCE_LOOKUP_SCHEMA)
     if not snap.table_exists(spark, root, "datatype_mapping"):
         snap.publish(type_map(spark, as_of), root, "datatype_mapping")
 
 
-def silver_schema_of(bronze: DataFrame, target: str) -> T.StructType:
-    """Silver schema from the bronze schema: surrogate key, source columns, audit."""
-    fields = [T.StructField(surrogate_key_name(target), T.LongType(), False)]
-    fields += [T.StructField(f.name, f.dataType, True) for f in bronze.schema.fields]
-    fields += [T.StructField("etlactiveind", T.IntegerType()), T.StructField("etljobname", T.StringType()),
-               T.StructField("envsourcecd", T.StringType()), T.StructField("datasourcecd", T.StringType()),
-               T.StructField("etlcreateddatetime", T.TimestampNTZType()),
-               T.StructField("etlupdateddatetime", T.TimestampNTZType())]
-    return T.StructType(fields)
+def audit_log(spark: SparkSession, root: str) -> DataFrame:
+    """Each run's audit row in its latest state."""
+    return snap.latest(snap.read_log(spark, root, "audit", AUDIT_SCHEMA), [*tr.RUN_KEY, "latestbatchid"])
+
+
+def error_log(spark: SparkSession, root: str) -> DataFrame:
+    return snap.read_log(spark, root, "error", ERROR_SCHEMA).drop(snap.SEQUENCE)
+
+
+def lookup_of(spark: SparkSession, root: str, bronze: DataFrame, run: dict, keys: list[str], as_of) -> list:
+    """Upsert the lookup rows of a run's columns; those of its silver table (one table's columns)."""
+    columns = schema_catalog(spark, {run["sourceobject"]: bronze}, run["sourceschema"])
+    kind = "table_schema string, table_name string, constraint_name string, "
+    named = (run["sourceschema"], run["sourceobject"], f"{run['sourceobject']}_key")
+    constraints = spark.createDataFrame([(*named, "UNIQUE")] if keys else [], kind + "constraint_type string")
+    usage = spark.createDataFrame([(*named, k) for k in keys], kind + "column_name string")
+    rows = lookup_rows(columns, constraints, usage, F.lit(run["sourceid"]), F.lit(run["targetobject"]), as_of)
+    lookup = lookup_upsert(snap.read_table(spark, root, "main_lookup"), rows).table
+    snap.publish(lookup, root, "main_lookup")
+    return snap.read_table(spark, root, "main_lookup").where(
+        (F.col("silverdwh_tablename") == run["targetobject"]) & (F.col("sourceid") == run["sourceid"])).collect()
 
 
 def read_silver(spark: SparkSession, root: str, schema: str, table: str) -> DataFrame:
@@ -99,24 +144,64 @@ class LoadResult:
     inscnt: int | None = None
     updcnt: int | None = None
     error: str | None = None
+    line: int | None = None
+
+
+def _failed(res: LoadResult, e: Exception) -> LoadResult:
+    """The run fails, its wave goes on (F22): whole message, and the line that raised."""
+    frames = traceback.extract_tb(e.__traceback__)
+    res.error = f"{type(e).__name__}: {e.args[0] if e.args else ''}"
+    res.line = frames[-1].lineno if frames else None
+    res.inscnt, res.updcnt = 0, 0
+    traceback.print_exc()
+    return res
+
 
+def checked_source(bronze: DataFrame, keys: list, dedupe_by: list | None) -> DataFrame:
+    """The source with unique business keys (Q1, Q5): a repeated key fails, or the greatest row by ``dedupe_by`` stays."""
+    names = [k if isinstance(k, str) else k[0] for k in keys]
+    if not names:
+        return bronze
+    if dedupe_by:
+        nulls = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in names])
+        return dedupe_source(bronze.where(~nulls), names, dedupe_by).unionByName(bronze.where(nulls))
+    surplus = checks.duplicate_summary(bronze, names).first()
+    if surplus["dup_keys"]:
+        raise ValueError(f"{surplus['dup_keys']} business keys occur more than once ({surplus['surplus_rows']} surplus rows)")
+    return bronze
 
-def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of,
-             buckets: int | None = None) -> LoadResult:
-    """One bronze_to_silver load (C5 body): create the silver table when missing (K7),
-    upsert the bronze object into it (U1), publish the new version and return
-    (srccnt, inscnt, updcnt) counted from the written version."""
+
+def check_columns(bronze: DataFrame, required: list[str], limits: dict[str, int]) -> None:
+    """Required columns hold no NULL (Q2) and texts are not longer than allowed (Q3)."""
+    if required and (bad := checks.not_null_violations(bronze, required).collect()):  # one row per column
+        raise ValueError("NULL in required columns: " + ", ".join(f"{r['column_name']} ({r['n_null']})" for r in bad))
+    if limits and (bad := checks.length_violations(bronze, limits).where("n_over > 0").collect()):
+        raise ValueError("too long: " + ", ".join(f"{r['column_name']} ({r['n_over']})" for r in bad))
+
+
+def load_silver(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of,
+                buckets: int | None = None, dedupe_by: list | None = None, limits: dict | None = None) -> LoadResult:
+    """One load into silver (C5 body): make the table when it is missing - lookup
+    upsert (U2), then its schema from the lookup (K7) - check the source, upsert
+    the bronze object (U1), publish the new version and return (srccnt, inscnt,
+    updcnt) counted from the written version."""
     res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
     try:
         bronze = snap.read_table(spark, root, bronze_name(run["sourceschema"], run["sourceobject"]))
         # counted first, as the original does: a later failure keeps it (quirk 24)
         res.srccnt = bronze.count()
         sname = silver_name(run["targetschemaname"], run["targetobject"])
-        sk = surrogate_key_name(run["targetobject"])
-        snap.create_empty(spark, root, sname, silver_schema_of(bronze, run["targetobject"]))
-        silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
-        r = upsert(silver, bronze, keys, surrogate=sk, meta=meta, as_of=as_of)
         tkeys = [k if isinstance(k, str) else k[1] for k in keys]
+        if not snap.table_exists(spark, root, sname):
+            with _LOOKUP:  # loads of one wave share the lookup table
+                rows = lookup_of(spark, root, bronze, run, tkeys, as_of)
+            snap.create_empty(spark, root, sname, silver_schema(run["targetobject"], rows))
+        silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
+        lookup = snap.read_table(spark, root, "main_lookup").where(F.col("silverdwh_tablename") == run["targetobject"])
+        required = [r[0] for r in lookup.where("NOT nullable").select("silverdwh_columnname").distinct().collect()]
+        check_columns(bronze, [c for c in required if c in bronze.columns], limits or {})
+        source = checked_source(bronze, keys, dedupe_by)
+        r = upsert(silver, source, keys, surrogate=surrogate_key_name(run["targetobject"]), meta=meta, as_of=as_of)
         # sorted by business key inside each file (row-group statistics prune key
         # lookups); with ``buckets`` also bucketed by it, so the next upsert does
         # not shuffle the silver table
@@ -126,81 +211,105 @@ def load_one(spark: SparkSession, root: str, run: dict, keys: list, meta: dict,
         c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
                         F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
         res.inscnt, res.updcnt = int(c["i"]), int(c["u"])
-    except Exception as e:  # the run fails, its wave goes on (F22)
-        res.error = f"{type(e).__name__}: {e.args[0] if e.args else ''}"[:2000]
-        res.inscnt, res.updcnt = 0, 0
-        traceback.print_exc()
+    except Exception as e:
+        return _failed(res, e)
+    return res
+
+
+def load_bronze(spark: SparkSession, root: str, run: dict, source_of) -> LoadResult:
+    """One load into bronze (K2): the pre-process empties the table, then the source replaces it."""
+    res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
+    try:
+        if source_of is None:
+            raise ValueError(f"no source is given for flow {run['dataflowflag']}")
+        name = bronze_name(run["targetschemaname"], run["targetobject"])
+        snap.truncate(spark, root, name)
+        source = source_of(run)
+        v = snap.overwrite(source, root, name)
+        res.srccnt = res.inscnt = snap.read_table(spark, root, name, v).count()
+        res.updcnt = 0
+    except Exception as e:
+        return _failed(res, e)
     return res
 
 
 def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=None,
-             parallel: int = 4, buckets: int | None = None) -> list[LoadResult]:
-    """Pre-process all runs of a wave, load them concurrently, then the error and
-    post-process transitions - each transition one set-based job."""
+             parallel: int = 4, buckets: int | None = None, source_of=None, dedupe_by=None,
+             limits_of=None, flows: Flows = FLOWS) -> list[LoadResult]:
+    """Pre-process all runs of a wave, load them, then the error and post-process
+    transitions - each transition one set-based job.
+
+    ``keys_of``/``dedupe_by``/``limits_of``: functions of a run giving its business
+    keys, the order that picks one of several rows of a key (none: they fail), and
+    the length limits of columns; ``source_of``: the rows of a load into bronze."""
     as_of = as_of or dt.datetime.now().replace(microsecond=0)
     header = snap.read_table(spark, root, "controlheader")
     detail = snap.read_table(spark, root, "controldetail")
     groups = snap.read_table(spark, root, "sourcegroupingdtl")
-    audit = snap.read_table(spark, root, "audit")
     req = runs.select(*tr.RUN_KEY, F.lit(as_of).cast("timestamp_ntz").alias("loadstarttime"),
                       F.monotonically_increasing_id().alias("runid"))
-    pre = tr.pre_process(req, detail, header, groups, as_of=as_of)
-    batches = pre.runs.select(*tr.RUN_KEY, "batchid").cache()
-    # the run records of a wave are control rows: bounded by the number of objects
-    plan = runs.join(batches, tr.RUN_KEY).collect()
-    meta_rows = {(m["sourceid"], m["dataflowflag"], m["targetobject"]): m for m in
-                 ctl.run_metadata(runs, header, detail).collect()}
+    pre = tr.pre_process(req, detail, header, groups, as_of=as_of, flows=flows)
+    # one row per run: the driver submits a job for each, so it holds their records
+    batches = pre.runs.select(*tr.RUN_KEY, "batchid", "runid").cache()
+    plan = [r.asDict() for r in ctl.run_metadata(runs.join(batches, tr.RUN_KEY), header, detail).collect()]
     snap.publish(pre.detail, root, "controldetail")
     snap.publish(pre.header, root, "controlheader")
     snap.publish(pre.groups, root, "sourcegroupingdtl")
-    snap.publish(audit.unionByName(pre.audit_rows), root, "audit")
+    snap.append(pre.audit_rows, root, "audit", AUDIT_SCHEMA)
 
-    def work(row) -> LoadResult:
-        r = row.asDict()
-        m = meta_rows.get((r["sourceid"], r["dataflowflag"], r["targetobject"]), {})
-        meta = {"etljobname": m["jobname"] if m else None,
-                "envsourcecd": m["envsourcecode"] if m else None,
-                "datasourcecd": m["datasourcecode"] if m else None}
-        return load_one(spark, root, r, keys_of(r), meta, as_of, buckets)
+    def load(run: dict) -> LoadResult:
+        if run["dataflowflag"] == flows.bronze:
+            return load_bronze(spark, root, run, source_of)
+        if run["dataflowflag"] != flows.silver:
+            res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"], inscnt=0, updcnt=0)
+            res.error = f"ValueError: no load for flow {run['dataflowflag']}"
+            return res
+        meta = {"etljobname": run["jobname"], "envsourcecd": run["envsourcecode"], "datasourcecd": run["datasourcecode"]}
+        return load_silver(spark, root, run, keys_of(run), meta, as_of, buckets, dedupe_by(run) if dedupe_by else None,
+                           limits_of(run) if limits_of else None)
 
+    # runs of one target in order, different targets at the same time
+    by_target: dict[tuple, list[dict]] = {}
+    for run in sorted(plan, key=lambda r: r["runid"]):
+        by_target.setdefault((run["targetschemaname"], run["targetobject"]), []).append(run)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-        results = list(ex.map(work, plan))
-    by_key = {(p["sourceid"], p["dataflowflag"], p["targetobject"]): p["batchid"] for p in plan}
-    out_schema = ("sourceid string, dataflowflag string, targetobject string, batchid long, srccnt long, "
-                  "inscnt long, updcnt long, errordesc string")
-    rows = [(x.sourceid, x.dataflowflag, x.targetobject, by_key[(x.sourceid, x.dataflowflag, x.targetobject)],
-             x.srccnt, x.inscnt, x.updcnt, x.error) for x in results]
+        done = list(ex.map(lambda mine: [(run, load(run)) for run in mine], by_target.values()))
+    results = [x for mine in done for x in mine]
+    out_schema = ("sourceid string, dataflowflag string, targetobject string, batchid long, runid long, srccnt long, "
+                  "inscnt long, updcnt long, errordesc string, errorline int")
+    rows = [(x.sourceid, x.dataflowflag, x.targetobject, run["batchid"], run["runid"],
+             x.srccnt, x.inscnt, x.updcnt, x.error, x.line) for run, x in results]
     outcomes = (spark.createDataFrame(rows, out_schema)
                 .withColumn("loadstarttime", F.lit(as_of).cast("timestamp_ntz"))
-                .withColumn("runid", F.lit(0).cast("long"))
                 .withColumn("raised", F.col("errordesc").isNotNull()))
     events = outcomes.where(F.col("errordesc").isNotNull()).select(
-        *tr.RUN_KEY, "batchid", F.lit(-1).alias("errorid"), "errordesc")
+        *tr.RUN_KEY, "batchid", F.lit(-1).alias("errorid"), "errordesc", "errorline")
     detail1 = snap.read_table(spark, root, "controldetail")
     header1 = snap.read_table(spark, root, "controlheader")
     groups1 = snap.read_table(spark, root, "sourcegroupingdtl")
-    audit1 = snap.read_table(spark, root, "audit")
-    errors = snap.read_table(spark, root, "error")
-    new_errors = tr.error_rows(events, detail1, as_of=as_of)
-    all_errors = errors.unionByName(new_errors.select(*errors.columns))
-    post = tr.post_process(outcomes.drop("errordesc"), all_errors, detail1, header1, groups1, audit1,
-                           as_of=as_of)
-    snap.publish(all_errors, root, "error")
+    # only this wave's rows of the logs matter to its post-process: its batch ids are new
+    snap.append(tr.error_rows(events, detail1, as_of=as_of, flows=flows), root, "error", ERROR_SCHEMA)
+    wave = outcomes.select(*tr.RUN_KEY, F.col("batchid").alias("latestbatchid")).distinct()
+    mine = [*tr.RUN_KEY, "latestbatchid"]
+    errors = error_log(spark, root).join(wave, mine, "left_semi")
+    started = audit_log(spark, root).join(wave, mine, "left_semi")
+    post = tr.post_process(outcomes.drop("errordesc", "errorline"), errors, detail1, header1, groups1, started,
+                           as_of=as_of, flows=flows)
     snap.publish(post.detail, root, "controldetail")
     snap.publish(post.header, root, "controlheader")
     snap.publish(post.groups, root, "sourcegroupingdtl")
-    snap.publish(post.audit, root, "audit")
+    snap.append(post.audit, root, "audit", AUDIT_SCHEMA)
     batches.unpersist()
-    return results
+    return [x for _, x in results]
 
 
 def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=None,
-              parallel: int = 4, buckets: int | None = None) -> list[LoadResult]:
+              parallel: int = 4, **options) -> list[LoadResult]:
     """All due runs, wave by wave in ascending calling sequence.
 
     Only the list of distinct sequences reaches the driver (a handful of
     numbers); every wave is re-selected from the control tables as they stand
-    after the previous wave."""
+    after the previous wave.  ``options``: see ``run_wave``."""
     header = snap.read_table(spark, root, "controlheader")
     detail = snap.read_table(spark, root, "controldetail")
     groups = snap.read_table(spark, root, "sourcegroupingdtl")
@@ -212,5 +321,5 @@ def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=N
         detail = snap.read_table(spark, root, "controldetail")
         groups = snap.read_table(spark, root, "sourcegroupingdtl")
         wave = ctl.due_runs(header, detail, groups, f, order=False).where(F.col("sourcecallingseq") == s)
-        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel, buckets=buckets)
+        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel, **options)
     return results

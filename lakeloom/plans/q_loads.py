@@ -54,7 +54,7 @@ def waves_e2e(spark, sf_dir):
     snap.overwrite(Tables(spark, sf_dir).orders, root, pl.bronze_name("stg", "orders"))
     pl.run_waves(spark, root, RunFilter(dataflowflag="bronze_to_silver"), keys_of=lambda r: ["o_orderkey"],
                  as_of=AS_OF, parallel=2)
-    a = snap.read_table(spark, root, "audit")
+    a = pl.audit_log(spark, root)
     seq = h.select(F.col("sourceid").alias("_s"), "sourcecallingseq")
     return a.join(seq, F.col("sourceid") == F.col("_s")).select(
         "sourceid", "sourcecallingseq", "srcrwcnt", "tgtinscnt", "tgtupdcnt", "flowstatus", "latestbatchid")

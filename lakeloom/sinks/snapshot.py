@@ -6,15 +6,25 @@ upsert, a status update of the control tables) writes a complete new version
 ``<root>/_versions/<table>/<n>``.  Readers take the greatest published version;
 a version whose write failed half-way is never published and never read, and
 no path that is being read is ever overwritten.  Markers are listed through
-the Hadoop file system of the session (a metadata call, no Spark job).
+the Hadoop file system of the session (a metadata call, no Spark job).  Only the
+last ``RETAIN`` versions stay.
+
+Logs (K3, K4) are appended: a row is never rewritten, a later state of it is a later
+row, and ``latest`` picks the last one of each key.
 """
 
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+#: Published versions of a table that are kept, the newest included.
+RETAIN = 8
+SEQUENCE = "logsequence"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,7 +73,8 @@ def read_table(spark: SparkSession, root: str, table: str, version: int | None =
 
 
 def publish(df: DataFrame, root: str, table: str, version: int | None = None,
-            sort_by: list[str] | None = None, bucket: tuple[int, list[str]] | None = None) -> int:
+            sort_by: list[str] | None = None, bucket: tuple[int, list[str]] | None = None,
+            retain: int = RETAIN) -> int:
     """Write ``df`` as the next version of ``table``, then publish its marker.
 
     ``bucket=(n, keys)`` writes the version as an external catalog table
@@ -83,6 +94,11 @@ def publish(df: DataFrame, root: str, table: str, version: int | None = None,
     fs, p = _fs(spark, f"{_vdir(root, table)}/{v}")
     if not fs.createNewFile(p):
         raise RuntimeError(f"version {v} of {table} was published concurrently")
+    for old in published_versions(spark, root, table)[:-retain]:
+        fs.delete(_fs(spark, f"{_vdir(root, table)}/{old}")[1], False)
+        if spark.catalog.tableExists(catalog_name(root, table, old)):
+            spark.sql(f"DROP TABLE {catalog_name(root, table, old)}")
+        fs.delete(_fs(spark, f"{root.rstrip('/')}/{table}/v={old}")[1], True)
     return v
 
 
@@ -94,6 +110,43 @@ def create_empty(spark: SparkSession, root: str, table: str, schema: StructType)
     return publish(spark.createDataFrame([], schema), root, table)
 
 
+def truncate(spark: SparkSession, root: str, table: str) -> None:
+    """An empty version of an existing table (K2); nothing if there is none."""
+    if table_exists(spark, root, table):
+        publish(read_table(spark, root, table).limit(0), root, table)
+
+
+def _log(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}/log"
+
+
+def _logged(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(SEQUENCE, LongType())])
+
+
+def create_log(spark: SparkSession, root: str, table: str, schema: StructType) -> None:
+    """An empty log, if there is none."""
+    spark.createDataFrame([], _logged(schema)).write.mode("append").parquet(_log(root, table))
+
+
+def append(df: DataFrame, root: str, table: str, schema: StructType) -> None:
+    """Add rows to a log; they are later than all rows added before."""
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], F.lit(time.time_ns()).alias(SEQUENCE))
+    rows.write.mode("append").parquet(_log(root, table))
+
+
+def read_log(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    """All rows of a log, with SEQUENCE."""
+    return spark.read.schema(_logged(schema)).parquet(_log(root, table))
+
+
+def latest(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The last row of each key, by a partial aggregation; without SEQUENCE."""
+    rest = [c for c in log.columns if c not in keys and c != SEQUENCE]
+    last = log.groupBy(*keys).agg(F.max(F.struct(SEQUENCE, *rest)).alias("_l"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_l.{c}").alias(c) for c in log.columns if c != SEQUENCE])
+
+
 def overwrite(df: DataFrame, root: str, table: str) -> int:
     """Truncate-and-load of a bronze table (K2): simply the next full version."""
     return publish(df, root, table)

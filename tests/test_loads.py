@@ -30,9 +30,9 @@ def test_waves_load_fail_and_transition(spark, tables):
     assert "FileNotFoundError" in by["S3"].error
     silver = pl.read_silver(spark, root, "dwh", "d_orders_silver")
     assert silver.count() == n and silver.select("orderskey").distinct().count() == n
-    audit = {r.sourceid: r for r in snap.read_table(spark, root, "audit").collect()}
+    audit = {r.sourceid: r for r in pl.audit_log(spark, root).collect()}
     assert audit["S1"].flowstatus == "Completed" and audit["S3"].flowstatus == "Failed"
-    errs = snap.read_table(spark, root, "error").collect()
+    errs = pl.error_log(spark, root).collect()
     assert [e.sourceid for e in errs] == ["S3"]
     det = {r.sourceid: r for r in snap.read_table(spark, root, "controldetail").collect()}
     assert det["S1"].isreadyforexecution == 0 and det["S1"].flowstatus == "Completed"
@@ -64,3 +64,84 @@ def test_bucketed_silver_is_not_shuffled_again(spark, tables):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SelectedBucketsCount" in plan
+
+
+def _store(spark, tables, rows):
+    """A store whose runs are (sourceid, sequence, flow, source object, target object)."""
+    root = tempfile.mkdtemp(prefix="lakeloom-e2e-")
+    h, d, g = _control(spark)
+    h1, d1 = h.where("sourceid = 'S1'"), d.where("sourceid = 'S1'")
+    hs, ds = h1.limit(0), d1.limit(0)
+    for i, (s, seq, flow, src, target) in enumerate(rows):
+        hs = hs.unionByName(h1.withColumn("sourceid", F.lit(s)).withColumn("id", F.lit(i).cast("long"))
+                            .withColumn("sourcecallingseq", F.lit(seq)))
+        ds = ds.unionByName(d1.withColumn("sourceid", F.lit(s)).withColumn("dataflowflag", F.lit(flow))
+                            .withColumn("sourceobject", F.lit(src)).withColumn("targetobject", F.lit(target))
+                            .withColumn("targetschemaname", F.lit("stg" if flow == "raw_to_bronze" else "dwh")))
+    pl.init_store(spark, root, hs, ds, g, as_of=T)
+    snap.overwrite(tables.orders, root, pl.bronze_name("stg", "orders"))
+    return root
+
+
+def test_one_wave_one_target_runs_in_order_and_bad_sources_fail(spark, tables):
+    root = _store(spark, tables, [("A", 1, "bronze_to_silver", "orders", "d_orders_silver"),
+                                  ("B", 1, "bronze_to_silver", "orders", "d_orders_silver"),
+                                  ("C", 1, "bronze_to_silver", "twice", "d_twice_silver"),
+                                  ("D", 1, "silver_to_gold", "orders", "g_orders")])
+    snap.overwrite(tables.orders.unionByName(tables.orders), root, pl.bronze_name("stg", "twice"))
+    by = {r.sourceid: r for r in pl.run_waves(spark, root, RunFilter(), keys_of=lambda r: ["o_orderkey"], as_of=T)}
+    n = tables.orders.count()
+    assert sorted((by[s].inscnt, by[s].updcnt) for s in "AB") == [(0, n), (n, 0)]
+    assert "more than once" in by["C"].error and by["C"].srccnt == 2 * n
+    gold = pl.run_waves(spark, root, RunFilter(dataflowflag="silver_to_gold"), keys_of=lambda r: [], as_of=T)
+    assert "no load for flow" in gold[0].error
+    # the silver schema came from the lookup, which knows the key
+    lookup = snap.read_table(spark, root, "main_lookup").where("silverdwh_tablename = 'd_orders_silver'")
+    assert lookup.where("keyconstraint = 'UNIQUE'").first().source_columnname == "o_orderkey"
+    silver = pl.read_silver(spark, root, "dwh", "d_orders_silver")
+    assert silver.columns[0] == "orderskey" and set(tables.orders.columns) < set(silver.columns)
+    # with an order to pick by, the doubled source loads
+    wave = pl.run_waves(spark, root, RunFilter(failed_only=True), keys_of=lambda r: ["o_orderkey"], as_of=T,
+                        dedupe_by=lambda r: ["o_totalprice"])
+    assert [(r.sourceid, r.inscnt, r.error) for r in wave] == [("C", n, None)]
+    # logs only grow; a run's last state counts
+    log = snap.read_log(spark, root, "audit", pl.AUDIT_SCHEMA)
+    assert log.count() > pl.audit_log(spark, root).count() == 5
+    assert {(r.sourceid, r.latestbatchid, r.flowstatus) for r in pl.audit_log(spark, root).where("sourceid = 'C'").collect()} == {
+        ("C", 1, "Failed"), ("C", 2, "Completed")}
+
+
+def test_load_into_bronze_replaces_the_table(spark, tables):
+    root = _store(spark, tables, [("A", 1, "raw_to_bronze", "orders", "orders_raw")])
+    flow = RunFilter(dataflowflag="raw_to_bronze")
+    r = pl.run_waves(spark, root, flow, keys_of=lambda r: [], as_of=T, source_of=lambda run: tables.orders)
+    assert (r[0].inscnt, r[0].error) == (tables.orders.count(), None)
+    assert snap.read_table(spark, root, pl.bronze_name("stg", "orders_raw")).count() == tables.orders.count()
+    # a load that fails after the truncate leaves the table empty, and its whole message in the log
+    snap.publish(snap.read_table(spark, root, "controldetail").withColumn("isreadyforexecution", F.lit(1)), root, "controldetail")
+
+    def broken(run):
+        raise RuntimeError("x" * 5000)
+
+    r = pl.run_waves(spark, root, flow, keys_of=lambda r: [], as_of=T, source_of=broken)
+    assert snap.read_table(spark, root, pl.bronze_name("stg", "orders_raw")).count() == 0
+    err = pl.error_log(spark, root).first()
+    assert err.errordesc == "RuntimeError: " + "x" * 5000 and err.errorline is not None
+
+
+def test_required_and_long_columns_fail(spark, tables):
+    import pytest
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "k long, t string")
+    with pytest.raises(ValueError, match="t \\(1\\)"):
+        pl.check_columns(df, ["k", "t"], {})
+    with pytest.raises(ValueError, match="too long"):
+        pl.check_columns(df, [], {"t": 1})
+    pl.check_columns(df, ["k"], {"t": 2})
+
+
+def test_old_versions_go(spark):
+    root = tempfile.mkdtemp(prefix="lakeloom-e2e-")
+    for i in range(6):
+        snap.publish(spark.range(i), root, "t", retain=3)
+    assert snap.published_versions(spark, root, "t") == [4, 5, 6]
+    assert snap.read_table(spark, root, "t").count() == 5
