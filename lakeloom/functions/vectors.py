@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def squared_l2(a, b) -> Column:
     """Squared Euclidean distance of two arrays, summed in element order.
 
-    Native higher-order functions: stays inside whole-stage codegen, no UDF.
+    Native higher-order functions, no UDF; Spark interprets them (they are no part of generated code).
     Elements are widened to double before squaring.
     """
     a = F.col(a) if isinstance(a, str) else a

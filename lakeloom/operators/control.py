@@ -8,7 +8,7 @@ or a DataFrame of values (semi/anti join, for lists that grow with the data).
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +55,6 @@ class RunFilter:
     load_frequency: str | None = None
     failed_only: bool = False
     group_schema: str = "dwh"
-    extra: dict = field(default_factory=dict)
 
 
 def is_in(df: DataFrame, col: str, values) -> DataFrame:
@@ -126,7 +125,7 @@ def due_runs(header: DataFrame, detail: DataFrame, groups: DataFrame | None,
         elif side == "d" and c in d.columns:
             cols.append(F.col(c))
     if order and "h_id" in h.columns:
-        j = j.orderBy(F.col("h_id").asc_nulls_first(), F.col("targetobject"))
+        j = j.orderBy(F.col("h_id").asc_nulls_last(), F.col("targetobject").asc_nulls_last())
     return j.select(*cols)
 
 

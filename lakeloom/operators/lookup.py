@@ -32,7 +32,7 @@ def lookup_build(source_lookup: DataFrame, type_map: DataFrame, case_insensitive
                    neg_one_to_null("length").alias("length"), "precisions", "scale", "nullable",
                    "key_constraint", F.lit("BRN").alias("processing_layer"),
                    F.lit(None).cast("string").alias("default_value"))
-    return out.orderBy("column_id", "column_name", "target_table")
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in ("column_id", "column_name", "target_table")])
 
 
 def lookup_rows(columns: DataFrame, table_constraints: DataFrame, key_column_usage: DataFrame,

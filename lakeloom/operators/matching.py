@@ -7,11 +7,9 @@ behaviour of ``difflib.get_close_matches(word, names, n=1, cutoff)``.
 
 Distributed form: a source column with an identically named target column
 scores 1.0, the unique maximum, so those are settled by an equi-join.  Only the
-rest are scored, against the target columns of their own table pair, after the
-exact length bound ``2 * min(len) / (len_a + len_b) >= cutoff`` (the upper bound
-the stdlib also checks first).  Pairs exist only within a table pair, whose
-width is bounded by the database (``MAX_COLUMNS_PER_TABLE``); the guard fails
-the job instead of letting a malformed catalog explode.
+rest are scored, against the target columns of their own table pair, after two
+exact bounds in native expressions: the lengths, and the letters that both names
+have (each letter as often as the name with fewer of it), which no ratio exceeds.
 """
 
 from __future__ import annotations
@@ -23,25 +21,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import parallelism
+from .ddl import insert_columns, update_columns
 
-MAX_COLUMNS_PER_TABLE = 1600  # PostgreSQL's hard limit on columns per table
+def shared_letters(a, b):
+    """Number of letters of ``a`` and ``b`` that pair off, whatever their order."""
+    def count(name, letter):
+        return F.length(name) - F.length(F.replace(name, letter, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, x: n + F.when(
+        x == "", 0).otherwise(F.least(count(a, x), count(b, x))))
 
 
-def _ratio_at_least(a: str, b: str, cutoff: float) -> float:
-    """SequenceMatcher(None, a, b).ratio() when it can reach ``cutoff``, else 0.0;
-    the two cheap upper bounds are tried first, as get_close_matches does."""
-    sm = difflib.SequenceMatcher(None, a, b)
-    if sm.real_quick_ratio() < cutoff or sm.quick_ratio() < cutoff:
-        return 0.0
-    return sm.ratio()
-
-
-def name_ratio(cutoff: float = 0.0):
-    """Arrow-batched pandas UDF: the name ratio of (candidate, word), 0.0 below ``cutoff``."""
+def name_ratio():
+    """Arrow-batched pandas UDF: the name ratio of (candidate, word); a batch keeps one matcher per word."""
     @F.pandas_udf("double")
     def _udf(candidate: pd.Series, word: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None or b is None else _ratio_at_least(a, b, cutoff)
-                          for a, b in zip(candidate, word)], dtype="float64")
+        matchers: dict[str, difflib.SequenceMatcher] = {}
+        out = []
+        for a, b in zip(candidate, word):
+            if a is None or b is None:
+                out.append(None)
+                continue
+            m = matchers.get(b)
+            if m is None:
+                m = matchers[b] = difflib.SequenceMatcher(None, "", b)
+            m.set_seq1(a)
+            out.append(m.ratio())
+        return pd.Series(out, dtype="float64")
     return _udf
 
 
@@ -57,19 +62,16 @@ def fuzzy_column_match(source: DataFrame, target: DataFrame, pairs: DataFrame,
                 F.lit(1.0).alias("ratio"))
     rest = s.join(exact.select("source_table", "target_table", "source_column"),
                   ["source_table", "target_table", "source_column"], "left_anti")
-    width = target.groupBy(F.col("table_name").alias("_wt")).agg(F.count(F.lit(1)).alias("_w"))
-    t = t.join(width, F.col("target_table") == F.col("_wt")).select(
-        "target_table", "target_column",
-        F.when(F.col("_w") > MAX_COLUMNS_PER_TABLE,
-               F.raise_error(F.lit(f"table wider than {MAX_COLUMNS_PER_TABLE} columns"))).alias("_guard"))
     cand = rest.join(t, "target_table")
-    la, lb = F.length("source_column"), F.length("target_column")
-    cand = cand.where(F.col("_guard").isNull() & (2.0 * F.least(la, lb) / (la + lb) >= cutoff))
+    a, b = F.col("source_column"), F.col("target_column")
+    total = F.length(a) + F.length(b)
+    cand = cand.where(2.0 * F.least(F.length(a), F.length(b)) / total >= cutoff)
+    cand = cand.where(2.0 * shared_letters(a, b) / total >= cutoff)
     # the Python scoring is the costly step: an explicit round-robin repartition
     # keeps it on every core (adaptive execution would merge small hash
     # partitions into one task; a repartition by number is left as asked)
     cand = cand.repartition(parallelism(cand.sparkSession))
-    scored = cand.withColumn("ratio", name_ratio(cutoff)(F.col("target_column"), F.col("source_column")))
+    scored = cand.withColumn("ratio", name_ratio()(F.col("target_column"), F.col("source_column")))
     # best first, cut-off after: the UDF result is consumed once (a filter on it
     # before the aggregate would make Spark evaluate the UDF twice)
     best = scored.groupBy("source_table", "target_table", "source_column").agg(
@@ -80,20 +82,21 @@ def fuzzy_column_match(source: DataFrame, target: DataFrame, pairs: DataFrame,
     return exact.unionByName(fuzzy)
 
 
-def best_match(word: str, candidates: list[str], cutoff: float = 0.6) -> str | None:
-    """Driver-side form for one table's schema (metadata, bounded by its width)."""
-    m = difflib.get_close_matches(word, candidates, n=1, cutoff=cutoff)
-    return m[0] if m else None
-
-
-def legacy_column_plan(source_cols: list[str], target_cols: list[str], source_keys: list[str],
-                       cutoff: float = 0.6) -> dict:
-    """The legacy generator's column plan (M2): keys = source key columns with a
-    fuzzy match in the target; update = exact-name intersection (T2); insert =
-    target columns not ending in 'key' (P17), from the source when it has them."""
-    matched = {s: m for s in source_cols if (m := best_match(s, target_cols, cutoff))}
-    keys = [(s, matched[s]) for s in source_keys if s in matched]
-    update = [c for c in target_cols if c in source_cols]
-    insert = [c for c in target_cols if not c.endswith("key")]
-    return {"keys": keys, "update_columns": update,
-            "insert_columns": [c for c in insert if c in source_cols]}
+def mapped_columns(source: DataFrame, target: DataFrame, source_keys: list[str], cutoff: float = 0.6) -> dict:
+    """Column plan of the legacy mapped upsert (M2) from the two schemas: the keys
+    are the source's key columns with their best match in the target (M1), updated
+    are the columns of both (T2), inserted those the legacy INSERT fills (P17)
+    that the source has.  One table's column names, so the lists are short."""
+    spark = source.sparkSession
+    pair = spark.createDataFrame([("s", "t")], "source_table string, target_table string")
+    src = spark.createDataFrame([("s", c) for c in source.columns], "table_name string, column_name string")
+    tgt = spark.createDataFrame([("t", c, i) for i, c in enumerate(target.columns)],
+                                "table_name string, column_name string, position int")
+    best = {r["source_column"]: r["target_column"] for r in fuzzy_column_match(
+        src.where(F.col("column_name").isin(source_keys)), tgt, pair, cutoff).collect()}
+    silver = tgt.withColumnRenamed("table_name", "silverdwh_tablename")
+    pairs = pair.select(F.col("target_table").alias("silverdwh_tablename"), "source_table")
+    names = [[r["column_name"] for r in df.orderBy("position").collect()]
+             for df in (update_columns(silver, src, pairs), insert_columns(update_columns(silver, src, pairs)))]
+    return {"keys": [(k, best[k]) for k in source_keys if k in best],
+            "update_columns": names[0], "insert_columns": names[1]}

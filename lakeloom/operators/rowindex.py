@@ -24,24 +24,19 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# offset rows (partition, group) that may be broadcast: ~40 bytes each
-MAX_BROADCAST_OFFSETS = 2_000_000
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def with_row_index(df: DataFrame, order_by: list, name: str = "rn",
-                   group_by: list[str] | None = None, bounded_groups: bool = False,
-                   num_partitions: int | None = None, start: int = 1,
-                   checkpoint: bool = True) -> DataFrame:
+                   group_by: list[str] | None = None, num_partitions: int | None = None,
+                   start: int = 1) -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order_by`` order, restarting
     per ``group_by`` group (like ``row_number()``), computed without a single-task
     window.  Give ``order_by`` a unique tiebreaker for a deterministic numbering.
 
-    ``bounded_groups`` states the number of groups is small (checked by the caller),
-    which lets the offset table be broadcast.
+    The offset table joins as adaptive execution sees fit, by its bytes.
     """
     spark = df.sparkSession
     group_by = list(group_by or [])
@@ -51,30 +46,21 @@ def with_row_index(df: DataFrame, order_by: list, name: str = "rn",
          .sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id()))
-    if checkpoint:
-        # cut the lineage with a table written once into the shared checkpoint
-        # folder (one job; DataFrame.checkpoint would count, then write again)
-        root = ensure_checkpoint_dir(spark)
-        if root:
-            path = f"{root.rstrip('/')}/lakeloom-rowindex-{uuid.uuid4().hex}"
-            s.write.parquet(path)
-            s = spark.read.parquet(path)
-        else:
-            s = s.checkpoint(eager=True)
+    # cut the lineage with a table written once into the shared checkpoint
+    # folder (one job; DataFrame.checkpoint would count, then write again)
+    root = ensure_checkpoint_dir(spark)
+    if root:
+        path = f"{root.rstrip('/')}/lakeloom-rowindex-{uuid.uuid4().hex}"
+        s.write.parquet(path)
+        s = spark.read.parquet(path)
+    else:
+        s = s.checkpoint(eager=True)
     stats = s.groupBy("_pid", *group_by).agg(F.min("_pos").alias("_p0"),
                                              F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_by).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     stats = stats.select(*[F.col(g).alias(f"_g_{g}") for g in group_by], F.col("_pid").alias("_spid"),
                          (F.col("_p0") - F.coalesce(F.sum("_n").over(w), F.lit(0))).alias("_base"))
-    if not group_by or bounded_groups:
-        # rows <= partitions (+ groups when they are bounded): safe to broadcast
-        stats = F.broadcast(stats)
-    elif checkpoint:
-        # many groups: measure the offset table (a small job on the checkpoint);
-        # broadcast it under the bound, else keep the shuffle join
-        if stats.count() <= MAX_BROADCAST_OFFSETS:
-            stats = F.broadcast(stats)
     cond = [F.col("_pid") == F.col("_spid")]
     cond += [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group_by]
     out = s.join(stats, reduce(lambda a, b: a & b, cond), "inner")

@@ -1,12 +1,9 @@
 """Metadata search over a vector collection.
 
 Exact nearest-neighbour search: every collection row is scored against every
-query.  The query set is small by nature (user questions); its size is checked
-and the queries travel to the executors as one scalar-subquery array per
-block (no join at all); a block holds at most 1,024 queries and 512 KB of
-vectors, so what each task carries stays small however wide the embedding.  The collection is
-scanned in place, partition by partition, with the distance computed by
-native higher-order functions.
+query of a short list, which travels to the executors as one scalar-subquery
+array (no join at all).  The collection is scanned in place, partition by
+partition, with the distance computed by native higher-order functions.
 
 Ranks (all results, ``top_k=None``) come from the distributed row index - the
 full result of one query is never gathered into one task; ``top_k`` uses
@@ -17,53 +14,31 @@ equi-join on (query, rank), a plain hash-partitioned join.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import squared_l2
 from .rowindex import with_row_index
 
-MAX_QUERIES_PER_BLOCK = 1024
-BLOCK_BYTES = 512 * 1024  # query vectors carried by one task
-
 
 def knn_distances(collection: DataFrame, queries: DataFrame, vec: str = "embedding",
-                  qid: str = "query_id", qvec: str = "query_vec", block: int = MAX_QUERIES_PER_BLOCK,
-                  n_queries: int | None = None) -> DataFrame:
-    """(query, collection row, distance) for every pair of a bounded query set.
-
-    Each block of queries is one scalar-subquery array: evaluated once, then
-    carried by every task as a plan literal - no join.  Blocks are sized so a
-    task carries at most ``BLOCK_BYTES`` of query vectors."""
-    facts = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec)).alias("dim")).first()
-    n = n_queries if n_queries is not None else facts["n"]
-    if n == 0:
-        return collection.select(F.lit(None).alias(qid), "*", F.lit(None).cast("double").alias("distance")).limit(0)
-    dim = max(1, int(facts["dim"] or 1))
-    block = max(1, min(block, BLOCK_BYTES // (8 * dim)))
-    parts = []
-    blocks = (n + block - 1) // block
+                  qid: str = "query_id", qvec: str = "query_vec") -> DataFrame:
+    """(query, collection row, distance) for a list of queries.
+
+    A call asks one query or a short list (a user's questions, one vector per
+    label): it is one scalar-subquery array, evaluated once, that every task
+    carries - no join.  The rows grow with the collection times that list."""
     q = queries.select(F.col(qid).alias("_qid"), F.col(qvec).alias("_qvec"))
-    if blocks > 1:
-        q = with_row_index(q, ["_qid"], name="_qrn")
-    for b in range(blocks):
-        qb = q if blocks == 1 else q.where(((F.col("_qrn") - 1) / block).cast("long") == b)
-        arr = qb.agg(F.collect_list(F.struct("_qid", "_qvec"))).scalar()
-        scored = collection.withColumn("_qs", arr).select(*collection.columns, F.inline(F.transform(
-            "_qs", lambda s: F.struct(s["_qid"].alias(qid), squared_l2(vec, s["_qvec"]).alias("distance")))))
-        parts.append(scored)
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def rank_matches(scored: DataFrame, order_id: str, top_k: int | None = None, qid: str = "query_id",
-                 n_queries_bounded: bool = True) -> DataFrame:
+    asked = q.agg(F.collect_list(F.struct("_qid", "_qvec"))).scalar()
+    return collection.withColumn("_qs", asked).select(*collection.columns, F.inline(F.transform(
+        "_qs", lambda s: F.struct(s["_qid"].alias(qid), squared_l2(vec, s["_qvec"]).alias("distance")))))
+
+
+def rank_matches(scored: DataFrame, order_id: str, top_k: int | None = None, qid: str = "query_id") -> DataFrame:
     """Rank per query by (distance, ``order_id``) (O5, O6): all results by the
     distributed index, or the first ``top_k`` by a partial group limit."""
     if top_k is None:
-        return with_row_index(scored, ["distance", order_id], name="rank", group_by=[qid],
-                              bounded_groups=n_queries_bounded)
+        return with_row_index(scored, ["distance", order_id], name="rank", group_by=[qid])
     w = Window.partitionBy(qid).orderBy(F.col("distance"), F.col(order_id))
     return scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= top_k)
 
@@ -83,9 +58,8 @@ def gap_split(ranked: DataFrame, qid: str = "query_id") -> DataFrame:
 
 def gap_cut(ranked: DataFrame, qid: str = "query_id") -> DataFrame:
     """Keep the strong cluster: ranks up to the split of each query (V4)."""
-    # one row per query, and the query set is size-checked: broadcast
     s = gap_split(ranked, qid).select(F.col(qid).alias("_sq"), "split_rank")
-    j = ranked.join(F.broadcast(s), F.col(qid) == F.col("_sq"), "left")
+    j = ranked.join(s, F.col(qid) == F.col("_sq"), "left")
     return j.where(F.col("split_rank").isNull() | (F.col("rank") <= F.col("split_rank"))).drop("_sq", "split_rank")
 
 
@@ -95,7 +69,7 @@ def rank_tables(matches: DataFrame, qid: str = "query_id", table: str = "source_
     distributed index per query - no query's tables gather in one task."""
     g = matches.groupBy(qid, table).agg(F.min("distance").alias("best_distance"),
                                         F.count(F.lit(1)).alias("n_matches"))
-    return with_row_index(g, ["best_distance", table], name="table_rank", group_by=[qid], bounded_groups=True)
+    return with_row_index(g, ["best_distance", table], name="table_rank", group_by=[qid])
 
 
 def table_matches(matches: DataFrame, order_id: str, qid: str = "query_id",

@@ -71,7 +71,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
            meta: dict | None = None, as_of=None, only_changed: bool = False,
            keyless: str = "refuse", insert_columns: list[str] | None = None,
            update_columns: list[str] | None = None, insert_defaults: dict | None = None,
-           insert_null_test: str = "all", checkpoint: bool = True) -> UpsertResult:
+           insert_null_test: str = "all") -> UpsertResult:
     """Upsert ``source`` into ``target`` on ``keys``.
 
     ``keys``: column names, or ``(source_col, target_col)`` pairs when names differ.
@@ -159,7 +159,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
     order = [s for s, _ in pairs] + [c for c in source.columns if c not in {s for s, _ in pairs}]
     if surrogate:
         maxkey = target.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
-        new = with_row_index(new, order, name="_rn", checkpoint=checkpoint)
+        # keys first, then whatever can be ordered; other columns by a hash of their text
+        names = {f.name: f.dataType for f in source.schema.fields}
+        by = [F.col(c) if _orderable(names[c]) else F.xxhash64(F.to_json(F.struct(F.col(c)))) for c in order]
+        new = with_row_index(new, by, name="_rn")
     iout = []
     for c in tcols:
         if c == surrogate:

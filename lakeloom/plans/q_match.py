@@ -52,7 +52,7 @@ def upsert_mapped(spark, sf_dir):
     t = Tables(spark, sf_dir)
     target = fx.silver_before(t).withColumnRenamed("o_orderkey", "o_order_key")
     source = t.orders
-    plan = mt.legacy_column_plan(source.columns, [c for c in target.columns], ["o_orderkey"])
+    plan = mt.mapped_columns(source, target, ["o_orderkey"])
     return upsert(target, source, plan["keys"], surrogate="orderskey", meta=fx.ORDERS_META,
                   as_of=fx.as_of_col(), update_columns=plan["update_columns"],
                   insert_columns=plan["insert_columns"], insert_null_test="first").table

@@ -14,7 +14,6 @@ from ..sources.tables import Tables
 from .registry import register
 
 _FIX = ["vector_collection", "label_queries"]
-MAX_QUERIES = 10_000
 
 _SCORED = """
 WITH s AS (
@@ -36,11 +35,7 @@ tables AS (SELECT query_id, source_tablename, min(distance) AS best_distance,
 
 def _scored(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    queries = fx.label_queries(t)
-    n = queries.count()
-    if n > MAX_QUERIES:
-        raise ValueError(f"{n} queries: more than the {MAX_QUERIES} this search is sized for")
-    return se.knn_distances(fx.vector_collection(t), queries, n_queries=n)
+    return se.knn_distances(fx.vector_collection(t), fx.label_queries(t))
 
 
 def _ranked(spark, sf_dir, top_k=None):
@@ -115,11 +110,8 @@ def matched_tables(spark, sf_dir):
     return rows.select("query_id", "id", "vec_id", "source_tablename", "source_columnname")
 
 
-MAX_TEXT_QUERIES = 1_000
-
-
 def text_search_inputs(spark, sf_dir):
-    """(collection with embeddings, embedded text queries, query count) of the
+    """(collection with embeddings, embedded text queries) of the
     text metadata search: the part catalog as documents, one query per type."""
     from ..operators import chunks as ch
     t = Tables(spark, sf_dir)
@@ -129,12 +121,9 @@ def text_search_inputs(spark, sf_dir):
     coll = ch.apply_text_embedding(model, docs).withColumn(
         "doc_no", F.expr("cast(substring(id, 5) as bigint)"))
     qtext = t.part.select(F.col("p_type").alias("document")).distinct()
-    n = qtext.count()
-    if n > MAX_TEXT_QUERIES:
-        raise ValueError(f"{n} text queries: more than {MAX_TEXT_QUERIES}")
     queries = ch.apply_text_embedding(model, qtext).select(
         F.col("document").alias("query_id"), F.col("embedding").alias("query_vec"))
-    return coll, queries, n
+    return coll, queries
 
 
 @register("metadata_search")
@@ -144,8 +133,8 @@ def metadata_search(spark, sf_dir):
     fitted model -> nearest documents, all ranks (V3) -> largest-gap cut (V4)
     -> tables ranked by best distance (V5).  No SQL form (the embedding);
     tests check the search against a plain re-computation on the same vectors."""
-    coll, queries, n = text_search_inputs(spark, sf_dir)
-    scored = se.knn_distances(coll, queries, n_queries=n)
+    coll, queries = text_search_inputs(spark, sf_dir)
+    scored = se.knn_distances(coll, queries)
     kept = se.gap_cut(se.rank_matches(scored, "doc_no"))
     tabs = se.rank_tables(kept)
     return tabs.select(F.col("query_id").alias("query_text"), "table_rank", "source_tablename",

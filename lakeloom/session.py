@@ -8,7 +8,6 @@ setting gets a fresh temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,13 +24,12 @@ _CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "lakeloom", driver_memory: str = "16g",
+                  app: str = "lakeloom", driver_memory: str = "8g", cpus: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A session with the settings every job here assumes (UTC, AQE on, no UI)."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
     b = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
     conf = dict(_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf["spark.driver.memory"] = driver_memory
     if (master or "local").startswith("local"):
         # local sessions only: the catalog of bucketed versions lives in a scratch folder
@@ -106,13 +104,6 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a CPU-heavy stage over at least ``min_partitions`` tasks.
-
-    An input of few large row groups scans as few partitions, and narrow
-    expansions (broadcast joins, explodes) keep that count; a round-robin
-    repartition is added only when the plan has fewer partitions than wanted."""
-    want = min_partitions or parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+def ensure_parallelism(df, partitions: int | None = None):
+    """Spread a CPU-heavy stage over ``partitions`` tasks, whatever its input's number of row groups."""
+    return df.repartition(partitions or parallelism(df.sparkSession))

@@ -59,7 +59,7 @@ def test_bucketed_silver_is_not_shuffled_again(spark, tables):
     # the silver side of the join has no exchange of its own
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        r = upsert(silver, tables.orders, ["o_orderkey"], surrogate="orderskey", as_of=T, checkpoint=False)
+        r = upsert(silver, tables.orders, ["o_orderkey"], surrogate="orderskey", as_of=T)
         plan = r.rows.where("_action != 'I'")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -27,9 +27,18 @@ def test_fuzzy_matches_stdlib(tables):
     assert got == exp
 
 
-def test_legacy_plan():
-    plan = mt.legacy_column_plan(["o_orderkey", "o_custkey", "x"], ["orderskey", "o_order_key", "o_custkey"],
-                                 ["o_orderkey"])
-    assert plan["keys"] == [("o_orderkey", "o_order_key")]
-    assert plan["update_columns"] == ["o_custkey"]
-    assert plan["insert_columns"] == []
+def test_mapped_columns(spark):
+    source = spark.createDataFrame([], "o_orderkey long, o_custkey long, x long, note string")
+    target = spark.createDataFrame([], "orderskey long, o_order_key long, o_custkey long, note string")
+    plan = mt.mapped_columns(source, target, ["o_orderkey", "x"])
+    assert plan == {"keys": [("o_orderkey", "o_order_key")], "update_columns": ["o_custkey", "note"],
+                    "insert_columns": ["note"]}
+
+
+def test_a_table_of_any_width_is_matched(spark):
+    wide = [f"column_{i:05d}" for i in range(1700)]
+    src = spark.createDataFrame([("s", c + "x") for c in wide[:3]], "table_name string, column_name string")
+    tgt = spark.createDataFrame([("t", c) for c in wide], "table_name string, column_name string")
+    pair = spark.createDataFrame([("s", "t")], "source_table string, target_table string")
+    got = {r.source_column: r.target_column for r in mt.fuzzy_column_match(src, tgt, pair).collect()}
+    assert got == {c + "x": difflib.get_close_matches(c + "x", wide, n=1)[0] for c in wide[:3]}

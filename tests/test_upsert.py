@@ -86,3 +86,11 @@ def test_duplicate_source_keys_update_once_insert_all(spark):
     assert len([x for x in rows if x.k == 40]) == 2          # both unmatched rows inserted
     c = r.counts().collect()[0]
     assert (c.srccnt, c.inscnt, c.updcnt) == (4, 2, 1)
+
+
+def test_map_columns_with_a_surrogate(spark):
+    from lakeloom.operators.upsert import upsert
+    t = spark.createDataFrame([], "tkey long, k long, m map<string,string>")
+    s = spark.createDataFrame([(1, {"a": "b"}), (2, {"c": "d"}), (2, {"e": "f"})], "k long, m map<string,string>")
+    got = upsert(t, s, ["k"], surrogate="tkey").table.collect()
+    assert sorted(r.tkey for r in got) == [1, 2, 3] and {tuple(r.m.items()) for r in got} == {(("a", "b"),), (("c", "d"),), (("e", "f"),)}

@@ -25,7 +25,7 @@ def test_upsert_laws(spark, tkeys, tnulls, src):
     trows += [(len(tkeys) + i + 1, None, 0, 1, "o", "o", "o", T0, T0) for i in range(tnulls)]
     target = spark.createDataFrame(trows, SCHEMA)
     source = spark.createDataFrame(src, "k long, v long")
-    r = upsert(target, source, ["k"], surrogate="tkey", meta=META, as_of=T1, checkpoint=False)
+    r = upsert(target, source, ["k"], surrogate="tkey", meta=META, as_of=T1)
     out = r.table.collect()
     c = r.counts().collect()[0]
     matched = {k for k, _ in src if k is not None and k in set(tkeys)}
