@@ -43,9 +43,16 @@ def control_header(t: Tables) -> DataFrame:
         F.lit(1).alias("rawstorageflag"),
         F.when(c % 4 == 0, "Completed").otherwise("Started").alias("status"),
         F.lit(OLD_TS).cast("timestamp_ntz").alias("lastupdateddate"),
+        F.when(c % 6 == 0, F.concat(F.lit("S"), (c - 1).cast("string"))).alias("depsource"),
+        F.concat(F.lit("conn_"), F.col("c_nationkey").cast("string")).alias("connectionstr"),
+        F.when(c % 2 == 0, ",").otherwise(";").alias("sourcedelimiter"),
+        *[F.when(c % 10 == i, F.concat(F.lit(f"{name}_"), F.col("c_name"))).alias(name) for i, name in enumerate(API_COLUMNS)],
+        F.concat(F.lit("raw-"), F.lower("c_mktsegment")).alias("adlscontainername"),
+        F.concat(F.lit("/raw/"), F.col("c_mktsegment"), F.lit("/"), F.col("c_name")).alias("dldirstructure"),
     )
 
 
+API_COLUMNS = ("apiurl", "apimethod", "apiaccesstoken", "apiqueryparameters", "apirequestbody")
 FLOWS = (("raw_to_bronze", 0), ("bronze_to_silver", 1), ("silver_to_gold", 2))
 
 
@@ -76,6 +83,8 @@ def control_detail(t: Tables) -> DataFrame:
         F.when(c % 7 == 0, "Failed").otherwise("Completed").alias("flowstatus"),
         F.when(c % 9 == 0, F.lit(None)).otherwise(c % 17).alias("latestbatchid"),
         F.lit(None).cast("timestamp_ntz").alias("etllastrundate"),
+        F.when(c % 3 == 0, F.concat(F.lit("SELECT * FROM stg_"), F.col("c_mktsegment"))).alias("sourcequery"),
+        F.when(c % 4 == 0, 7).otherwise(1).alias("intervaldays"),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The record projection of a due run, as (side, column) with
@@ -118,12 +118,10 @@ def due_runs(header: DataFrame, detail: DataFrame, groups: DataFrame | None,
     if f.exclude_groups:
         h = not_in(h, "h_sourceid", group_members(groups, f.exclude_groups, f.group_schema))
     j = h.join(d, F.col("h_sourceid") == F.col("sourceid"), "inner")
-    cols: list[Column] = []
-    for side, c in RUN_COLUMNS:
-        if side == "h" and f"h_{c}" in h.columns:
-            cols.append(F.col(f"h_{c}").alias(c))
-        elif side == "d" and c in d.columns:
-            cols.append(F.col(c))
+    have = {"h": {c.removeprefix("h_") for c in h.columns}, "d": set(d.columns)}
+    if absent := [f"{side}.{c}" for side, c in RUN_COLUMNS if c not in have[side]]:
+        raise ValueError("the control tables lack columns of the run record: " + ", ".join(absent))
+    cols = [F.col(f"h_{c}").alias(c) if side == "h" else F.col(c) for side, c in RUN_COLUMNS]
     if order and "h_id" in h.columns:
         j = j.orderBy(F.col("h_id").asc_nulls_last(), F.col("targetobject").asc_nulls_last())
     return j.select(*cols)

@@ -19,7 +19,17 @@ SELECT c_custkey AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid, c_name AS
        'ENV' || CAST(c_nationkey AS VARCHAR) AS envsourcecode, c_mktsegment AS datasourcecode,
        1 AS rawstorageflag,
        CASE WHEN c_custkey % 4 = 0 THEN 'Completed' ELSE 'Started' END AS status,
-       {OLD_SQL} AS lastupdateddate
+       {OLD_SQL} AS lastupdateddate,
+       CASE WHEN c_custkey % 6 = 0 THEN 'S' || CAST(c_custkey - 1 AS VARCHAR) END AS depsource,
+       'conn_' || CAST(c_nationkey AS VARCHAR) AS connectionstr,
+       CASE WHEN c_custkey % 2 = 0 THEN ',' ELSE ';' END AS sourcedelimiter,
+       CASE WHEN c_custkey % 10 = 0 THEN 'apiurl_' || c_name END AS apiurl,
+       CASE WHEN c_custkey % 10 = 1 THEN 'apimethod_' || c_name END AS apimethod,
+       CASE WHEN c_custkey % 10 = 2 THEN 'apiaccesstoken_' || c_name END AS apiaccesstoken,
+       CASE WHEN c_custkey % 10 = 3 THEN 'apiqueryparameters_' || c_name END AS apiqueryparameters,
+       CASE WHEN c_custkey % 10 = 4 THEN 'apirequestbody_' || c_name END AS apirequestbody,
+       'raw-' || lower(c_mktsegment) AS adlscontainername,
+       '/raw/' || c_mktsegment || '/' || c_name AS dldirstructure
 FROM customer""",
     "control_detail": """
 SELECT c_custkey * 3 + f.k AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid, c_name AS sourcename,
@@ -34,7 +44,9 @@ SELECT c_custkey * 3 + f.k AS id, 'S' || CAST(c_custkey AS VARCHAR) AS sourceid,
        CASE WHEN c_custkey % 5 = 0 THEN 'Weekly' ELSE 'Daily' END AS loadfrequency,
        CASE WHEN c_custkey % 7 = 0 THEN 'Failed' ELSE 'Completed' END AS flowstatus,
        CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey % 17 END AS latestbatchid,
-       CAST(NULL AS TIMESTAMP) AS etllastrundate
+       CAST(NULL AS TIMESTAMP) AS etllastrundate,
+       CASE WHEN c_custkey % 3 = 0 THEN 'SELECT * FROM stg_' || c_mktsegment END AS sourcequery,
+       CASE WHEN c_custkey % 4 = 0 THEN 7 ELSE 1 END AS intervaldays
 FROM customer CROSS JOIN (VALUES (0, 'raw_to_bronze'), (1, 'bronze_to_silver'),
                             (2, 'silver_to_gold')) AS f(k, flow)""",
     "source_groups": """

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..operators import control as ctl
 from ..operators.checks import duplicate_keys
+from ..operators.rowindex import with_row_index
 from ..sources.tables import Tables
 from .registry import register
 
 _RUN_SELECT = """
-SELECT h.sourceid, d.sourcename, d.sourcetype, d.sourceobject, d.loadtype, d.sourceschema,
-       d.loadfrequency, h.objecttype, d.etllastrundate, d.targetobject, h.sourcecallingseq,
-       d.dataflowflag, d.latestbatchid, d.targetschemaname, d.targetprocedurename
+SELECT h.sourceid, d.sourcename, d.sourcetype, d.sourceobject, h.depsource, d.loadtype, d.sourceschema,
+       d.loadfrequency, h.connectionstr, h.objecttype, h.sourcedelimiter, d.sourcequery, h.apiurl, h.apimethod,
+       h.apiaccesstoken, h.apiqueryparameters, h.apirequestbody, h.adlscontainername, h.dldirstructure,
+       d.etllastrundate, d.targetobject, h.sourcecallingseq, d.dataflowflag, d.latestbatchid, d.targetschemaname,
+       d.targetprocedurename, d.intervaldays
 FROM control_header h JOIN control_detail d ON h.sourceid = d.sourceid
 WHERE d.dataflowflag = '{flow}' AND d.isreadyforexecution = 1 AND d.isapplicable = 1"""
 _FIX = ["control_header", "control_detail"]
@@ -163,23 +166,39 @@ def left_join_star(spark, sf_dir):
 
 
 @register("dq_control_keys", """
+WITH h AS (FROM control_header UNION ALL FROM control_header WHERE objecttype = 'Fact'),
+d AS (FROM control_detail UNION ALL FROM control_detail WHERE loadfrequency = 'Weekly')
 SELECT 'controlheader' AS table_name, sourceid || '|' || sourcename AS key_value, CAST(count(*) AS BIGINT) AS n
-FROM control_header GROUP BY sourceid, sourcename HAVING count(*) > 1
+FROM h GROUP BY sourceid, sourcename HAVING count(*) > 1
 UNION ALL
 SELECT 'controldetail', sourceid || '|' || dataflowflag, CAST(count(*) AS BIGINT)
-FROM control_detail GROUP BY sourceid, dataflowflag HAVING count(*) > 1""", fixtures=_FIX)
+FROM d GROUP BY sourceid, dataflowflag HAVING count(*) > 1""", fixtures=_FIX)
 def dq_control_keys(spark, sf_dir):
-    """Unique keys of the control tables: (sourceid, sourcename), (sourceid, dataflowflag) (Q4)."""
+    """Unique keys of the control tables: (sourceid, sourcename), (sourceid, dataflowflag) (Q4).
+    The facts' headers and the weekly details have been entered twice."""
     t = Tables(spark, sf_dir)
-    a = duplicate_keys(fx.control_header(t), ["sourceid", "sourcename"]).select(
+    h, d = fx.control_header(t), fx.control_detail(t)
+    h = h.unionByName(h.where("objecttype = 'Fact'"))
+    d = d.unionByName(d.where("loadfrequency = 'Weekly'"))
+    a = duplicate_keys(h, ["sourceid", "sourcename"]).select(
         F.lit("controlheader").alias("table_name"),
         F.concat_ws("|", "sourceid", "sourcename").alias("key_value"), "n")
-    b = duplicate_keys(fx.control_detail(t), ["sourceid", "dataflowflag"]).select(
+    b = duplicate_keys(d, ["sourceid", "dataflowflag"]).select(
         F.lit("controldetail").alias("table_name"),
         F.concat_ws("|", "sourceid", "dataflowflag").alias("key_value"), "n")
     return a.unionByName(b)
 
 
+@register("due_order", """
+SELECT h.sourceid, d.targetobject, row_number() OVER (ORDER BY h.id NULLS LAST, d.targetobject NULLS LAST) AS position
+FROM control_header h JOIN control_detail d ON h.sourceid = d.sourceid
+WHERE d.dataflowflag = 'bronze_to_silver' AND d.isreadyforexecution = 1 AND d.isapplicable = 1""", fixtures=_FIX)
+def due_order(spark, sf_dir):
+    """The order in which the due runs come (O1), as a position."""
+    runs = _runs(spark, sf_dir).select("sourceid", "targetobject", F.monotonically_increasing_id().alias("_at"))
+    return with_row_index(runs, ["_at"], name="position").drop("_at")
+
+
 @register("split_list", """
 SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) AS BIGINT) AS pos,
        unnest(string_split(p_name, ' ')) AS item

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..fixtures import AS_OF
-from ..operators.control import RunFilter
+from ..operators.control import RUN_COLUMNS, RunFilter
 from ..session import ensure_checkpoint_dir
 from ..sinks import snapshot as snap
 from ..sources.tables import Tables
@@ -35,7 +35,10 @@ def _control(spark):
     g = spark.createDataFrame([], "sourceid string, schemaname string, sourcegroup string, isapplicable int, "
                                   "status string, lastrundatetime timestamp_ntz, "
                                   "loadstartdatetime timestamp_ntz, loadenddatetime timestamp_ntz")
-    return h, d, g
+    # the rest of the run record: nothing to say for these sources
+    spare = lambda df, side: df.withColumns({c: F.lit(None).cast("int" if c == "intervaldays" else "string")
+                                             for s, c in RUN_COLUMNS if s == side and c not in df.columns})
+    return spare(h, "h"), spare(d, "d"), g
 
 
 @register("waves_e2e", """

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions.exprs import document_text
 from ..operators import chunks as ch
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables, file_inventory as _inventory
 from .registry import register
 
@@ -21,9 +24,12 @@ SELECT CAST(floor(idx / {CHUNK}) * {CHUNK} AS BIGINT) AS chunk_start,
        {_EV}
 FROM i""")
 def chunk_sort(spark, sf_dir):
-    """Rows cut into chunks of 1,000 in event order, each sorted by value."""
+    """Rows cut into chunks of 1,000 in event order, each sorted by value, written
+    as one Parquet folder per chunk and read back (X1, K1, W4, O4)."""
     ev = Tables(spark, sf_dir).events
-    c = ch.chunk_rows(ev, ["event_id"], ["value", "event_id"], CHUNK)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeloom-chunks-{uuid.uuid4().hex}"
+    ch.write_chunks(ch.chunk_rows(ev, ["event_id"], ["value", "event_id"], CHUNK), path)
+    c = spark.read.parquet(path).withColumn("chunk_start", F.col("chunk_start").cast("long"))
     return c.select("chunk_start", "chunk_pos", *[x.strip() for x in _EV.split(",")])
 
 

@@ -82,6 +82,8 @@ def read_jdbc(spark: SparkSession, p: Profile, table: str | None = None, query:
             p, query=f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}")).load()
         row = b.collect()[0]  # one row: the bounds
         lo, hi = row["lo"], row["hi"]
+        if lo is None:  # an empty table, or no value to cut ranges by: one partition reads it
+            partition_column = num_partitions = None
     opts = jdbc_options(p, table=table, query=query, partition_column=partition_column, lower_bound=lo,
                         upper_bound=hi, num_partitions=num_partitions, **kw)
     return spark.read.format("jdbc").options(**opts).load()
