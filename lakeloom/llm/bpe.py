@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, text_buffer
 from .pieces import cut
 
-CACHE_DOCS, CACHE_WORDS = 20_000, 300_000
+CACHE_DOCS, CACHE_WORDS = 20_000, 250_000
 #: A block of texts.
 BLOCK_ROWS, BLOCK_BYTES = 1000, "4m"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
@@ -208,16 +208,19 @@ def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[by
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS)
 
 
-def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The top pieces that are no tokens, all their ids one after another, and the number of ids of each."""
+def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The top pieces that are no tokens: their bytes one after another, the number of bytes of each, then the same of
+    their ids.  Flat arrays, so that the driver makes no object per piece."""
     top = top_pieces(docs, id_col, text_col, frozenset(ranks))
     # the literals are bound once a row, so the words are folded in blocks
     blocks = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(CACHE_WORDS // 1000)).alias("block")).agg(
         F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))
     rows = blocks.select("words", fold_merges(F.col("bytes"), ranks).cast("array<array<int>>").alias("ids")).toArrow()
     words, ids = (rows[c].combine_chunks() for c in ("words", "ids"))
-    sizes = pc.list_value_length(ids.flatten()).to_numpy().astype(np.int64)
-    return words.flatten().to_pylist(), ids.flatten().flatten().to_numpy().astype(np.uint32), sizes
+    words, ids = words.flatten(), ids.flatten()
+    sizes = [pc.binary_length(words), pc.list_value_length(ids)]
+    spelt, n_ids = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in sizes)
+    return text_buffer(words)[0].tobytes(), spelt, ids.flatten().to_numpy().astype(np.uint32), n_ids
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text",
@@ -228,17 +231,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     spark = docs.sparkSession
     arrow_limits(spark, BLOCK_ROWS, BLOCK_BYTES)
     concatenated = _concatenation(ranks) if decoded else None
-    words, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks)
+    spelling, spelt, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks)
     # codes: the ids of the vocabulary, then the cached pieces; both are of a bounded size
     n_ids = max(ranks.values(), default=-1) + 1
-    size = n_ids + len(words)
-    known: Broadcast = spark.sparkContext.broadcast(ranks | dict(zip(words, range(n_ids, size), strict=True)))
+    size = n_ids + len(spelt)
+    known: Broadcast = spark.sparkContext.broadcast((ranks, spelling, spelt))
     folded_ids: Broadcast = spark.sparkContext.broadcast((
         np.concatenate([np.arange(n_ids, dtype=np.uint32), flat]), np.concatenate([np.ones(n_ids, np.int64), sizes])))
-    del words, flat, sizes
+    del spelling, spelt, flat, sizes
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(known.value, size)
+        tokens, spelling, spelt = known.value
+        ends = np.cumsum(spelt)
+        codes = Codes(tokens, size)
+        for code, (a, z) in enumerate(zip((ends - spelt).tolist(), ends.tolist(), strict=True), n_ids):
+            codes[spelling[a:z]] = code
         for b in batches:
             words, counts = cut_batch(b.column("text"))
             coded = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))

@@ -55,10 +55,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; a null counts as empty."""
+    """(bytes, offsets) of a string or binary column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
