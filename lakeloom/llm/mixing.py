@@ -14,7 +14,8 @@ Order: source s gets words at the rate w_s(t) at training time t in [0, 1], a
 piecewise-linear schedule over ``knots``.  Its integral is the source's cumulative word
 demand; a taken document starts where the demand reaches the words its source has
 delivered before it.  Inverting the integral (a quadratic on each piece) gives the
-document's position, and ``training_order`` range-sorts by it.
+document's position, and ``training_order`` range-sorts by it.  ``ordered`` stores that
+order as a table, and ``folded`` reads it back to one row per document.
 
 Scale: the running sums never need a source in one task.  Ids hash into ``BUCKETS``
 ranges of md5; sums by (source, range) give each range its offset, and the window runs
@@ -135,3 +136,17 @@ def taken_copies(mixed: DataFrame, knots=KNOTS, schedules=SCHEDULES) -> DataFram
 def training_order(mixed: DataFrame, knots=KNOTS, schedules=SCHEDULES) -> DataFrame:
     """``taken_copies``, range-sorted by position."""
     return taken_copies(mixed, knots, schedules).orderBy("position", "place", "before", "copy")
+
+
+def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """(``mix`` of the documents, with ``row``; its ``training_order``, stored: one row per taken copy, files in order)."""
+    numbered = docs.select(id_col, text_col, source_col, F.monotonically_increasing_id().alias("mixing_row"))
+    mixed = mix(numbered, id_col, text_col, source_col, row_col="mixing_row")
+    return mixed, stored(training_order(mixed).select(id_col, "row", "source", "size", "copy", "position"), "mixing-order")
+
+
+def folded(mixed: DataFrame, order: DataFrame) -> DataFrame:
+    """``mixed`` with ``taken`` (words) and ``positions`` (ascending) of the copies in a stored order; one row per document."""
+    copies = order.groupBy("row").agg(F.sum("size").alias("taken"), F.array_sort(F.collect_list("position")).alias("positions"))
+    return (mixed.drop("taken").join(copies, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+            .withColumn("positions", F.coalesce("positions", F.array().cast("array<double>"))))

@@ -95,8 +95,15 @@ placed AS (SELECT s.doc_id, s.size, a.source_size, a.target, sum(s.size) OVER (P
 SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE size * (whole + (before + size / 2.0::double <= target - whole * source_size)::int) END::bigint AS taken
 FROM placed""")
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import mix
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    from .mixing import folded, ordered
+    return folded(*ordered(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order that ``op9_mixing`` stores, whose columns its SQL fixes: every taken copy with its position."""
+    from .mixing import ordered
+    return ordered(table(spark, sf_dir, "documents"))[1].select("doc_id", "source", "size", "copy", "position")
 
 
 @query()

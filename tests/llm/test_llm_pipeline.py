@@ -6,11 +6,13 @@ from collections import Counter
 import corpus_pipeline as C
 import numpy as np
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import tiktoken
 
 from lakeloom.llm import mixing
+from lakeloom.llm import queries as Q
 from lakeloom.llm.bpe import load_ranks
-from llm_data import DELETE, SF, components, edge_docs, fingerprint, no_docs, words
+from llm_data import DELETE, SF, components, edge_docs, fingerprint, no_docs, words, write_tables
 
 
 def stage(name):
@@ -123,3 +125,23 @@ def test_empty(spark):
         out = f(spark, docs, SF)
         assert out.columns == docs.columns and out.count() == 0, name
     assert C.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_op9_runs_the_training_order(spark, tmp_path, monkeypatch):
+    """Positions are computed, sorted and stored, and ``taken`` is counted from them."""
+    path = write_tables(spark, tmp_path, documents=edge_docs(spark))
+    whole = Q.op9_mixing(spark, path).collect()
+    order = Q.op9_training_order(spark, path).collect()
+    assert all(0 <= r["position"] <= 1 for r in order) and len({r["position"] for r in order}) > 3
+    assert sum(r["size"] for r in order) == sum(r["taken"] for r in whole) > 0
+    mixed, stored = mixing.ordered(edge_docs(spark))
+    files = sorted(f.removeprefix("file:") for f in stored.inputFiles())  # files are numbered in order
+    positions = [p for f in files for p in pq.read_table(f).column("position").to_pylist()]
+    assert len(positions) == len(order) and positions == sorted(positions)
+    rows = mixing.folded(mixed, stored).collect()
+    assert len(rows) == len(whole) == 16
+    assert all(len(r["positions"]) == r["times"] and r["taken"] == r["size"] * r["times"] for r in rows)
+    every = mixing.training_order
+    monkeypatch.setattr(mixing, "training_order", lambda mixed: every(mixed).where("copy = 0"))
+    once = Q.op9_mixing(spark, path).collect()
+    assert sum(r["taken"] for r in once) == sum(r["size"] for r in order if r["copy"] == 0) < sum(r["taken"] for r in whole)
