@@ -6,7 +6,8 @@ token's lattice has, for each character, the letters it may stand for and, for s
 and repeats, nothing; Viterbi search finds the path with the best sum of channel costs
 and character-language-model scores (``CharModel``, trigrams with interpolation).  A
 token made of letters alone with no run of three has a single path, itself, so only the
-others are searched.  Runs of single characters between blanks are one token.
+others are searched; masks and look-alikes at either end count, since they may be letters or
+punctuation.  Addresses and URLs are not searched.  Runs of single characters between blanks are one token.
 
 The restored words are scored by logistic regression on the presence of words and word
 beginnings that training documents tell apart; whole texts are read.
@@ -47,6 +48,11 @@ LEET_COST, MASK_COST, DROP_COST, REPEAT_COST, KEEP_COST = 1.0, 2.5, 0.7, 0.5, 4.
 BEAM = 48
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGE = "\"'()[]{}<>.,;:?!*#~-_/\\…«»“”‘’"
+#: Edge characters that stand for no letter.
+_OUTER = "".join(c for c in _EDGE if c not in LEET and c not in MASKS)
+#: Real addresses and URLs: every part of the host, and of an address's name, has several characters, the last one letters.
+_ADDRESS = re.compile(r"\w{2,}(?:[.+-]\w{2,})*@(?:\w{2,}(?:-\w+)*\.)+[^\W\d_]{2,}")
+_URL = re.compile(r"[a-z][a-z0-9+.-]+://(?:[^\s/?#@]*@)?(?:\w{2,}(?:-\w+)*\.)+[^\W\d_]{2,}(?::\d+)?(?:[/?#]\S*)?")
 _RUN = re.compile(r"(.)\1\1")
 _SQUEEZE = re.compile(r"(.)\1+")
 
@@ -85,9 +91,10 @@ class CharModel:
 
 
 def decode(token: str, lm: CharModel) -> str:
-    """The best reading of a lower-cased token."""
+    """The best reading of a lower-cased token.  Punctuation at its ends may also be just that, at the cost of a separator."""
+    head, tail = len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE))
     states = {("^^^", ""): (0.0, "")}  # (last three letters, last character read as a letter) -> score, text
-    for ch in token:
+    for i, ch in enumerate(token):
         nxt: dict[tuple[str, str], tuple[float, str]] = {}
 
         def put(state, score, text):
@@ -102,7 +109,7 @@ def decode(token: str, lm: CharModel) -> str:
         if ch in MASKS:
             reads += [(x, MASK_COST) for x in lm.letters]
         for (context, last), (score, text) in states.items():
-            if ch in SEPARATORS:
+            if ch in SEPARATORS or i < head or i >= tail:
                 put((context, last), score - DROP_COST, text)
             for letter, cost in reads:
                 put(((context + letter)[1:], ch), score - cost + lm.score(context, letter), text + letter)
@@ -143,9 +150,9 @@ class Reader:
         odd = len(plain) != 1 or plain[0] != core or _RUN.search(core) is not None
         if not odd and core not in self.words and _SQUEEZE.sub(r"\1", core) in self.squeezed:
             odd = len(_SQUEEZE.sub(r"\1", core)) < len(core)
-        if not odd or "://" in core or core.count("@") == 1 and "." in core.partition("@")[2]:
+        whole = token.strip(_OUTER)  # masks and look-alikes at either end may be letters
+        if not odd and whole == core or _URL.fullmatch(core) or _ADDRESS.fullmatch(core):
             return plain
-        whole = token.lstrip(".,;:\"'([{").rstrip(".,;:\"')]}") or core  # a leading $ or a final ! may be a letter
         return [*plain, *{w for t in {core, whole} for w in _WORD.findall(decode(t, self.lm))}]
 
     def features(self, text: str) -> set[str]:

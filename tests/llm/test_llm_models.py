@@ -65,6 +65,16 @@ def test_decoding(model):
     assert read("1d10t") == "idiot" and read("i.d.i.o.t") == "idiot" and read("p4th3t1c") == "pathetic" and read("idi*t") == "idiot"
 
 
+def test_disguise_at_the_ends_and_addresses(model):
+    read = model.reader.token
+    for token in ("idio*", "*diot", "!diot", "idio*.", "(idio*)", "\"!diot\"", "1d10t://"):
+        assert "idiot" in read(token), (token, read(token))
+    assert "pathetic" in read("p.@.t.h.e.t.i.c") and "pathetic" in read("p@t.h.e.t.i.c") and "pathetic" in read("pathet!c")
+    assert set(read("jane.roe@mail.example.com")) == {"jane", "roe", "mail", "example", "com"}
+    assert set(read("https://www.example.com/1d10t?a=b")) == {"https", "www", "example", "com", "d", "t", "a", "b"}
+    assert read("fine") == ("fine",) and "idiot" in read("idiot!") and "idiot" in read("(idiot?)")
+
+
 def test_toxicity_edges(spark, tmp_path):
     labels = spark.createDataFrame([(10, 1), (10, 0), (11, 0), (None, 1), (12, None), (20, 0)], "doc_id long, toxic int")
     got = Q.op5_toxicity(spark, write_tables(spark, tmp_path, documents=edge_docs(spark), labels=labels)).collect()
