@@ -7,7 +7,8 @@ and repeats, nothing; Viterbi search finds the path with the best sum of channel
 and character-language-model scores (``CharModel``, trigrams with interpolation).  A
 token made of letters alone with no run of three has a single path, itself, so only the
 others are searched; masks and look-alikes at either end count, since they may be letters or
-punctuation.  Addresses and URLs are not searched.  Runs of single characters between blanks are one token.
+punctuation.  Addresses and URLs are not searched.  Runs of three and more single characters between
+blanks are read twice: as one token, and as a lattice that may also end a word at each blank.
 
 The restored words are scored by logistic regression on the presence of words and word
 beginnings that training documents tell apart; whole texts are read.
@@ -28,7 +29,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "<": "c"}
 MASKS, SEPARATORS = "*#?", ".-_*~^'`,:;/\\ "
 LEET_COST, MASK_COST, DROP_COST, REPEAT_COST, KEEP_COST = 1.0, 2.5, 0.7, 0.5, 4.0
+#: Words of one letter are few kinds but frequent: a cost instead of the character model's score.
+ONE_LETTER, ONE_COST = "aioy", 2.5
 BEAM = 48
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGE = "\"'()[]{}<>.,;:?!*#~-_/\\…«»“”‘’"
@@ -55,6 +57,7 @@ _ADDRESS = re.compile(r"\w{2,}(?:[.+-]\w{2,})*@(?:\w{2,}(?:-\w+)*\.)+[^\W\d_]{2,
 _URL = re.compile(r"[a-z][a-z0-9+.-]+://(?:[^\s/?#@]*@)?(?:\w{2,}(?:-\w+)*\.)+[^\W\d_]{2,}(?::\d+)?(?:[/?#]\S*)?")
 _RUN = re.compile(r"(.)\1\1")
 _SQUEEZE = re.compile(r"(.)\1+")
+_THREE = re.compile(rb"\x01{3,}")
 
 
 class CharModel:
@@ -90,16 +93,27 @@ class CharModel:
         return got
 
 
+def _spelt(link: tuple | None) -> str:
+    out = []
+    while link is not None:
+        link, letter = link
+        out.append(letter)
+    return "".join(reversed(out))
+
+
 def decode(token: str, lm: CharModel) -> str:
-    """The best reading of a lower-cased token.  Punctuation at its ends may also be just that, at the cost of a separator."""
+    """The best reading of a lower-cased token.  Punctuation at its ends may also be just that, at the cost of a separator.
+
+    A blank, which only a run of spaced-out letters has, is nothing or the boundary of two words."""
     head, tail = len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE))
-    states = {("^^^", ""): (0.0, "")}  # (last three letters, last character read as a letter) -> score, text
+    # (last three letters, last character read as a letter) -> score, letters as links
+    states: dict[tuple[str, str], tuple[float, tuple | None]] = {("^^^", ""): (0.0, None)}
     for i, ch in enumerate(token):
-        nxt: dict[tuple[str, str], tuple[float, str]] = {}
+        nxt: dict[tuple[str, str], tuple[float, tuple | None]] = {}
 
-        def put(state, score, text):
+        def put(state, score, link):
             if (old := nxt.get(state)) is None or score > old[0]:
-                nxt[state] = score, text
+                nxt[state] = score, link
 
         reads = [(x, LEET_COST) for x in LEET.get(ch, "")]
         if ch.isalpha():
@@ -108,17 +122,40 @@ def decode(token: str, lm: CharModel) -> str:
             reads.append((ch, KEEP_COST))  # stays as it is
         if ch in MASKS:
             reads += [(x, MASK_COST) for x in lm.letters]
-        for (context, last), (score, text) in states.items():
-            if ch in SEPARATORS or i < head or i >= tail:
-                put((context, last), score - DROP_COST, text)
+        for (context, last), (score, link) in states.items():
+            if ch == " ":
+                put((context, ""), score, link)  # letters on both sides of a blank are no repeat
+                if context != "^^^":
+                    alone = context[:2] == "^^" and context[2] in ONE_LETTER
+                    end = -ONE_COST - lm.score("^^^", context[2]) if alone else lm.score(context, "$")
+                    put(("^^^", ""), score + end, (link, " "))
+            elif ch in SEPARATORS or i < head or i >= tail:
+                put((context, last), score - DROP_COST, link)
             for letter, cost in reads:
-                put(((context + letter)[1:], ch), score - cost + lm.score(context, letter), text + letter)
+                put(((context + letter)[1:], ch), score - cost + lm.score(context, letter), (link, letter))
                 if letter == context[-1] and last == ch:  # a repeat that says nothing
-                    put((context, last), score - REPEAT_COST, text)
+                    put((context, last), score - REPEAT_COST, link)
         states = dict(sorted(nxt.items(), key=lambda x: -x[1][0])[:BEAM]) if len(nxt) > BEAM else nxt
         if not states:
             return token
-    return max(((score + lm.score(context, "$"), text) for (context, _), (score, text) in states.items()))[1]
+    ends = [(score + lm.score(context, "$"), link) for (context, _), (score, link) in states.items()]
+    best = max(score for score, _ in ends)
+    return max(_spelt(link) for score, link in ends if score == best)
+
+
+def short(token: str) -> bool:
+    """Whether a token is at most one character between punctuation, as the letters of a spaced-out word are."""
+    return len(token) < 2 or len(token.strip(_EDGE)) < 2
+
+
+def spaced(tokens: list[str], shorts: set[str], lm: CharModel) -> Iterator[str]:
+    """Words read from the runs of three and more short tokens; shorts: those of ``tokens`` that are ``short``."""
+    if shorts:
+        for run in _THREE.finditer(bytes(map(shorts.__contains__, tokens))):
+            letters = tokens[run.start():run.end()]
+            if any(c.isalpha() or c in LEET for t in letters for c in t):
+                yield from _WORD.findall(decode(" ".join(letters), lm))
+                yield from _WORD.findall(decode("".join(letters), lm))
 
 
 @dataclass
@@ -162,15 +199,13 @@ class Reader:
         for t in kinds:
             for w in self.token(t):
                 out.add(w)
-        if sum(len(t) == 1 for t in kinds) > 2:  # letters spaced out
-            for single, run in groupby(tokens, lambda t: len(t.strip(",.;:")) <= 1):
-                if single and len(run := list(run)) > 2:
-                    out.update(_WORD.findall(decode("".join(run), self.lm)))
+        out.update(spaced(tokens, set(filter(short, kinds)), self.lm))
         return out
 
 
 def expand(words) -> set[str]:
     """Feature names of words: the words, and their beginnings marked by ``^``."""
+    words = set(words)
     return {*words, *(f"^{w[:n]}" for w in words for n in PREFIXES if len(w) > n)}
 
 
@@ -183,6 +218,7 @@ class Model:
     def scorer(self):
         """Scores of a batch of texts; a word's features are looked up once per word."""
         found: dict[str, tuple] = {}
+        shorts: set[str] = set()
         weights, reader = self.weights, self.reader
         base = 1 / (1 + math.exp(-self.bias))
 
@@ -196,15 +232,15 @@ class Model:
             kinds, hits = set(tokens), set()
             for t in kinds.difference(found):
                 found[t] = of_token(t)
+                if short(t):
+                    shorts.add(t)
             for got in map(found.__getitem__, kinds):
                 if got:
                     hits.update(got)
-            if sum(map((1).__eq__, map(len, kinds))) > 2:
-                for single, run in groupby(tokens, lambda t: len(t.strip(",.;:")) <= 1):
-                    if single and len(run := list(run)) > 2:
-                        hits.update(f for f in expand(_WORD.findall(decode("".join(run), reader.lm))) if f in weights)
+            hits.update(f for f in expand(spaced(tokens, shorts, reader.lm)) if f in weights)
             if len(found) > reader.limit:
                 found.clear()
+                shorts.clear()
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(weights[f] for f in hits))))) if hits else base
 
         return score

@@ -75,6 +75,17 @@ def test_disguise_at_the_ends_and_addresses(model):
     assert read("fine") == ("fine",) and "idiot" in read("idiot!") and "idiot" in read("(idiot?)")
 
 
+def test_spaced_out_words(model):
+    lm = toxicity.CharModel({"ass": 30, "boob": 30, "as": 20, "stupid": 30, "idiot": 30, "a": 50, "stand": 20, "man": 20, "dirt": 20, "bob": 20})
+    reader = toxicity.Reader(lm, frozenset({"ass", "boob", "stupid", "idiot"}))
+    for text, words in (("a s s", {"ass"}), ("b o o b", {"boob"}), ("s, t, u, p, i, d", {"stupid"}), ("so s t u p i d!", {"stupid"}),
+                        ("you are a s t u p i d man", {"stupid"}), ("s t u p i d i d i o t", {"stupid", "idiot"})):
+        assert words <= reader.features(text), (text, reader.features(text))
+    score, plain = model.scorer(), model.scorer()("what a fine day")
+    assert all(score(t) > 2 * plain for t in ("you are a p a t h e t i c man", "p, a, t, h, e, t, i, c", "m o r o n i d i o t"))
+    assert score("a b c d e f g, 1 2 3 4 5 6 - - -") == plain
+
+
 def test_toxicity_edges(spark, tmp_path):
     labels = spark.createDataFrame([(10, 1), (10, 0), (11, 0), (None, 1), (12, None), (20, 0)], "doc_id long, toxic int")
     got = Q.op5_toxicity(spark, write_tables(spark, tmp_path, documents=edge_docs(spark), labels=labels)).collect()
