@@ -4,7 +4,8 @@ Deobfuscation is noisy-channel decoding.  The channel may replace letters by loo
 (leetspeak, masks), put separators between letters, space letters out and repeat them.  A
 token's lattice has, for each character, the letters it may stand for and, for separators
 and repeats, nothing; Viterbi search finds the path with the best sum of channel costs
-and character-language-model scores (``CharModel``, trigrams with interpolation).  A
+and character-language-model scores (``CharModel``, three letters of context with
+interpolation).  No state is cut: contexts with equal futures are one state.  A
 token made of letters alone with no run of three has a single path, itself, so only the
 others are searched; masks and look-alikes at either end count, since they may be letters or
 punctuation.  Addresses and URLs are not searched.  Runs of three and more single characters between
@@ -47,7 +48,8 @@ MASKS, SEPARATORS = "*#?", ".-_*~^'`,:;/\\ "
 LEET_COST, MASK_COST, DROP_COST, REPEAT_COST, KEEP_COST = 1.0, 2.5, 0.7, 0.5, 4.0
 #: Words of one letter are few kinds but frequent: a cost instead of the character model's score.
 ONE_LETTER, ONE_COST = "aioy", 2.5
-BEAM = 48
+#: States times letters of a mask that are held at once.
+MASK_CELLS = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGE = "\"'()[]{}<>.,;:?!*#~-_/\\…«»“”‘’"
 #: Edge characters that stand for no letter.
@@ -77,7 +79,12 @@ class CharModel:
                     self.grams[order][gram] += weight
                     self.ctx[order][gram[:-1]] += weight
         self.letters = sorted({g for g in self.grams[0] if g != "$"})
+        self.known = frozenset(self.letters)
         self.cache: dict[tuple[str, str], float] = {}
+        # of the contexts that masks were read after
+        self.rows: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.number: dict[str, int] = {}
+        self.names: list[str] = []
 
     def score(self, context: str, ch: str) -> float:
         """log p(ch | the last three characters), Witten-Bell."""
@@ -92,6 +99,26 @@ class CharModel:
             got = self.cache[(context, ch)] = math.log(p)
         return got
 
+    def state(self, context: str) -> str:
+        """A context with equal scores now and after any letters: letters that never led anywhere are blotted out.
+
+        If no word has a context, its scores are those of its shorter end, and no word has its longer continuations."""
+        if self.ctx[3][context]:
+            return context
+        return f"\0{context[1:]}" if self.ctx[2][context[1:]] else f"\0\0{context[2]}"
+
+    def any_letter(self, contexts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each context and each of ``letters``: log p of the letter, and the number in ``names`` of the state after it."""
+        new = [c for c in contexts if c not in self.rows]
+        for c in new:
+            after = [self.state(c[1:] + x) for x in self.letters]
+            for name in after:
+                if name not in self.number:
+                    self.number[name] = len(self.names)
+                    self.names.append(name)
+            self.rows[c] = np.array([self.score(c, x) for x in self.letters]), np.array([self.number[a] for a in after], np.int32)
+        return np.stack([self.rows[c][0] for c in contexts]), np.stack([self.rows[c][1] for c in contexts])
+
 
 def _spelt(link: tuple | None) -> str:
     out = []
@@ -101,6 +128,24 @@ def _spelt(link: tuple | None) -> str:
     return "".join(reversed(out))
 
 
+def _read_mask(states: dict, ch: str, lm: CharModel, put) -> None:
+    """Read a mask as every letter after every state; the best way into each state is put."""
+    entries = list(states.items())
+    step = max(1, MASK_CELLS // len(lm.letters))
+    for a in range(0, len(entries), step):
+        part = entries[a:a + step]
+        logs, after = lm.any_letter([context for (context, _), _ in part])
+        sums = (logs + np.array([score - MASK_COST for _, (score, _) in part])[:, None]).ravel()
+        after = after.ravel()
+        best = np.full(len(lm.names), -np.inf)
+        np.maximum.at(best, after, sums)
+        at = np.flatnonzero(sums == best[after])
+        _, first = np.unique(after[at], return_index=True)
+        for cell in at[first].tolist():
+            row, letter = divmod(cell, len(lm.letters))
+            put((lm.names[after[cell]], ch), float(sums[cell]), (part[row][1][1], lm.letters[letter]))
+
+
 def decode(token: str, lm: CharModel) -> str:
     """The best reading of a lower-cased token.  Punctuation at its ends may also be just that, at the cost of a separator.
 
@@ -120,8 +165,8 @@ def decode(token: str, lm: CharModel) -> str:
             reads.append((ch, 0.0))
         elif ch not in SEPARATORS and ch not in MASKS:
             reads.append((ch, KEEP_COST))  # stays as it is
-        if ch in MASKS:
-            reads += [(x, MASK_COST) for x in lm.letters]
+        if ch in MASKS and lm.letters:
+            _read_mask(states, ch, lm, put)
         for (context, last), (score, link) in states.items():
             if ch == " ":
                 put((context, ""), score, link)  # letters on both sides of a blank are no repeat
@@ -132,10 +177,12 @@ def decode(token: str, lm: CharModel) -> str:
             elif ch in SEPARATORS or i < head or i >= tail:
                 put((context, last), score - DROP_COST, link)
             for letter, cost in reads:
-                put(((context + letter)[1:], ch), score - cost + lm.score(context, letter), (link, letter))
+                put((lm.state((context + letter)[1:]), ch), score - cost + lm.score(context, letter), (link, letter))
                 if letter == context[-1] and last == ch:  # a repeat that says nothing
                     put((context, last), score - REPEAT_COST, link)
-        states = dict(sorted(nxt.items(), key=lambda x: -x[1][0])[:BEAM]) if len(nxt) > BEAM else nxt
+            if last == ch and ch in MASKS and context[-1] in lm.known:
+                put((context, last), score - REPEAT_COST, link)
+        states = nxt
         if not states:
             return token
     ends = [(score + lm.score(context, "$"), link) for (context, _), (score, link) in states.items()]

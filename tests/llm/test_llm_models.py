@@ -1,5 +1,7 @@
 """Trained operators: held-out accuracy, and every awkward input."""
 
+import random
+
 import pytest
 
 from lakeloom.llm import language_id, toxicity
@@ -86,6 +88,37 @@ def test_spaced_out_words(model):
     assert score("a b c d e f g, 1 2 3 4 5 6 - - -") == plain
 
 
+def test_search_cuts_no_state():
+    """Masked words of several scripts, against a search that keeps every context as it is."""
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
+    rng = random.Random(6)
+    lexicon = {"".join(rng.choices(k, k=rng.randint(3, 8))): rng.randint(1, 3) for k in kinds * 1500}
+    lm = toxicity.CharModel(lexicon)
+
+    def search(token, cut=None):
+        states = {("^^^", ""): (0.0, "")}
+        for ch in token:
+            nxt = {}
+            letters = lm.letters if ch in toxicity.MASKS else [ch]
+            cost = toxicity.MASK_COST if ch in toxicity.MASKS else 0.0
+            for (context, last), (score, text) in states.items():
+                ways = [((context + x)[1:], ch, score - cost + lm.score(context, x), text + x) for x in letters]
+                ways += [(context, last, score - toxicity.REPEAT_COST, text)] * (last == ch and context[-1] in letters)
+                ways += [(context, last, score - toxicity.DROP_COST, text)] * (ch == "*")
+                for c, la, s, t in ways:
+                    if (c, la) not in nxt or nxt[c, la][0] < s:
+                        nxt[c, la] = s, t
+            states = dict(sorted(nxt.items(), key=lambda x: -x[1][0])[:cut])
+        return max((s + lm.score(c, "$"), t) for (c, _), (s, t) in states.items())[1]
+
+    words, lost = sorted(w for w in lexicon if len(w) > 4), 0
+    for w in rng.sample(words, 20):
+        token = w[0] + "##" + w[3:]
+        assert toxicity.decode(token, lm) == search(token), token
+        lost += search(token, 48) != search(token)
+    assert lost  # the tokens are ones that a beam of 48 misreads
+
+
 def test_toxicity_edges(spark, tmp_path):
     labels = spark.createDataFrame([(10, 1), (10, 0), (11, 0), (None, 1), (12, None), (20, 0)], "doc_id long, toxic int")
     got = Q.op5_toxicity(spark, write_tables(spark, tmp_path, documents=edge_docs(spark), labels=labels)).collect()
