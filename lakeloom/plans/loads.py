@@ -27,6 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,7 +151,8 @@ class LoadResult:
 def _failed(res: LoadResult, e: Exception) -> LoadResult:
     """The run fails, its wave goes on (F22): whole message, and the line that raised."""
     frames = traceback.extract_tb(e.__traceback__)
-    res.error = f"{type(e).__name__}: {e.args[0] if e.args else ''}"
+    # Spark's exceptions have no args; their text may go on with the JVM's stack trace
+    res.error = f"{type(e).__name__}: {e._desc if isinstance(e, CapturedException) else e}"
     res.line = frames[-1].lineno if frames else None
     res.inscnt, res.updcnt = 0, 0
     traceback.print_exc()

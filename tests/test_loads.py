@@ -129,6 +129,18 @@ def test_load_into_bronze_replaces_the_table(spark, tables):
     assert err.errordesc == "RuntimeError: " + "x" * 5000 and err.errorline is not None
 
 
+def test_errors_raised_by_spark_are_logged_whole(spark, tables):
+    root = _store(spark, tables, [("A", 1, "raw_to_bronze", "orders", "orders_raw")])
+    sources = [(lambda run: tables.orders.select("no_such_column"), "AnalysisException", "no_such_column"),
+               (lambda run: tables.orders.select(F.raise_error(F.lit("bad row " + "y" * 3000)).alias("x")), "", "bad row " + "y" * 3000),
+               (lambda run: open("/no/such/file"), "FileNotFoundError", "/no/such/file")]
+    for source, kind, text in sources:
+        snap.publish(snap.read_table(spark, root, "controldetail").withColumn("isreadyforexecution", F.lit(1)), root, "controldetail")
+        pl.run_waves(spark, root, RunFilter(dataflowflag="raw_to_bronze"), keys_of=lambda r: [], as_of=T, source_of=source)
+        logged = [r.errordesc for r in pl.error_log(spark, root).collect()]
+        assert any(e.startswith(kind) and text in e for e in logged), logged
+
+
 def test_required_and_long_columns_fail(spark, tables):
     import pytest
     df = spark.createDataFrame([(1, "ab"), (2, None)], "k long, t string")
