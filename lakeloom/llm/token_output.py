@@ -1,6 +1,7 @@
 """Token ids in a compact binary file format, written in id order and read back.
 
-Texts are encoded with the tokenizers library.  Its pre-tokenizer cuts a text into pieces
+Texts are encoded with the tokenizers library.  Added tokens in a text (``<|endoftext|>``)
+are split off first and get their ids, as in the library.  Its pre-tokenizer cuts a text into pieces
 that are encoded independently, so each different piece of a batch is encoded once
 (``pieces.cut`` cuts like the library; the tests compare the two), and pieces frequent in a
 bounded sample once for all tasks.  The ids, two bytes each if the vocabulary allows, are dealt to parts by ranges of the
@@ -24,6 +25,7 @@ or block raises ``ValueError``.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ from .context_coder import decode_blocks, encode_blocks, frequencies
 
 END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
 MAGIC = b"CMRC0001"
+#: No text has this byte.
+MARK = b"\xff"
 _HEAD, _ENTRY = "<8sIIII", "<III"
 
 
@@ -89,12 +94,39 @@ def parse(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 
 
 def load(tokenizer_path: str):
-    """The tokenizer; strings of special tokens in a text are ordinary text."""
+    """The library's tokenizer; added tokens in a text get their own ids."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(tokenizer_path)
+
+
+def added_tokens(tokenizer) -> dict[str, int]:
+    """Contents and ids of the tokens that are looked for in a text before it is cut."""
+    added = tokenizer.get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip or t.single_word or t.normalized and tokenizer.normalizer for t in added.values()):
+        raise ValueError("an added token that takes blanks along, stands alone or is normalised is not supported")
+    return {t.content: i for i, t in added.items()}
+
+
+def cut_around(column: pa.Array, added: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """``cut_batch`` of the texts between added tokens; an added token is a piece of its own, marked by ``MARK``."""
+    if not any(pc.any(pc.match_substring(column, a)).as_py() for a in added):
+        return cut_batch(column)
+    either = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    split = [either.split(t or "") for t in column.to_pylist()]  # texts and added tokens by turns
+    pieces, counts = cut_batch(pa.array([t for parts in split for t in parts[::2]], pa.string()))
+    stops, out, sizes, at = np.cumsum(counts).tolist(), [], [], 0
+    spans = iter(zip([0, *stops], stops))
+    for parts in split:
+        for i, part in enumerate(parts):
+            if i % 2:
+                out.append(MARK + part.encode())
+            else:
+                a, z = next(spans)
+                out += pieces[a:z]
+        sizes.append(len(out) - at)
+        at = len(out)
+    return out, np.array(sizes, np.int64)
 
 
 def _encoded(tokenizer, words: list[bytes]) -> list[list[int]]:
@@ -120,26 +152,27 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     tokenizer = load(tokenizer_path)
     words = [r["word"] for r in top_pieces(docs, id_col, text_col, frozenset()).select("word").toLocalIterator()]
     words = [bytes(w) for w in words]
-    cached = _encoded(tokenizer, words)
+    cached, added = _encoded(tokenizer, words), added_tokens(tokenizer)
+    words += [MARK + t.encode() for t in added]
+    cached += [[i] for i in added.values()]
     sizes = np.array([len(i) for i in cached], np.int64)
     kind = id_kind(tokenizer_path)
     flat = np.fromiter(chain.from_iterable(cached), kind, int(sizes.sum()))
     sent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(words)}, flat, sizes))
     definition, n_words = tokenizer.to_str(), len(words)
-    upper = np.array(marks or [], np.int64)
+    upper, added = np.array(marks or [], np.int64), list(added)
     del tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         own = Tokenizer.from_str(definition)
-        own.encode_special_tokens = True
         known, known_ids, known_sizes = sent.value
         codes = Codes(known, n_words)
         end = np.zeros(0 if end_id is None else 1, kind)
         end[:] = end_id or 0
         for b in batches:
-            pieces, counts = cut_batch(b.column("text"))
+            pieces, counts = cut_around(b.column("text"), added)
             coded = np.fromiter(map(codes.__getitem__, pieces), np.int32, len(pieces))
             del pieces
             new = _encoded(own, codes.taken())

@@ -95,6 +95,20 @@ def test_token_files_equal_the_library(spark, docs, tmp_path):
     assert Q.op10_token_output(spark, write_tables(spark, tmp_path / "none", documents=no_docs(spark))).collect() == []
 
 
+def test_added_tokens_equal_the_plain_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+    plain, end = Tokenizer.from_file(JSON), "<|endoftext|>"
+    texts = [f"one{end}two", end, f"{end}{end} x", f"a  {end}  b \n", f"don'{end}t <|endoftext| >", f" tail {end}", "no such token", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: r for r in Q.op10_token_output(spark, write_tables(spark, tmp_path, documents=docs)).collect()}
+    at = 0
+    for i, t in enumerate(texts):
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (50256 in ids) == (end in (t or ""))
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+        at += len(ids)
+
+
 def test_token_file_round_trip_and_damage():
     rng = np.random.default_rng(1)
     for n, block in ((0, 8), (1, 8), (8, 8), (9, 8), (5000, 64)):
