@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.session import ensure_checkpoint_dir
@@ -83,3 +84,45 @@ def crc_mod_ids(ids: list, modulus: int) -> np.ndarray:
 def ascii_lower(column):
     """A-Z to a-z and nothing else."""
     return F.translate(column, UPPER, LOWER)
+
+
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the column ``name``: 16 bytes that name a row by its place, the same in every read.
+
+    The place is the row's index in its Parquet file, which depends neither on how files are split nor on the
+    cores of a run.  A table that is not read from Parquet files is stored first, numbered, and only that is read."""
+    try:
+        at = df.metadataColumn("_metadata")
+        place = F.concat_ws("#", at["file_path"], at["row_index"].cast("string"))
+        return df.withColumn(name, F.unhex(F.md5(place.cast("binary"))))
+    except AnalysisException:
+        return stored(df.withColumn(name, F.unhex(F.md5(F.monotonically_increasing_id().cast("string").cast("binary")))), "placed")
+
+
+def salted_lookup(rows: DataFrame, table: DataFrame, key: list[str], spread: list[str], how: str = "left", salts: int = 64) -> DataFrame:
+    """``rows`` joined to ``table`` (one row per key, no null keys) on ``key``, however many rows share a key.
+
+    Rows are salted by a hash of ``spread``; a key's row is copied to the salts that its rows have, ``salts`` at most.
+    ``rows`` is read twice, so its columns must be the same in both reads."""
+    rows = rows.withColumn("lookup_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    asked = rows.select(*key, "lookup_salt").distinct().join(table, key)
+    return rows.join(asked, [*key, "lookup_salt"], how).drop("lookup_salt")
+
+
+def running(df: DataFrame, group: str, order: str, totals: dict[str, tuple[str, Column]]) -> DataFrame:
+    """``df`` with running totals (column: ("sum" or "xor", of what)) within ``group`` in ``order``, the own row included.
+
+    Rows are range-partitioned by (group, order) and stored, so a large group lies in many tasks; totals of a group's
+    earlier partitions, one small row each, are added to the running totals inside a partition."""
+    fold = {"sum": F.sum, "xor": F.bit_xor}
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(df.withColumns({f"of_{c}": of for c, (_, of) in totals.items()}).repartitionByRange(parts, group, order)
+                  .withColumn("running_part", F.spark_partition_id()), "running")
+    by_part = rows.groupBy("running_part", group).agg(*[fold[how](f"of_{c}").alias(f"all_{c}") for c, (how, _) in totals.items()])
+    earlier = Window.partitionBy(group).orderBy("running_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_part.select("running_part", group, *[
+        F.coalesce(fold[how](f"all_{c}").over(earlier), F.lit(0)).alias(f"before_{c}") for c, (how, _) in totals.items()])
+    within = Window.partitionBy("running_part", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumns({c: fold[how](f"of_{c}").over(within) for c, (how, _) in totals.items()}).join(before, ["running_part", group])
+    add = {"sum": lambda a, b: a + b, "xor": lambda a, b: a.bitwiseXOR(b)}
+    return out.select(*df.columns, *[add[how](F.col(c), F.col(f"before_{c}")).alias(c) for c, (how, _) in totals.items()])

@@ -106,6 +106,86 @@ def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered(table(spark, sf_dir, "documents"))[1].select("doc_id", "source", "size", "copy", "position")
 
 
+#: CRC-32 of the bytes in the list ``{bytes}``, by the 256 remainders of its polynomial (``crc_table.t``).
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), "
+        "4294967295::BIGINT)")
+
+
+@query(f"""
+WITH {_CRC_TABLE},
+own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, sha256(sha256(coalesce(role, '')) || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, {_CRC.format(bytes="list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 9 AS h
+  FROM own, crc_table),
+whole AS (SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS path
+  FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+nodes AS (SELECT path[1:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM whole) GROUP BY 1, 2),
+born AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT a.*, coalesce(b.n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(a.path[depth].text) ELSE 0 END AS worth
+  FROM nodes a LEFT JOIN born b ON a.path = b.path),
+below AS (SELECT path[1:e] AS path, sum(worth) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT path, worth, n_children, unnest(range(0, depth + 1)) AS e FROM full_nodes) GROUP BY 1),
+ends AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM whole GROUP BY path)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_nodes a JOIN below b ON a.path = b.path LEFT JOIN ends e ON a.path = e.path
+  LEFT JOIN nodes p ON p.depth = a.depth - 1 AND p.path = a.path[1:a.depth - 1]""")
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+WITH heads AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS place,
+  first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id) AS original FROM heads)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN original END AS refers_to FROM firsts""")
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import warc
+    return warc(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _words_sql(table_name: str) -> str:
+    return (f"SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            f"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM {table_name}")
+
+
+_HEX = "strpos('0123456789ABCDEF', hex(word)[{at}]) - 1"
+
+
+@query(f"""
+WITH {_CRC_TABLE},
+rows AS (SELECT row_number() OVER () AS doc_id, doc_id AS real_id, text FROM documents),
+goals AS (SELECT item_id AS doc_id, text FROM benchmark),
+words AS ({_words_sql("rows")}),
+goal_words AS ({_words_sql("goals")}),
+spelt AS (SELECT DISTINCT word FROM words UNION SELECT DISTINCT word FROM goal_words),
+hashed AS (SELECT word, {_CRC.format(bytes="list_transform(range(1, 2 * strlen(word), 2), lambda i: 16 * ("
+    + _HEX.format(at="i") + ") + " + _HEX.format(at="i + 1") + ")")} % 10000 AS bucket FROM spelt, crc_table),
+s AS (SELECT bucket, count(*) AS s FROM words JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM goal_words JOIN hashed USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000.0::DOUBLE * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)::DOUBLE /
+  ((s + 1)::DOUBLE * ((SELECT count(*) FROM goal_words) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+sums AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS total FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+weighed AS (SELECT real_id AS doc_id, coalesce(n, 0) AS n_features, coalesce(floor(total::DOUBLE / n), 0)::BIGINT AS weight,
+  list_reduce(list_prepend(0::BIGINT, list_transform(string_split(left(sha256('2024:' || coalesce(real_id::VARCHAR, '')), 8), ''),
+    lambda x: (strpos('0123456789abcdef', x) - 1)::BIGINT)), lambda a, x: 16 * a + x) AS h
+  FROM rows LEFT JOIN sums USING (doc_id)),
+scored AS (SELECT *, weight + floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM weighed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100
+  THEN place END AS rank FROM ranked""")
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 @query()
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import fit, predict

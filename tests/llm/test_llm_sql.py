@@ -18,7 +18,7 @@ def compare(spark, name, path):
     df = Q.QUERIES[name](spark, path)
     got = rows_of(df.columns, df.collect())
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         try:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet/*.parquet')")
         except duckdb.IOException:
