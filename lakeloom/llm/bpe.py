@@ -7,15 +7,17 @@ leftmost pair of least rank, with a literal rank map.  The map is a literal arra
 perfect hash of the pairs (Spark's own maps are searched from end to end), and every slot
 names its pair, so one look-up gives a pair's rank.
 
-A piece is folded once per block (the texts of one Arrow batch), and the
-pieces that are frequent in a bounded sample (``CACHE_DOCS`` texts, ``CACHE_WORDS``
-pieces) are folded once and sent to all tasks.  The cache only saves work: its choice
-changes no result.  No text and no id is shuffled.
+A distinct piece is folded once per task: a block (the texts of one Arrow batch) brings only
+the pieces that the task has not met (it forgets them all when there are over ``TASK_WORDS``,
+to bound its memory).  The pieces that are frequent in a bounded sample (``CACHE_DOCS`` texts,
+``CACHE_WORDS`` pieces) are folded once and sent to all tasks.  Both only save work and
+change no result.  No text and no id is shuffled.
 
 Decoding concatenates the byte strings of the ids.
 
 Defined results: a null text counts as empty and has no ids; repeated rows repeat.  Only
-the id and text columns are read.  Ids outside the vocabulary raise an error.
+the id and text columns are read.  Ids outside the vocabulary raise an error, and so do
+ranks of ``NO_MERGE`` and more.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +38,15 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, text_buffer
 from .pieces import cut
 
-CACHE_DOCS, CACHE_WORDS = 20_000, 250_000
+CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 100_000, 250_000
 #: A block of texts.
 BLOCK_ROWS, BLOCK_BYTES = 1000, "4m"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
-NO_MERGE = 1 << 17
+ID_BITS = 20
+NO_MERGE = 1 << ID_BITS
 EMPTY = 1 << 61
+#: A plan's text would repeat the literals, megabytes in every event of a query.
+PLAN_TEXT = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,6 +57,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def pair_rows(ranks: dict[bytes, int]) -> dict[int, dict[int, int]]:
     """left id -> right id -> id of the merged token, for every pair of tokens that makes one."""
+    if ranks and max(ranks.values()) >= NO_MERGE:
+        raise ValueError(f"ids of {NO_MERGE} and more don't fit into the rank map")
     rows: dict[int, dict[int, int]] = {}
     for token, rank in ranks.items():
         for i in range(1, len(token)):
@@ -109,23 +117,37 @@ def _joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))  # much cheaper than concat where expressions are interpreted
 
 
-def fold_merges(words: Column, ranks: dict[bytes, int]) -> Column:
+@dataclass
+class RankMap:
+    """The literals of a fold, made once for all its uses."""
+
+    byte_ids: Column
+    firsts: Column
+    moves: Column
+    slots: Column
+    sizes: tuple[int, int]
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> RankMap:
+        moves, slots = displaced(pair_rows(ranks))
+        firsts = [ranks.get(bytes([a, b]), EMPTY) for a in range(256) for b in range(256)]
+        literals = [_literal(v, "bigint") for v in ([ranks[bytes([b])] for b in range(256)], firsts, moves.tolist(), slots.tolist())]
+        return cls(*literals, (len(moves), len(slots)))
+
+
+def fold_merges(words: Column, ranks: RankMap) -> Column:
     """Ids (array<array<bigint>>) of an array of pieces, each the array of its bytes (0 to 255, at least one).
 
     The literals are bound once around the fold, so the plan holds one copy of each."""
-    moves, slots = displaced(pair_rows(ranks))
-    byte_ids = [ranks[bytes([b])] for b in range(256)]
-    firsts = [ranks.get(bytes([a, b]), EMPTY) for a in range(256) for b in range(256)]
     none = F.array().cast("array<array<bigint>>")
-    return _let(_literal(byte_ids, "bigint"), lambda ids: _let(_literal(firsts, "bigint"), lambda first: _let(
-        _literal(moves.tolist(), "bigint"), lambda move: _let(_literal(slots.tolist(), "bigint"), lambda slot: F.transform(
-            words, lambda w: _fold(w, ids, first, move, slot, len(moves), len(slots))), none), none), none), none)
+    return _let(ranks.byte_ids, lambda ids: _let(ranks.firsts, lambda first: _let(ranks.moves, lambda move: _let(
+        ranks.slots, lambda slot: F.transform(words, lambda w: _fold(w, ids, first, move, slot, *ranks.sizes)), none), none), none), none)
 
 
 def _fold(word: Column, byte_ids: Column, firsts: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
     """firsts: ranks of the pairs of bytes, at ``256 * left + right``."""
     def rank(left: Column, right: Column) -> Column:
-        pair = F.shiftleft(F.shiftleft(left, 17).bitwiseXOR(right), 17)
+        pair = F.shiftleft(F.shiftleft(left, ID_BITS).bitwiseXOR(right), ID_BITS)
         return _let(F.xxhash64(left, right), lambda h: F.get(slots, F.shiftrightunsigned(h, 32).bitwiseXOR(
             F.get(moves, h.bitwiseAND(F.lit(n_moves - 1)).cast("int"))).bitwiseAND(F.lit(n_slots - 1)).cast("int")).bitwiseXOR(pair),
             F.lit(0).cast("bigint"))
@@ -157,25 +179,59 @@ def _fold(word: Column, byte_ids: Column, firsts: Column, moves: Column, slots:
 
 
 class Codes(dict):
-    """Codes of known pieces; an unknown one gets the next code and is noted."""
+    """Codes of pieces.  An unknown one gets the next code after ``size`` and is noted; new pieces are remembered from
+    batch to batch until there are over TASK_WORDS."""
 
-    def __init__(self, known: dict[bytes, int], size: int):
+    def __init__(self, known: dict[bytes, int], size: int, spelling: bytes = b"", spelt: np.ndarray | None = None):
+        """known: codes of some pieces; the pieces in ``spelling``, ``spelt`` bytes each, get the codes before ``size``."""
         super().__init__(known)
-        self.size, self.new = size, []
+        self.size, self.new, self.held = size, [], []
+        ends = np.cumsum(spelt if spelt is not None else [])
+        for code, (a, z) in enumerate(zip([0, *ends.tolist()], ends.tolist()), size - len(ends)):
+            self[spelling[a:z]] = code
 
     def __missing__(self, piece: bytes) -> int:
         self.new.append(piece)
-        self[piece] = code = self.size + len(self.new) - 1
+        self[piece] = code = self.size + len(self.held) + len(self.new) - 1
         return code
 
+    def full(self) -> bool:
+        """Before a batch: whether the new pieces were too many; they are forgotten then."""
+        if len(self.held) <= TASK_WORDS:
+            return False
+        for p in self.held:
+            del self[p]
+        self.held = []
+        return True
+
     def taken(self) -> list[bytes]:
-        """The unknown pieces since the last call; they are forgotten."""
+        """The new pieces since the last call."""
         new, self.new = self.new, []
-        for p in new:
-            del self[p]
+        self.held += new
         return new
 
 
+class Pieces:
+    """Ids of the pieces by code: those of the known codes, then the new ones as they come."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.known = self.ids, self.sizes = ids, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray, forget: bool) -> None:
+        if forget:
+            self.ids, self.sizes = self.known
+        if forget or len(sizes):
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def spelt(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all pieces in turn, the number of ids up to each)."""
+        n = self.sizes[codes]
+        upto = np.cumsum(n)
+        return self.ids[np.arange(upto[-1] if len(n) else 0) + np.repeat(self.starts[codes] - upto + n, n)], upto
+
+
 def cut_batch(column: pa.Array) -> tuple[list[bytes], np.ndarray]:
     """(pieces of all texts, number of pieces of each)."""
     buf, offsets = text_buffer(column)
@@ -208,14 +264,16 @@ def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[by
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS)
 
 
-def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[bytes, int],
+                    rank_map: RankMap) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """The top pieces that are no tokens: their bytes one after another, the number of bytes of each, then the same of
     their ids.  Flat arrays, so that the driver makes no object per piece."""
-    top = top_pieces(docs, id_col, text_col, frozenset(ranks))
-    # the literals are bound once a row, so the words are folded in blocks
-    blocks = top.groupBy(F.pmod(F.xxhash64("word"), F.lit(CACHE_WORDS // 1000)).alias("block")).agg(
-        F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))
-    rows = blocks.select("words", fold_merges(F.col("bytes"), ranks).cast("array<array<int>>").alias("ids")).toArrow()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the literals are bound once a row, so the words are folded in blocks; dealt out, since a limit leaves one partition
+    top = top_pieces(docs, id_col, text_col, frozenset(ranks)).withColumn(
+        "block", F.pmod(F.xxhash64("word"), F.lit(max(parts, CACHE_WORDS // 500)))).repartition(parts, "block")
+    blocks = top.groupBy("block").agg(F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))
+    rows = blocks.select("words", fold_merges(F.col("bytes"), rank_map).cast("array<array<int>>").alias("ids")).toArrow()
     words, ids = (rows[c].combine_chunks() for c in ("words", "ids"))
     words, ids = words.flatten(), ids.flatten()
     sizes = [pc.binary_length(words), pc.list_value_length(ids)]
@@ -230,8 +288,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     decoded: also the column ``decoded``, the ids decoded again as ``decode`` does, in the same task."""
     spark = docs.sparkSession
     arrow_limits(spark, BLOCK_ROWS, BLOCK_BYTES)
-    concatenated = _concatenation(ranks) if decoded else None
-    spelling, spelt, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks)
+    spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
+    concatenated, rank_map = _concatenation(ranks) if decoded else None, RankMap.of(ranks)
+    spelling, spelt, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks, rank_map)
     # codes: the ids of the vocabulary, then the cached pieces; both are of a bounded size
     n_ids = max(ranks.values(), default=-1) + 1
     size = n_ids + len(spelt)
@@ -242,33 +301,27 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, spelling, spelt = known.value
-        ends = np.cumsum(spelt)
-        codes = Codes(tokens, size)
-        for code, (a, z) in enumerate(zip((ends - spelt).tolist(), ends.tolist(), strict=True), n_ids):
-            codes[spelling[a:z]] = code
+        codes = Codes(tokens, size, spelling, spelt)
         for b in batches:
+            forget = codes.full()
             words, counts = cut_batch(b.column("text"))
             coded = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+            del words
             yield pa.RecordBatch.from_arrays([
                 pa.array([b.column("id").to_pylist()], pa.list_(b.schema.field("id").type)), pa.array([counts.astype(np.int32).tobytes()]),
-                pa.array([coded.tobytes()], pa.binary()),
+                pa.array([coded.tobytes()], pa.binary()), pa.array([forget]),
                 pa.ListArray.from_arrays(pa.array([0, len(codes.new)], pa.int32()), _byte_lists(codes.taken()))],
-                ["id", "counts", "codes", "words"])
+                ["id", "counts", "codes", "forget", "words"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_ids, known_sizes = folded_ids.value
+        pieces = Pieces(*folded_ids.value)
         for b in batches:
-            for row in range(b.num_rows):
-                own = b.column("ids")[row].values  # the folded pieces of this block
-                own_sizes = np.diff(own.offsets.to_numpy()) if len(own) else np.zeros(0, np.int64)
-                every = np.concatenate([known_ids, own.flatten().to_numpy().astype(np.uint32)])
-                lengths = np.concatenate([known_sizes, own_sizes])
-                starts = np.cumsum(lengths) - lengths
-                codes = np.frombuffer(b.column("codes")[row].as_py(), np.int32)
+            for row in range(b.num_rows):  # the blocks of this task, in order
+                own = b.column("ids")[row].values  # the folded pieces that are new in this block
+                pieces.add(own.flatten().to_numpy().astype(np.uint32), np.diff(own.offsets.to_numpy()) if len(own) else np.zeros(0, np.int64),
+                           b.column("forget")[row].as_py())
+                ids, upto = pieces.spelt(np.frombuffer(b.column("codes")[row].as_py(), np.int32))
                 counts = np.frombuffer(b.column("counts")[row].as_py(), np.int32)
-                n = lengths[codes]
-                upto = np.cumsum(n)
-                ids = every[np.arange(upto[-1] if len(n) else 0) + np.repeat(starts[codes] - upto + n, n)]
                 ends = np.concatenate([[0], upto])[np.cumsum(counts)] if len(counts) else counts
                 cuts = np.concatenate([[0], ends]).astype(np.int32) * 4
                 texts = pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
@@ -280,8 +333,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
 
     kind = docs.select(id_col).dtypes[0][1]
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        blocks, f"id array<{kind}>, counts binary, codes binary, words array<array<smallint>>")
-    folded = coded.select("id", "counts", "codes", fold_merges(F.col("words"), ranks).cast("array<array<int>>").alias("ids"))
+        blocks, f"id array<{kind}>, counts binary, codes binary, forget boolean, words array<array<smallint>>")
+    folded = coded.select("id", "counts", "codes", "forget", fold_merges(F.col("words"), rank_map).cast("array<array<int>>").alias("ids"))
     return folded.mapInArrow(assemble, f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded)
 
 
