@@ -2,7 +2,7 @@
 
 Texts are encoded with the tokenizers library.  Added tokens in a text (``<|endoftext|>``)
 are split off first and get their ids, as in the library.  Its pre-tokenizer cuts a text into pieces
-that are encoded independently, so each different piece of a batch is encoded once
+that are encoded independently, so each different piece of a task is encoded once
 (``pieces.cut`` cuts like the library; the tests compare the two), and pieces frequent in a
 bounded sample once for all tasks.  The ids, two bytes each if the vocabulary allows, are dealt to parts by ranges of the
 document id, sorted, and written as files.
@@ -37,11 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Codes, cut_batch, top_pieces
+from .bpe import Codes, Pieces, cut_batch, top_pieces
 from .common import arrow_limits, stored
 from .context_coder import decode_blocks, encode_blocks, frequencies
 
 END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
+#: Texts of an Arrow batch, and pieces that the library encodes in one call.
+BATCH_ROWS, BATCH_BYTES, ENCODED_AT_ONCE = 1000, "4m", 2000
 MAGIC = b"CMRC0001"
 #: No text has this byte.
 MARK = b"\xff"
@@ -129,8 +131,14 @@ def cut_around(column: pa.Array, added: list[str]) -> tuple[list[bytes], np.ndar
     return out, np.array(sizes, np.int64)
 
 
-def _encoded(tokenizer, words: list[bytes]) -> list[list[int]]:
-    return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+def _encoded(tokenizer, words: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words in turn, number of ids of each); the library's results, large objects, are held a few at a time."""
+    ids, sizes = [], []
+    for at in range(0, len(words), ENCODED_AT_ONCE):
+        part = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words[at:at + ENCODED_AT_ONCE]], add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, part), np.int64, len(part)))
+        ids.append(np.fromiter(chain.from_iterable(part), kind, int(sizes[-1].sum())))
+    return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, kind), np.zeros(0, np.int64))
 
 
 def boundaries(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
@@ -148,40 +156,33 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
 
     marks: upper document ids of all parts but the last."""
     spark = docs.sparkSession
-    arrow_limits(spark)
+    arrow_limits(spark, BATCH_ROWS, BATCH_BYTES)
     tokenizer = load(tokenizer_path)
-    words = [r["word"] for r in top_pieces(docs, id_col, text_col, frozenset()).select("word").toLocalIterator()]
-    words = [bytes(w) for w in words]
-    cached, added = _encoded(tokenizer, words), added_tokens(tokenizer)
+    added, kind = added_tokens(tokenizer), id_kind(tokenizer_path)
+    words = top_pieces(docs, id_col, text_col, frozenset()).select("word").toArrow()["word"].to_pylist()
+    flat, sizes = _encoded(tokenizer, words, kind)
     words += [MARK + t.encode() for t in added]
-    cached += [[i] for i in added.values()]
-    sizes = np.array([len(i) for i in cached], np.int64)
-    kind = id_kind(tokenizer_path)
-    flat = np.fromiter(chain.from_iterable(cached), kind, int(sizes.sum()))
-    sent = spark.sparkContext.broadcast(({w: i for i, w in enumerate(words)}, flat, sizes))
-    definition, n_words = tokenizer.to_str(), len(words)
+    flat, sizes = np.append(flat, np.array(list(added.values()), kind)), np.append(sizes, np.ones(len(added), np.int64))
+    sent = spark.sparkContext.broadcast((b"".join(words), np.array(list(map(len, words)), np.int64), flat, sizes))
+    definition = tokenizer.to_str()
     upper, added = np.array(marks or [], np.int64), list(added)
-    del tokenizer
+    del tokenizer, words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         own = Tokenizer.from_str(definition)
-        known, known_ids, known_sizes = sent.value
-        codes = Codes(known, n_words)
+        spelling, spelt, known_ids, known_sizes = sent.value
+        codes, known = Codes({}, len(spelt), spelling, spelt), Pieces(known_ids, known_sizes)
         end = np.zeros(0 if end_id is None else 1, kind)
         end[:] = end_id or 0
         for b in batches:
+            forget = codes.full()
             pieces, counts = cut_around(b.column("text"), added)
             coded = np.fromiter(map(codes.__getitem__, pieces), np.int32, len(pieces))
             del pieces
-            new = _encoded(own, codes.taken())
-            every = np.concatenate([known_ids, np.fromiter(chain.from_iterable(new), kind)])
-            lengths = np.concatenate([known_sizes, np.array([len(i) for i in new], np.int64)])
-            starts = np.cumsum(lengths) - lengths
-            n = lengths[coded]
-            upto = np.cumsum(n)
-            ids = every[np.arange(upto[-1] if len(n) else 0) + np.repeat(starts[coded] - upto + n, n)]
+            known.add(*_encoded(own, codes.taken(), kind), forget)
+            ids, upto = known.spelt(coded)
             cuts = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
             texts = [np.concatenate([ids[a:z], end]).tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
             doc_ids = b.column("doc_id")
