@@ -86,6 +86,14 @@ def ascii_lower(column):
     return F.translate(column, UPPER, LOWER)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def placed(df: DataFrame, name: str) -> DataFrame:
     """``df`` with the column ``name``: 16 bytes that name a row by its place, the same in every read.
 

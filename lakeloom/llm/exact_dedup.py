@@ -22,6 +22,7 @@ of identical rows exactly one is flagged ``kept``.  Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,43 +45,41 @@ _SPACE_BYTES = SPACE.encode()
 
 
 class Directory:
-    """Extendible-hash directory over key prefixes: ``slots[key >> (64 - depth)]`` is a bucket number."""
+    """Extendible-hash directory over key prefixes: ``slots[key >> (64 - depth)]`` is a bucket number.
+
+    The slots of a bucket are one range, so a split halves a range; ``starts`` has the first slot of each bucket and
+    ``local`` the number of its leading bits, in the order of the keys."""
 
     def __init__(self):
-        self.depth, self.slots, self.local = 0, [0], [0]
-
-    def split(self, bucket: int) -> int:
-        """Split a bucket by its next bit; the directory doubles if the bucket was as deep as it."""
-        if self.local[bucket] == self.depth:
-            self.slots = [b for b in self.slots for _ in (0, 1)]
-            self.depth += 1
-        self.local[bucket] += 1
-        new = len(self.local)
-        self.local.append(self.local[bucket])
-        mine = [i for i, b in enumerate(self.slots) if b == bucket]
-        for i in mine[len(mine) // 2:]:
-            self.slots[i] = new
-        return new
+        self.depth, self.starts, self.local = 0, [0], [0]
+
+    @property
+    def slots(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.local), dtype=np.int32), 1 << (self.depth - np.array(self.local, np.int64)))
 
     def of(self, key: int) -> int:
-        return self.slots[key >> (64 - self.depth)] if self.depth else 0
+        return bisect_right(self.starts, key >> (64 - self.depth)) - 1 if self.depth else 0
 
 
 def build_directory(loads: dict[int, int], bits: int, capacity: int) -> Directory:
-    """Split until no bucket holds more than ``capacity``, or it is a single counter. loads: by the leading ``bits`` of keys."""
-    d = Directory()
+    """Split until no bucket holds more than ``capacity``, or it is a single counter; the directory is as deep as its
+    deepest bucket.  loads: by the leading ``bits`` of keys.  Each bucket's load is a difference of two prefix sums."""
     total = np.zeros((1 << bits) + 1, np.int64)
     for prefix, load in loads.items():
         total[prefix + 1] = load
     total = np.cumsum(total)
-    todo = [(0, 0)]  # bucket, its prefix at its own depth
+    found, todo = [], [(0, 0)]  # (prefix, its number of bits), the least prefix on top
     while todo:
-        bucket, prefix = todo.pop()
-        depth = d.local[bucket]
+        prefix, depth = todo.pop()
         width = bits - depth
         if width and total[(prefix + 1) << width] - total[prefix << width] > capacity:
-            new = d.split(bucket)
-            todo += [(bucket, prefix << 1), (new, prefix << 1 | 1)]
+            todo += [(prefix << 1 | 1, depth + 1), (prefix << 1, depth + 1)]
+        else:
+            found.append((prefix, depth))
+    d = Directory()
+    d.depth = max(depth for _, depth in found)
+    d.local = [depth for _, depth in found]
+    d.starts = [prefix << (d.depth - depth) for prefix, depth in found]
     return d
 
 
@@ -134,8 +133,7 @@ def directory_for(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Direc
     return build_directory(fine, many, bucket_bytes)
 
 
-ENTRY = ("entry long, key long, norm binary, norm_bytes long, best_cps long, best_id long, best_at int, "
-         "members array<long>")
+ENTRY = "entry long, key long, norm binary, norm_bytes long, best_cps long, best_id long, best_at int, members array<{}>"
 INDEX = "entry long, bucket int, chain int, text_sha256 string, keep_id long, keep_here boolean, group_size long"
 
 
@@ -159,7 +157,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([_signed(xxhash.xxh64_intdigest(t, seed=42)) for t in found], pa.int64()),
             pa.array(list(found), pa.binary()), pa.array([len(t) for t in found], pa.int64()),
             pa.array([-w[0] for w in won], pa.int64()), pa.array([w[2] for w in won], pa.int64()),
-            pa.array(best, pa.int32()), pa.array([[m[3] for m in v] for v in found.values()], pa.list_(pa.int64())),
+            pa.array(best, pa.int32()), pa.array([[m[3] for m in v] for v in found.values()], pa.list_(b.schema.field("member").type)),
         ], [f.split()[0] for f in ENTRY.split(", ")])
         serial += len(found)
 
@@ -201,10 +199,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     arrow_limits(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.col(member_col or id_col).cast("long").alias("member"))
-    entries = stored(slim.mapInArrow(_entries, ENTRY), "dedup-entries")
+                       (F.col(member_col) if member_col else F.col(id_col).cast("long")).alias("member"))
+    entries = stored(slim.mapInArrow(_entries, ENTRY.format(slim.schema["member"].dataType.simpleString())), "dedup-entries")
     directory = directory_for(entries, bucket_bytes)
-    slots, shift = np.array(directory.slots, np.int32), np.uint64(64 - directory.depth)
+    slots, shift = directory.slots, np.uint64(64 - directory.depth)
 
     @F.pandas_udf("int")
     def bucket_of(key: pd.Series) -> pd.Series:

@@ -78,7 +78,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ``before``: words of the source ahead of the document in its order; ``times``: how often it is taken.
     Texts are read once, for their sizes, which are kept as a table of their own.  row: ``row_col``, else null."""
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    row = (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row")
+    row = (F.col(row_col) if row_col else F.lit(None).cast("long")).alias("row")
     rows = stored(docs.select(F.col(id_col).alias("doc_id"), row, F.col(source_col).alias("source"),
                               words_in(F.col(text_col)).alias("size"), order.alias("order"),
                               F.substring(order, 1, RANGE_DIGITS).alias("range")), "mixing-sizes")

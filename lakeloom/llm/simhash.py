@@ -74,9 +74,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((fingerprint(t, shingle) for t in text_list(b.column("text"))), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(fps.view(np.int64))], ["doc_id", "row", "fp"])
 
-    row = (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row, F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, row long, fp long")
+    row = F.col(row_col) if row_col else F.lit(None).cast("long")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))
+    return slim.mapInArrow(run, f"doc_id long, row {slim.schema['row'].dataType.simpleString()}, fp long")
 
 
 def _bits_of(values: np.ndarray) -> np.ndarray:
