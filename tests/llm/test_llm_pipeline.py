@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against brute force."""
 
+import contextlib
 import hashlib
 from collections import Counter
 
@@ -7,7 +8,9 @@ import corpus_pipeline as C
 import numpy as np
 import public_tokenizers as P
 import pyarrow.parquet as pq
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from lakeloom.llm import mixing
 from lakeloom.llm import queries as Q
@@ -145,3 +148,101 @@ def test_op9_runs_the_training_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(mixing, "training_order", lambda mixed: every(mixed).where("copy = 0"))
     once = Q.op9_mixing(spark, path).collect()
     assert sum(r["taken"] for r in once) == sum(r["size"] for r in order if r["copy"] == 0) < sum(r["taken"] for r in whole)
+
+
+#: names that the stages or their operators use inside, as the caller's columns
+TAKEN = ["position", "place", "before", "copy", "lang_pred", "lang_score", "pipeline_row", "pipeline_position", "row", "member", "times", "source_size", "order", "range", "size"]
+
+
+def awkward(spark, path):
+    """Nulls, repeated rows and ids, ties, clashing names; in 12 files."""
+    small = spark.read.parquet(f"{SF}/documents.parquet")
+    edge = edge_docs(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = small.unionByName(edge).unionByName(small.where("doc_id % 3 = 0"))
+    docs.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in TAKEN]) \
+        .repartition(12).write.parquet(path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def files(spark, tmp_path_factory):
+    return awkward(spark, str(tmp_path_factory.mktemp("awkward") / "d"))
+
+
+@contextlib.contextmanager
+def cores(spark, n):
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", n)
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+@pytest.mark.parametrize("name", ["exact", "SimHash", "mixing"])
+def test_stages_read_the_same_rows_on_any_number_of_cores(spark, files, name):
+    """What a stage decided holds when its input is split otherwise at the second read."""
+    with cores(spark, 2):
+        want = rows(stage(name)(spark, spark.read.parquet(files), SF))
+    with cores(spark, 2):
+        out = stage(name)(spark, spark.read.parquet(files), SF)
+    with cores(spark, 12):
+        assert out.sparkSession.read.parquet(files).rdd.getNumPartitions() > 4
+        assert rows(out) == want and sum(want.values()) > 100
+
+
+def test_stages_keep_columns_of_any_name(spark, files):
+    docs = spark.read.parquet(files)
+    every = rows(docs)
+    for name, f in C.STAGES[:-1]:
+        out = f(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        kept = rows(out)
+        assert set(kept) <= set(every) and len(kept) > 100, name
+        if not name.startswith("mixing"):
+            assert all(n <= every[r] for r, n in kept.items()), name
+    assert C.STAGES[-1][1](spark, docs, SF).count() == sum(every.values())
+
+
+def test_exact_and_near_on_awkward_rows(spark, files):
+    docs = spark.read.parquet(files)
+    every = docs.collect()
+    kept = stage("exact")(spark, docs, SF).collect()
+    keys = [(r["text"] or "").translate(DELETE) for r in kept]
+    assert Counter(keys) == Counter({(r["text"] or "").translate(DELETE) for r in every})
+    groups = Counter(components([fingerprint(r["text"]) for r in every]))
+    assert stage("SimHash")(spark, docs, SF).count() == len(groups)
+
+
+def test_mixing_on_awkward_rows_against_brute_force(spark, files):
+    """Targets, times and the order of training, recomputed in plain Python."""
+    docs = spark.read.parquet(files)
+    every = [(r, len(words(r["text"]))) for r in docs.collect()]
+    sources = sorted({r["source"] for r, _ in every}, key=lambda s: (s is None, s or ""))
+    weight = {s: (3.0, 1.0, 2.0)[i % 3] for i, s in enumerate(sources)}
+    total = {s: sum(n for r, n in every if r["source"] == s) for s in sources}
+    target, left, free = {}, 1.5 * sum(total.values()), set(sources)
+    while over := {s for s in free if left / sum(weight[x] for x in free) * weight[s] > 2 * total[s]}:
+        target |= {s: 2.0 * total[s] for s in over}
+        left -= sum(target[s] for s in over)
+        free -= over
+    target |= {s: left / sum(weight[x] for x in free) * weight[s] for s in free}
+    want, starts = Counter(), []
+    for place, s in enumerate(sources):
+        mine = sorted(((hashlib.md5(str(r["doc_id"] if r["doc_id"] is not None else "").encode()).hexdigest(), n, r) for r, n in every if r["source"] == s),
+                      key=lambda x: x[:2])
+        whole, before = (int(target[s] // total[s]) if total[s] else 0), 0
+        t = np.linspace(0, 1, 4001)
+        rate = np.interp(t, mixing.KNOTS, mixing.SCHEDULES[place % 3])
+        demand = np.concatenate([[0], np.cumsum((rate[1:] + rate[:-1]) / 2 * np.diff(t))])
+        for _, n, r in mine:
+            times = 0 if n == 0 else whole + (before + n / 2 <= target[s] - whole * total[s])
+            want[tuple(r)] += times
+            starts += [(np.interp((before + c * total[s]) / target[s], demand / demand[-1], t), tuple(r)) for c in range(times)]
+            before += n
+    out = stage("mixing")(spark, docs, SF).collect()
+    assert Counter(map(tuple, out)) == +want
+    at = {}
+    for p, r in starts:
+        at.setdefault(r, []).append(p)
+    best = [min(at[tuple(r)], key=lambda p, i=i: abs(p - i)) for i, r in zip(np.sort([p for p, _ in starts]), out)]
+    assert np.allclose(best, np.sort([p for p, _ in starts]), atol=5e-3)
