@@ -3,7 +3,7 @@
 Encoding cuts texts into the pattern's pieces (``pieces.cut``).  Pieces that are tokens
 themselves need no merges.  The merges of all other pieces run in Spark's higher-order
 functions: ``fold_merges`` folds over a piece's byte array, at each step merging the
-leftmost pair of least rank, with a literal rank map.  The map is a literal array made as a
+leftmost pair of least rank, with a literal rank map.  A token and the rank of its pair are one number, so a step rebuilds one array.  The map is a literal array made as a
 perfect hash of the pairs (Spark's own maps are searched from end to end), and every slot
 names its pair, so one look-up gives a pair's rank.
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, text_buffer
 from .pieces import cut
 
-CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 100_000, 250_000
+CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 250_000, 250_000
 #: A block of texts.
 BLOCK_ROWS, BLOCK_BYTES = 1000, "4m"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
@@ -119,10 +119,12 @@ def _joined(*arrays: Column) -> Column:
 
 @dataclass
 class RankMap:
-    """The literals of a fold, made once for all its uses."""
+    """The literals of a fold, made once for all its uses.
+
+    firsts: the cell of a byte before another one, at ``256 * byte + next byte``; lasts: of a piece's last byte."""
 
-    byte_ids: Column
     firsts: Column
+    lasts: Column
     moves: Column
     slots: Column
     sizes: tuple[int, int]
@@ -130,8 +132,9 @@ class RankMap:
     @classmethod
     def of(cls, ranks: dict[bytes, int]) -> RankMap:
         moves, slots = displaced(pair_rows(ranks))
-        firsts = [ranks.get(bytes([a, b]), EMPTY) for a in range(256) for b in range(256)]
-        literals = [_literal(v, "bigint") for v in ([ranks[bytes([b])] for b in range(256)], firsts, moves.tolist(), slots.tolist())]
+        ids = [ranks[bytes([b])] for b in range(256)]
+        firsts = [ranks.get(bytes([a, b]), NO_MERGE) << ID_BITS | ids[a] for a in range(256) for b in range(256)]
+        literals = [_literal(v, "bigint") for v in (firsts, [NO_MERGE << ID_BITS | i for i in ids], moves.tolist(), slots.tolist())]
         return cls(*literals, (len(moves), len(slots)))
 
 
@@ -140,42 +143,45 @@ def fold_merges(words: Column, ranks: RankMap) -> Column:
 
     The literals are bound once around the fold, so the plan holds one copy of each."""
     none = F.array().cast("array<array<bigint>>")
-    return _let(ranks.byte_ids, lambda ids: _let(ranks.firsts, lambda first: _let(ranks.moves, lambda move: _let(
-        ranks.slots, lambda slot: F.transform(words, lambda w: _fold(w, ids, first, move, slot, *ranks.sizes)), none), none), none), none)
+    return _let(ranks.firsts, lambda first: _let(ranks.lasts, lambda last: _let(ranks.moves, lambda move: _let(
+        ranks.slots, lambda slot: F.transform(words, lambda w: _fold(w, first, last, move, slot, *ranks.sizes)), none), none), none), none)
+
+
+def _fold(word: Column, firsts: Column, lasts: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
+    """A fold over cells ``rank << ID_BITS | id``: a token's id, under the rank of its pair with the next token (NO_MERGE if none).
 
+    Equal ranks are equal pairs, so the least cell's first place is the leftmost pair of least rank, and the rank is the
+    merged token's id."""
+    ids, top = F.lit(NO_MERGE - 1), F.lit(NO_MERGE << ID_BITS)
+    n, none = F.size(word), F.array().cast("array<bigint>")
 
-def _fold(word: Column, byte_ids: Column, firsts: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
-    """firsts: ranks of the pairs of bytes, at ``256 * left + right``."""
-    def rank(left: Column, right: Column) -> Column:
-        pair = F.shiftleft(F.shiftleft(left, ID_BITS).bitwiseXOR(right), ID_BITS)
-        return _let(F.xxhash64(left, right), lambda h: F.get(slots, F.shiftrightunsigned(h, 32).bitwiseXOR(
+    def cell(left: Column, right: Column) -> Column:
+        """The cell of ``left`` before ``right``."""
+        pair = F.shiftleft(F.shiftleft(left, ID_BITS).bitwiseOR(right), ID_BITS)
+        rank = _let(F.xxhash64(left, right), lambda h: F.get(slots, F.shiftrightunsigned(h, 32).bitwiseXOR(
             F.get(moves, h.bitwiseAND(F.lit(n_moves - 1)).cast("int"))).bitwiseAND(F.lit(n_slots - 1)).cast("int")).bitwiseXOR(pair),
             F.lit(0).cast("bigint"))
+        return F.shiftleft(F.least(rank, F.lit(NO_MERGE).cast("bigint")), ID_BITS).bitwiseOR(left)
 
-    n, none = F.size(word), F.array().cast("array<bigint>")
+    pairs = F.zip_with(F.slice(word, 1, n - 1), F.slice(word, 2, n - 1), lambda a, b: F.get(
+        firsts, F.shiftleft(a.cast("int"), 8).bitwiseOR(b.cast("int"))))
+    start = _joined(pairs, F.array(F.get(lasts, F.get(word, n - 1).cast("int"))))
 
-    def start(ids: Column) -> Column:
-        pairs = F.zip_with(F.slice(word, 1, n - 1), F.slice(word, 2, n - 1), lambda a, b: F.get(
-            firsts, F.shiftleft(a.cast("int"), 8).bitwiseOR(b.cast("int"))))
-        return F.struct(ids.alias("ids"), pairs.alias("ranks"))
-
-    def merged(acc: Column, p: Column) -> Column:
-        ids, ranks, last = acc["ids"], acc["ranks"], F.size(acc["ids"])
-        best = F.get(ranks, p - 1)
-        left = F.when(p > 1, F.array(rank(F.get(ids, p - 2), best))).otherwise(none)
-        right = F.when(p + 1 < last, F.array(rank(best, F.get(ids, p + 1)))).otherwise(none)
-        both = F.struct(
-            _joined(F.slice(ids, 1, p - 1), F.array(best), F.slice(ids, p + 2, F.greatest(last - p - 1, F.lit(0)))).alias("ids"),
-            _joined(F.slice(ranks, 1, F.greatest(p - 2, F.lit(0))), left, right,
-                    F.slice(ranks, p + 2, F.greatest(last - p - 2, F.lit(0)))).alias("ranks"))
-        return F.when(best < NO_MERGE, both).otherwise(acc)
+    def merged(acc: Column, p: Column, best: Column) -> Column:
+        last = F.size(acc)
+        left = F.when(p > 1, F.array(cell(F.get(acc, p - 2).bitwiseAND(ids), best))).otherwise(none)
+        here = F.when(p + 1 < last, cell(best, F.get(acc, p + 1).bitwiseAND(ids))).otherwise(top.bitwiseOR(best))
+        return _joined(F.slice(acc, 1, F.greatest(p - 2, F.lit(0))), left, F.array(here),
+                       F.slice(acc, p + 2, F.greatest(last - p - 1, F.lit(0))))
 
     def step(acc: Column, _: Column) -> Column:
-        place = F.array_position(acc["ranks"], F.array_min(acc["ranks"])).cast("int")
-        return _let(place, lambda p: merged(acc, p), acc)
+        return _let(F.array_min(acc), lambda least: F.when(least < top, _let(
+            F.array_position(acc, least).cast("int"), lambda p: merged(acc, p, F.shiftright(least, ID_BITS)), acc)).otherwise(acc), acc)
+
+    def plain(cells: Column) -> Column:
+        return F.transform(cells, lambda c: c.bitwiseAND(ids))
 
-    return _let(F.transform(word, lambda b: F.get(byte_ids, b.cast("int"))), lambda ids: F.when(
-        n > 1, F.aggregate(F.sequence(F.lit(2), n), start(ids), step, lambda acc: acc["ids"])).otherwise(ids), none)
+    return F.when(n > 1, F.aggregate(F.sequence(F.lit(2), n), start, step, plain)).otherwise(plain(start))
 
 
 class Codes(dict):
