@@ -5,7 +5,8 @@ Deobfuscation is noisy-channel decoding.  The channel may replace letters by loo
 token's lattice has, for each character, the letters it may stand for and, for separators
 and repeats, nothing; Viterbi search finds the path with the best sum of channel costs
 and character-language-model scores (``CharModel``, three letters of context with
-interpolation).  No state is cut: contexts with equal futures are one state.  A
+interpolation).  No state is cut: contexts with equal futures are one state, and runs of masks of any length are read
+exactly (``mask_runs``).  A
 token made of letters alone with no run of three has a single path, itself, so only the
 others are searched; masks and look-alikes at either end count, since they may be letters or
 punctuation.  Addresses and URLs are not searched.  Runs of three and more single characters between
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_limits
+from .mask_runs import MaskRuns, Trail
 
 SAMPLE, LM_WORDS, FEATURES = 8000, 30_000, 2000
 PREFIXES = (4, 5)
@@ -48,10 +50,11 @@ MASKS, SEPARATORS = "*#?", ".-_*~^'`,:;/\\ "
 LEET_COST, MASK_COST, DROP_COST, REPEAT_COST, KEEP_COST = 1.0, 2.5, 0.7, 0.5, 4.0
 #: Words of one letter are few kinds but frequent: a cost instead of the character model's score.
 ONE_LETTER, ONE_COST = "aioy", 2.5
-#: States times letters of a mask that are held at once.
-MASK_CELLS = 1 << 20
-#: Up to this size and run length, masks at the end are read from tables; beyond, letter by letter, with equal results.
-ENDING_CELLS, MASK_RUN = 1 << 23, 16
+#: States times letters of a mask that are held at once, and kept by the model (rows of states, and single scores).
+MASK_CELLS, ROW_CELLS, SCORES = 1 << 20, 1 << 22, 1 << 20
+#: Masks inside a token are read one by one up to this many, and this many states times letters; else as a run, with equal
+#: results.  Only a test sets the longest run that is read as one.
+FEW_MASKS, FEW_CELLS, MASK_RUN = 2, 1 << 18, 1 << 62
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGE = "\"'()[]{}<>.,;:?!*#~-_/\\…«»“”‘’"
 #: Edge characters that stand for no letter.
@@ -83,7 +86,7 @@ class CharModel:
         self.letters = sorted({g for g in self.grams[0] if g != "$"})
         self.known = frozenset(self.letters)
         self.cache: dict[tuple[str, str], float] = {}
-        self.ends: Endings | None = None
+        self.masks: MaskRuns | None = None
         # of the contexts that masks were read after
         self.rows: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         self.number: dict[str, int] = {}
@@ -99,6 +102,8 @@ class CharModel:
                 total, kinds = self.ctx[order][c], self.kinds[order][c]
                 if total:
                     p = (self.grams[order][c + ch] + kinds * p) / (total + kinds)
+            if len(self.cache) >= SCORES:
+                self.cache.clear()
             got = self.cache[(context, ch)] = math.log(p)
         return got
 
@@ -110,14 +115,15 @@ class CharModel:
             return context
         return f"\0{context[1:]}" if self.ctx[2][context[1:]] else f"\0\0{context[2]}"
 
-    def endings(self) -> Endings | None:
-        """Tables for masks at the end of a token; none if the words have so many letters that they would be large."""
-        if self.ends is None and self.letters and (len(self.ctx[3]) + len(self.ctx[2])) * len(self.letters) <= ENDING_CELLS:
-            self.ends = Endings(self)
-        return self.ends
+    def runs(self) -> MaskRuns:
+        if self.masks is None:
+            self.masks = MaskRuns(self, MASK_COST, DROP_COST, REPEAT_COST)
+        return self.masks
 
     def any_letter(self, contexts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each context and each of ``letters``: log p of the letter, and the number in ``names`` of the state after it."""
+        if (len(self.rows) + len(contexts)) * len(self.letters) > ROW_CELLS:
+            self.rows.clear()
         new = [c for c in contexts if c not in self.rows]
         for c in new:
             after = [self.state(c[1:] + x) for x in self.letters]
@@ -129,81 +135,10 @@ class CharModel:
         return np.stack([self.rows[c][0] for c in contexts]), np.stack([self.rows[c][1] for c in contexts])
 
 
-class Endings:
-    """The best way to read masks that a token ends with, after every state at once, by steps from the end."""
-
-    def __init__(self, lm: CharModel):
-        self.lm, size = lm, len(lm.letters)
-        at = {x: i for i, x in enumerate(lm.letters)}
-        names = [*(f"\0\0{x}" for x in lm.letters), *(f"\0{c}" for c in lm.ctx[2]), *lm.ctx[3]]
-        self.number = {c: i for i, c in enumerate(names)}
-        seen: dict[str, list[str]] = {}
-        for order in range(4):
-            for gram in lm.grams[order]:
-                if gram[-1] != "$":
-                    seen.setdefault(gram[:-1], []).append(gram[-1])
-        rows: dict[str, np.ndarray] = {}
-
-        def chances(c: str) -> np.ndarray:
-            if (got := rows.get(c)) is None:
-                got = chances(c[1:]) if c else np.full(size, 1.0 / (size + 2))
-                order = len(c)
-                if total := lm.ctx[order][c]:
-                    got = got * lm.kinds[order][c]
-                    for x in seen.get(c, ()):
-                        got[at[x]] += lm.grams[order][c + x]
-                    got /= total + lm.kinds[order][c]
-                rows[c] = got
-            return got
-
-        follow: dict[str, np.ndarray] = {"": np.arange(size, dtype=np.int32)}
-        for order in (2, 3):
-            for c in lm.ctx[order]:
-                if (x := at.get(c[-1])) is not None:
-                    into = follow.get(c[:-1])
-                    if into is None:
-                        into = follow[c[:-1]] = follow.get(c[1:-1], follow[""]).copy()
-                    into[x] = self.number[c if order == 3 else f"\0{c}"]
-        self.logs = np.log(np.stack([chances(c.replace("\0", "")) for c in names]))
-        self.after = np.stack([follow.get(c[1:], follow.get(c[2:], follow[""])) for c in names])
-        self.repeats = np.array([c[-1] in lm.known for c in names])
-        self.end = np.array([lm.score(c, "$") for c in names])
-        self.runs: dict[str, list[dict[str, np.ndarray]]] = {}
-
-    def tables(self, run: str) -> list[dict[str, np.ndarray]]:
-        """For each place in the run: by the last character read as a letter, the score to the end after every state."""
-        if (got := self.runs.get(run)) is None:
-            got = [dict.fromkeys(["", *MASKS], self.end)]
-            for ch in reversed(run):
-                then = got[-1]
-                letter = (self.logs + then[ch][self.after]).max(axis=1) - MASK_COST
-                got.append({la: np.maximum(letter, then[la] - np.where(self.repeats & (la == ch), REPEAT_COST, DROP_COST)) for la in then})
-            got.reverse()
-            if len(self.runs) >= 64:
-                self.runs.clear()
-            self.runs[run] = got
-        return got
-
-    def read(self, states: dict, run: str) -> str:
-        """The best reading of a token whose other characters led to ``states``."""
-        tables = self.tables(run)
-        score, (context, last), link = max(
-            ((score + tables[0][last if last in MASKS else ""][self.number[c]], (c, last), link) for (c, last), (score, link) in states.items()),
-            key=lambda x: x[0])
-        place, last, out = self.number[context], last if last in MASKS else "", []
-        for ch, then in zip(run, tables[1:], strict=True):
-            ways = self.logs[place] + then[ch][self.after[place]] - MASK_COST
-            best = int(ways.argmax())
-            if ways[best] > then[last][place] - (REPEAT_COST if self.repeats[place] and last == ch else DROP_COST):
-                place, last = int(self.after[place][best]), ch
-                out.append(self.lm.letters[best])
-        return _spelt(link) + "".join(out)
-
-
 def _spelt(link: tuple | None) -> str:
     out = []
     while link is not None:
-        link, letter = link
+        letter, link = link.spelt() if isinstance(link, Trail) else link[::-1]
         out.append(letter)
     return "".join(reversed(out))
 
@@ -233,10 +168,20 @@ def decode(token: str, lm: CharModel) -> str:
     head, tail = len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE))
     # (last three letters, last character read as a letter) -> score, letters as links
     states: dict[tuple[str, str], tuple[float, tuple | None]] = {("^^^", ""): (0.0, None)}
-    ending = len(token) - len(token.rstrip(MASKS))
+    done = 0
     for i, ch in enumerate(token):
-        if i == len(token) - ending and ending <= MASK_RUN and (endings := lm.endings()) and all(c in endings.number for c, _ in states):
-            return endings.read(states, token[i:])
+        if i < done:
+            continue
+        if ch in MASKS and lm.letters and (i == 0 or token[i - 1] not in MASKS):
+            stop = len(token) - len(token[i:].lstrip(MASKS))
+            if stop - i > MASK_RUN:
+                pass
+            elif stop == len(token):
+                link, letters = lm.runs().ending(states, token[i:], MASKS)
+                return _spelt(link) + letters
+            elif stop - i > FEW_MASKS or len(states) * len(lm.letters) ** (stop - i) > FEW_CELLS:
+                states, done = lm.runs().inside(states, token[i:stop], MASKS, lambda c, i=i: c in SEPARATORS or i < head), stop
+                continue
         nxt: dict[tuple[str, str], tuple[float, tuple | None]] = {}
 
         def put(state, score, link):
@@ -406,7 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model(None, {}, math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     rates = {y: min(1.0, sample / n) for y, n in ((1, n1), (0, n0))}
     rate = F.when(F.col("y") == 1, rates[1]).otherwise(rates[0])
-    chosen = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < rate * (1 << 20))
+    chosen = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 60)) < rate * (1 << 60))
     # the chosen labels are about 2 * sample rows, so this broadcast is bounded
     rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "label_id")
 

@@ -1,12 +1,15 @@
 """Trained operators: held-out accuracy, and every awkward input."""
 
+import math
 import random
+import time
 
+import numpy as np
 import pytest
 
 from lakeloom.llm import language_id, toxicity
 from lakeloom.llm import queries as Q
-from llm_data import crc, edge_docs, no_docs, write_tables
+from llm_data import SF, crc, edge_docs, no_docs, write_tables
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -131,3 +134,93 @@ def test_toxicity_edges(spark, tmp_path):
     assert len(got) == 16 and all(0 <= r["score"] <= 1 for r in got)
     none = write_tables(spark, tmp_path / "none", documents=no_docs(spark), labels=labels.limit(0))
     assert Q.op5_toxicity(spark, none).collect() == []
+
+
+def plainly(token, lm):
+    """The search that reads masks one by one."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "MASK_RUN", 0)
+        return toxicity.decode(token, lm)
+
+
+def three_scripts(n=150):
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
+    rng = random.Random(6)
+    return rng, {"".join(rng.choices(k, k=rng.randint(3, 8))): rng.randint(1, 3) for k in kinds * n}
+
+
+def test_runs_of_masks_equal_the_plain_search():
+    rng, lexicon = three_scripts()
+    lm = toxicity.CharModel(lexicon)
+    for w in rng.sample(sorted(w for w in lexicon if len(w) > 4), 12):
+        for token in (w[:-2] + "**", w[0] + "***" + w[3:], w[0] + "*#?" + w[-2:], w[:2] + "****", w + "***#", "***" + w[2:], w[0] + "###" + w[3:],
+                      w[0] + "é**" + w[2:], w[0] + "*.**" + w[2:] + "*", "****", "#*#", w[0] + "****" + w[-1] + "??"):
+            assert toxicity.decode(token, lm) == plainly(token, lm), token
+
+
+@pytest.mark.parametrize("letters", [0, 5000])
+def test_long_runs_of_masks_take_no_time(letters):
+    rng, lexicon = three_scripts()
+    if letters:
+        some = [chr(0x4E00 + i) for i in range(letters)]
+        lexicon = {"".join(rng.choices(some, k=rng.randint(2, 4))): 1 for _ in range(20_000)}
+    lm = toxicity.CharModel(lexicon)
+    toxicity.decode("no***", lm)  # the tables of the model
+    took = []
+    for token in ("no" + "*" * 18, "no" + "*" * 10_000, "no" + "*" * 10_000, "no" + "*" * 10_000):
+        began = time.perf_counter()
+        assert toxicity.decode(token, lm).startswith("no")
+        took.append(time.perf_counter() - began)
+    assert min(took[1:]) < 0.1, took
+    # the other letters of a longer run change nothing
+    assert toxicity.decode("no" + "*" * 10_000, lm) == toxicity.decode("no" + "*" * 200, lm)
+    for token in ("no" + "*" * 3000 + "b", "no" + "*#?" * 1000, "*" * 3000 + "ab", "a" + "#" * 500 + "b"):
+        began = time.perf_counter()
+        assert toxicity.decode(token, lm)
+        assert time.perf_counter() - began < 10
+
+
+def test_caches_of_the_model_are_bounded(monkeypatch):
+    rng, lexicon = three_scripts()
+    lm = toxicity.CharModel(lexicon)
+    monkeypatch.setattr(toxicity, "ROW_CELLS", 100 * len(lm.letters))
+    monkeypatch.setattr(toxicity, "SCORES", 5000)
+    for w in sorted(lexicon)[:40]:
+        toxicity.decode(w[0] + "##" + w[2:] + "#" + w[-1], lm)
+        assert len(lm.rows) <= 100 or len(lm.rows) * len(lm.letters) <= toxicity.MASK_CELLS
+        assert len(lm.cache) <= 5000 + 1
+
+
+def test_scores_are_the_regression_on_restored_words(spark, model):
+    """The score of whole texts, recomputed word by word."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score(docs, model).collect()}
+    for r in docs.collect():
+        found = toxicity.expand(model.reader.features(r["text"] or ""))
+        z = model.bias + sum(model.weights.get(f, 0.0) for f in found)
+        score = 1 / (1 + math.exp(-z))
+        assert abs(got[r["doc_id"]][0] - score) < 1e-9 and got[r["doc_id"]][1] == int(got[r["doc_id"]][0] >= 0.3)
+
+
+def test_language_network_against_a_naive_forward_pass(spark):
+    """The probabilities of windows, recomputed filter by filter and place by place."""
+    from lakeloom.llm import language_id as L
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    net = L.fit(docs, per_language=60)
+    texts = [r["text"] for r in docs.select("text").limit(6).collect()] + ["é", "a b"]
+    raw = [t.encode() for t in texts]
+    buf, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    start, end, row = L.cut(buf, offsets)
+    windows = L.gather(buf, start, end)
+    fast = net.probabilities(windows)
+    for i in range(0, len(windows), max(1, len(windows) // 8)):
+        x, tops = net.emb[windows[i]].astype(float), []
+        for f in range(net.filt.shape[1]):
+            width = L.WIDTHS[f // L.FILTERS]
+            taps = net.filt[:, f].reshape(-1, L.EMBEDDING)
+            assert not taps[width:].any()  # a narrow filter sees no further bytes
+            responses = [sum(float(x[at + k] @ taps[k]) for k in range(width)) for at in range(L.WINDOW)]
+            tops.append(max(0.0, max(responses) + float(net.bias[f])))
+        z = np.array(tops) @ net.out + net.out_bias
+        p = np.exp(z - z.max())
+        assert np.allclose(fast[i], p / p.sum(), atol=1e-4)
