@@ -141,7 +141,7 @@ def sample_windows(labelled: DataFrame, text_col: str, lang_col: str, id_col: st
     at = F.pmod(F.xxhash64("id", F.lit("place")), F.greatest(size - F.lit(WINDOW), F.lit(1))) + 1
     rows = (labelled.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
             .withColumn("rate", rate)
-            .where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) < F.col("rate") * (1 << 20))
+            .where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 60)) < F.col("rate") * (1 << 60))
             .where(F.rlike("text", F.lit(r"\p{L}")))
             .select("lang", "id", F.substring(F.col("text"), at.cast("int"), F.lit(WINDOW)).alias("piece"))).collect()
     rows.sort(key=lambda r: (r["lang"], r["id"] or "", r["piece"]))
