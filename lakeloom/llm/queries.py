@@ -13,11 +13,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
+def query(oracle: str | None = None, name: str | None = None):
     def put(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[name or fn.__name__] = fn
         if oracle:
-            ORACLES[fn.__name__] = oracle.strip()
+            ORACLES[name or fn.__name__] = oracle.strip()
         return fn
     return put
 
@@ -99,7 +99,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded(*ordered(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query()
+@query(name="training_order")
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order that ``op9_mixing`` stores, whose columns its SQL fixes: every taken copy with its position."""
     from .mixing import ordered
