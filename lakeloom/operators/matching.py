@@ -6,79 +6,85 @@ target column at or above the cut-off, ties going to the greatest name - the
 behaviour of ``difflib.get_close_matches(word, names, n=1, cutoff)``.
 
 Distributed form: a source column with an identically named target column
-scores 1.0, the unique maximum, so those are settled by an equi-join.  Only the
-rest are scored, against the target columns of their own table pair, after two
-exact bounds in native expressions: the lengths, and the letters that both names
-have (each letter as often as the name with fewer of it), which no ratio exceeds.
+scores 1.0, the unique maximum, so those are settled by an equi-join.  Every other
+name gets its letter histogram once, before pairing.  Pairs come from an index of the target columns by
+(table, length): a source column is joined to the lengths that can still reach the
+cut-off, 2 * shorter / total, and to no other.  Within an Arrow batch the histograms drop the pairs
+that share too few letters, and the ratios of the rest are computed together
+(``functions.names``).
 """
 
 from __future__ import annotations
 
-import difflib
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import letters, may_reach, ratios
 from ..session import parallelism
 from .ddl import insert_columns, update_columns
 
-def shared_letters(a, b):
-    """Number of letters of ``a`` and ``b`` that pair off, whatever their order."""
-    def count(name, letter):
-        return F.length(name) - F.length(F.replace(name, letter, F.lit("")))
-    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, x: n + F.when(
-        x == "", 0).otherwise(F.least(count(a, x), count(b, x))))
-
-
-def name_ratio():
-    """Arrow-batched pandas UDF: the name ratio of (candidate, word); a batch keeps one matcher per word."""
-    @F.pandas_udf("double")
-    def _udf(candidate: pd.Series, word: pd.Series) -> pd.Series:
-        matchers: dict[str, difflib.SequenceMatcher] = {}
-        out = []
-        for a, b in zip(candidate, word):
-            if a is None or b is None:
-                out.append(None)
-                continue
-            m = matchers.get(b)
-            if m is None:
-                m = matchers[b] = difflib.SequenceMatcher(None, "", b)
-            m.set_seq1(a)
-            out.append(m.ratio())
-        return pd.Series(out, dtype="float64")
-    return _udf
+
+def with_letters(df: DataFrame, name: str, out: str) -> DataFrame:
+    """``df`` with the letter histogram of a column of names."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(letters(b.column(name).to_pylist()), pa.binary())], [*b.schema.names, out])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in df.dtypes)
+    return df.mapInArrow(run, f"{kinds}, {out} binary")
+
+
+def name_ratios(pairs: DataFrame, candidate: str, word: str, cutoff: float) -> DataFrame:
+    """``pairs`` (with ``a_letters`` of the candidate and ``b_letters`` of the word) that reach the cut-off, with ``ratio``."""
+    kept = [c for c in pairs.columns if c not in ("a_letters", "b_letters")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, w, a_letters, w_letters = (b.column(c).to_pylist() for c in (candidate, word, "a_letters", "b_letters"))
+            lengths = np.array([len(x) + len(y) for x, y in zip(a, w, strict=True)], np.int64)
+            at = np.flatnonzero(may_reach(a_letters, w_letters, lengths, cutoff))
+            found = ratios([a[i] for i in at], [w[i] for i in at])
+            at, found = at[found >= cutoff], found[found >= cutoff]
+            part = b.select(kept).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*kept, "ratio"])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in pairs.select(*kept).dtypes)
+    return pairs.mapInArrow(run, f"{kinds}, ratio double")
 
 
 def fuzzy_column_match(source: DataFrame, target: DataFrame, pairs: DataFrame,
                        cutoff: float = 0.6) -> DataFrame:
     """Best target column for every source column of each (source_table,
-    target_table) pair.  ``source``/``target``: (table_name, column_name)."""
-    s = source.select(F.col("table_name").alias("source_table"), F.col("column_name").alias("source_column"))
+    target_table) pair.  ``source``/``target``: (table_name, column_name).  Null names match nothing."""
+    s = source.select(F.col("table_name").alias("source_table"), F.col("column_name").alias("source_column")).where("source_column IS NOT NULL")
     s = s.join(pairs, "source_table")
-    t = target.select(F.col("table_name").alias("target_table"), F.col("column_name").alias("target_column"))
+    t = target.select(F.col("table_name").alias("target_table"), F.col("column_name").alias("target_column")).where("target_column IS NOT NULL")
     exact = s.join(t, (s["target_table"] == t["target_table"]) & (s["source_column"] == t["target_column"])) \
         .select(s["source_table"], s["target_table"], "source_column", "target_column",
                 F.lit(1.0).alias("ratio"))
     rest = s.join(exact.select("source_table", "target_table", "source_column"),
                   ["source_table", "target_table", "source_column"], "left_anti")
-    cand = rest.join(t, "target_table")
-    a, b = F.col("source_column"), F.col("target_column")
-    total = F.length(a) + F.length(b)
-    cand = cand.where(2.0 * F.least(F.length(a), F.length(b)) / total >= cutoff)
-    cand = cand.where(2.0 * shared_letters(a, b) / total >= cutoff)
-    # the Python scoring is the costly step: an explicit round-robin repartition
+    rest, index = with_letters(rest, "source_column", "b_letters"), with_letters(t, "target_column", "a_letters")
+    on = ["target_table"]
+    if cutoff > 0:
+        size, most = F.length("source_column"), (2 - cutoff) / cutoff
+        # a length that cannot reach the cut-off meets nobody; the tiny slack keeps those exactly at it
+        least, top = F.ceil(size / F.lit(most) - F.lit(1e-9)), F.floor(size * F.lit(most) + F.lit(1e-9))
+        rest = rest.where(least <= top).withColumn("name_length", F.explode(F.sequence(least.cast("int"), top.cast("int"))))
+        index, on = index.withColumn("name_length", F.length("target_column")), [*on, "name_length"]
+    cand = rest.join(index, on).drop("name_length")
+    # the scoring is the costly step: an explicit round-robin repartition
     # keeps it on every core (adaptive execution would merge small hash
     # partitions into one task; a repartition by number is left as asked)
-    cand = cand.repartition(parallelism(cand.sparkSession))
-    scored = cand.withColumn("ratio", name_ratio()(F.col("target_column"), F.col("source_column")))
-    # best first, cut-off after: the UDF result is consumed once (a filter on it
-    # before the aggregate would make Spark evaluate the UDF twice)
+    scored = name_ratios(cand.repartition(parallelism(cand.sparkSession)), "target_column", "source_column", cutoff)
     best = scored.groupBy("source_table", "target_table", "source_column").agg(
         F.max(F.struct("ratio", "target_column")).alias("_b"))
-    fuzzy = best.where(F.col("_b.ratio") >= cutoff).select(
-        "source_table", "target_table", "source_column",
-        F.col("_b.target_column").alias("target_column"), F.col("_b.ratio").alias("ratio"))
+    fuzzy = best.select("source_table", "target_table", "source_column",
+                        F.col("_b.target_column").alias("target_column"), F.col("_b.ratio").alias("ratio"))
     return exact.unionByName(fuzzy)
 
 

@@ -42,3 +42,32 @@ def test_a_table_of_any_width_is_matched(spark):
     pair = spark.createDataFrame([("s", "t")], "source_table string, target_table string")
     got = {r.source_column: r.target_column for r in mt.fuzzy_column_match(src, tgt, pair).collect()}
     assert got == {c + "x": difflib.get_close_matches(c + "x", wide, n=1)[0] for c in wide[:3]}
+
+
+def test_batched_ratios_equal_the_stdlib():
+    import random
+
+    from lakeloom.functions.names import letters, may_reach, ratios
+    rng = random.Random(1)
+    names = ["".join(rng.choice("abcde_0é") for _ in range(rng.randint(0, 24))) for _ in range(3000)]
+    a, b = names, names[::-1]
+    a += ["x" * 250 + "y", "ab" * 150, "", "a" * 300]
+    b += ["y" * 210 + "x", "ba" * 100, "", "a"]
+    want = [difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)]
+    assert ratios(a, b).tolist() == want
+    lengths = __import__("numpy").array([len(x) + len(y) for x, y in zip(a, b)])
+    for cutoff in (0.3, 0.6, 1.0):
+        may = may_reach(letters(a), letters(b), lengths, cutoff)
+        assert all(may[i] for i, r in enumerate(want) if r >= cutoff) and not may.all()
+
+
+def test_any_cut_off_and_names_of_any_kind(spark):
+    names = ["", "a", "aa", "customer_key", "key_customer", "cust", "ß", "x" * 300, "x" * 290 + "y"]
+    src = spark.createDataFrame([("s", c + s) for c in names for s in ("", "1")] + [("s", None)], "table_name string, column_name string")
+    tgt = spark.createDataFrame([("t", c + s) for c in names for s in ("2", "_")] + [("t", None)], "table_name string, column_name string")
+    pair = spark.createDataFrame([("s", "t")], "source_table string, target_table string")
+    targets = [r.column_name for r in tgt.collect() if r.column_name is not None]
+    for cutoff in (0.0, 0.25, 0.6, 1.0):
+        got = {r.source_column: r.target_column for r in mt.fuzzy_column_match(src, tgt, pair, cutoff).collect()}
+        want = {r.column_name: difflib.get_close_matches(r.column_name, targets, n=1, cutoff=cutoff) for r in src.collect() if r.column_name is not None}
+        assert got == {k: v[0] for k, v in want.items() if v}, cutoff
