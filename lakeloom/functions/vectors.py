@@ -2,10 +2,37 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def vector_matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(matrix of doubles, which rows are vectors): a null, or one with a null component or another length, is none."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = np.array([-1 if n is None else n for n in column.value_lengths().to_pylist()], np.int64)
+    flat = column.flatten()
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64)
+    missing = np.concatenate([[0], np.cumsum(flat.is_null().to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(np.maximum(sizes, 0))
+    starts = ends - np.maximum(sizes, 0)
+    fine = (sizes == dim) & (missing[ends] == missing[starts])
+    out = np.zeros((len(sizes), dim))
+    if dim and fine.any():
+        out[fine] = values[starts[fine][:, None] + np.arange(dim)]
+    return out, fine
+
+
+def squared_distances(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances (rows x queries), each summed in element order as ``squared_l2`` does: equal vectors tie."""
+    out = np.zeros((len(rows), len(queries)))
+    for x, y in zip(rows.T, queries.T, strict=True):
+        out += (x[:, None] - y[None, :]) ** 2
+    return out
+
+
 def squared_l2(a, b) -> Column:
     """Squared Euclidean distance of two arrays, summed in element order.
 

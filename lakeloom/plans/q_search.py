@@ -6,10 +6,14 @@ per label, computed from the whole collection.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..operators import pivots as pv
 from ..operators import search as se
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 from .registry import register
 
@@ -63,18 +67,31 @@ def knn_topk(spark, sf_dir):
     return _out(_ranked(spark, sf_dir, top_k=10))
 
 
+@register("knn_pivots", _SCORED + _OUT_SQL + "r WHERE rank <= 10", fixtures=_FIX)
+def knn_pivots(spark, sf_dir):
+    """Ten nearest rows per query from a pivot index of the collection, which reads only cells that can hold a result."""
+    t = Tables(spark, sf_dir)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/lakeloom-pivots-{uuid.uuid4().hex}"
+    index = pv.build_index(fx.vector_collection(t), path, "vec_id")
+    return _out(pv.knn_pruned(index, fx.label_queries(t), 10))
+
+
 @register("gap_split", _SCORED + "SELECT query_id, split_rank, CAST(max_gap AS FLOAT) AS max_gap FROM split",
           fixtures=_FIX)
 def gap_split(spark, sf_dir):
     """Rank before the largest distance gap of each query."""
-    s = se.gap_split(_ranked(spark, sf_dir))
+    s = se.gap_split(_scored(spark, sf_dir), "vec_id")
     return s.select("query_id", "split_rank", F.col("max_gap").cast("float").alias("max_gap"))
 
 
 @register("gap_cut", _SCORED + _OUT_SQL + "kept", fixtures=_FIX)
 def gap_cut(spark, sf_dir):
     """The strong cluster of each query: ranks up to the largest gap (V4)."""
-    return _out(se.gap_cut(_ranked(spark, sf_dir)))
+    return _out(se.gap_cut(_scored(spark, sf_dir), "vec_id"))
+
+
+def _kept(spark, sf_dir):
+    return se.gap_cut(_scored(spark, sf_dir), "vec_id", ranked=False)
 
 
 @register("rank_tables", _SCORED + """
@@ -83,7 +100,7 @@ SELECT query_id, source_tablename, CAST(best_distance AS FLOAT) AS best_distance
 FROM tables""", fixtures=_FIX)
 def rank_tables(spark, sf_dir):
     """Matched tables per query ranked by best distance."""
-    r = se.rank_tables(se.gap_cut(_ranked(spark, sf_dir)))
+    r = se.rank_tables(_kept(spark, sf_dir))
     return r.select("query_id", "source_tablename", F.col("best_distance").cast("float").alias("best_distance"),
                     "n_matches", "table_rank")
 
@@ -94,7 +111,7 @@ SELECT query_id, source_tablename, source_columnname, vec_id, CAST(distance AS F
 FROM kept""", fixtures=_FIX)
 def table_matches(spark, sf_dir):
     """Columns listed under each matched table, by score (A10)."""
-    m = se.table_matches(se.gap_cut(_ranked(spark, sf_dir)), "vec_id")
+    m = se.table_matches(_kept(spark, sf_dir), "vec_id")
     return m.select("query_id", "source_tablename", "source_columnname", "vec_id",
                     F.col("distance").cast("float").alias("distance"), "column_rank")
 
@@ -105,8 +122,7 @@ FROM vector_collection c JOIN tables t ON c.source_tablename = t.source_tablenam
 def matched_tables(spark, sf_dir):
     """Catalog rows of the tables each query matched."""
     t = Tables(spark, sf_dir)
-    tabs = se.rank_tables(se.gap_cut(_ranked(spark, sf_dir)))
-    rows = se.matched_rows(fx.vector_collection(t), tabs)
+    rows = se.matched_rows(fx.vector_collection(t), _kept(spark, sf_dir))
     return rows.select("query_id", "id", "vec_id", "source_tablename", "source_columnname")
 
 
@@ -135,7 +151,7 @@ def metadata_search(spark, sf_dir):
     tests check the search against a plain re-computation on the same vectors."""
     coll, queries = text_search_inputs(spark, sf_dir)
     scored = se.knn_distances(coll, queries)
-    kept = se.gap_cut(se.rank_matches(scored, "doc_no"))
+    kept = se.gap_cut(scored, "doc_no", ranked=False)
     tabs = se.rank_tables(kept)
     return tabs.select(F.col("query_id").alias("query_text"), "table_rank", "source_tablename",
                        F.col("best_distance").cast("float").alias("best_distance"), "n_matches")
