@@ -67,6 +67,51 @@ def _any(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols) if cols else F.lit(False)
 
 
+def _now(as_of) -> Column:
+    if isinstance(as_of, Column):
+        return as_of
+    return F.current_timestamp().cast("timestamp_ntz") if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+
+
+def _audit_value(c: str, inserted: bool, meta: dict, now: Column) -> Column | None:
+    if c == "etlactiveind":
+        return F.lit(1)
+    if c in META_COLUMNS:
+        return F.lit(meta.get(c))
+    if c == "etlupdateddatetime" or c == "etlcreateddatetime" and inserted:
+        return now
+    return None
+
+
+def unique_upsert(target: DataFrame, source: DataFrame, pairs: list[tuple[str, str]], *, surrogate: str | None = None,
+                  max_key: int = 0, meta: dict | None = None, as_of=None, only_changed: bool = False) -> DataFrame:
+    """The upsert of a source with unique keys by one full outer join: ``target`` rows and new ones with ``_action``.
+
+    ``source`` has ``_rn``, the new rows' place in the order of surrogate keys; those continue after ``max_key``."""
+    now, meta, types = _now(as_of), dict(meta or {}), dict(target.dtypes)
+    keyed = {t: s for s, t in pairs}
+    data = [c for c in target.columns if (c in source.columns or c in keyed) and c != surrogate and c not in AUDIT_NAMES]
+    of = {c: F.col(f"_s_{keyed.get(c, c)}").cast(types[c]) for c in data}
+    side = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_hit"))
+    j = target.withColumn("_old", F.lit(True)).join(side, _all([F.col(t) == F.col(f"_s_{s}") for s, t in pairs]), "full_outer")
+    changed = _any([~F.col(c).eqNullSafe(of[c]) for c in data]) if only_changed else F.lit(True)
+    new = F.col("_old").isNull()
+    old_hit = ~new & F.col("_hit").isNotNull() & changed
+    out = []
+    for c in target.columns:
+        value = F.col(c)
+        if c == surrogate:
+            value = F.when(new, (F.lit(max_key) + F.col("_s__rn")).cast(types[c])).otherwise(value)
+        elif c in of:
+            value = F.when(new | old_hit, of[c]).otherwise(value)
+        elif c in AUDIT_NAMES:
+            for when, inserted in ((old_hit, False), (new, True)):
+                if (given := _audit_value(c, inserted, meta, now)) is not None:
+                    value = F.when(when, given.cast(types[c])).otherwise(value)
+        out.append(value.alias(c))
+    return j.select(*out, F.when(new, "I").when(old_hit, "U").otherwise("K").alias("_action"))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str | None = None,
            meta: dict | None = None, as_of=None, only_changed: bool = False,
            keyless: str = "refuse", insert_columns: list[str] | None = None,
@@ -86,8 +131,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
       source row is new when its first key finds no silver row).
     """
     meta = dict(meta or {})
-    now = as_of if isinstance(as_of, Column) else (
-        F.current_timestamp().cast("timestamp_ntz") if as_of is None else F.lit(as_of).cast("timestamp_ntz"))
+    now = _now(as_of)
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in keys]
     if not pairs and keyless != "append":
         raise ValueError("no business key: refusing the keyless update/insert; pass keyless='append'")
@@ -101,15 +145,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
     defaults = dict(insert_defaults or {})
 
     def audit_value(c: str, inserted: bool) -> Column | None:
-        if c == "etlactiveind":
-            return F.lit(1)
-        if c in META_COLUMNS:
-            return F.lit(meta.get(c))
-        if c == "etlupdateddatetime":
-            return now
-        if c == "etlcreateddatetime" and inserted:
-            return now
-        return None
+        return _audit_value(c, inserted, meta, now)
 
     # -- 'U' / 'K': silver left join source ---------------------------------
     s_key_ok = _all([F.col(s).isNotNull() for s, _ in pairs])
@@ -161,7 +197,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
         maxkey = target.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
         # keys first, then whatever can be ordered; other columns by a hash of their text
         names = {f.name: f.dataType for f in source.schema.fields}
-        by = [F.col(c) if _orderable(names[c]) else F.xxhash64(F.to_json(F.struct(F.col(c)))) for c in order]
+        by = [F.col(c) if orderable(names[c]) else F.xxhash64(F.to_json(F.struct(F.col(c)))) for c in order]
         new = with_row_index(new, by, name="_rn")
     iout = []
     for c in tcols:
@@ -190,13 +226,13 @@ def source_duplicates(source: DataFrame, keys: list[str]) -> DataFrame:
             .where(F.col("n") > 1))
 
 
-def _orderable(dt: T.DataType) -> bool:
+def orderable(dt: T.DataType) -> bool:
     if isinstance(dt, T.MapType) or isinstance(dt, T.VariantType):
         return False
     if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
+        return all(orderable(f.dataType) for f in dt.fields)
     if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
+        return orderable(dt.elementType)
     return True
 
 
@@ -207,7 +243,7 @@ def one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     if not rest:
         return source.dropDuplicates(keys)
     packed = F.struct(*[F.col(f.name) for f in rest])
-    agg = F.max(packed) if all(_orderable(f.dataType) for f in rest) else F.first(packed)
+    agg = F.max(packed) if all(orderable(f.dataType) for f in rest) else F.first(packed)
     g = source.groupBy(*keys).agg(agg.alias("_one"))
     return g.select(*keys, *[F.col(f"_one.{f.name}").alias(f.name) for f in rest]).select(*source.columns)
 

@@ -1,16 +1,22 @@
 """End-to-end loads (C5 one load, C6 waves, C7 bootstrap) over a snapshot store.
 
 Store layout under ``root`` (versioned snapshots, see ``sinks.snapshot``, but for the logs):
-  controlheader, controldetail, sourcegroupingdtl, datatype_mapping, main_lookup, source_lookup,
-  bronze/<schema>.<object>, silver/<schema>.<table>; audit and error are append-only logs.
+  controlheader, controldetail, sourcegroupingdtl, wave, datatype_mapping, main_lookup, source_lookup,
+  bronze/<schema>.<object>, silver/<schema>.<table> (``sinks.keyed``); audit and error are append-only logs.
 
 A wave is the set of due runs with one calling sequence.  Its transitions are
-set-based (one pre-process job and one post-process job for all its runs); the
+set-based (one pre-process and one post-process for all its runs), and each is one
+commit: its control tables and log rows become visible together.  The
 loads themselves are independent Spark jobs submitted concurrently from the
 driver, but for runs of one target, which follow one another in run order.  A
 failed load never stops its wave or the next waves; it leaves an error row with
 its whole message and line and takes the failed path of the post-process.
 
+Restart: the commit of the pre-process also opens the wave (its runs are the table ``wave``), that of
+the post-process closes it.  Every finished load leaves an entry in the wave's ledger; a load into a
+keyed table has one in the very marker that publishes it.  ``run_waves`` first ends a wave that it
+finds open: loads with an entry are not run again, and no log row is written twice.
+
 What a run does follows from its flow: a load into bronze empties its table in the
 pre-process and replaces it (the caller gives the source's rows); a load into
 silver makes the table if it is missing - lookup first, then its schema from the
@@ -21,10 +27,12 @@ without a load fails.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import threading
 import traceback
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.errors.exceptions.captured import CapturedException
@@ -41,6 +49,7 @@ from ..operators.catalog import schema_catalog
 from ..operators.ddl import silver_schema
 from ..operators.lookup import lookup_rows, lookup_upsert
 from ..operators.upsert import dedupe_source, upsert
+from ..sinks import keyed
 from ..sinks import snapshot as snap
 
 _LOOKUP = threading.Lock()
@@ -70,6 +79,10 @@ ERROR_SCHEMA = T.StructType([
     T.StructField("latestbatchid", T.LongType())])
 
 
+#: Key of the logs: an audit row's later states have the same one.
+LOG_KEY = [*tr.RUN_KEY, "latestbatchid"]
+
+
 def bronze_name(schema: str, obj: str) -> str:
     return f"bronze/{schema}.{obj}"
 
@@ -98,10 +111,7 @@ SOURCE_LOOKUP_SCHEMA = T.StructType([T.StructField("source_id", T.IntegerType())
 def init_store(spark: SparkSession, root: str, header: DataFrame, detail: DataFrame,
                groups: DataFrame, as_of=None) -> None:
     """Bootstrap (C7): control tables, empty logs and lookups, and the 68-row type map (inserted once)."""
-    for name, df in (("controlheader", header), ("controldetail", detail), ("sourcegroupingdtl", groups)):
-        snap.publish(df, root, name)
-    snap.create_log(spark, root, "audit", AUDIT_SCHEMA)
-    snap.create_log(spark, root, "error", ERROR_SCHEMA)
+    snap.Commit(spark, root).table("controlheader", header).table("controldetail", detail).table("sourcegroupingdtl", groups).publish()
     snap.create_empty(spark, root, "main_lookup", LOOKUP_SCHEMA)
     snap.create_empty(spark, root, "source_lookup", SOURCE_LOOKUP_SCHEMA)
     if not snap.table_exists(spark, root, "datatype_mapping"):
@@ -110,7 +120,7 @@ def init_store(spark: SparkSession, root: str, header: DataFrame, detail: DataFr
 
 def audit_log(spark: SparkSession, root: str) -> DataFrame:
     """Each run's audit row in its latest state."""
-    return snap.latest(snap.read_log(spark, root, "audit", AUDIT_SCHEMA), [*tr.RUN_KEY, "latestbatchid"])
+    return snap.read_latest(spark, root, "audit", AUDIT_SCHEMA, LOG_KEY)
 
 
 def error_log(spark: SparkSession, root: str) -> DataFrame:
@@ -148,13 +158,19 @@ class LoadResult:
     line: int | None = None
 
 
-def _failed(res: LoadResult, e: Exception) -> LoadResult:
-    """The run fails, its wave goes on (F22): whole message, and the line that raised."""
+def _failed(res: LoadResult, e: Exception, source: DataFrame | None = None) -> LoadResult:
+    """The run fails, its wave goes on (F22): whole message, and the line of the load or of the caller's code that raised."""
     frames = traceback.extract_tb(e.__traceback__)
+    own = [f for f in frames if not re.search(r"[/\\](pyspark|py4j)[/\\]", f.filename)]
     # Spark's exceptions have no args; their text may go on with the JVM's stack trace
     res.error = f"{type(e).__name__}: {e._desc if isinstance(e, CapturedException) else e}"
-    res.line = frames[-1].lineno if frames else None
+    res.line = (own or frames)[-1].lineno if frames else None
     res.inscnt, res.updcnt = 0, 0
+    if res.srccnt is None and source is not None:
+        try:  # counted whatever fails (quirk 24)
+            res.srccnt = source.count()
+        except Exception:  # the source is what failed
+            res.srccnt = None
     traceback.print_exc()
     return res
 
@@ -181,43 +197,78 @@ def check_columns(bronze: DataFrame, required: list[str], limits: dict[str, int]
         raise ValueError("too long: " + ", ".join(f"{r['column_name']} ({r['n_over']})" for r in bad))
 
 
+def check_profile(found: keyed.Profile, dedupe: bool) -> None:
+    """The checks of ``check_columns`` and ``checked_source`` on what one pass over the source has found (Q1-Q3, Q5)."""
+    if bad := {c: n for c, n in found.nulls.items() if n}:
+        raise ValueError("NULL in required columns: " + ", ".join(f"{c} ({n})" for c, n in bad.items()))
+    if bad := {c: n for c, n in found.over.items() if n}:
+        raise ValueError("too long: " + ", ".join(f"{c} ({n})" for c, n in bad.items()))
+    if found.dup_keys and not dedupe:
+        raise ValueError(f"{found.dup_keys} business keys occur more than once ({found.surplus_rows} surplus rows)")
+
+
 def load_silver(spark: SparkSession, root: str, run: dict, keys: list, meta: dict, as_of,
-                buckets: int | None = None, dedupe_by: list | None = None, limits: dict | None = None) -> LoadResult:
+                buckets: int | None = None, dedupe_by: list | None = None, limits: dict | None = None,
+                by: dict | None = None, key_buckets: int = keyed.BUCKETS) -> LoadResult:
     """One load into silver (C5 body): make the table when it is missing - lookup
     upsert (U2), then its schema from the lookup (K7) - check the source, upsert
     the bronze object (U1), publish the new version and return (srccnt, inscnt,
-    updcnt) counted from the written version."""
-    res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
+    updcnt) counted from the written version.
+
+    One pass over the source counts it, checks it and probes the table's key filters; one more upserts it.
+    ``buckets``: a table that Spark buckets instead, whose versions are whole."""
+    res, bronze = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"]), None
     try:
         bronze = snap.read_table(spark, root, bronze_name(run["sourceschema"], run["sourceobject"]))
-        # counted first, as the original does: a later failure keeps it (quirk 24)
-        res.srccnt = bronze.count()
         sname = silver_name(run["targetschemaname"], run["targetobject"])
+        skeys = [k if isinstance(k, str) else k[0] for k in keys]
         tkeys = [k if isinstance(k, str) else k[1] for k in keys]
-        if not snap.table_exists(spark, root, sname):
+        surrogate = surrogate_key_name(run["targetobject"])
+        version = snap.current_version(spark, root, sname)
+        if version is None:
             with _LOOKUP:  # loads of one wave share the lookup table
                 rows = lookup_of(spark, root, bronze, run, tkeys, as_of)
-            snap.create_empty(spark, root, sname, silver_schema(run["targetobject"], rows))
-        silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
+            schema = silver_schema(run["targetobject"], rows)
+            version = (snap.create_empty(spark, root, sname, schema) if buckets or not tkeys
+                       else keyed.create(spark, root, sname, schema, tkeys, key_buckets))
         lookup = snap.read_table(spark, root, "main_lookup").where(F.col("silverdwh_tablename") == run["targetobject"])
         required = [r[0] for r in lookup.where("NOT nullable").select("silverdwh_columnname").distinct().collect()]
-        check_columns(bronze, [c for c in required if c in bronze.columns], limits or {})
-        source = checked_source(bronze, keys, dedupe_by)
-        r = upsert(silver, source, keys, surrogate=surrogate_key_name(run["targetobject"]), meta=meta, as_of=as_of)
-        # sorted by business key inside each file (row-group statistics prune key
-        # lookups); with ``buckets`` also bucketed by it, so the next upsert does
-        # not shuffle the silver table
-        v = snap.publish(r.rows, root, sname, sort_by=tkeys,
-                         bucket=(buckets, tkeys) if buckets and tkeys else None)
-        written = snap.read_table(spark, root, sname, v)
-        c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
-                        F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
-        res.inscnt, res.updcnt = int(c["i"]), int(c["u"])
+        required = [c for c in required if c in bronze.columns]
+        if (held := snap.manifest(spark, root, sname, version)) is None:
+            _load_whole(spark, root, run, keys, meta, as_of, buckets, dedupe_by, limits, res, bronze, required)
+            return res
+        found = keyed.profile(spark, root, sname, held, bronze, skeys, required, limits)
+        res.srccnt = found.rows
+        check_profile(found, bool(dedupe_by))
+        source = checked_source(bronze, keys, dedupe_by) if dedupe_by else bronze
+        done = keyed.upsert(spark, root, sname, source, keys, surrogate=surrogate, meta=meta, as_of=as_of, found=found, unique=True,
+                            by=None if by is None else by | {"srccnt": found.rows})
+        res.inscnt, res.updcnt = done.inserted, done.updated
     except Exception as e:
-        return _failed(res, e)
+        return _failed(res, e, bronze)
     return res
 
 
+def _load_whole(spark, root, run, keys, meta, as_of, buckets, dedupe_by, limits, res, bronze, required) -> None:
+    """The load into a table whose versions are whole."""
+    sname = silver_name(run["targetschemaname"], run["targetobject"])
+    tkeys = [k if isinstance(k, str) else k[1] for k in keys]
+    res.srccnt = bronze.count()
+    silver = read_silver(spark, root, run["targetschemaname"], run["targetobject"])
+    check_columns(bronze, required, limits or {})
+    source = checked_source(bronze, keys, dedupe_by)
+    r = upsert(silver, source, keys, surrogate=surrogate_key_name(run["targetobject"]), meta=meta, as_of=as_of)
+    # sorted by business key inside each file (row-group statistics prune key
+    # lookups); with ``buckets`` also bucketed by it, so the next upsert does
+    # not shuffle the silver table
+    v = snap.publish(r.rows, root, sname, sort_by=tkeys,
+                     bucket=(buckets, tkeys) if buckets and tkeys else None)
+    written = snap.read_table(spark, root, sname, v)
+    c = written.agg(F.count_if(F.col("_action") == "I").alias("i"),
+                    F.count_if(F.col("_action") == "U").alias("u")).collect()[0]
+    res.inscnt, res.updcnt = int(c["i"]), int(c["u"])
+
+
 def load_bronze(spark: SparkSession, root: str, run: dict, source_of) -> LoadResult:
     """One load into bronze (K2): the pre-process empties the table, then the source replaces it."""
     res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"])
@@ -237,38 +288,69 @@ def load_bronze(spark: SparkSession, root: str, run: dict, source_of) -> LoadRes
 
 def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=None,
              parallel: int = 4, buckets: int | None = None, source_of=None, dedupe_by=None,
-             limits_of=None, flows: Flows = FLOWS) -> list[LoadResult]:
+             limits_of=None, flows: Flows = FLOWS, key_buckets: int = keyed.BUCKETS, asked_by: dict | None = None) -> list[LoadResult]:
     """Pre-process all runs of a wave, load them, then the error and post-process
-    transitions - each transition one set-based job.
+    transitions - each transition one commit.
 
     ``keys_of``/``dedupe_by``/``limits_of``: functions of a run giving its business
     keys, the order that picks one of several rows of a key (none: they fail), and
-    the length limits of columns; ``source_of``: the rows of a load into bronze."""
+    the length limits of columns; ``source_of``: the rows of a load into bronze; ``key_buckets``: of new
+    silver tables, about one per gigabyte that they will have; ``asked_by``: kept with the open wave."""
     as_of = as_of or dt.datetime.now().replace(microsecond=0)
     header = snap.read_table(spark, root, "controlheader")
     detail = snap.read_table(spark, root, "controldetail")
     groups = snap.read_table(spark, root, "sourcegroupingdtl")
-    req = runs.select(*tr.RUN_KEY, F.lit(as_of).cast("timestamp_ntz").alias("loadstarttime"),
-                      F.monotonically_increasing_id().alias("runid"))
-    pre = tr.pre_process(req, detail, header, groups, as_of=as_of, flows=flows)
     # one row per run: the driver submits a job for each, so it holds their records
-    batches = pre.runs.select(*tr.RUN_KEY, "batchid", "runid").cache()
-    plan = [r.asDict() for r in ctl.run_metadata(runs.join(batches, tr.RUN_KEY), header, detail).collect()]
-    snap.publish(pre.detail, root, "controldetail")
-    snap.publish(pre.header, root, "controlheader")
-    snap.publish(pre.groups, root, "sourcegroupingdtl")
-    snap.append(pre.audit_rows, root, "audit", AUDIT_SCHEMA)
+    asked = sorted((tuple(r) for r in runs.select(*tr.RUN_KEY).collect()), key=repr)
+    req = spark.createDataFrame([(*k, i) for i, k in enumerate(asked)], ", ".join(f"{k} string" for k in tr.RUN_KEY) + ", runid long")
+    req = req.withColumn("loadstarttime", F.lit(as_of).cast("timestamp_ntz"))
+    pre = tr.pre_process(req, detail, header, groups, as_of=as_of, flows=flows)
+    batches = pre.runs.select(*tr.RUN_KEY, "batchid", "runid")
+    wave = ctl.run_metadata(runs.join(batches, tr.RUN_KEY), header, detail)
+    (snap.Commit(spark, root).table("controldetail", pre.detail).table("controlheader", pre.header)
+     .table("sourcegroupingdtl", pre.groups).table("wave", wave).append("audit", pre.audit_rows, AUDIT_SCHEMA, LOG_KEY)
+     .publish({"open": True, "wave": uuid.uuid4().hex, "as_of": as_of.isoformat(), "asked_by": asked_by}, merge=False))
+    return finish_wave(spark, root, keys_of, parallel, buckets, source_of, dedupe_by, limits_of, flows, key_buckets)
+
+
+def _ledger(root: str, wave: str) -> str:
+    return f"{root.rstrip('/')}/_ledger/{wave}"
+
+
+def _entry(spark: SparkSession, root: str, wave: str, run: dict) -> LoadResult | None:
+    """What a load that has ended left in the ledger, or in the marker of the version it published."""
+    held = snap.optional_json(spark, f"{_ledger(root, wave)}/{run['runid']}")
+    if held is not None:
+        return LoadResult(**held)
+    sname = silver_name(run["targetschemaname"], run["targetobject"])
+    for v in reversed(snap.published_versions(spark, root, sname)):
+        held = snap.manifest(spark, root, sname, v) or {}
+        if held.get("by") and (held["by"]["wave"], held["by"]["runid"]) == (wave, run["runid"]):
+            return LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"], held["by"]["srccnt"], held["counts"]["i"], held["counts"]["u"])
+    return None
+
+
+def finish_wave(spark: SparkSession, root: str, keys_of, parallel: int = 4, buckets: int | None = None, source_of=None,
+                dedupe_by=None, limits_of=None, flows: Flows = FLOWS, key_buckets: int = keyed.BUCKETS) -> list[LoadResult]:
+    """The loads of the open wave that have no entry in its ledger, then its post-process."""
+    note = snap.last_commit(spark, root)["note"]
+    wave, as_of = note["wave"], dt.datetime.fromisoformat(note["as_of"])
+    plan = [r.asDict() for r in snap.read_table(spark, root, "wave").collect()]
 
     def load(run: dict) -> LoadResult:
+        if (ended := _entry(spark, root, wave, run)) is not None:
+            return ended
         if run["dataflowflag"] == flows.bronze:
-            return load_bronze(spark, root, run, source_of)
-        if run["dataflowflag"] != flows.silver:
+            res = load_bronze(spark, root, run, source_of)
+        elif run["dataflowflag"] != flows.silver:
             res = LoadResult(run["sourceid"], run["dataflowflag"], run["targetobject"], inscnt=0, updcnt=0)
             res.error = f"ValueError: no load for flow {run['dataflowflag']}"
-            return res
-        meta = {"etljobname": run["jobname"], "envsourcecd": run["envsourcecode"], "datasourcecd": run["datasourcecode"]}
-        return load_silver(spark, root, run, keys_of(run), meta, as_of, buckets, dedupe_by(run) if dedupe_by else None,
-                           limits_of(run) if limits_of else None)
+        else:
+            meta = {"etljobname": run["jobname"], "envsourcecd": run["envsourcecode"], "datasourcecd": run["datasourcecode"]}
+            res = load_silver(spark, root, run, keys_of(run), meta, as_of, buckets, dedupe_by(run) if dedupe_by else None,
+                              limits_of(run) if limits_of else None, {"wave": wave, "runid": run["runid"]}, key_buckets)
+        snap.write_json(spark, f"{_ledger(root, wave)}/{run['runid']}", asdict(res))
+        return res
 
     # runs of one target in order, different targets at the same time
     by_target: dict[tuple, list[dict]] = {}
@@ -286,22 +368,17 @@ def run_wave(spark: SparkSession, root: str, runs: DataFrame, keys_of, as_of=Non
                 .withColumn("raised", F.col("errordesc").isNotNull()))
     events = outcomes.where(F.col("errordesc").isNotNull()).select(
         *tr.RUN_KEY, "batchid", F.lit(-1).alias("errorid"), "errordesc", "errorline")
-    detail1 = snap.read_table(spark, root, "controldetail")
-    header1 = snap.read_table(spark, root, "controlheader")
-    groups1 = snap.read_table(spark, root, "sourcegroupingdtl")
-    # only this wave's rows of the logs matter to its post-process: its batch ids are new
-    snap.append(tr.error_rows(events, detail1, as_of=as_of, flows=flows), root, "error", ERROR_SCHEMA)
-    wave = outcomes.select(*tr.RUN_KEY, F.col("batchid").alias("latestbatchid")).distinct()
-    mine = [*tr.RUN_KEY, "latestbatchid"]
-    errors = error_log(spark, root).join(wave, mine, "left_semi")
-    started = audit_log(spark, root).join(wave, mine, "left_semi")
-    post = tr.post_process(outcomes.drop("errordesc", "errorline"), errors, detail1, header1, groups1, started,
+    header = snap.read_table(spark, root, "controlheader")
+    detail = snap.read_table(spark, root, "controldetail")
+    groups = snap.read_table(spark, root, "sourcegroupingdtl")
+    # the wave's batch ids are new: its own error rows, and the audit rows of its pre-process, are all that matter here
+    errors = tr.error_rows(events, detail, as_of=as_of, flows=flows)
+    started = snap.read_log(spark, root, "audit", AUDIT_SCHEMA, run=note["runs"]["audit"]).drop(snap.SEQUENCE)
+    post = tr.post_process(outcomes.drop("errordesc", "errorline"), errors, detail, header, groups, started,
                            as_of=as_of, flows=flows)
-    snap.publish(post.detail, root, "controldetail")
-    snap.publish(post.header, root, "controlheader")
-    snap.publish(post.groups, root, "sourcegroupingdtl")
-    snap.append(post.audit, root, "audit", AUDIT_SCHEMA)
-    batches.unpersist()
+    (snap.Commit(spark, root).table("controldetail", post.detail).table("controlheader", post.header)
+     .table("sourcegroupingdtl", post.groups).append("audit", post.audit, AUDIT_SCHEMA, LOG_KEY)
+     .append("error", errors, ERROR_SCHEMA, LOG_KEY).publish({"open": False, "wave": wave, "as_of": note["as_of"]}))
     return [x for _, x in results]
 
 
@@ -309,19 +386,28 @@ def run_waves(spark: SparkSession, root: str, f: ctl.RunFilter, keys_of, as_of=N
               parallel: int = 4, **options) -> list[LoadResult]:
     """All due runs, wave by wave in ascending calling sequence.
 
+    A wave that was stopped is ended first; if the same selection had asked for it, the waves after it follow.
+
     Only the list of distinct sequences reaches the driver (a handful of
     numbers); every wave is re-selected from the control tables as they stand
     after the previous wave.  ``options``: see ``run_wave``."""
+    results: list[LoadResult] = []
+    stopped = None
+    if (note := snap.last_commit(spark, root)["note"] or {}).get("open"):
+        results += finish_wave(spark, root, keys_of, parallel, **options)
+        if note["asked_by"] and note["asked_by"]["selection"] == repr(f):
+            stopped = note["asked_by"]["sequence"]
     header = snap.read_table(spark, root, "controlheader")
     detail = snap.read_table(spark, root, "controldetail")
     groups = snap.read_table(spark, root, "sourcegroupingdtl")
     runs = ctl.due_runs(header, detail, groups, f, order=False)
     seqs = [r["sourcecallingseq"] for r in ctl.run_waves(runs).collect()]
-    results: list[LoadResult] = []
     for s in seqs:
+        if stopped is not None and s <= stopped:
+            continue
         header = snap.read_table(spark, root, "controlheader")
         detail = snap.read_table(spark, root, "controldetail")
         groups = snap.read_table(spark, root, "sourcegroupingdtl")
         wave = ctl.due_runs(header, detail, groups, f, order=False).where(F.col("sourcecallingseq") == s)
-        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel, **options)
+        results += run_wave(spark, root, wave, keys_of, as_of=as_of, parallel=parallel, asked_by={"selection": repr(f), "sequence": s}, **options)
     return results

@@ -41,26 +41,48 @@ def _control(spark):
     return spare(h, "h"), spare(d, "d"), g
 
 
+def _runs(spark):
+    """Control rows of five runs over the orders: a load into bronze; a pair of runs of one silver target in one wave, with a
+    source whose keys repeat; a later wave that updates the target."""
+    h, d, g = _control(spark)
+    h1, d1 = h.where("sourceid = 'S1'"), d.where("sourceid = 'S1'")
+    runs = [("S0", 1, "raw_to_bronze", "orders", "orders"), ("S1", 1, "bronze_to_silver", "orders", "d_orders_silver"),
+            ("S2", 1, "bronze_to_silver", "orders", "d_orders_silver"), ("S3", 1, "bronze_to_silver", "twice", "d_twice_silver"),
+            ("S4", 2, "bronze_to_silver", "orders", "d_orders_silver")]
+    new = F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("id", "seq", "flow", "object", "target"), r)]) for r in runs]))
+    header = h1.withColumn("new", new).withColumns({"sourceid": F.col("new.id"), "sourcecallingseq": F.col("new.seq")})
+    detail = d1.withColumn("new", new).withColumns({
+        "sourceid": F.col("new.id"), "dataflowflag": F.col("new.flow"), "sourceobject": F.col("new.object"), "targetobject": F.col("new.target"),
+        "targetschemaname": F.when(F.col("new.flow") == "raw_to_bronze", "stg").otherwise("dwh")})
+    return header.select(*h.columns), detail.select(*d.columns), g
+
+
 @register("waves_e2e", """
-SELECT 'S1' AS sourceid, 1 AS sourcecallingseq, n AS srcrwcnt, n AS tgtinscnt, CAST(0 AS BIGINT) AS tgtupdcnt,
-       'Completed' AS flowstatus, CAST(1 AS BIGINT) AS latestbatchid FROM (SELECT count(*) AS n FROM orders)
-UNION ALL
-SELECT 'S2', 2, n, CAST(0 AS BIGINT), n, 'Completed', CAST(1 AS BIGINT) FROM (SELECT count(*) AS n FROM orders)""")
+WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT 'S0' AS sourceid, 'raw_to_bronze' AS dataflowflag, 1 AS sourcecallingseq, n AS srcrwcnt, n AS tgtinscnt, CAST(0 AS BIGINT) AS tgtupdcnt,
+       'Completed' AS flowstatus, CAST(1 AS BIGINT) AS latestbatchid, NULL::VARCHAR AS errordesc FROM n
+UNION ALL SELECT 'S1', 'bronze_to_silver', 1, n, n, 0, 'Completed', 1, NULL FROM n
+UNION ALL SELECT 'S2', 'bronze_to_silver', 1, n, 0, n, 'Completed', 1, NULL FROM n
+UNION ALL SELECT 'S3', 'bronze_to_silver', 1, 2 * n, 0, 0, 'Failed', 1,
+  'ValueError: ' || n || ' business keys occur more than once (' || n || ' surplus rows)' FROM n
+UNION ALL SELECT 'S4', 'bronze_to_silver', 2, n, 0, n, 'Completed', 1, NULL FROM n""")
 def waves_e2e(spark, sf_dir):
-    """Bronze load of orders, then two waves into one silver table: the first
-    inserts every order, the second updates every order; the audit log is the
-    result.  The control rows are the two runs (parameters), the data is the
-    whole orders table."""
+    """The flows from end to end on the whole orders table (C2-C7): the raw flow loads bronze; the first silver wave has two runs of one
+    target, which insert and then update every order, and a source with repeated keys, which fails alone; the second wave updates again.
+    The result is the latest audit state with the logged errors.  The control rows are the runs (parameters)."""
     root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lakeloom-e2e-{uuid.uuid4().hex}"
-    h, d, g = _control(spark)
+    h, d, g = _runs(spark)
     pl.init_store(spark, root, h, d, g, as_of=AS_OF)
-    snap.overwrite(Tables(spark, sf_dir).orders, root, pl.bronze_name("stg", "orders"))
-    pl.run_waves(spark, root, RunFilter(dataflowflag="bronze_to_silver"), keys_of=lambda r: ["o_orderkey"],
-                 as_of=AS_OF, parallel=2)
-    a = pl.audit_log(spark, root)
+    orders = Tables(spark, sf_dir).orders
+    options = dict(keys_of=lambda r: ["o_orderkey"], as_of=AS_OF, parallel=4, source_of=lambda r: orders)
+    pl.run_waves(spark, root, RunFilter(dataflowflag="raw_to_bronze"), **options)
+    snap.overwrite(orders.unionByName(orders), root, pl.bronze_name("stg", "twice"))
+    pl.run_waves(spark, root, RunFilter(dataflowflag="bronze_to_silver"), **options)
     seq = h.select(F.col("sourceid").alias("_s"), "sourcecallingseq")
-    return a.join(seq, F.col("sourceid") == F.col("_s")).select(
-        "sourceid", "sourcecallingseq", "srcrwcnt", "tgtinscnt", "tgtupdcnt", "flowstatus", "latestbatchid")
+    errors = pl.error_log(spark, root).select(F.col("sourceid").alias("_e"), "errordesc")
+    a = pl.audit_log(spark, root)
+    return a.join(seq, F.col("sourceid") == F.col("_s")).join(errors, F.col("sourceid") == F.col("_e"), "left").select(
+        "sourceid", "dataflowflag", "sourcecallingseq", "srcrwcnt", "tgtinscnt", "tgtupdcnt", "flowstatus", "latestbatchid", "errordesc")
 
 
 def _scratch(spark, name: str) -> str:

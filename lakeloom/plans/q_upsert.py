@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators.rowindex import with_row_index
 from ..operators.upsert import upsert
+from ..session import ensure_checkpoint_dir
+from ..sinks import keyed
+from ..sinks import snapshot as snap
 from ..sources.tables import Tables
 from .fixture_sql import AS_OF_SQL
 from .registry import register
@@ -71,6 +76,18 @@ def upsert_counts(spark, sf_dir):
     return orders_upsert(spark, sf_dir).counts()
 
 
+@register("bucket_upsert", _UPSERT_PARTS + "SELECT * FROM upd UNION ALL SELECT * FROM keep UNION ALL SELECT * FROM ins",
+          fixtures=["silver_before"])
+def bucket_upsert(spark, sf_dir):
+    """The same upsert into a stored table kept in buckets of the key's hash, read back: key filters say which
+    buckets hold source keys, only those are read and rewritten, others get their new rows as a part (U1, K6, J3)."""
+    t = Tables(spark, sf_dir)
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/lakeloom-keyed-{uuid.uuid4().hex}"
+    keyed.load(fx.silver_before(t), root, "silver/orders", fx.ORDERS_KEYS, "orderskey", buckets=16)
+    keyed.upsert(spark, root, "silver/orders", fx.bronze_orders(t), fx.ORDERS_KEYS, surrogate="orderskey", meta=fx.ORDERS_META, as_of=fx.as_of_col())
+    return snap.read_table(spark, root, "silver/orders")
+
+
 _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
