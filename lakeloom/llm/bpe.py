@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, text_buffer
 from .pieces import cut
 
-CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 250_000, 250_000
+CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 200_000, 120_000
 #: A block of texts.
-BLOCK_ROWS, BLOCK_BYTES = 1000, "4m"
+BLOCK_ROWS, BLOCK_BYTES = 500, "2m"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
 ID_BITS = 20
 NO_MERGE = 1 << ID_BITS
