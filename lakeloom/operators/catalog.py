@@ -7,6 +7,8 @@ key columns come from a declared constraints DataFrame.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,10 @@ _SPARK_TO_SQL = [
 ]
 
 
+#: Fixed value: the metadata key under which Spark keeps the declared type of a char or varchar column.
+_RAW_TYPE = "__CHAR_VARCHAR_TYPE_STRING"
+
+
 def sql_type_name(dt: T.DataType) -> str:
     for cls, name in _SPARK_TO_SQL:
         if isinstance(dt, cls):
@@ -28,6 +34,15 @@ def sql_type_name(dt: T.DataType) -> str:
     return "text"
 
 
+def char_type(field: T.StructField) -> tuple[str, int] | None:
+    """("char" or "varchar", n) of a column declared so: its type, or the type that Spark keeps in a string column's metadata."""
+    kind = field.dataType
+    if isinstance(kind, (T.CharType, T.VarcharType)):
+        return "char" if isinstance(kind, T.CharType) else "varchar", kind.length
+    found = re.fullmatch(r"((?:var)?char)\((\d+)\)", str((field.metadata or {}).get(_RAW_TYPE, "")))
+    return (found[1], int(found[2])) if found else None
+
+
 def schema_catalog(spark: SparkSession, tables: dict[str, DataFrame], schema: str = "stg") -> DataFrame:
     """information_schema.columns of DataFrames, read from their schemas.
 
@@ -38,7 +53,8 @@ def schema_catalog(spark: SparkSession, tables: dict[str, DataFrame], schema: st
             dt = f.dataType
             prec = dt.precision if isinstance(dt, T.DecimalType) else None
             scale = dt.scale if isinstance(dt, T.DecimalType) else None
-            rows.append((schema, name, f.name, pos, sql_type_name(dt), None, prec, scale,
+            kind, size = char_type(f) or (sql_type_name(dt), None)
+            rows.append((schema, name, f.name, pos, kind, size, prec, scale,
                          "YES" if f.nullable else "NO", "NO"))
     return spark.createDataFrame(
         rows, "table_schema string, table_name string, column_name string, ordinal_position int, "

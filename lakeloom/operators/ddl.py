@@ -38,11 +38,16 @@ def _joined(pos: Column, text: Column, sep: str) -> Column:
 
 # ------------------------------------------------------------------- silver
 
-def silver_column_defs(lookup: DataFrame) -> DataFrame:
+def silver_column_defs(lookup: DataFrame, untyped: str = "drop") -> DataFrame:
     """One definition per lookup row (D1 body, P14, F1, F8): char/varchar get a
     length (default 255), decimal/numeric precision and scale (default 18, 2),
-    NOT NULL when not nullable; ``is_key`` for PRIMARY/UNIQUE constraints."""
-    dt = F.col("datatype")
+    NOT NULL when not nullable; ``is_key`` for PRIMARY/UNIQUE constraints.
+
+    ``untyped``: a column without a type is left out ('drop', as the original does), is
+    'text', or makes the query fail ('refuse')."""
+    name = F.coalesce(F.concat("silverdwh_tablename", F.lit("."), "silverdwh_columnname"), F.lit("?"))
+    missing = {"drop": F.lit(None), "text": F.lit("text"), "refuse": F.raise_error(F.concat(F.lit("no type: "), name))}[untyped].cast("string")
+    dt = F.coalesce(F.col("datatype"), missing)
     size = (F.when(dt.ilike("char%") | dt.ilike("varchar"),
                    F.concat(F.lit("("), F.coalesce(F.col("length").cast("string"), F.lit("255")), F.lit(")")))
             .when(dt.ilike("decimal") | dt.ilike("numeric"),
@@ -57,11 +62,11 @@ def silver_column_defs(lookup: DataFrame) -> DataFrame:
                          is_key.alias("is_key"))
 
 
-def silver_ddl(lookup: DataFrame, schema: str | Column = "dwh") -> DataFrame:
+def silver_ddl(lookup: DataFrame, schema: str | Column = "dwh", untyped: str = "drop") -> DataFrame:
     """CREATE TABLE text per silver table (D1, A14, F5, F6): surrogate identity
     key, the columns in (column_id, name) order, six audit columns, PRIMARY KEY
     on the surrogate, UNIQUE on the business-key columns when there are any."""
-    defs = silver_column_defs(lookup)
+    defs = silver_column_defs(lookup, untyped)
     pos = F.struct(F.col("column_id"), F.col("silverdwh_columnname"))
     g = defs.groupBy("silverdwh_tablename").agg(
         _joined(pos, F.col("column_def"), ", ").alias("_cols"),

@@ -19,8 +19,9 @@ sending them through the join would pile them into one hash partition.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,29 +35,41 @@ META_COLUMNS = ("etljobname", "envsourcecd", "datasourcecd")
 
 @dataclass
 class UpsertResult:
-    rows: DataFrame        # the new silver table, with ``_action`` in U / I / K
+    """The parts of an upsert.  New rows get their surrogate keys, which takes a sort, only when they are asked for."""
+
+    matched: DataFrame                        # silver rows with ``_action`` U or K
+    new: DataFrame                            # source rows to insert, as they are
+    numbered: Callable[[DataFrame], DataFrame]  # ``new`` -> silver rows with ``_action`` I
     source: DataFrame
     keys: list
 
+    @cached_property
+    def inserted(self) -> DataFrame:
+        return self.numbered(self.new)
+
+    @property
+    def rows(self) -> DataFrame:
+        """The new silver table, with ``_action`` in U / I / K."""
+        return self.matched.unionByName(self.inserted)
+
     @property
     def table(self) -> DataFrame:
         return self.rows.drop("_action")
 
     @property
     def updates(self) -> DataFrame:
-        return self.rows.where(F.col("_action") == "U").drop("_action")
+        return self.matched.where(F.col("_action") == "U").drop("_action")
 
     @property
     def inserts(self) -> DataFrame:
-        return self.rows.where(F.col("_action") == "I").drop("_action")
+        return self.inserted.drop("_action")
 
     def counts(self) -> DataFrame:
-        """(srccnt, inscnt, updcnt, dltcount) in one aggregation over the result."""
+        """(srccnt, inscnt, updcnt, dltcount); nothing is numbered or written for it."""
         src = self.source.select(F.count(F.lit(1)).cast("long")).scalar()
-        agg = self.rows.agg(F.count_if(F.col("_action") == "I").cast("long").alias("inscnt"),
-                            F.count_if(F.col("_action") == "U").cast("long").alias("updcnt"))
-        return agg.select(src.alias("srccnt"), "inscnt", "updcnt",
-                          F.lit(None).cast("long").alias("dltcount"))
+        ins = self.new.select(F.count(F.lit(1)).cast("long")).scalar()
+        upd = self.matched.agg(F.count_if(F.col("_action") == "U").cast("long").alias("updcnt"))
+        return upd.select(src.alias("srccnt"), ins.alias("inscnt"), "updcnt", F.lit(None).cast("long").alias("dltcount"))
 
 
 def _all(cols: list[Column]) -> Column:
@@ -193,28 +206,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: list, *, surrogate: str |
     else:
         new = source
     order = [s for s, _ in pairs] + [c for c in source.columns if c not in {s for s, _ in pairs}]
-    if surrogate:
-        maxkey = target.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
-        # keys first, then whatever can be ordered; other columns by a hash of their text
-        names = {f.name: f.dataType for f in source.schema.fields}
-        by = [F.col(c) if orderable(names[c]) else F.xxhash64(F.to_json(F.struct(F.col(c)))) for c in order]
-        new = with_row_index(new, by, name="_rn")
-    iout = []
-    for c in tcols:
-        if c == surrogate:
-            v = (maxkey + F.col("_rn")).cast(ttypes[c])
-        elif c in AUDIT_NAMES and audit_value(c, True) is not None:
-            v = audit_value(c, True).cast(ttypes[c])
-        elif c in ins:
-            v = F.col(c).cast(ttypes[c])
-        elif c in defaults:
-            v = F.lit(defaults[c]).cast(ttypes[c])
-        else:
-            v = F.lit(None).cast(ttypes[c])
-        iout.append(v.alias(c))
-    iout.append(F.lit("I").alias("_action"))
-    inserted = new.select(*iout)
-    return UpsertResult(matched.unionByName(inserted), source, pairs)
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        if surrogate:
+            maxkey = target.select(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).scalar()
+            # keys first, then whatever can be ordered; other columns by a hash of their text
+            names = {f.name: f.dataType for f in source.schema.fields}
+            by = [F.col(c) if orderable(names[c]) else F.xxhash64(F.to_json(F.struct(F.col(c)))) for c in order]
+            rows = with_row_index(rows, by, name="_rn")
+        iout = []
+        for c in tcols:
+            if c == surrogate:
+                v = (maxkey + F.col("_rn")).cast(ttypes[c])
+            elif c in AUDIT_NAMES and audit_value(c, True) is not None:
+                v = audit_value(c, True).cast(ttypes[c])
+            elif c in ins:
+                v = F.col(c).cast(ttypes[c])
+            elif c in defaults:
+                v = F.lit(defaults[c]).cast(ttypes[c])
+            else:
+                v = F.lit(None).cast(ttypes[c])
+            iout.append(v.alias(c))
+        return rows.select(*iout, F.lit("I").alias("_action"))
+
+    return UpsertResult(matched, new, numbered, source, pairs)
 
 
 def source_duplicates(source: DataFrame, keys: list[str]) -> DataFrame:

@@ -90,3 +90,26 @@ def test_schema_catalog_from_dataframes(spark, tables):
     assert rows[("orders", "o_orderkey")].ordinal_position == 1
     assert rows[("orders", "o_totalprice")].data_type == "double precision"
     assert rows[("part", "p_name")].data_type == "text"
+
+
+def test_char_lengths_of_declared_columns(spark):
+    from lakeloom.operators.catalog import char_type, schema_catalog
+    from pyspark.sql import types as T
+    raw = {"__CHAR_VARCHAR_TYPE_STRING": "varchar(20)"}
+    fields = [T.StructField("v", T.StringType(), True, raw), T.StructField("c", T.StringType(), True, {"__CHAR_VARCHAR_TYPE_STRING": "char(3)"}),
+              T.StructField("w", T.VarcharType(7)), T.StructField("s", T.StringType())]
+    assert [char_type(f) for f in fields] == [("varchar", 20), ("char", 3), ("varchar", 7), None]
+    df = spark.createDataFrame([], T.StructType([fields[0], fields[1], fields[3]]))
+    rows = {r.column_name: (r.data_type, r.character_maximum_length) for r in schema_catalog(spark, {"t": df}).collect()}
+    assert rows == {"v": ("varchar", 20), "c": ("char", 3), "s": ("text", None)}
+
+
+def test_a_column_without_a_type(spark):
+    import pytest
+    from lakeloom.operators.ddl import silver_ddl
+    kind = "silverdwh_tablename string, silverdwh_columnname string, column_id int, datatype string, length int, precisions int, scale int, nullable boolean, keyconstraint string"
+    lookup = spark.createDataFrame([("d_a_b", "x", 1, "integer", None, None, None, True, None), ("d_a_b", "y", 2, None, None, None, None, False, None)], kind)
+    assert " y " not in silver_ddl(lookup).first().ddl
+    assert "x integer, y text NOT NULL," in silver_ddl(lookup, untyped="text").first().ddl
+    with pytest.raises(Exception, match="no type: d_a_b.y"):
+        silver_ddl(lookup, untyped="refuse").collect()
