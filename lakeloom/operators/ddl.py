@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import AUDIT_COLUMNS, legacy_key_name_col, surrogate_key_name_col
 from ..functions.typemap import LEGACY_TYPE_MAP
+from ..session import broadcast_if_small
 
 # The identity clause of a generated surrogate key, the legacy
 # identity clause per dialect, the legacy audit columns, and the audit part of
@@ -192,8 +193,8 @@ def gold_columns(tables: DataFrame, columns: DataFrame, gold_map: DataFrame, tab
     """tables JOIN columns JOIN type map, whole-name regex filters, grouped per
     column with min/max position (J8, A9, P13).  The map is the caller's
     (source type -> column-store type) table, lower-cased on both sides."""
-    m = F.broadcast(gold_map.select(F.lower("sourcedatatypes").alias("_m_src"),
-                                    F.col("targetdatatypes").alias("column_type")).dropDuplicates())
+    m = broadcast_if_small(gold_map.select(F.lower("sourcedatatypes").alias("_m_src"),
+                                           F.col("targetdatatypes").alias("column_type")).dropDuplicates())
     t = tables.where(F.col("table_name").rlike("^(" + table_pattern + ")$")
                      & F.col("table_schema").rlike("^(" + schema_pattern + ")$")).select(
         F.col("table_schema").alias("_t_s"), F.col("table_name").alias("_t_t"))

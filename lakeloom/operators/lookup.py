@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import neg_one_to_null, yes_no_bool
 from ..functions.typemap import type_default
+from ..session import broadcast_if_small
 from .catalog import key_columns
 from .upsert import upsert
 
@@ -16,8 +17,7 @@ LOOKUP_KEYS = ["sourceid", "source_tablename", "source_columnname"]
 def lookup_build(source_lookup: DataFrame, type_map: DataFrame, case_insensitive: bool = False) -> DataFrame:
     """source_lookup -> main_lookup rows.
 
-    The type map is DISTINCT-ed (no fan-out) and broadcast: it is the fixed seed
-    of 68 rows (or a caller's map of the same kind), not data that grows.
+    The type map is DISTINCT-ed (no fan-out), and broadcast if it is as small as the seed of 68 rows is.
     Unmapped types become 'text'; length -1 becomes NULL; rows without a
     column_id are dropped.  As in the original, only the map side is
     lower-cased unless ``case_insensitive``."""
@@ -26,7 +26,7 @@ def lookup_build(source_lookup: DataFrame, type_map: DataFrame, case_insensitive
                  F.col("sourcedatabasetype").alias("_m_db"))
     stype = F.lower("source_data_type") if case_insensitive else F.col("source_data_type")
     j = source_lookup.where(F.col("column_id").isNotNull()).join(
-        F.broadcast(m), (stype == F.col("_m_type")) & (F.col("source_type") == F.col("_m_db")), "left")
+        broadcast_if_small(m), (stype == F.col("_m_type")) & (F.col("source_type") == F.col("_m_db")), "left")
     out = j.select("column_id", "column_name", "target_table",
                    F.coalesce(F.col("_m_target"), F.lit("text")).alias("target_data_type"),
                    neg_one_to_null("length").alias("length"), "precisions", "scale", "nullable",

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.vectors import squared_distances, vector_matrix
+from ..session import broadcast_if_small
 from .rowindex import with_row_index
 
 #: Queries that a task holds at once, and cells (rows x queries) of distances.
@@ -166,9 +167,9 @@ def gap_split(scored: DataFrame, order_id: str, qid: str = "query_id") -> DataFr
 
 def gap_cut(scored: DataFrame, order_id: str, qid: str = "query_id", ranked: bool = True) -> DataFrame:
     """Keep the strong cluster (V4): the rows of each query up to its largest gap, with their ``rank`` if it is asked for."""
-    # one row per query of the list that the caller asked
-    cuts = F.broadcast(_cuts(scored, order_id, qid).select(F.col(qid).alias("_sq"), "cut_distance", "cut_id"))
-    j = scored.join(cuts, F.col(qid).eqNullSafe(F.col("_sq")), "left")
+    cuts = _cuts(scored, order_id, qid).select(F.col(qid).alias("_sq"), "cut_distance", "cut_id")
+    # one small row per query of the caller's list
+    j = scored.join(broadcast_if_small(cuts), F.col(qid).eqNullSafe(F.col("_sq")), "left")
     within = (F.col("distance") < F.col("cut_distance")) | (F.col("distance") == F.col("cut_distance")) & (F.col(order_id) <= F.col("cut_id"))
     kept = j.where(F.col("cut_distance").isNull() | F.col("distance").isNull() | within).select(*scored.columns)
     return rank_matches(kept, order_id, qid=qid) if ranked else kept

@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -104,6 +105,12 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def broadcast_if_small(df, rows: int = 10_000):
+    """``df`` with a broadcast hint if it has so few (narrow) rows, which are fetched to see it; else as it is, joined as any table."""
+    some = df.limit(rows + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(some, df.schema)) if len(some) <= rows else df
+
+
 def ensure_parallelism(df, partitions: int | None = None):
     """Spread a CPU-heavy stage over ``partitions`` tasks, whatever its input's number of row groups."""
     return df.repartition(partitions or parallelism(df.sparkSession))
