@@ -11,7 +11,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 # (source database, target database, source type, target type)
 # ---------------------------------------------------------------------------
 TYPE_MAP_ROWS = [
-    # SQL Server to PostgreSQL
     ("SQL Server", "PostgreSQL", "INT", "INTEGER"),
     ("SQL Server", "PostgreSQL", "BIGINT", "BIGINT"),
     ("SQL Server", "PostgreSQL", "SMALLINT", "SMALLINT"),
@@ -43,7 +42,6 @@ TYPE_MAP_ROWS = [
     ("SQL Server", "PostgreSQL", "HIERARCHYID", "TEXT"),
     ("SQL Server", "PostgreSQL", "GEOGRAPHY", "TEXT"),
     ("SQL Server", "PostgreSQL", "GEOMETRY", "TEXT"),
-    # PostgreSQL to PostgreSQL
     ("PostgreSQL", "PostgreSQL", "SMALLINT", "SMALLINT"),
     ("PostgreSQL", "PostgreSQL", "INTEGER", "INTEGER"),
     ("PostgreSQL", "PostgreSQL", "BIGINT", "BIGINT"),
@@ -70,7 +68,6 @@ TYPE_MAP_ROWS = [
     ("PostgreSQL", "PostgreSQL", "JSONB", "JSONB"),
     ("PostgreSQL", "PostgreSQL", "ARRAY", "ARRAY"),
     ("PostgreSQL", "PostgreSQL", "CITEXT", "CITEXT"),
-    # Flatfile to PostgreSQL
     ("Flatfile", "PostgreSQL", "int64", "BIGINT"),
     ("Flatfile", "PostgreSQL", "int32", "INTEGER"),
     ("Flatfile", "PostgreSQL", "float64", "DOUBLE PRECISION"),
