@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_limits, text_buffer
@@ -45,8 +45,6 @@ BLOCK_ROWS, BLOCK_BYTES = 500, "2m"
 ID_BITS = 20
 NO_MERGE = 1 << ID_BITS
 EMPTY = 1 << 61
-#: A plan's text would repeat the literals, megabytes in every event of a query.
-PLAN_TEXT = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -103,11 +101,6 @@ def pair_hash(left: int, right: int) -> int:
     return xxhash.xxh64_intdigest(right.to_bytes(8, "little"), seed=xxhash.xxh64_intdigest(left.to_bytes(8, "little"), seed=42))
 
 
-def _literal(values, kind: str) -> Column:
-    """A constant array; the optimizer folds the expression into a literal."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
-
-
 def _let(value: Column, body, like: Column) -> Column:
     """``body(value)`` with the value computed once; ``like`` is any value of the result's type."""
     return F.aggregate(F.array(value), like, lambda _, x: body(x))
@@ -117,34 +110,39 @@ def _joined(*arrays: Column) -> Column:
     return F.flatten(F.array(*arrays))  # much cheaper than concat where expressions are interpreted
 
 
+RANK_MAP = "rank_map"
+
+
 @dataclass
 class RankMap:
-    """The literals of a fold, made once for all its uses.
+    """The constant arrays of a fold, made once for all its uses: a struct that is the value of a scalar subquery, so it is a
+    literal of the running plan but no part of a plan's text.
 
     firsts: the cell of a byte before another one, at ``256 * byte + next byte``; lasts: of a piece's last byte."""
 
-    firsts: Column
-    lasts: Column
-    moves: Column
-    slots: Column
+    value: DataFrame
     sizes: tuple[int, int]
 
     @classmethod
-    def of(cls, ranks: dict[bytes, int]) -> RankMap:
+    def of(cls, spark: SparkSession, ranks: dict[bytes, int]) -> RankMap:
         moves, slots = displaced(pair_rows(ranks))
         ids = [ranks[bytes([b])] for b in range(256)]
         firsts = [ranks.get(bytes([a, b]), NO_MERGE) << ID_BITS | ids[a] for a in range(256) for b in range(256)]
-        literals = [_literal(v, "bigint") for v in (firsts, [NO_MERGE << ID_BITS | i for i in ids], moves.tolist(), slots.tolist())]
-        return cls(*literals, (len(moves), len(slots)))
+        arrays = {"firsts": firsts, "lasts": [NO_MERGE << ID_BITS | i for i in ids], "moves": moves, "slots": slots}
+        row = pa.table({c: pa.array([v], pa.list_(pa.int64())) for c, v in arrays.items()})
+        return cls(spark.createDataFrame(row).select(F.struct(*arrays).alias(RANK_MAP)), (len(moves), len(slots)))
 
 
-def fold_merges(words: Column, ranks: RankMap) -> Column:
-    """Ids (array<array<bigint>>) of an array of pieces, each the array of its bytes (0 to 255, at least one).
+def fold_merges(df: DataFrame, words: str, out: str, ranks: RankMap) -> DataFrame:
+    """``df`` with the ids (array<array<int>>, column ``out``) of an array of pieces, each the array of its bytes (0 to 255, at
+    least one), in the place of ``words``.
 
-    The literals are bound once around the fold, so the plan holds one copy of each."""
-    none = F.array().cast("array<array<bigint>>")
-    return _let(ranks.firsts, lambda first: _let(ranks.lasts, lambda last: _let(ranks.moves, lambda move: _let(
-        ranks.slots, lambda slot: F.transform(words, lambda w: _fold(w, first, last, move, slot, *ranks.sizes)), none), none), none), none)
+    The constants are bound once around the fold, so the plan holds one copy of each."""
+    none, held = F.array().cast("array<array<bigint>>"), F.col(RANK_MAP)
+    folded = _let(held["firsts"], lambda first: _let(held["lasts"], lambda last: _let(held["moves"], lambda move: _let(
+        held["slots"], lambda slot: F.transform(F.col(words), lambda w: _fold(w, first, last, move, slot, *ranks.sizes)), none), none), none), none)
+    return df.withColumn(RANK_MAP, ranks.value.scalar()).select(
+        *[c for c in df.columns if c != words], folded.cast("array<array<int>>").alias(out))
 
 
 def _fold(word: Column, firsts: Column, lasts: Column, moves: Column, slots: Column, n_moves: int, n_slots: int) -> Column:
@@ -279,7 +277,7 @@ def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, ranks: dict[byt
     top = top_pieces(docs, id_col, text_col, frozenset(ranks)).withColumn(
         "block", F.pmod(F.xxhash64("word"), F.lit(max(parts, CACHE_WORDS // 500)))).repartition(parts, "block")
     blocks = top.groupBy("block").agg(F.collect_list("word").alias("words"), F.collect_list("bytes").alias("bytes"))
-    rows = blocks.select("words", fold_merges(F.col("bytes"), rank_map).cast("array<array<int>>").alias("ids")).toArrow()
+    rows = fold_merges(blocks.select("words", "bytes"), "bytes", "ids", rank_map).toArrow()
     words, ids = (rows[c].combine_chunks() for c in ("words", "ids"))
     words, ids = words.flatten(), ids.flatten()
     sizes = [pc.binary_length(words), pc.list_value_length(ids)]
@@ -294,8 +292,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     decoded: also the column ``decoded``, the ids decoded again as ``decode`` does, in the same task."""
     spark = docs.sparkSession
     arrow_limits(spark, BLOCK_ROWS, BLOCK_BYTES)
-    spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
-    concatenated, rank_map = _concatenation(ranks) if decoded else None, RankMap.of(ranks)
+    concatenated, rank_map = _concatenation(ranks) if decoded else None, RankMap.of(spark, ranks)
     spelling, spelt, flat, sizes = frequent_pieces(docs, id_col, text_col, ranks, rank_map)
     # codes: the ids of the vocabulary, then the cached pieces; both are of a bounded size
     n_ids = max(ranks.values(), default=-1) + 1
@@ -340,7 +337,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     kind = docs.select(id_col).dtypes[0][1]
     coded = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         blocks, f"id array<{kind}>, counts binary, codes binary, forget boolean, words array<array<smallint>>")
-    folded = coded.select("id", "counts", "codes", "forget", fold_merges(F.col("words"), rank_map).cast("array<array<int>>").alias("ids"))
+    folded = fold_merges(coded, "words", "ids", rank_map)
     return folded.mapInArrow(assemble, f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded)
 
 
