@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Steps that are kept for the next token (they do not depend on it).
+#: Steps, and tables of runs at the end of a token, that are kept for the next token.
 KEPT = 64
 
 
@@ -69,6 +69,7 @@ class MaskRuns:
             starts = np.flatnonzero(np.diff(c, prepend=-1))
             self.seen.append((c.astype(np.int64), x.astype(np.int64), np.log(p.astype(float)), to.astype(np.int64), starts))
         self.ahead: list[np.ndarray] = [self.end]
+        self.ended: dict[tuple[str, str], tuple[np.ndarray, np.ndarray]] = {}
 
     # ------------------------------------------------------------- letters to the end
 
@@ -148,34 +149,37 @@ class MaskRuns:
 
     def ending(self, states: dict, run: str, kinds: str) -> tuple[tuple | None, str]:
         """(link, letters) of the best reading of a run that ends a token; states: (context, last) -> (score, link)."""
-        tables: dict[str, tuple[np.ndarray, list[np.ndarray]]] = {}
         found = None
         for (context, last), (score, link) in states.items():
             state, mine = self._last(context, last, kinds)
-            if mine not in tables:
-                tables[mine] = self._ended(run, kinds, mine)
-            cost, steps = tables[mine]
-            for n in np.flatnonzero(np.isfinite(cost)).tolist():
-                total = score - cost[n] + float(steps[n][state])
-                if found is None or total > found[0]:
-                    found = total, link, state, n
-        _, link, state, n = found
+            best, _ = self._ended(run, kinds, mine)
+            total = score + float(best[state])
+            if found is None or total > found[0]:
+                found = total, link, state, mine
+        _, link, state, mine = found
+        n = int(self._ended(run, kinds, mine)[1][state])
         letters, steps = [], self.steps(n)
         for left in range(n, 0, -1):
             x, state = self._best_letter(state, steps[left - 1])
             letters.append(self.lm.letters[x])
         return link, "".join(letters)
 
-    def _ended(self, run: str, kinds: str, last: str) -> tuple[np.ndarray, list[np.ndarray]]:
-        """(least cost by the number of letters, ``steps``) for as many letters as could win after any state."""
+    def _ended(self, run: str, kinds: str, last: str) -> tuple[np.ndarray, np.ndarray]:
+        """For every state: the best score of the run to the end of the token, and its number of letters."""
+        if (held := self.ended.get((run, last))) is not None:
+            return held
         most = 16
         while True:
             cost = self.spent(run, kinds, lambda ch: True, last, most).min(axis=1)
-            steps = self.steps(most - 1)
-            got = np.max([steps[n] - cost[n] for n in range(most) if np.isfinite(cost[n])], axis=0)
-            if float(got.min()) >= -cost[most]:  # scores are logarithms: more letters cannot win
-                return cost[:most], steps
+            tried = np.stack([then - c for then, c in zip(self.steps(most - 1), cost)])
+            best = tried.max(axis=0)
+            if float(best.min()) >= -cost[most]:  # scores are logarithms: more letters cannot win
+                break
             most *= 2
+        if len(self.ended) >= KEPT:
+            self.ended.clear()
+        held = self.ended[(run, last)] = best, tried.argmax(axis=0)
+        return held
 
     # --------------------------------------------------------------- letters inside a token
 
