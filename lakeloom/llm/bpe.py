@@ -3,9 +3,10 @@
 Encoding cuts texts into the pattern's pieces (``pieces.cut``).  Pieces that are tokens
 themselves need no merges.  The merges of all other pieces run in Spark's higher-order
 functions: ``fold_merges`` folds over a piece's byte array, at each step merging the
-leftmost pair of least rank, with a literal rank map.  A token and the rank of its pair are one number, so a step rebuilds one array.  The map is a literal array made as a
-perfect hash of the pairs (Spark's own maps are searched from end to end), and every slot
-names its pair, so one look-up gives a pair's rank.
+leftmost pair of least rank, with a literal rank map.  A token and the rank of its pair are
+one number, so a step rebuilds one array.  The map is a constant array (the value of a scalar
+subquery) made as a perfect hash of the pairs (Spark's own maps are searched from end to end),
+and every slot names its pair, so one look-up gives a pair's rank.
 
 A distinct piece is folded once per task: a block (the texts of one Arrow batch) brings only
 the pieces that the task has not met (it forgets them all when there are over ``TASK_WORDS``,
