@@ -254,18 +254,22 @@ def _write_pairs(model: Model, words: Words, part: int, keys: np.ndarray, counts
 
 
 class Batches:
-    """Token ids of a batch, looked up once per distinct word."""
+    """Token ids of a batch, looked up once per distinct word of a task; what ``codes`` forgets is looked up again."""
 
     def __init__(self, model: Model):
         self.model, self.words, self.codes = model, model.words(), Codes({}, 0)
+        self.ids = self.counts = np.zeros(0, np.int64)  # by code
 
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, counts, context ids, tokens of each text)."""
+        if self.codes.full():
+            self.ids = self.counts = np.zeros(0, np.int64)
         words, sizes = tokens_of(texts)
         coded = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        distinct = self.codes.taken()
-        ids, counts = self.words.find(np.array([_hash(w) for w in distinct], U))
-        token, count = ids[coded], counts[coded]
+        if new := self.codes.taken():
+            ids, counts = self.words.find(np.array([_hash(w) for w in new], U))
+            self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        token, count = self.ids[coded], self.counts[coded]
         context = np.empty_like(token)
         context[1:] = token[:-1]
         context[np.cumsum(sizes) - sizes] = self.model.begin

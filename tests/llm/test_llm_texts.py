@@ -189,6 +189,18 @@ def test_language_model_sums_to_one(spark):
     assert abs(p.sum() - 1) < 0.03  # one byte per pair
 
 
+@pytest.mark.parametrize("held", [50, 120_000])
+def test_language_model_over_many_batches(spark, monkeypatch, held):
+    monkeypatch.setattr(bpe, "TASK_WORDS", held)
+    docs = small(spark)
+    model = ngram_lm.fit(docs.limit(30))
+    texts = [(r["text"] or "").encode() for r in docs.select("text").limit(60).collect()]
+    one = ngram_lm.Batches(model)
+    for at in range(0, len(texts), 7):
+        for got, want in zip(one.read(texts[at:at + 7]), ngram_lm.Batches(model).read(texts[at:at + 7]), strict=True):
+            assert np.array_equal(got, want)
+
+
 def test_language_model_without_training(spark):
     none = no_docs(spark)
     got = ngram_lm.score(edge_docs(spark), ngram_lm.fit(none)).collect()
