@@ -24,13 +24,19 @@ def as_of_col() -> F.Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """``df`` with the hint to join by sorting.  Spark takes the bytes of compressed files for the size of what is derived from
+    them, and would broadcast millions of control rows (hundreds of megabytes in the driver) of a file of a few megabytes."""
+    return df.hint("merge")
+
+
 def _sid(c: str) -> F.Column:
     return F.concat(F.lit("S"), F.col(c).cast("string"))
 
 
 def control_header(t: Tables) -> DataFrame:
     c = F.col("c_custkey")
-    return t.customer.select(
+    return grown(t.customer.select(
         c.alias("id"),
         _sid("c_custkey").alias("sourceid"),
         F.col("c_name").alias("sourcename"),
@@ -49,7 +55,7 @@ def control_header(t: Tables) -> DataFrame:
         *[F.when(c % 10 == i, F.concat(F.lit(f"{name}_"), F.col("c_name"))).alias(name) for i, name in enumerate(API_COLUMNS)],
         F.concat(F.lit("raw-"), F.lower("c_mktsegment")).alias("adlscontainername"),
         F.concat(F.lit("/raw/"), F.col("c_mktsegment"), F.lit("/"), F.col("c_name")).alias("dldirstructure"),
-    )
+    ))
 
 
 API_COLUMNS = ("apiurl", "apimethod", "apiaccesstoken", "apiqueryparameters", "apirequestbody")
@@ -62,7 +68,7 @@ def control_detail(t: Tables) -> DataFrame:
     flows = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f).alias("flow")) for f, k in FLOWS])
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment", F.inline(flows))
     target = F.concat(F.lit("d_"), F.lower("c_mktsegment"), F.lit("_"), c.cast("string"))
-    return base.select(
+    return grown(base.select(
         (c * 3 + F.col("k")).alias("id"),
         _sid("c_custkey").alias("sourceid"),
         F.col("c_name").alias("sourcename"),
@@ -85,7 +91,7 @@ def control_detail(t: Tables) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("etllastrundate"),
         F.when(c % 3 == 0, F.concat(F.lit("SELECT * FROM stg_"), F.col("c_mktsegment"))).alias("sourcequery"),
         F.when(c % 4 == 0, 7).otherwise(1).alias("intervaldays"),
-    )
+    ))
 
 
 def source_groups(t: Tables, with_null: bool = False) -> DataFrame:
@@ -105,7 +111,7 @@ def source_groups(t: Tables, with_null: bool = False) -> DataFrame:
         extra = g.sparkSession.createDataFrame(
             [(None, "dwh", "BUILDING", 1, "Completed", None, None, None)], g.schema)
         g = g.unionByName(extra)
-    return g
+    return grown(g)
 
 
 ORDERS_KEYS = ["o_orderkey"]

@@ -178,7 +178,7 @@ class _Chain:
             F.col("o_orderkey").alias("_runid"), F.lit(-1).alias("errorid"),
             F.concat(F.lit("RuntimeError: "), F.col("o_orderpriority")).alias("errordesc"))
         r = self.pre.runs.select(*tr.RUN_KEY, "batchid", "runid")
-        return r.join(o, F.col("runid") == F.col("_runid"), "inner").drop("_runid")
+        return r.join(fx.grown(o), F.col("runid") == F.col("_runid"), "inner").drop("_runid")
 
     def errors(self):
         return tr.error_rows(self.events(), self.detail0, as_of=fx.AS_OF)
@@ -187,7 +187,7 @@ class _Chain:
         p = self.pre
         raised = self.t.orders.where(F.col("o_orderstatus") == "F").select(
             F.col("o_orderkey").alias("_rk"), F.lit(True).alias("_raised"))
-        outcomes = p.runs.join(raised, F.col("runid") == F.col("_rk"), "left").select(
+        outcomes = p.runs.join(fx.grown(raised), F.col("runid") == F.col("_rk"), "left").select(
             *p.runs.columns, F.coalesce(F.col("_raised"), F.lit(False)).alias("raised"))
         return tr.post_process(outcomes, self.errors(), p.detail, p.header, p.groups, p.audit_rows,
                                as_of=fx.AS_OF)

@@ -28,3 +28,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(QUERIES["silver_inserts"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["run_durations", "audit_after_post", "detail_after_post", "header_after_post", "groups_after_post",
+                                  "audit_after_error", "header_after_error", "detail_after_error", "error_rows", "due_runs"])
+def test_no_control_table_is_broadcast(spark, name):
+    # the tables grow with the data, whatever the bytes of their files; only offsets of the row index may be broadcast
+    joins = [line for line in _plan(QUERIES[name](spark, SF_SMALL)).splitlines() if "Join" in line]
+    assert joins and [line for line in joins if "Broadcast" in line and "_spid" not in line] == []
