@@ -15,9 +15,8 @@ blanks are read twice: as one token, and as a lattice that may also end a word a
 The restored words are scored by logistic regression on the presence of words and word
 beginnings that training documents tell apart; whole texts are read.
 
-Training: at most ``SAMPLE`` labelled documents of either class, by a hash of the id (all,
-if there are fewer), weighted back to the true class sizes.  Only counts by word
-(``LM_WORDS`` at most) and the features found in these documents reach the driver.
+Training: all labelled documents.  Spark counts their words and fits the regression (Spark ML) on the features found in
+them; only the most frequent words (``LM_WORDS`` at most), the features (``FEATURES``) and their weights reach the driver.
 
 Defined results: null and empty texts get the score of a text without features.  A
 document labelled more than once counts with its highest label; null labels are skipped.
@@ -34,13 +33,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import Matrices, Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_limits
+from .common import arrow_limits, stored
 from .mask_runs import MaskRuns, Trail
 
-SAMPLE, LM_WORDS, FEATURES = 8000, 30_000, 2000
+LM_WORDS, FEATURES = 30_000, 2000
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
 #: What a character may stand for besides itself.
@@ -247,6 +250,9 @@ class Reader:
         self.squeezed = frozenset(_SQUEEZE.sub(r"\1", w) for w in self.words)
 
     def token(self, token: str) -> tuple[str, ...]:
+        core = token.strip(_EDGE)
+        if core.isalpha() and not self._stretched(core) and token.strip(_OUTER) == core:
+            return (core,)  # as most are; the cache is for those that take longer
         got = self.cache.get(token)
         if got is None:
             if len(self.cache) >= self.limit:
@@ -254,14 +260,17 @@ class Reader:
             got = self.cache[token] = tuple(self._read(token))
         return got
 
+    def _stretched(self, core: str) -> bool:
+        """Whether letters are repeated as no known word has them."""
+        short = _SQUEEZE.sub(r"\1", core)
+        return len(short) < len(core) and (_RUN.search(core) is not None or core not in self.words and short in self.squeezed)
+
     def _read(self, token: str) -> list[str]:
         core = token.strip(_EDGE)
         plain = _WORD.findall(core)
         if not plain and not any(c in LEET for c in core):
             return []
-        odd = len(plain) != 1 or plain[0] != core or _RUN.search(core) is not None
-        if not odd and core not in self.words and _SQUEEZE.sub(r"\1", core) in self.squeezed:
-            odd = len(_SQUEEZE.sub(r"\1", core)) < len(core)
+        odd = len(plain) != 1 or plain[0] != core or self._stretched(core)
         whole = token.strip(_OUTER)  # masks and look-alikes at either end may be letters
         if not odd and whole == core or _URL.fullmatch(core) or _ADDRESS.fullmatch(core):
             return plain
@@ -289,6 +298,7 @@ class Model:
     reader: Reader | None
     weights: dict[str, float]
     bias: float
+    sent: Broadcast | None = None  # the reader, as tasks get it
 
     def scorer(self):
         """Scores of a batch of texts; a word's features are looked up once per word."""
@@ -298,7 +308,12 @@ class Model:
         base = 1 / (1 + math.exp(-self.bias))
 
         def of_token(token: str) -> tuple:
-            return tuple(f for f in expand(reader.token(token)) if f in weights)
+            out = []
+            for w in reader.token(token):
+                if w in weights:
+                    out.append(w)
+                out += [f for n in PREFIXES if len(w) > n and (f := "^" + w[:n]) in weights]
+            return tuple(out)
 
         def score(text: str | None) -> float:
             if not text or reader is None:
@@ -321,24 +336,34 @@ class Model:
         return score
 
 
-def _regression(rows: list[list[int]], y: np.ndarray, weight: np.ndarray, size: int, l2: float = 2.0) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse 0/1 rows by gradient steps with momentum; weights are kept at 0 or more for
-    features, since each marks toxicity."""
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    col = np.array([c for r in rows for c in r], np.int64)
-    w, bias, vw, vb = np.zeros(size), math.log((weight @ y + 1) / (weight @ (1 - y) + 1)), np.zeros(size), 0.0
-    per_col = np.maximum(np.bincount(col, weight[at], size), 1.0)
-    for _ in range(400):
-        z = bias + np.bincount(at, w[col], len(rows))
-        g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        vw = 0.9 * vw - (np.bincount(col, g[at], size) + l2 * w) / (per_col + l2) * 0.5
-        vb = 0.9 * vb - g.sum() / weight.sum() * 0.5
-        w, bias = np.maximum(w + vw, 0), bias + vb
-    return w, bias
-
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        sample: int = SAMPLE) -> Model:
+def _regression(rows: DataFrame, features: list[str], l2: float = 2.0) -> tuple[dict[str, float], float]:
+    """(weights, bias) of the logistic regression on (found: array<string>, y, n: weight); weights are kept at 0 or more, since
+    each feature marks toxicity."""
+    size = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    if len(size) < 2 or not features:
+        return {}, math.log((size.get(1, 0) + 1) / (size.get(0, 0) + 1))
+    words = CountVectorizerModel.from_vocabulary(features, inputCol="found", outputCol="features")
+    fitted = LogisticRegression(labelCol="y", weightCol="n", regParam=l2 / sum(size.values()), standardization=False, maxIter=400, tol=1e-9,
+                                lowerBoundsOnCoefficients=Matrices.dense(1, len(features), [0.0] * len(features)),
+                                lowerBoundsOnIntercepts=Vectors.dense([-math.inf])).fit(words.transform(rows))
+    # rounded, since the order in which partitions are added up varies
+    return {f: round(float(w), 6) for f, w in zip(features, fitted.coefficients, strict=True)}, round(float(fitted.intercept), 6)
+
+
+def _sent(spark: SparkSession, reader: Reader) -> Broadcast:
+    """A reader for all tasks.  A Python worker unpacks it once, so what one task has read is known to the next one there; it
+    is sent as bytes, as task functions are, so that executors need not have this package."""
+    return spark.sparkContext.broadcast([cloudpickle.dumps(reader), None])
+
+
+def _received(sent: Broadcast) -> Reader:
+    held = sent.value
+    if held[1] is None:
+        held[1] = cloudpickle.loads(held[0])
+    return held[1]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from the labelled documents given; ``labels``: (id, label)."""
     spark = docs.sparkSession
     arrow_limits(spark)
@@ -349,64 +374,63 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not n1 or not n0:
         share = n1 / max(n1 + n0, 1)
         return Model(None, {}, math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    rates = {y: min(1.0, sample / n) for y, n in ((1, n1), (0, n0))}
-    rate = F.when(F.col("y") == 1, rates[1]).otherwise(rates[0])
-    chosen = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 60)) < rate * (1 << 60))
-    # the chosen labels are about 2 * sample rows, so this broadcast is bounded
-    rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "label_id")
+    # texts meet their labels once, for both passes over them; by sorting at any size, so that no table of labels is broadcast
+    rows = stored(docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).join(known.hint("merge"), "label_id").select("text", "y"),
+                  "toxicity-train")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list] = {}
+        counts: tuple[Counter, Counter] = Counter(), Counter()
         for b in batches:
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
-                for w in expand(set(_WORD.findall((text or "").lower()))):
-                    counts.setdefault(w, [0, 0])[y] += 1
-            if len(counts) > 300_000:
+                counts[y].update(expand(set(_WORD.findall((text or "").lower()))))
+            if len(counts[0]) + len(counts[1]) > 300_000:
                 yield _counts(counts)
-                counts = {}
+                counts = Counter(), Counter()
         yield _counts(counts)
 
-    words = rows.select("text", "y").mapInArrow(count, "word string, n0 long, n1 long").groupBy("word").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    s1, s0 = n1 * rates[1], n0 * rates[0]
-    odds = F.log((F.col("n1") + 0.5) / F.lit(s1)) - F.log((F.col("n0") + 0.5) / F.lit(s0))
+    words = stored(rows.mapInArrow(count, "word string, n0 long, n1 long").groupBy("word").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxicity-words")
+    odds = F.log((F.col("n1") + 0.5) / F.lit(n1)) - F.log((F.col("n0") + 0.5) / F.lit(n0))
     telling = words.where((F.col("n1") >= 4) & (odds > 1.5)).withColumn("odds", odds).orderBy(
         F.desc(F.col("odds") * F.sqrt("n1")), "word").limit(FEATURES).collect()
     common = words.where(~F.col("word").startswith("^")).orderBy(F.desc(F.col("n0") + F.col("n1")), "word").limit(LM_WORDS).collect()
     features = sorted(r["word"] for r in telling)
     lexicon = {r["word"]: r["n1"] for r in telling if r["word"][0] != "^"}
     lm = CharModel({r["word"]: r["n0"] + r["n1"] for r in common} | {w: n * 3 for w, n in lexicon.items()})
-    reader, number = Reader(lm, frozenset(lexicon)), {f: i for i, f in enumerate(features)}
+    reader, wanted = Reader(lm, frozenset(lexicon)), frozenset(features)
+    sent = _sent(spark, reader)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _received(sent)
         for b in batches:
-            found = [[number[f] for f in expand(reader.features(t or "")) if f in number] for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label_id"), b.column("y"), pa.array(found, pa.list_(pa.int32()))],
-                                             ["label_id", "y", "found"])
-
-    seen = rows.select(F.col("label_id").cast("string").alias("label_id"), "y", "text").mapInArrow(
-        present, "label_id string, y int, found array<int>").collect()
-    seen.sort(key=lambda r: (r["label_id"], r["found"]))
-    y = np.array([r["y"] for r in seen], float)
-    if not len(y):
+            found = [sorted(wanted.intersection(expand(own.features(t or "")))) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), b.column("y")], ["found", "y"])
+
+    # documents with the same features and label are one row; all of them count
+    seen = stored(rows.mapInArrow(present, "found array<string>, y int").groupBy("found", "y").agg(
+        F.count(F.lit(1)).cast("double").alias("n")).sortWithinPartitions("found", "y"), "toxicity-seen")
+    if seen.isEmpty():
         return Model(None, {}, math.log(n1 / n0))
-    weight = np.where(y == 1, 1 / rates[1], 1 / rates[0])
-    w, bias = _regression([r["found"] for r in seen], y, weight / weight.mean(), len(features))
-    return Model(reader, {f: float(x) for f, x in zip(features, w, strict=True) if x > 0.05}, float(bias))
+    weights, bias = _regression(seen, features)
+    return Model(reader, {f: w for f, w in weights.items() if w > 0.05}, bias, sent)
 
 
-def _counts(counts: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-                                       pa.array([c[1] for c in counts.values()], pa.int64())], ["word", "n0", "n1"])
+def _counts(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+    words = list(counts[0].keys() | counts[1].keys())
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in counts)],
+                                      ["word", "n0", "n1"])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", columns: tuple[str, ...] = ("doc_id",),
           threshold: float = THRESHOLD) -> DataFrame:
     """(*columns, score, predicted), one row per document; ``columns`` must not be named score or predicted."""
-    arrow_limits(docs.sparkSession)
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    sent = model.sent or _sent(spark, model.reader)
+    weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.scorer()
+        scorer = Model(_received(sent), weights, bias).scorer()
         for b in batches:
             got = [scorer(t) for t in b.column("toxicity_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in columns] + [

@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from lakeloom.llm import language_id, toxicity
@@ -202,6 +203,15 @@ def test_scores_are_the_regression_on_restored_words(spark, model):
         assert abs(got[r["doc_id"]][0] - score) < 1e-9 and got[r["doc_id"]][1] == int(got[r["doc_id"]][0] >= 0.3)
 
 
+def test_toxicity_learns_from_every_labelled_document(spark):
+    rare = ["zorgle", "quimbot", "framvik", "blurdon", "skelpum", "trovash"]  # of four documents each
+    texts = [f"{rare[i // 4]} bad" if i < 24 else f"bad thing {i}" if i < 9000 else f"good thing {i}" for i in range(20_000)]
+    rows = spark.createDataFrame(pd.DataFrame({"doc_id": range(20_000), "text": texts, "toxic": [int(i < 9000) for i in range(20_000)]}))
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert set(rare) <= model.reader.words
+    assert model.weights["bad"] > 1 and model.bias < 0
+
+
 def test_language_network_against_a_naive_forward_pass(spark):
     """The probabilities of windows, recomputed filter by filter and place by place."""
     from lakeloom.llm import language_id as L
