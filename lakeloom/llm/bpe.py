@@ -40,8 +40,8 @@ from .common import arrow_limits, text_buffer
 from .pieces import cut
 
 CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 200_000, 120_000
-#: A block of texts.
-BLOCK_ROWS, BLOCK_BYTES = 500, "2m"
+#: A block of texts: so small that what it becomes in the JVM are no humongous objects.
+BLOCK_ROWS, BLOCK_BYTES = 125, "256k"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
 ID_BITS = 20
 NO_MERGE = 1 << ID_BITS
@@ -187,13 +187,9 @@ class Codes(dict):
     """Codes of pieces.  An unknown one gets the next code after ``size`` and is noted; new pieces are remembered from
     batch to batch until there are over TASK_WORDS."""
 
-    def __init__(self, known: dict[bytes, int], size: int, spelling: bytes = b"", spelt: np.ndarray | None = None):
-        """known: codes of some pieces; the pieces in ``spelling``, ``spelt`` bytes each, get the codes before ``size``."""
+    def __init__(self, known: dict[bytes, int], size: int):
         super().__init__(known)
         self.size, self.new, self.held = size, [], []
-        ends = np.cumsum(spelt if spelt is not None else [])
-        for code, (a, z) in enumerate(zip([0, *ends.tolist()], ends.tolist()), size - len(ends)):
-            self[spelling[a:z]] = code
 
     def __missing__(self, piece: bytes) -> int:
         self.new.append(piece)
@@ -216,19 +212,146 @@ class Codes(dict):
         return new
 
 
+class PieceCodes:
+    """``Codes`` of the pieces of whole batches, found by array operations, without an object per piece.
+
+    A piece of up to SHORT bytes is two words: its bytes, with its length in the top byte.  These words lie in a table that
+    is searched from a hash of them on, at most half full; longer pieces, few, lie in a dict."""
+
+    SHORT = 15
+
+    def __init__(self, spelling: bytes, spelt: np.ndarray, codes: np.ndarray, size: int):
+        """The pieces in ``spelling``, ``spelt`` bytes each, have the ``codes``, all below ``size``."""
+        self.known = np.frombuffer(spelling, np.uint8), np.concatenate([[0], np.cumsum(spelt)]).astype(np.int64), codes.astype(np.int32)
+        self.size, self.new = size, []
+        self._start()
+
+    def _start(self) -> None:
+        buf, bounds, codes = self.known
+        self.held, self.long, self.used = 0, {}, 0
+        self._room((2 * (len(codes) + TASK_WORDS)).bit_length())
+        sizes, raw = np.diff(bounds), buf.tobytes()
+        for i in np.flatnonzero(sizes > self.SHORT).tolist():
+            self.long[raw[bounds[i]:bounds[i + 1]]] = int(codes[i])
+        short = np.flatnonzero((sizes > 0) & (sizes <= self.SHORT))
+        low, high = self._words(buf, bounds)
+        self._put(low[short], high[short], codes[short])
+
+    def _room(self, bits: int) -> None:
+        self.bits = bits
+        self.low, self.high, self.code = (np.zeros(1 << bits, kind) for kind in (np.uint64, np.uint64, np.int32))
+
+    @staticmethod
+    def _words(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two words of every piece; those of a long piece are no short one's."""
+        at, sizes = bounds[:-1], np.minimum(np.diff(bounds), 255)
+        padded = np.concatenate([buf, np.zeros(16, np.uint8)])
+        every = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))  # the word that starts at each byte
+        masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        return (every[at] & masks[np.minimum(sizes, 8)],
+                every[at + 8] & masks[np.clip(sizes - 8, 0, 7)] | sizes.astype(np.uint64) << np.uint64(56))
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = (low ^ high * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _put(self, low: np.ndarray, high: np.ndarray, codes: np.ndarray) -> None:
+        """Add pieces that are not in the table."""
+        self.used += len(codes)
+        if 2 * self.used > len(self.high):
+            there = np.flatnonzero(self.high)
+            low, high, codes = (np.concatenate([a[there], b]) for a, b in ((self.low, low), (self.high, high), (self.code, codes)))
+            self._room((2 * self.used).bit_length())
+        slots = self._slots(low, high)
+        todo = np.arange(len(codes))
+        while len(todo):
+            free = self.high[slots] == 0
+            mine, own = slots[free], todo[free]
+            self.code[mine] = own  # of several for one slot, one gets it
+            won = self.code[mine] == own
+            at, own = mine[won], own[won]
+            self.low[at], self.high[at] = low[own], high[own]
+            lost = ~free
+            lost[np.flatnonzero(free)[~won]] = True
+            self.code[at] = codes[own]
+            todo, slots = todo[lost], slots[lost] + 1 & len(self.high) - 1
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Codes of the pieces that are in the table, -1 of others."""
+        slots = self._slots(low, high)
+        there = self.high.take(slots)
+        hit = (there == high) & (self.low.take(slots) == low)
+        out = np.where(hit, self.code.take(slots), np.int32(-1))
+        todo = np.flatnonzero(~hit & (there != 0))
+        slots = slots[todo]
+        while len(todo):
+            slots = slots + 1 & len(self.high) - 1
+            there = self.high[slots]
+            hit = (there == high[todo]) & (self.low[slots] == low[todo])
+            out[todo[hit]] = self.code[slots[hit]]
+            go = ~hit & (there != 0)
+            todo, slots = todo[go], slots[go]
+        return out
+
+    def of(self, buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Codes of the pieces ``buf[bounds[i]:bounds[i + 1]]``; a new one gets the next code and is noted."""
+        low, high = self._words(buf, bounds)
+        out = self._find(low, high)
+        rest = np.flatnonzero(out < 0)
+        if not len(rest):
+            return out
+        raw, fresh, firsts, code = buf.tobytes(), {}, [], self.size + self.held + len(self.new)
+        for i, a, z in zip(rest.tolist(), bounds[rest].tolist(), bounds[rest + 1].tolist(), strict=True):
+            piece = raw[a:z]
+            among = fresh if z - a <= self.SHORT else self.long
+            if (known := among.get(piece)) is None:
+                known = among[piece] = code
+                code += 1
+                self.new.append(piece)
+                if among is fresh:
+                    firsts.append(i)
+            out[i] = known
+        at = np.array(firsts, np.int64)
+        self._put(low[at], high[at], out[at])
+        return out
+
+    def full(self) -> bool:
+        """Before a batch: whether the new pieces were too many; they are forgotten then."""
+        if self.held <= TASK_WORDS:
+            return False
+        self._start()
+        return True
+
+    def taken(self) -> list[bytes]:
+        """The new pieces since the last call."""
+        new, self.new = self.new, []
+        self.held += len(new)
+        return new
+
+
 class Pieces:
     """Ids of the pieces by code: those of the known codes, then the new ones as they come."""
 
     def __init__(self, ids: np.ndarray, sizes: np.ndarray):
-        self.known = self.ids, self.sizes = ids, sizes
-        self.starts = np.cumsum(sizes) - sizes
+        self.known = len(ids), len(sizes)
+        self.ids, self.sizes, self.starts = ids, sizes, np.cumsum(sizes) - sizes
+        self.n_ids, self.n = self.known  # filled so far
 
     def add(self, ids: np.ndarray, sizes: np.ndarray, forget: bool) -> None:
         if forget:
-            self.ids, self.sizes = self.known
-        if forget or len(sizes):
-            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.n_ids, self.n = self.known
+        if not len(sizes):
+            return
+        if self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids[:self.n_ids], np.zeros(len(ids) + self.n_ids // 4, self.ids.dtype))
+        if self.n + len(sizes) > len(self.sizes):
+            more = np.zeros(len(sizes) + self.n // 4, np.int64)
+            self.sizes, self.starts = np.append(self.sizes[:self.n], more), np.append(self.starts[:self.n], more)
+        self.ids[self.n_ids:self.n_ids + len(ids)] = ids
+        self.sizes[self.n:self.n + len(sizes)] = sizes
+        self.starts[self.n:self.n + len(sizes)] = self.n_ids + np.cumsum(sizes) - sizes
+        self.n_ids, self.n = self.n_ids + len(ids), self.n + len(sizes)
 
     def spelt(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all pieces in turn, the number of ids up to each)."""
@@ -237,13 +360,18 @@ class Pieces:
         return self.ids[np.arange(upto[-1] if len(n) else 0) + np.repeat(self.starts[codes] - upto + n, n)], upto
 
 
-def cut_batch(column: pa.Array) -> tuple[list[bytes], np.ndarray]:
-    """(pieces of all texts, number of pieces of each)."""
+def cut_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, where the pieces begin and the last one ends, number of pieces of each text)."""
     buf, offsets = text_buffer(column)
     at = cut(buf, offsets)
-    raw, counts = buf.tobytes(), np.diff(np.searchsorted(at, offsets))
-    stops = at[1:].tolist() + [len(raw)] if len(at) else []
-    return [raw[a:b] for a, b in zip(at.tolist(), stops, strict=True)], counts
+    return buf, np.append(at, len(buf)) if len(at) else np.zeros(1, np.int64), np.diff(np.searchsorted(at, offsets))
+
+
+def cut_batch(column: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """(pieces of all texts, number of pieces of each)."""
+    buf, bounds, counts = cut_spans(column)
+    raw, ends = buf.tobytes(), bounds.tolist()
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], counts
 
 
 def _byte_lists(words: list[bytes]) -> pa.Array:
@@ -298,19 +426,20 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", tex
     # codes: the ids of the vocabulary, then the cached pieces; both are of a bounded size
     n_ids = max(ranks.values(), default=-1) + 1
     size = n_ids + len(spelt)
-    known: Broadcast = spark.sparkContext.broadcast((ranks, spelling, spelt))
+    known: Broadcast = spark.sparkContext.broadcast((
+        b"".join(ranks) + spelling, np.concatenate([np.fromiter(map(len, ranks), np.int64, len(ranks)), spelt]),
+        np.concatenate([np.fromiter(ranks.values(), np.int64, len(ranks)), np.arange(n_ids, size)])))
     folded_ids: Broadcast = spark.sparkContext.broadcast((
         np.concatenate([np.arange(n_ids, dtype=np.uint32), flat]), np.concatenate([np.ones(n_ids, np.int64), sizes])))
     del spelling, spelt, flat, sizes
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, spelling, spelt = known.value
-        codes = Codes(tokens, size, spelling, spelt)
+        codes = PieceCodes(*known.value, size)
         for b in batches:
             forget = codes.full()
-            words, counts = cut_batch(b.column("text"))
-            coded = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
-            del words
+            buf, bounds, counts = cut_spans(b.column("text"))
+            coded = codes.of(buf, bounds)
+            del buf, bounds
             yield pa.RecordBatch.from_arrays([
                 pa.array([b.column("id").to_pylist()], pa.list_(b.schema.field("id").type)), pa.array([counts.astype(np.int32).tobytes()]),
                 pa.array([coded.tobytes()], pa.binary()), pa.array([forget]),

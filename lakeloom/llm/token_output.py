@@ -37,9 +37,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Codes, Pieces, cut_batch, top_pieces
+from .bpe import PieceCodes, Pieces, cut_batch, cut_spans, top_pieces
 from .common import arrow_limits, stored
 from .context_coder import decode_blocks, encode_blocks, frequencies
+from .pieces import cut
 
 END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
 #: Texts of an Arrow batch, and pieces that the library encodes in one call.
@@ -110,10 +111,10 @@ def added_tokens(tokenizer) -> dict[str, int]:
     return {t.content: i for i, t in added.items()}
 
 
-def cut_around(column: pa.Array, added: list[str]) -> tuple[list[bytes], np.ndarray]:
-    """``cut_batch`` of the texts between added tokens; an added token is a piece of its own, marked by ``MARK``."""
+def cut_around(column: pa.Array, added: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``cut_spans`` of the texts between added tokens; an added token is a piece of its own, marked by ``MARK``."""
     if not any(pc.any(pc.match_substring(column, a)).as_py() for a in added):
-        return cut_batch(column)
+        return cut_spans(column)
     either = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
     split = [either.split(t or "") for t in column.to_pylist()]  # texts and added tokens by turns
     pieces, counts = cut_batch(pa.array([t for parts in split for t in parts[::2]], pa.string()))
@@ -128,17 +129,49 @@ def cut_around(column: pa.Array, added: list[str]) -> tuple[list[bytes], np.ndar
                 out += pieces[a:z]
         sizes.append(len(out) - at)
         at = len(out)
-    return out, np.array(sizes, np.int64)
-
-
-def _encoded(tokenizer, words: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, out), np.int64, len(out)))]).astype(np.int64)
+    return np.frombuffer(b"".join(out), np.uint8), bounds, np.array(sizes, np.int64)
+
+
+def token_sizes(tokenizer) -> np.ndarray:
+    """Number of bytes of every token of a byte-level vocabulary, whose characters stand for bytes."""
+    vocab = tokenizer.get_vocab(with_added_tokens=False)
+    sizes = np.zeros(max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1, np.int64)
+    sizes[list(vocab.values())] = list(map(len, vocab))
+    return sizes
+
+
+def _alone(tokenizer, words: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words in turn, number of ids of each), each word a text of its own."""
+    part = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    sizes = np.fromiter(map(len, part), np.int64, len(part))
+    return np.fromiter(chain.from_iterable(part), kind, int(sizes.sum())), sizes
+
+
+def _together(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray, added: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``_alone``, as one text: a word that is cut from it as one piece has the ids whose bytes are its own; others go alone."""
+    apart = [w if w[:1] == b" " else b"\n" + w for w in words]  # most words are cut from what is before them
+    text = b"".join(apart)
+    ends, sizes = np.cumsum(np.fromiter(map(len, apart), np.int64, len(words))), np.fromiter(map(len, words), np.int64, len(words))
+    found = np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.int64)
+    upto = np.cumsum(token_bytes[found])
+    if any(t.encode() in text for t in added) or not len(found) or upto[-1] != len(text):
+        return _alone(tokenizer, words, kind)
+    starts = cut(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    at = np.searchsorted(starts, ends - sizes)
+    whole = (np.append(starts, -1)[at] == ends - sizes) & (np.append(starts, [len(text)] * 2)[at + 1] == ends) & (sizes > 0)
+    first, last = (np.searchsorted(upto, x, side="right") for x in (ends - sizes, ends))
+    n, rest = last - first, np.flatnonzero(~whole)
+    own, n[rest] = _alone(tokenizer, [words[i] for i in rest.tolist()], kind)
+    first[rest] = len(found) + np.cumsum(n[rest]) - n[rest]
+    before = np.cumsum(n) - n
+    return np.append(found.astype(kind), own)[np.arange(int(n.sum())) + np.repeat(first - before, n)], n
+
+
+def _encoded(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray, added: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in turn, number of ids of each); the library's results, large objects, are held a few at a time."""
-    ids, sizes = [], []
-    for at in range(0, len(words), ENCODED_AT_ONCE):
-        part = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words[at:at + ENCODED_AT_ONCE]], add_special_tokens=False)]
-        sizes.append(np.fromiter(map(len, part), np.int64, len(part)))
-        ids.append(np.fromiter(chain.from_iterable(part), kind, int(sizes[-1].sum())))
-    return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, kind), np.zeros(0, np.int64))
+    parts = [_together(tokenizer, words[at:at + ENCODED_AT_ONCE], kind, token_bytes, added) for at in range(0, len(words), ENCODED_AT_ONCE)]
+    return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, kind), np.zeros(0, np.int64))
 
 
 def boundaries(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
@@ -160,12 +193,13 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     tokenizer = load(tokenizer_path)
     added, kind = added_tokens(tokenizer), id_kind(tokenizer_path)
     words = top_pieces(docs, id_col, text_col, frozenset()).select("word").toArrow()["word"].to_pylist()
-    flat, sizes = _encoded(tokenizer, words, kind)
+    token_bytes, contents = token_sizes(tokenizer), list(added)
+    flat, sizes = _encoded(tokenizer, words, kind, token_bytes, contents)
     words += [MARK + t.encode() for t in added]
     flat, sizes = np.append(flat, np.array(list(added.values()), kind)), np.append(sizes, np.ones(len(added), np.int64))
     sent = spark.sparkContext.broadcast((b"".join(words), np.array(list(map(len, words)), np.int64), flat, sizes))
     definition = tokenizer.to_str()
-    upper, added = np.array(marks or [], np.int64), list(added)
+    upper, added = np.array(marks or [], np.int64), contents
     del tokenizer, words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,15 +207,15 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         from tokenizers import Tokenizer
         own = Tokenizer.from_str(definition)
         spelling, spelt, known_ids, known_sizes = sent.value
-        codes, known = Codes({}, len(spelt), spelling, spelt), Pieces(known_ids, known_sizes)
+        codes, known = PieceCodes(spelling, spelt, np.arange(len(spelt)), len(spelt)), Pieces(known_ids, known_sizes)
         end = np.zeros(0 if end_id is None else 1, kind)
         end[:] = end_id or 0
         for b in batches:
             forget = codes.full()
-            pieces, counts = cut_around(b.column("text"), added)
-            coded = np.fromiter(map(codes.__getitem__, pieces), np.int32, len(pieces))
-            del pieces
-            known.add(*_encoded(own, codes.taken(), kind), forget)
+            buf, bounds, counts = cut_around(b.column("text"), added)
+            coded = codes.of(buf, bounds)
+            del buf, bounds
+            known.add(*_encoded(own, codes.taken(), kind, token_bytes, added), forget)
             ids, upto = known.spelt(coded)
             cuts = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
             texts = [np.concatenate([ids[a:z], end]).tobytes() for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]

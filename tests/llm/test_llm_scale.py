@@ -4,9 +4,10 @@ import random
 import time
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from lakeloom.llm import bpe, exact_dedup
+from lakeloom.llm import bpe, exact_dedup, token_output
 
 
 def test_directory_of_a_million_ranges():
@@ -51,3 +52,61 @@ def test_ids_that_do_not_fit_the_rank_map_are_refused():
     h = bpe.pair_hash(0, wide[b"b"])
     got = int(slots[(h >> 32 ^ int(moves[h & len(moves) - 1])) & len(slots) - 1]) ^ (0 * bpe.NO_MERGE + wide[b"b"]) * bpe.NO_MERGE
     assert got == wide[b"ab"]
+
+
+def _coded(codes, words):
+    buf, bounds = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
+    return codes.of(buf, bounds.astype(np.int64)).tolist()
+
+
+def test_piece_codes_hold_no_object_per_piece(monkeypatch):
+    monkeypatch.setattr(bpe, "TASK_WORDS", 300)
+    rng = random.Random(5)
+    words = list(dict.fromkeys(bytes(rng.choices(range(256), k=rng.choice([1, 2, 7, 8, 9, 15, 16, 40]))) for _ in range(4000)))
+    known, new = words[:1000], words[1000:]
+    codes = bpe.PieceCodes(b"".join(known), np.array(list(map(len, known))), np.arange(1000) * 2, 2000)
+    want, seen = {w: 2 * i for i, w in enumerate(known)}, 2000
+    for at in range(0, len(new), 700):  # the table grows
+        batch = rng.choices(known + new[:at + 700], k=5000)
+        for w in batch:
+            want.setdefault(w, 2000 + len(want) - 1000)
+        assert _coded(codes, batch) == [want[w] for w in batch]
+        assert codes.taken() == [w for w, c in want.items() if c >= seen]
+        seen = 2000 + len(want) - 1000
+    assert max(map(len, codes.long)) == 40 and min(map(len, codes.long)) == 16
+    assert codes.full() and _coded(codes, known) == list(range(0, 2000, 2)) and not codes.taken()
+    assert _coded(codes, [new[5], new[3], new[5]]) == [2000, 2001, 2000] and codes.taken() == [new[5], new[3]] and not codes.full()
+
+
+def test_ids_of_pieces_are_kept_in_place():
+    pieces = bpe.Pieces(np.array([7, 8, 9], np.uint32), np.array([1, 2]))
+    for n in range(50):
+        pieces.add(np.array([n, n + 1, n], np.uint32), np.array([0, 1, 2]), n == 25)
+        base = 2 + 3 * (n % 25)
+        ids, upto = pieces.spelt(np.array([1, base + 1, base, base + 2, 0]))
+        assert ids.tolist() == [8, 9, n, n + 1, n, 7] and upto.tolist() == [2, 3, 3, 5, 6]
+
+
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, own):
+        self.own, self.texts = own, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.own.encode_batch_fast(texts, **options)
+
+
+def test_library_gets_many_pieces_in_a_text():
+    own, rng = token_output.load(public_tokenizers.path("byte_bpe_50k.json")), random.Random(6)
+    tokenizer, sizes, added = Counting(own), token_output.token_sizes(own), ["<|endoftext|>"]
+    words = [f"{rng.choice(['', ' '])}{''.join(rng.choices('abcdefghij', k=9))}".encode() for _ in range(5000)]
+    odd = [b"<|", b"endoftext", b"|>", b" ", b"  ", b"\n\n", "\u3000".encode(), b"'s", b"s", b"12", b" 3", " \u6f22\u5b57".encode()]
+    for pieces in (words, odd, words + odd, odd[3:] + words, []):
+        tokenizer.texts = 0
+        ids, n = token_output._encoded(tokenizer, pieces, "<u2", sizes, added)
+        want = [e.ids for e in own.encode_batch_fast([w.decode() for w in pieces], add_special_tokens=False)]
+        assert ids.tolist() == [i for e in want for i in e] and n.tolist() == list(map(len, want))
+        if pieces is words:
+            assert tokenizer.texts == 3
