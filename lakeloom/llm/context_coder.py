@@ -23,7 +23,7 @@ _ID_BITS = 24                      # of a table entry; the confidence stands abo
 _ID_MASK = (1 << _ID_BITS) - 1     # also the entry "nothing yet"
 _MORE = 1 << _ID_BITS
 _RATE = 5
-_AIM = np.array([64, (1 << MIX_BITS) - 1024])  # where rates go after a miss and a hit
+_AIM = np.array([64, (1 << MIX_BITS) - 1024], np.int32)  # where rates go after a miss and a hit
 _ONE, _ONE0 = 1 << MIX_BITS, 1 << ORDER0_BITS
 
 
@@ -40,53 +40,71 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Lanes:
-    """Model and coder state of the lanes. Row 0 of a pair of rows is order 1, row 1 is order 2."""
+    """Model and coder state of the lanes. Row 0 of a pair of rows is order 1, row 1 is order 2.
+
+    Numbers are as narrow as they may be: an id's low 16 bits decide its place in the tables."""
 
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, 2 ** 64 - 1, U)
         self.base = np.arange(2 * lanes).reshape(2, lanes) << TABLE_BITS
         self.rate_base = np.arange(2 * lanes).reshape(2, lanes) * LEVELS
         self.table = np.full(2 * lanes << TABLE_BITS, _ID_MASK, np.int32)
-        self.rates = np.tile((np.linspace(0.15, 0.85, LEVELS) * _ONE).astype(np.int64), 2 * lanes)
-        self.past = np.zeros((2, lanes), np.int64)  # the last id, and the one before
-        self.keys = np.zeros((2, lanes), np.int64)
+        self.rates = np.tile((np.linspace(0.15, 0.85, LEVELS) * _ONE).astype(np.int32), 2 * lanes)
+        self.past = np.zeros((2, lanes), np.uint16)  # the last id, and the one before
+        self.keys = np.zeros((2, lanes), np.uint16)
+        self.hits = np.zeros((2, lanes), bool)  # whose prediction was right, order 1 asked or not
 
     def fewer(self, n: int) -> None:
         """Only the first n lanes go on."""
         self.low, self.range = self.low[:n], self.range[:n]
-        self.base, self.rate_base, self.past, self.keys = (x[:, :n] for x in (self.base, self.rate_base, self.past, self.keys))
+        self.base, self.rate_base, self.past, self.keys, self.hits = (
+            x[:, :n] for x in (self.base, self.rate_base, self.past, self.keys, self.hits))
 
     def predict(self) -> None:
         """The predictions of both orders, and the widths of their intervals in the mixture."""
-        np.multiply(self.past[0], 40503, out=self.keys[0])
-        np.multiply(self.past[1], 30011, out=self.keys[1])
+        np.multiply(self.past[0], np.uint16(40503), out=self.keys[0])
+        np.multiply(self.past[1], np.uint16(30011), out=self.keys[1])
         self.keys[1] += self.keys[0]
-        self.slots = (self.keys >> 3 & (1 << TABLE_BITS) - 1) + self.base
-        self.entries = self.table.take(self.slots).astype(np.int64)
+        self.slots = self.base + (self.keys >> np.uint16(3) & np.uint16((1 << TABLE_BITS) - 1))
+        self.entries = self.table.take(self.slots)
         self.guess, self.level = self.entries & _ID_MASK, self.entries >> _ID_BITS
         self.rate_at = self.rate_base + self.level
         self.p = self.rates.take(self.rate_at)
         self.wide2 = self.p[1]
-        self.wide1 = ((_ONE - 2 - self.wide2) * self.p[0] >> MIX_BITS) + 1
+        self.wide1 = (((_ONE - 2 - self.wide2).view(np.uint32) * self.p[0].view(np.uint32) >> np.uint32(MIX_BITS)) + np.uint32(1)).view(np.int32)
         self.upto1 = self.wide2 + self.wide1
 
     def narrow(self, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """To the interval of the order that predicted the id, or that of order 0."""
-        start = np.where(hit2, 0, np.where(hit1, self.wide2, self.upto1))
-        width = np.where(hit2, self.wide2, np.where(hit1, self.wide1, _ONE - self.upto1))
+        two, one = hit2.astype(np.int32), hit1.astype(np.int32)  # products are much cheaper than choices
+        none = 1 - (two | one)
+        start = self.wide2 * (1 - two) + self.wide1 * none
+        width = self.wide2 * two + self.wide1 * one + (_ONE - self.upto1) * none
         self.cut(start, width, MIX_BITS)
 
     def cut(self, start: np.ndarray, width: np.ndarray, bits: int) -> None:
         step = self.range >> U(bits)
-        self.low += step * start.view(U)
-        np.multiply(step, width.view(U), out=self.range)
+        self.low += step * start.astype(U)
+        np.multiply(step, width.astype(U), out=self.range)
+
+    def ready(self) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each lane has a word to shift out: it is certain, or the range has become too small; which are not certain."""
+        unsure = (self.low ^ (self.low + self.range)) >= _TOP
+        small = self.range < _BOTTOM
+        return small | ~unsure, small & unsure
 
-    def ready(self) -> np.ndarray:
-        """Lanes with a word to shift out: it is certain, or the range has become too small and is cut to make it so."""
+    def shift(self, go: np.ndarray, small: np.ndarray) -> np.ndarray:
+        """Shift a word out of the lanes in ``go``; those that have another.  A range that is too small is cut to make it certain."""
+        if small.any():
+            at = np.flatnonzero(small)
+            self.range[at] = (~self.low[at] + U(1)) & (_BOTTOM - U(1))
+        by = go.astype(U) << U(4)
+        self.low <<= by
+        self.range <<= by
         return np.flatnonzero(((self.low ^ (self.low + self.range)) < _TOP) | (self.range < _BOTTOM))
 
-    def shift(self, at: np.ndarray) -> np.ndarray:
-        """Shift a word out of these lanes; those that have another."""
+    def shift_few(self, at: np.ndarray) -> np.ndarray:
+        """``shift`` of the lanes numbered ``at``."""
         low, width = self.low[at], self.range[at]
         small = (low ^ (low + width)) >= _TOP
         if small.any():
@@ -95,15 +113,17 @@ class _Lanes:
         self.low[at], self.range[at] = low, width
         return at[((low ^ (low + width)) < _TOP) | (width < _BOTTOM)]
 
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        moved = self.p + (_AIM.take(np.stack((hit1, hit2)).view(np.int8)) - self.p >> _RATE)
-        moved[0] = np.where(hit2, self.p[0], moved[0])  # order 1 was not asked
-        self.rates[self.rate_at] = moved
-        up = np.where(self.level < LEVELS - 1, self.entries + _MORE, self.entries)
-        down = np.where(self.level > 0, self.entries - _MORE, ids)
-        self.table[self.slots] = np.where(self.guess == ids, up, down)
+    def learn(self, ids: np.ndarray) -> None:
+        """From the ids (32-bit) and ``hits``: a confidence rises or falls; at the lowest, the id takes the place."""
+        hits = self.hits.astype(np.int32)
+        moves = hits * (_AIM[1] - _AIM[0]) + _AIM[0] - self.p >> _RATE
+        moves[0] *= 1 - hits[1]  # order 1 was not asked
+        self.rates[self.rate_at] = self.p + moves
+        missed, some = 1 - hits, (self.level > 0).astype(np.int32)
+        rise = (self.level < LEVELS - 1) * hits - some * missed
+        self.table[self.slots] = self.entries + rise * _MORE + missed * (1 - some) * (ids - self.entries)
         self.past[1] = self.past[0]
-        self.past[0] = ids
+        self.past[0] = ids.astype(np.uint16)
 
 
 def encode_blocks(ids: np.ndarray, block: int, values: np.ndarray, freq: np.ndarray) -> list[bytes]:
@@ -112,36 +132,44 @@ def encode_blocks(ids: np.ndarray, block: int, values: np.ndarray, freq: np.ndar
     if not count:
         return []
     last = len(ids) - (count - 1) * block
-    columns = np.zeros((count, block), np.int64)
+    columns = np.zeros((count, block), np.int32)
     columns.ravel()[:len(ids)] = ids
     columns = np.ascontiguousarray(columns.T)
-    start0, freq0 = (np.zeros(int(values.max()) + 1, np.int64) for _ in (0, 1))
+    top = int(values.max()) + 1  # stands for an id that was predicted: the whole of order 0
+    start0, freq0 = np.zeros(top + 1, np.int32), np.full(top + 1, _ONE0, np.int32)
     start0[values], freq0[values] = np.cumsum(freq) - freq, freq
-    lanes, out, pos = _Lanes(count), np.zeros((count, 3 * block + 4), np.uint16), np.zeros(count, np.int64)
-    ends = np.zeros(count, U)
+    width = 3 * block + 4
+    lanes, out, first = _Lanes(count), np.zeros(count * width, np.uint16), np.arange(count) * width
+    pos, ends = first.copy(), np.zeros(count, U)
     for t in range(block if count > 1 else last):
         if t == last:  # the last block is over
             ends[-1] = lanes.low[-1]
             lanes.fewer(count - 1)
-        now = columns[t, :len(lanes.low)]
+        now, upto = columns[t, :len(lanes.low)], pos[:len(lanes.low)]
         lanes.predict()
-        hit2 = lanes.guess[1] == now
-        hit1 = (lanes.guess[0] == now) & ~hit2
+        np.equal(lanes.guess, now, out=lanes.hits)
+        hit2 = lanes.hits[1]
+        hit1 = lanes.hits[0] & ~hit2
         lanes.narrow(hit2, hit1)
-        plain = ~(hit2 | hit1)
-        lanes.cut(np.where(plain, start0.take(now), 0), np.where(plain, freq0.take(now), _ONE0), ORDER0_BITS)
-        go = lanes.ready()
+        told = (hit2 | hit1).astype(np.int32)
+        known = now + told * (top - now)
+        lanes.cut(start0.take(known), freq0.take(known), ORDER0_BITS)
+        ready, small = lanes.ready()
+        out[upto] = lanes.low >> U(48)  # of a lane that is not ready, written over later
+        upto += ready
+        go = lanes.shift(ready, small)
         while len(go):
-            out[go, pos[go]] = lanes.low[go] >> U(48)
-            pos[go] += 1
-            go = lanes.shift(go)
-        lanes.learn(now, hit2, hit1)
+            out[upto[go]] = lanes.low[go] >> U(48)
+            upto[go] += 1
+            go = lanes.shift_few(go)
+        lanes.learn(now)
     ends[:len(lanes.low)] = lanes.low
     for _ in range(4):
-        out[np.arange(count), pos] = ends >> U(48)
+        out[pos] = ends >> U(48)
         pos += 1
         ends = ends << _WORD
-    return [out[i, :p].astype("<u2").tobytes() for i, p in enumerate(pos.tolist())]
+    data = out.astype("<u2").tobytes()
+    return [data[2 * a:2 * z] for a, z in zip(first.tolist(), pos.tolist(), strict=True)]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, freq: np.ndarray) -> np.ndarray:
@@ -150,34 +178,43 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, f
     if not count:
         return np.zeros(0, np.int64)
     block, last = sizes[0], sizes[-1]
-    words = np.zeros((count, max(map(len, payloads)) // 2 + 8), np.uint16)
+    width = max(map(len, payloads)) // 2 + 8
+    words = np.zeros((count, width), np.uint16)
     for i, p in enumerate(payloads):
         words[i, :len(p) // 2] = np.frombuffer(p, "<u2")
-    index = np.repeat(np.arange(len(values)), freq)
-    starts = np.cumsum(freq) - freq
-    lanes, pos, code = _Lanes(count), np.full(count, 4, np.int64), np.zeros(count, U)
+    index = np.repeat(np.arange(len(values), dtype=np.int32), freq)
+    # after the values, one that stands for an id that was predicted: the whole of order 0
+    starts, wide = (np.append(x, y).astype(np.int32) for x, y in ((np.cumsum(freq) - freq, 0), (freq, _ONE0)))
+    value = np.append(values, 0).astype(np.int32)
+    lanes, pos, code = _Lanes(count), np.arange(count) * width + 4, np.zeros(count, U)
     for k in range(4):
         code = code << _WORD | words[:, k].astype(U)
-    columns = np.zeros((block, count), np.int64)
+    words = words.ravel()
+    columns = np.zeros((block, count), np.int32)
     for t in range(block):
         if t == last and count > 1:
             lanes.fewer(count - 1)
-            code = code[:-1]
+            code, pos = code[:-1], pos[:-1]
         lanes.predict()
-        v = np.minimum((code - lanes.low) // (lanes.range >> U(MIX_BITS)), U(_ONE - 1)).view(np.int64)
+        v = np.minimum((code - lanes.low) // (lanes.range >> U(MIX_BITS)), U(_ONE - 1)).astype(np.int32)
         hit2 = v < lanes.wide2
         hit1 = (v < lanes.upto1) & ~hit2
         lanes.narrow(hit2, hit1)
         v = np.minimum((code - lanes.low) // (lanes.range >> U(ORDER0_BITS)), U(_ONE0 - 1)).view(np.int64)
+        two, one = hit2.astype(np.int32), hit1.astype(np.int32)
         at = index.take(v)
-        plain = ~(hit2 | hit1)
-        now = np.where(hit2, lanes.guess[1], np.where(hit1, lanes.guess[0], values.take(at)))
-        lanes.cut(np.where(plain, starts.take(at), 0), np.where(plain, freq.take(at), _ONE0), ORDER0_BITS)
-        go = lanes.ready()
+        at += (two | one) * (len(values) - at)
+        now = lanes.guess[1] * two + lanes.guess[0] * one + value.take(at)
+        lanes.cut(starts.take(at), wide.take(at), ORDER0_BITS)
+        ready, small = lanes.ready()
+        code = code << (ready.astype(U) << U(4)) | words.take(pos, mode="clip") * ready  # a damaged block may ask for more words
+        pos += ready
+        go = lanes.shift(ready, small)
         while len(go):
-            code[go] = code[go] << _WORD | words[go, pos[go]].astype(U)
+            code[go] = code[go] << _WORD | words.take(pos[go], mode="clip")
             pos[go] += 1
-            go = lanes.shift(go)
-        lanes.learn(now, hit2, hit1)
+            go = lanes.shift_few(go)
+        np.equal(lanes.guess, now, out=lanes.hits)
+        lanes.learn(now)
         columns[t, :len(now)] = now
-    return np.ascontiguousarray(columns.T).ravel()[:(count - 1) * block + last]
+    return columns.T.astype(np.int64).ravel()[:(count - 1) * block + last]
