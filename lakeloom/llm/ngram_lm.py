@@ -46,12 +46,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Codes
-from .common import LOWER_BYTES, arrow_limits, scratch, stored, text_list
+from .common import LOWER_BYTES, arrow_limits, scratch, text_list
 from .elias_fano import EliasFano, encode, open_mapped, write
 
 U = np.uint64
 PRIOR, DELTA = 16.0, 0.1
-SHARD_CHARS, HELD_WORDS, HELD_PAIRS = 32 << 20, 400_000, 3_000_000
+SHARD_CHARS, HELD_WORDS, HELD_PAIRS = 32 << 20, 400_000, 1_000_000
+#: Texts of an Arrow batch; a task holds some twenty arrays with a number for each of its tokens.
+BATCH_ROWS, BATCH_BYTES = 500, "2m"
 END = b""  # no word is empty
 _hash = xxhash.xxh64_intdigest
 
@@ -162,11 +164,11 @@ class Words:
     def mass(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens of all words before, count) of ascending ids."""
         before, counts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        for s in range(len(self.id0) - 1):
+        asked = np.unique(np.searchsorted(self.id0, ids, side="right") - 1)  # the start's id lies after the last file
+        for s in asked[(asked >= 0) & (asked < len(self.id0) - 1)].tolist():
             a, b = np.searchsorted(ids, self.id0[s:s + 2])
-            if b > a and (f := self.file(s)) is not None:
-                at = ids[a:b] - self.id0[s]
-                before[a:b], counts[a:b] = self.mass0[s] + f["before"][at], f["counts"][at]
+            f, at = self.file(s), ids[a:b] - self.id0[s]
+            before[a:b], counts[a:b] = self.mass0[s] + f["before"][at], f["counts"][at]
         return before, counts
 
 
@@ -277,9 +279,12 @@ class Batches:
 
 
 def fit(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> Model:
-    """Count words, then pairs, and write both levels."""
+    """Count words, then pairs, and write both levels.
+
+    Tasks write the trie's files alone and send a row per file: a Spark table of them would be a file per task, for each of
+    which the executor's JVM starts processes (``chmod``) that count its memory once more until they run."""
     spark = docs.sparkSession
-    arrow_limits(spark)
+    arrow_limits(spark, BATCH_ROWS, BATCH_BYTES)
     slim = docs.select(F.col(text_col).alias("text"))
     texts, chars = slim.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -310,8 +315,8 @@ def fit(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> Model:
     def gathered(df: DataFrame, n: int) -> DataFrame:
         return df.repartitionById(n, F.col("shard")).sortWithinPartitions("shard")
 
-    made = stored(gathered(slim.mapInArrow(count_words, schema), shards).mapInArrow(
-        word_files, "shard long, kinds long, mass long"), "trie-words").collect()  # one row per file
+    made = gathered(slim.mapInArrow(count_words, schema), shards).mapInArrow(
+        word_files, "shard long, kinds long, mass long").collect()  # one row per file
     sizes, mass = [0] * shards, [0] * shards
     for r in made:
         sizes[r["shard"]], mass[r["shard"]] = r["kinds"], r["mass"]
@@ -324,6 +329,8 @@ def fit(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> Model:
 
         def out() -> pa.RecordBatch:
             k, c = _sum_by(keys, counts)
+            keys.clear()
+            counts.clear()
             context = (k // size).astype(np.int64)
             own = np.unique(context)
             before, count = model.contexts(reader.words, own)
@@ -338,7 +345,7 @@ def fit(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> Model:
             held += len(k)
             if held > HELD_PAIRS:
                 yield out()
-                keys, counts, held = [], [], 0
+                held = 0
         if keys:
             yield out()
 
@@ -348,13 +355,13 @@ def fit(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> Model:
             _write_pairs(model, words, part, keys, counts)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, len(keys))], ["shard", "pairs"])
 
-    stored(gathered(slim.mapInArrow(count_pairs, schema), shards).mapInArrow(pair_files, "shard long, pairs long"), "trie-pairs")
+    gathered(slim.mapInArrow(count_pairs, schema), shards).mapInArrow(pair_files, "shard long, pairs long").agg(F.sum("pairs")).collect()
     return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(*columns, n_tokens, n_known, train_tokens, base_score, score), one row per document."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, BATCH_ROWS, BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Batches(model)

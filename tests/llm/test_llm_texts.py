@@ -2,11 +2,14 @@
 
 import hashlib
 import math
+import os
 import random
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -14,6 +17,7 @@ import zlib
 
 from lakeloom.llm import bpe, context_coder, elias_fano, ngram_lm, pieces, simhash, token_output
 from lakeloom.llm import queries as Q
+from lakeloom.session import ensure_checkpoint_dir
 from llm_data import SF, components, crc, edge_docs, edge_rows, fingerprint, no_docs, words, write_tables
 
 RANKS = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
@@ -201,6 +205,18 @@ def test_language_model_over_many_batches(spark, monkeypatch, held):
             assert np.array_equal(got, want)
 
 
+def test_language_model_writes_the_trie_alone(spark):
+    """No Spark table beside it: its many small files cost the executors a process each.  Batches of texts are small."""
+    folder = urlparse(ensure_checkpoint_dir(spark)).path
+    there = set(os.listdir(folder))
+    model = ngram_lm.fit(small(spark).limit(30))
+    new = {f"{folder}/{n}" for n in set(os.listdir(folder)) - there}
+    assert new == {model.folder} and model.kinds > 0
+    assert any(n.startswith("words-") for n in os.listdir(model.folder)) and any(n.startswith("pairs-") for n in os.listdir(model.folder))
+    rows = spark.range(1500).coalesce(1).mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in bs), "n long")
+    assert max(r["n"] for r in rows.collect()) <= 500
+
+
 def test_language_model_without_training(spark):
     none = no_docs(spark)
     got = ngram_lm.score(edge_docs(spark), ngram_lm.fit(none)).collect()
