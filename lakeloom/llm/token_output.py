@@ -45,6 +45,8 @@ from .pieces import cut
 END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
 #: Texts of an Arrow batch, and pieces that the library encodes in one call.
 BATCH_ROWS, BATCH_BYTES, ENCODED_AT_ONCE = 1000, "4m", 2000
+#: Between them: a code point that is no character, so texts hardly have it.
+SEPARATOR = "\U0010fffe"
 MAGIC = b"CMRC0001"
 #: No text has this byte.
 MARK = b"\xff"
@@ -168,9 +170,27 @@ def _together(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray,
     return np.append(found.astype(kind), own)[np.arange(int(n.sum())) + np.repeat(first - before, n)], n
 
 
+def _separated(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray, added: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``_together``, split by the library at ``SEPARATOR`` and not by its pattern, since the words are cut already."""
+    from tokenizers import pre_tokenizers as pre
+    text, own = SEPARATOR.encode().join(words), getattr(tokenizer, "pre_tokenizer", None)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    if (not isinstance(own, pre.ByteLevel) or own.add_prefix_space or any(t.encode() in text for t in added)
+            or text.count(SEPARATOR.encode()) != len(words) - 1):
+        return _together(tokenizer, words, kind, token_bytes, added)
+    tokenizer.pre_tokenizer = pre.Sequence([pre.CharDelimiterSplit(SEPARATOR), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+    found = np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.int64)
+    tokenizer.pre_tokenizer = own
+    upto = np.concatenate([[0], np.cumsum(token_bytes[found])])
+    last = np.searchsorted(upto, ends, side="right") - 1
+    if upto[-1] != ends[-1] or (upto[last] != ends).any():  # bytes without a token
+        return _together(tokenizer, words, kind, token_bytes, added)
+    return found.astype(kind), np.diff(last, prepend=0)
+
+
 def _encoded(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray, added: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in turn, number of ids of each); the library's results, large objects, are held a few at a time."""
-    parts = [_together(tokenizer, words[at:at + ENCODED_AT_ONCE], kind, token_bytes, added) for at in range(0, len(words), ENCODED_AT_ONCE)]
+    parts = [_separated(tokenizer, words[at:at + ENCODED_AT_ONCE], kind, token_bytes, added) for at in range(0, len(words), ENCODED_AT_ONCE)]
     return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, kind), np.zeros(0, np.int64))
 
 

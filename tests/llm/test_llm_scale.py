@@ -110,3 +110,23 @@ def test_library_gets_many_pieces_in_a_text():
         assert ids.tolist() == [i for e in want for i in e] and n.tolist() == list(map(len, want))
         if pieces is words:
             assert tokenizer.texts == 3
+
+
+class Splitting(Counting):
+    """Also one whose pre-tokenizer can be set."""
+
+    pre_tokenizer = property(lambda self: self.own.pre_tokenizer, lambda self, p: setattr(self.own, "pre_tokenizer", p))
+
+
+def test_library_splits_pieces_at_a_separator():
+    own, plain = (token_output.load(public_tokenizers.path("byte_bpe_50k.json")) for _ in range(2))
+    tokenizer, sizes, added = Splitting(own), token_output.token_sizes(own), ["<|endoftext|>"]
+    odd = [b"<|", b"endoftext", b"|>", b" ", b"  ", b"\n\n", "\u3000".encode(), b"'s", b"s", b"!!", b"12", b" 3", " \u6f22\u5b57".encode(), b"e", "\u0301".encode()]
+    clash = [*odd, " !\U0010fffe!".encode()]
+    for pieces, texts in ((odd, 1), (odd[:1], 1), (clash, None), ([*odd, b"<|endoftext|>"], None)):
+        tokenizer.texts = 0
+        ids, n = token_output._encoded(tokenizer, pieces, "<u2", sizes, added)
+        want = [e.ids for e in plain.encode_batch_fast([w.decode() for w in pieces], add_special_tokens=False)]
+        assert ids.tolist() == [i for e in want for i in e] and n.tolist() == list(map(len, want))
+        assert texts is None or tokenizer.texts == texts
+    assert own.to_str() == plain.to_str()  # as it was
