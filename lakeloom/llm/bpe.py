@@ -40,6 +40,8 @@ from .common import arrow_limits, text_buffer
 from .pieces import cut
 
 CACHE_DOCS, CACHE_WORDS, TASK_WORDS = 20_000, 200_000, 120_000
+#: Words of an Arrow batch that a task's counts go out in.
+COUNTED_WORDS = 20_000
 #: A block of texts: so small that what it becomes in the JVM are no humongous objects.
 BLOCK_ROWS, BLOCK_BYTES = 125, "256k"
 #: Ids and ranks stay below; a look-up that meets another pair's slot gives at least this.
@@ -380,20 +382,33 @@ def _byte_lists(words: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), values)
 
 
-def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[bytes]) -> DataFrame:
-    """(word, bytes, n): the CACHE_WORDS most frequent pieces, but ``tokens``, of about CACHE_DOCS texts picked by a hash."""
+def top_pieces(docs: DataFrame, id_col: str, text_col: str, tokens: frozenset[bytes], spelt: bool = True, held: int = 0) -> DataFrame:
+    """(word, bytes if ``spelt``, n): the CACHE_WORDS most frequent pieces, but ``tokens``, of about CACHE_DOCS texts picked by a hash.
+
+    held: a task's counts go out after the batch in which it has met more pieces than that."""
     share = CACHE_DOCS / max(docs.count(), 1)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
         F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
 
+    key = ["word", "bytes"] if spelt else ["word"]
+
+    def counted(found: Counter) -> Iterator[pa.RecordBatch]:
+        every = [w for w in found if w not in tokens]
+        for at in range(0, len(every), COUNTED_WORDS):
+            words = every[at:at + COUNTED_WORDS]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *([_byte_lists(words)] if spelt else []),
+                                              pa.array([found[w] for w in words], pa.int64())], [*key, "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
         for b in batches:
-            found = Counter(cut_batch(b.column("text"))[0])
-            words = [w for w in found if w not in tokens]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), _byte_lists(words), pa.array([found[w] for w in words], pa.int64())],
-                                             ["word", "bytes", "n"])
+            found.update(cut_batch(b.column("text"))[0])
+            if len(found) > held:
+                yield from counted(found)
+                found = Counter()
+        yield from counted(found)
 
-    return picked.select("text").mapInArrow(count, "word binary, bytes array<smallint>, n long").groupBy("word", "bytes").agg(
+    return picked.select("text").mapInArrow(count, f"word binary, {'bytes array<smallint>, ' if spelt else ''}n long").groupBy(*key).agg(
         F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(CACHE_WORDS)
 
 

@@ -25,12 +25,20 @@ _MORE = 1 << _ID_BITS
 _RATE = 5
 _AIM = np.array([64, (1 << MIX_BITS) - 1024], np.int32)  # where rates go after a miss and a hit
 _ONE, _ONE0 = 1 << MIX_BITS, 1 << ORDER0_BITS
+#: An interval of order 0 in one number: its start above its width.
+_PACKED = U(ORDER0_BITS + 1)
+_WIDTH = U((1 << ORDER0_BITS + 1) - 1)
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct ids, their frequencies), at least 1 each and 2^ORDER0_BITS in total."""
-    values, counts = np.unique(ids, return_counts=True)
     total = 1 << ORDER0_BITS
+    if len(ids) and ids.max() < total:  # counting is cheaper than sorting
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        counts = counts[values]
+    else:
+        values, counts = np.unique(ids, return_counts=True)
     if len(values) > total:
         raise ValueError(f"a file can hold {total} different ids")
     freq = 1 + counts * (total - len(values)) // max(int(counts.sum()), 1)
@@ -80,12 +88,12 @@ class _Lanes:
         none = 1 - (two | one)
         start = self.wide2 * (1 - two) + self.wide1 * none
         width = self.wide2 * two + self.wide1 * one + (_ONE - self.upto1) * none
-        self.cut(start, width, MIX_BITS)
+        self.cut(start.astype(U), width.astype(U), MIX_BITS)
 
     def cut(self, start: np.ndarray, width: np.ndarray, bits: int) -> None:
         step = self.range >> U(bits)
-        self.low += step * start.astype(U)
-        np.multiply(step, width.astype(U), out=self.range)
+        self.low += step * start
+        np.multiply(step, width, out=self.range)
 
     def ready(self) -> tuple[np.ndarray, np.ndarray]:
         """Whether each lane has a word to shift out: it is certain, or the range has become too small; which are not certain."""
@@ -126,6 +134,14 @@ class _Lanes:
         self.past[0] = ids.astype(np.uint16)
 
 
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """The transposed array, laid out anew a few columns at a time, so that cache lines are used whole."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for at in range(0, rows.shape[0], 16):
+        out[:, at:at + 16] = rows[at:at + 16].T
+    return out
+
+
 def encode_blocks(ids: np.ndarray, block: int, values: np.ndarray, freq: np.ndarray) -> list[bytes]:
     """The payload of every block of ``block`` ids (the last one may be shorter)."""
     count = -(-len(ids) // block)
@@ -134,13 +150,13 @@ def encode_blocks(ids: np.ndarray, block: int, values: np.ndarray, freq: np.ndar
     last = len(ids) - (count - 1) * block
     columns = np.zeros((count, block), np.int32)
     columns.ravel()[:len(ids)] = ids
-    columns = np.ascontiguousarray(columns.T)
+    columns = _turned(columns)
     top = int(values.max()) + 1  # stands for an id that was predicted: the whole of order 0
-    start0, freq0 = np.zeros(top + 1, np.int32), np.full(top + 1, _ONE0, np.int32)
-    start0[values], freq0[values] = np.cumsum(freq) - freq, freq
-    width = 3 * block + 4
-    lanes, out, first = _Lanes(count), np.zeros(count * width, np.uint16), np.arange(count) * width
-    pos, ends = first.copy(), np.zeros(count, U)
+    order0 = np.full(top + 1, _ONE0, U)  # start and width of an id's interval
+    order0[values] = (np.cumsum(freq) - freq).astype(U) << _PACKED | freq.astype(U)
+    # the lanes' words of one position lie side by side; lanes are about as far as each other
+    lanes, out = _Lanes(count), np.zeros((3 * block + 4) * count, np.uint16)
+    pos, ends = np.arange(count), np.zeros(count, U)
     for t in range(block if count > 1 else last):
         if t == last:  # the last block is over
             ends[-1] = lanes.low[-1]
@@ -152,24 +168,26 @@ def encode_blocks(ids: np.ndarray, block: int, values: np.ndarray, freq: np.ndar
         hit1 = lanes.hits[0] & ~hit2
         lanes.narrow(hit2, hit1)
         told = (hit2 | hit1).astype(np.int32)
-        known = now + told * (top - now)
-        lanes.cut(start0.take(known), freq0.take(known), ORDER0_BITS)
+        known = order0.take(now + told * (top - now))
+        lanes.cut(known >> _PACKED, known & _WIDTH, ORDER0_BITS)
         ready, small = lanes.ready()
         out[upto] = lanes.low >> U(48)  # of a lane that is not ready, written over later
-        upto += ready
+        upto += ready * count
         go = lanes.shift(ready, small)
         while len(go):
             out[upto[go]] = lanes.low[go] >> U(48)
-            upto[go] += 1
+            upto[go] += count
             go = lanes.shift_few(go)
         lanes.learn(now)
     ends[:len(lanes.low)] = lanes.low
     for _ in range(4):
         out[pos] = ends >> U(48)
-        pos += 1
+        pos += count
         ends = ends << _WORD
-    data = out.astype("<u2").tobytes()
-    return [data[2 * a:2 * z] for a, z in zip(first.tolist(), pos.tolist(), strict=True)]
+    words = pos // count
+    width = int(words.max())
+    data = _turned(out[:width * count].reshape(width, count).astype("<u2", copy=False)).tobytes()
+    return [data[2 * width * i:2 * (width * i + n)] for i, n in enumerate(words.tolist())]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, freq: np.ndarray) -> np.ndarray:
@@ -182,10 +200,10 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, f
     words = np.zeros((count, width), np.uint16)
     for i, p in enumerate(payloads):
         words[i, :len(p) // 2] = np.frombuffer(p, "<u2")
-    index = np.repeat(np.arange(len(values), dtype=np.int32), freq)
+    index = np.repeat(np.arange(len(values), dtype=np.uint16 if len(values) <= 1 << 16 else np.int32), freq)
     # after the values, one that stands for an id that was predicted: the whole of order 0
-    starts, wide = (np.append(x, y).astype(np.int32) for x, y in ((np.cumsum(freq) - freq, 0), (freq, _ONE0)))
-    value = np.append(values, 0).astype(np.int32)
+    starts, wide, value = (np.append(x, y).astype(U) for x, y in ((np.cumsum(freq) - freq, 0), (freq, _ONE0), (values, 0)))
+    order0 = value << U(2 * int(_PACKED)) | starts << _PACKED | wide
     lanes, pos, code = _Lanes(count), np.arange(count) * width + 4, np.zeros(count, U)
     for k in range(4):
         code = code << _WORD | words[:, k].astype(U)
@@ -202,10 +220,11 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, f
         lanes.narrow(hit2, hit1)
         v = np.minimum((code - lanes.low) // (lanes.range >> U(ORDER0_BITS)), U(_ONE0 - 1)).view(np.int64)
         two, one = hit2.astype(np.int32), hit1.astype(np.int32)
-        at = index.take(v)
+        at = index.take(v).astype(np.int32)
         at += (two | one) * (len(values) - at)
-        now = lanes.guess[1] * two + lanes.guess[0] * one + value.take(at)
-        lanes.cut(starts.take(at), wide.take(at), ORDER0_BITS)
+        known = order0.take(at)
+        now = lanes.guess[1] * two + lanes.guess[0] * one + (known >> U(2 * int(_PACKED))).astype(np.int32)
+        lanes.cut(known >> _PACKED & _WIDTH, known & _WIDTH, ORDER0_BITS)
         ready, small = lanes.ready()
         code = code << (ready.astype(U) << U(4)) | words.take(pos, mode="clip") * ready  # a damaged block may ask for more words
         pos += ready
@@ -217,4 +236,4 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], values: np.ndarray, f
         np.equal(lanes.guess, now, out=lanes.hits)
         lanes.learn(now)
         columns[t, :len(now)] = now
-    return columns.T.astype(np.int64).ravel()[:(count - 1) * block + last]
+    return _turned(columns).ravel()[:(count - 1) * block + last]

@@ -37,16 +37,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import PieceCodes, Pieces, cut_batch, cut_spans, top_pieces
+from .bpe import TASK_WORDS, PieceCodes, Pieces, cut_batch, cut_spans, top_pieces
 from .common import arrow_limits, stored
 from .context_coder import decode_blocks, encode_blocks, frequencies
 from .pieces import cut
 
 END_ID, BLOCK, FILE_IDS, PART_CHARS = 2, 512, 1 << 21, 16 << 20
 #: Texts of an Arrow batch, and pieces that the library encodes in one call.
-BATCH_ROWS, BATCH_BYTES, ENCODED_AT_ONCE = 1000, "4m", 2000
-#: Between them: a code point that is no character, so texts hardly have it.
-SEPARATOR = "\U0010fffe"
+BATCH_ROWS, BATCH_BYTES, ENCODED_AT_ONCE = 250, "1m", 2000
+#: Pieces of a text that the library splits.
+TEXT_PIECES = 250
+#: Between them: no text has this byte, and no byte of a text is written as this character.
+BETWEEN, SEPARATOR = b"\xff", "\n"
 MAGIC = b"CMRC0001"
 #: No text has this byte.
 MARK = b"\xff"
@@ -143,6 +145,19 @@ def token_sizes(tokenizer) -> np.ndarray:
     return sizes
 
 
+def byte_characters() -> np.ndarray:
+    """The characters that stand for the bytes in a byte-level vocabulary (UTF-16); BETWEEN becomes SEPARATOR."""
+    shown = np.zeros(256, bool)
+    for low, high in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)):  # printed as they are; the others follow from 256 on
+        shown[low:high + 1] = True
+    out = np.where(shown, np.arange(256), 255 + np.cumsum(~shown)).astype("<u2")
+    out[BETWEEN[0]] = ord(SEPARATOR)
+    return out
+
+
+CHARACTERS = byte_characters()
+
+
 def _alone(tokenizer, words: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all words in turn, number of ids of each), each word a text of its own."""
     part = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -171,15 +186,17 @@ def _together(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray,
 
 
 def _separated(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray, added: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``_together``, split by the library at ``SEPARATOR`` and not by its pattern, since the words are cut already."""
+    """``_together``, in the vocabulary's characters and split by the library at ``SEPARATOR`` only, since the words are cut already."""
     from tokenizers import pre_tokenizers as pre
-    text, own = SEPARATOR.encode().join(words), getattr(tokenizer, "pre_tokenizer", None)
+    text, own = BETWEEN.join(words), getattr(tokenizer, "pre_tokenizer", None)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-    if (not isinstance(own, pre.ByteLevel) or own.add_prefix_space or any(t.encode() in text for t in added)
-            or text.count(SEPARATOR.encode()) != len(words) - 1):
+    if (not isinstance(own, pre.ByteLevel) or own.add_prefix_space or getattr(tokenizer, "normalizer", None) or any(t.encode() in text for t in added)
+            or text.count(BETWEEN) != len(words) - 1):
         return _together(tokenizer, words, kind, token_bytes, added)
-    tokenizer.pre_tokenizer = pre.Sequence([pre.CharDelimiterSplit(SEPARATOR), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
-    found = np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.int64)
+    tokenizer.pre_tokenizer = pre.CharDelimiterSplit(SEPARATOR)
+    texts = [CHARACTERS[np.frombuffer(BETWEEN.join(words[at:at + TEXT_PIECES]), np.uint8)].tobytes().decode("utf-16-le")
+             for at in range(0, len(words), TEXT_PIECES)]
+    found = np.concatenate([np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
     tokenizer.pre_tokenizer = own
     upto = np.concatenate([[0], np.cumsum(token_bytes[found])])
     last = np.searchsorted(upto, ends, side="right") - 1
@@ -194,6 +211,18 @@ def _encoded(tokenizer, words: list[bytes], kind: str, token_bytes: np.ndarray,
     return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, kind), np.zeros(0, np.int64))
 
 
+def _encoder(held: list, definition: str) -> tuple:
+    """(tokenizer, codes, ids of the codes), taken out of ``held`` (the pieces known to all tasks, and what the worker's last
+    task left there) or made anew; a task that ends in the middle leaves nothing."""
+    spelling, spelt, ids, sizes, left = held
+    held[-1] = None
+    if left is not None:
+        return left
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return Tokenizer.from_str(definition), PieceCodes(spelling, spelt, np.arange(len(spelt)), len(spelt)), Pieces(ids, sizes)
+
+
 def boundaries(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
     """Upper document ids of all parts but the last: quantiles, as many as the text's size asks for."""
     size = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
@@ -212,22 +241,19 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     arrow_limits(spark, BATCH_ROWS, BATCH_BYTES)
     tokenizer = load(tokenizer_path)
     added, kind = added_tokens(tokenizer), id_kind(tokenizer_path)
-    words = top_pieces(docs, id_col, text_col, frozenset()).select("word").toArrow()["word"].to_pylist()
+    words = top_pieces(docs, id_col, text_col, frozenset(), spelt=False, held=TASK_WORDS).select("word").toArrow()["word"].to_pylist()
     token_bytes, contents = token_sizes(tokenizer), list(added)
     flat, sizes = _encoded(tokenizer, words, kind, token_bytes, contents)
     words += [MARK + t.encode() for t in added]
     flat, sizes = np.append(flat, np.array(list(added.values()), kind)), np.append(sizes, np.ones(len(added), np.int64))
-    sent = spark.sparkContext.broadcast((b"".join(words), np.array(list(map(len, words)), np.int64), flat, sizes))
+    # a Python worker unpacks it once, so it may keep there what its next tasks need
+    sent = spark.sparkContext.broadcast([b"".join(words), np.array(list(map(len, words)), np.int64), flat, sizes, None])
     definition = tokenizer.to_str()
     upper, added = np.array(marks or [], np.int64), contents
     del tokenizer, words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        own = Tokenizer.from_str(definition)
-        spelling, spelt, known_ids, known_sizes = sent.value
-        codes, known = PieceCodes(spelling, spelt, np.arange(len(spelt)), len(spelt)), Pieces(known_ids, known_sizes)
+        own, codes, known = _encoder(held := sent.value, definition)
         end = np.zeros(0 if end_id is None else 1, kind)
         end[:] = end_id or 0
         for b in batches:
@@ -242,6 +268,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
             doc_ids = b.column("doc_id")
             at = np.searchsorted(upper, np.array([-2 ** 63 if d is None else d for d in doc_ids.to_pylist()], np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), doc_ids, pa.array(texts, pa.binary())], ["part", "doc_id", "ids"])
+        held[-1] = own, codes, known
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "part int, doc_id long, ids binary")
@@ -288,7 +315,7 @@ def read_files(files: DataFrame) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 doc_ids, counts, ids = parse(b.column("image")[i].as_py())
-                wide, ends = ids.astype("<u4"), np.cumsum(counts)
+                wide, ends = ids.astype("<u4", copy=False), np.cumsum(counts)
                 crc = [zlib.crc32(wide[a:z].tobytes()) for a, z in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
                 n = len(doc_ids)
                 yield pa.RecordBatch.from_arrays([

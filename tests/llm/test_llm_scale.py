@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from lakeloom.llm import bpe, exact_dedup, token_output
+from lakeloom.llm import bpe, context_coder, exact_dedup, token_output
 
 
 def test_directory_of_a_million_ranges():
@@ -130,3 +130,31 @@ def test_library_splits_pieces_at_a_separator():
         assert ids.tolist() == [i for e in want for i in e] and n.tolist() == list(map(len, want))
         assert texts is None or tokenizer.texts == texts
     assert own.to_str() == plain.to_str()  # as it was
+
+
+def test_pieces_reach_the_library_in_the_characters_of_its_vocabulary():
+    own, plain = (token_output.load(public_tokenizers.path("byte_bpe_50k.json")) for _ in range(2))
+    tokenizer, sizes, added = Splitting(own), token_output.token_sizes(own), ["<|endoftext|>"]
+    every = [chr(c).encode() for c in (*range(1, 0x250), 0x2028, 0xFFFD, 0x10FFFE, 0x10FFFF)]  # a separator of older code too
+    for pieces, texts in ((every[-4:], 1), ([b"x"] * 251, 2), (every, -(-len(every) // token_output.TEXT_PIECES))):
+        tokenizer.texts = 0
+        ids, n = token_output._encoded(tokenizer, pieces, "<u2", sizes, added)
+        want = [e.ids for e in plain.encode_batch_fast([w.decode() for w in pieces], add_special_tokens=False)]
+        assert ids.tolist() == [i for e in want for i in e] and n.tolist() == list(map(len, want))
+        assert tokenizer.texts == texts
+
+
+def test_a_worker_keeps_its_tokenizer_for_its_next_tasks():
+    definition = token_output.load(public_tokenizers.path("byte_bpe_50k.json")).to_str()
+    held = [b"ab", np.array([1, 1]), np.array([64, 65], "<u2"), np.array([1, 1]), None]
+    first = token_output._encoder(held, definition)
+    assert held[-1] is None and token_output._encoder(held, definition)[0] is not first[0]  # a task that was cut off leaves nothing
+    held[-1] = first
+    assert token_output._encoder(held, definition) is first and held[-1] is None
+
+
+def test_order_0_is_the_same_by_counting_and_by_sorting():
+    ids = np.random.default_rng(2).integers(0, 50, 1000)
+    few = context_coder.frequencies(ids)
+    many = context_coder.frequencies(np.where(ids == 49, 1 << 20, ids))
+    assert few[0][:-1].tolist() == many[0][:-1].tolist() and few[1].tolist() == many[1].tolist() and many[0][-1] == 1 << 20

@@ -85,6 +85,16 @@ def test_rank_map_finds_every_pair_and_no_other():
     assert all(look(a, b) >= bpe.NO_MERGE for a, b in others)
 
 
+def test_sampled_pieces_are_counted_with_or_without_their_bytes(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "a b c", None, "a", "d e f g"])], "doc_id long, text string").coalesce(1)
+    plain = bpe.top_pieces(docs, "doc_id", "text", frozenset(), spelt=False, held=2)
+    assert plain.columns == ["word", "n"]
+    got = [(bytes(r["word"]), r["n"]) for r in plain.collect()]
+    assert got == [(b"a", 3), (b" b", 2), (b" c", 1), (b" e", 1), (b" f", 1), (b" g", 1), (b"d", 1)]
+    full = bpe.top_pieces(docs, "doc_id", "text", frozenset([b"a"])).collect()
+    assert [(bytes(r["word"]), bytes(r["bytes"]), r["n"]) for r in full] == [(w, w, n) for w, n in got[1:]]
+
+
 def test_token_files_equal_the_library(spark, docs, tmp_path):
     tok = token_output.load(JSON)
     rows = docs.select("doc_id", "text").collect()
